@@ -24,5 +24,5 @@ def load_all() -> None:
     """Import every query module so their registrations run."""
     import importlib
 
-    for mod in ("q_warehouse", "q_dimensions"):
+    for mod in ("q_warehouse", "q_dimensions", "q_medallion"):
         importlib.import_module(f"lakekit.plans.{mod}")
