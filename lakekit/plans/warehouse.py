@@ -65,3 +65,14 @@ def top_customer_per_category(sales: DataFrame, year: int, categories=REPORT_CAT
 def distinct_members(sales: DataFrame, year: int) -> DataFrame:
     """``SELECT DISTINCT CustomerName, Email`` for one year."""
     return sales.filter(year_range("OrderDate", year)).select("CustomerName", "Email").distinct()
+
+
+def union_all_stores(*stores: DataFrame) -> DataFrame:
+    """``SELECT * FROM a UNION ALL SELECT * FROM b`` across stores: by position, duplicates kept."""
+    widths = {len(s.columns) for s in stores}
+    if len(widths) != 1:
+        raise ValueError("UNION ALL inputs must have the same number of columns")
+    out = stores[0]
+    for s in stores[1:]:
+        out = out.union(s)
+    return out
