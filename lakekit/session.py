@@ -7,7 +7,6 @@ session runs in local mode (tests, the bench) do we create our own folder.
 
 from __future__ import annotations
 
-import os
 import tempfile
 import uuid
 
@@ -71,14 +70,11 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
 
 
 def work_dir(spark: SparkSession, name: str) -> str:
-    """A fresh folder under the shared checkpoint area for staged files/snapshots."""
+    """A fresh (not yet created) folder under the shared checkpoint area for staged files/snapshots."""
     base = spark.conf.get("lakekit.work.dir", None)
     if not base:
         base = ensure_checkpoint_dir(spark).rstrip("/") + "/lakekit-work"
-    path = f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex[:12]}"
-    if path.startswith("/") or path.startswith("file:"):
-        os.makedirs(path.replace("file:", ""), exist_ok=True)
-    return path
+    return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex[:12]}"
 
 
 def fits_rows(df: DataFrame, max_rows: int) -> bool:
