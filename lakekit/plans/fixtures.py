@@ -95,7 +95,11 @@ employees AS (
 
 def taxi_trips(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Events as taxi trips; ``passenger_count`` is ``props.k``."""
-    e = load(spark, sf_dir, "events")
+    return trips_from_events(load(spark, sf_dir, "events"))
+
+
+def trips_from_events(e: DataFrame) -> DataFrame:
+    """The trip mapping for any events frame, batch or stream."""
     return e.select(
         F.col("event_id").alias("trip_id"),
         F.col("event_type").alias("vendor_id"),
