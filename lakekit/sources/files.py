@@ -7,6 +7,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
+from lakekit.session import reliable_checkpoint
+
 CORRUPT = "_corrupt_record"
 BAD_ROW_MODES = ("null", "drop", "fail", "quarantine")
 
@@ -27,6 +29,9 @@ def read_csv_typed(spark: SparkSession, path: str, schema: StructType, *, header
     if bad_rows == "quarantine":
         full = StructType(list(schema.fields) + [StructField(CORRUPT, StringType(), True)])
         df = reader.schema(full).option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", CORRUPT).csv(path)
+        # parse once into the shared checkpoint folder: both sides then read parsed rows
+        # (Spark refuses queries over raw CSV that need only the corrupt-record column)
+        df = reliable_checkpoint(df)
         good = df.filter(F.col(CORRUPT).isNull()).select(*schema.fieldNames())
         bad = df.filter(F.col(CORRUPT).isNotNull())
         return good, bad
@@ -77,7 +82,8 @@ def read_dated_files(spark: SparkSession, folder: str, schema: StructType, *, he
           .schema(schema).csv(folder))
     name = drop_name()
     raw = F.substring(name, offset + 1, length) if offset is not None else F.regexp_extract(name, pattern, 1)
-    df = df.withColumn(date_col, F.to_date(F.nullif(raw, F.lit("")), "yyyy-MM-dd"))
+    # a drop whose name holds no valid date gets NULL (never an ANSI cast error)
+    df = df.withColumn(date_col, F.to_date(F.try_to_timestamp(F.nullif(raw, F.lit("")), F.lit("yyyy-MM-dd"))))
     if name_col:
         df = df.withColumn(name_col, name)
     return df
