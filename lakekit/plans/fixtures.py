@@ -32,7 +32,9 @@ def sales(spark: SparkSession, sf_dir: str) -> DataFrame:
     c = load(spark, sf_dir, "customer").select("c_custkey", "c_name")
     p = load(spark, sf_dir, "part").select("p_partkey", "p_name", "p_retailprice")
     lines = li.join(o, li.l_orderkey == o.o_orderkey)
-    w = Window.partitionBy("l_orderkey").orderBy("l_linenumber", "l_partkey", "l_suppkey")
+    # o_orderdate is constant within an order: adding it to the partition keeps the numbering
+    # but lets date filters on the result be pushed below the window to the orders scan
+    w = Window.partitionBy("l_orderkey", "o_orderdate").orderBy("l_linenumber", "l_partkey", "l_suppkey")
     lines = lines.withColumn("line_no", F.row_number().over(w).cast("int"))
     j = lines.join(c, lines.o_custkey == c.c_custkey).join(p, lines.l_partkey == p.p_partkey)
     return j.select(

@@ -44,12 +44,11 @@ def q_bronze_to_silver(spark, sf_dir):
     """Two drops as CSV; run 1 loads drop A, run 2 gets A again plus B (re-delivery)."""
     sales = fx.sales(spark, sf_dir)
     bronze = work_dir(spark, "bronze")
-    cut = F.lit(dt.date(1998, 1, 1))
-    sales.filter(F.col("OrderDate") < cut).write.option("header", True).csv(f"{bronze}/sales_a.csv")
-    sales.filter(F.col("OrderDate") >= cut).write.option("header", True).csv(f"{bronze}/sales_b.csv")
+    drop = F.when(F.col("OrderDate") < F.lit(dt.date(1998, 1, 1)), "sales_a.csv").otherwise("sales_b.csv")
+    sales.withColumn("drop", drop).write.partitionBy("drop").option("header", True).csv(bronze)
     silver = SnapshotTable(spark, work_dir(spark, "silver"))
-    md.bronze_to_silver(spark, f"{bronze}/sales_a.csv", silver, flag_before=FLAG_BEFORE, as_of=AUDIT_TS1)
-    md.bronze_to_silver(spark, f"{bronze}/sales_*.csv", silver, flag_before=FLAG_BEFORE, as_of=AUDIT_TS2)
+    md.bronze_to_silver(spark, f"{bronze}/drop=sales_a.csv", silver, flag_before=FLAG_BEFORE, as_of=AUDIT_TS1)
+    md.bronze_to_silver(spark, f"{bronze}/drop=*", silver, flag_before=FLAG_BEFORE, as_of=AUDIT_TS2)
     return silver.read().drop("FileName")
 
 
@@ -135,10 +134,24 @@ dp AS (SELECT ItemName, ItemInfo, ItemID FROM q1
                                   + row_number() OVER (ORDER BY ItemName, ItemInfo) FROM p2)"""
 
 
+def silver_table(spark, sf_dir):
+    """The silver table the gold build reads (``spark.read.table("sales_silver")``), written once."""
+    t = SnapshotTable(spark, work_dir(spark, "sales-silver"))
+    t.write(fx.sales(spark, sf_dir))
+    return t.read()
+
+
+def _gold_tables(spark):
+    return {n: SnapshotTable(spark, work_dir(spark, f"gold-{n}"))
+            for n in ("dim_date", "dim_customer", "dim_product", "fact")}
+
+
 def _two_loads(spark, sf_dir):
-    sales = fx.sales(spark, sf_dir)
-    first = md.build_star(sales.filter(F.col("OrderDate") < F.lit(fx.FIRST_LOAD_CUT)))
-    return sales, first, md.build_star(sales, first)
+    """Gold built in two runs: orders before the cut first, then everything."""
+    sales = silver_table(spark, sf_dir)
+    tables = _gold_tables(spark)
+    first = md.persist_star(md.build_star(sales.filter(F.col("OrderDate") < F.lit(fx.FIRST_LOAD_CUT))), tables)
+    return sales, first, md.persist_star(md.build_star(sales, first), tables)
 
 
 @query("dim_date", f"""WITH {fx.SQL_SALES}
@@ -190,9 +203,8 @@ dp AS (SELECT ItemName, ItemInfo, row_number() OVER (ORDER BY ItemName, ItemInfo
 {SQL_FACT_SELECT}""")
 def q_build_star(spark, sf_dir):
     """Gold build run twice over the same silver data: the second run adds nothing."""
-    sales = fx.sales(spark, sf_dir)
-    tables = {n: SnapshotTable(spark, work_dir(spark, f"gold-{n}"))
-              for n in ("dim_date", "dim_customer", "dim_product", "fact")}
+    sales = silver_table(spark, sf_dir)
+    tables = _gold_tables(spark)
     once = md.persist_star(md.build_star(sales), tables)
     twice = md.persist_star(md.build_star(sales, once), tables)
     return twice.fact
@@ -211,7 +223,7 @@ LEFT JOIN dpa ON string_split(s.Item, ' ')[1] = dpa.ItemName
 WHERE NOT EXISTS (SELECT 1 FROM dc1 WHERE dc1.CustomerName = s.CustomerName AND dc1.Email = s.Email)""")
 def q_orphan_facts(spark, sf_dir):
     """Facts of all years checked against the customer dim of the first load only."""
-    sales = fx.sales(spark, sf_dir)
+    sales = silver_table(spark, sf_dir)
     dim1 = md.dim_customer(sales.filter(F.col("OrderDate") < F.lit(fx.FIRST_LOAD_CUT)))
     fact = md.build_fact_sales(sales, dim1, md.dim_product(sales))
     return orphan_facts(fact, dim1, "CustomerID")
