@@ -143,20 +143,32 @@ def _within(out: DataFrame, bounds: DataFrame, keys: Sequence[str]) -> DataFrame
 
 
 def sessions(df: DataFrame, ts: str, gap: str, value: str | None = None, keys: Sequence[str] = (),
-             bucket: str = "1d", with_values: bool = False) -> DataFrame:
+             bucket: str = "auto", with_values: bool = False) -> DataFrame:
     """Sessions: a new session starts when the time since the previous event of the same
     key is strictly greater than ``gap`` (events exactly ``gap`` apart stay together).
 
     Output: keys, session_start, session_end (= last event + gap), n_events,
     total_value and, with ``with_values``, the values in time order (collected per
     session — only for sessions known to be small).
+
+    ``bucket`` is the width of the level-1 time buckets: a timespan, or ``"auto"`` =
+    the event time span / (4 x shuffle partitions), computed lazily as a scalar
+    subquery, so even a key holding a third of all rows is split over many tasks.
+    Buckets may be narrower than the gap: continuity is checked against the previous
+    non-empty bucket of the same key.
     """
     ntz = _is_ntz(df, ts)
     gap_us = seconds_of(gap) * US
-    bucket_us = max(seconds_of(bucket), 2 * seconds_of(gap)) * US
     cols = [*keys, F.col(ts).alias("__ts")] + ([F.col(value).alias("__v")] if value else [])
     ev = df.select(*cols).filter(F.col("__ts").isNotNull())
-    ev = ev.withColumn("__b", F.floor(_us(F.col("__ts")) / F.lit(bucket_us)))
+    if bucket == "auto":
+        parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+        span = ev.select(F.greatest(F.lit(1), F.floor((F.max(_us(F.col("__ts"))) - F.min(_us(F.col("__ts"))))
+                                                      / F.lit(4 * parts))).cast("bigint")).scalar()
+        width = span
+    else:
+        width = F.lit(seconds_of(bucket) * US)
+    ev = ev.withColumn("__b", F.floor(_us(F.col("__ts")) / width))
 
     # level 1: sessions inside each (key, bucket) — spread over many tasks even for a hot key
     aggs = [F.min("__ts").alias("p_start"), F.max("__ts").alias("p_last"), F.count(F.lit(1)).alias("p_n")]
@@ -167,18 +179,19 @@ def sessions(df: DataFrame, ts: str, gap: str, value: str | None = None, keys: S
     part = ev.groupBy(*keys, "__b", F.session_window("__ts", f"{seconds_of(gap)} seconds").alias("__sw")).agg(*aggs)
     part = part.drop("__sw")
 
-    # level 2: per (key, bucket) summary; the first session of a bucket continues the
-    # previous bucket's last session when it starts within ``gap`` of its last event
+    # level 2: one summary row per non-empty (key, bucket); the first session of a bucket
+    # continues the previous non-empty bucket's last session when it starts within
+    # ``gap`` of that session's last event.  Chains of continuing buckets resolve to the
+    # bucket where they start with a running max.
     summ = part.groupBy(*keys, "__b").agg(F.min("p_start").alias("first_start"),
                                           F.max("p_start").alias("last_start"),
                                           F.max("p_last").alias("last_ts"),
                                           F.count(F.lit(1)).alias("n_parts"))
-    prev = summ.select(*keys, (F.col("__b") + 1).alias("__b"), F.col("last_ts").alias("prev_last"))
-    summ = summ.join(prev, [*keys, "__b"], "left")
+    w = Window.partitionBy(*keys).orderBy("__b") if keys else Window.orderBy("__b")
+    summ = summ.withColumn("prev_last", F.lag("last_ts").over(w))
     cont = F.coalesce(_us(F.col("first_start")) - _us(F.col("prev_last")) <= F.lit(gap_us), F.lit(False))
     summ = summ.withColumn("cont", cont)
     brk = ~((F.col("n_parts") == 1) & F.col("cont"))
-    w = Window.partitionBy(*keys).orderBy("__b") if keys else Window.orderBy("__b")
     summ = summ.withColumn("last_key", F.max(F.when(brk, F.struct(F.col("__b").alias("b"),
                                                                    F.col("last_start").alias("s"))))
                            .over(w.rowsBetween(Window.unboundedPreceding, 0)))

@@ -56,7 +56,7 @@ def _brute_sessions(times, gap):
     return [(s[0], len(s)) for s in out]
 
 
-@pytest.mark.parametrize("bucket", ["20min", "1h", "1d"])
+@pytest.mark.parametrize("bucket", ["1min", "7min", "20min", "1d", "auto"])
 def test_sessions_match_brute_force_across_buckets(spark, bucket):
     rnd = random.Random(11)
     keys = [rnd.choice([1, 2, 3]) for _ in range(400)]
