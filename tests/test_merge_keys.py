@@ -11,10 +11,14 @@ from lakekit.operators import merge as M
 SCHEMA = "id int, name string, price decimal(10,2), created string"
 
 
-def test_upsert_updates_inserts_and_keeps_null_payload(spark):
+STRATEGIES = ["shuffle", "broadcast", "auto"]
+
+
+@pytest.mark.parametrize("strategy", STRATEGIES)
+def test_upsert_updates_inserts_and_keeps_null_payload(spark, strategy):
     t = spark.createDataFrame([(1, "a", Decimal("1.00"), "t0"), (2, "b", Decimal("2.00"), "t0")], SCHEMA)
     u = spark.createDataFrame([(2, None, Decimal("3.00"), "t1"), (3, "c", None, "t1")], SCHEMA)
-    out = M.merge_upsert(t, u, ["id"], preserve=("created",))
+    out = M.merge_upsert(t, u, ["id"], preserve=("created",), strategy=strategy)
     assert rows(out, "id") == [(1, "a", Decimal("1.00"), "t0"), (2, None, Decimal("3.00"), "t0"),
                                (3, "c", None, "t1")]
 
@@ -34,12 +38,15 @@ def test_upsert_rejects_duplicate_source_keys(spark):
         M.merge_upsert(t, u, ["id"])
 
 
-def test_null_keys_match_only_when_null_safe(spark):
-    t = spark.createDataFrame([(None, "a", None, "t0")], SCHEMA)
+@pytest.mark.parametrize("strategy", STRATEGIES)
+def test_null_keys_match_only_when_null_safe(spark, strategy):
+    t = spark.createDataFrame([(None, "a", None, "t0"), (1, "x", None, "t0")], SCHEMA)
     u = spark.createDataFrame([(None, "b", None, "t1")], SCHEMA)
-    assert M.merge_insert_only(t, u, ["id"]).count() == 2          # SQL rule: NULL never matches
-    assert M.merge_insert_only(t, u, ["id"], null_safe=True).count() == 1
-    assert rows(M.merge_upsert(t, u, ["id"], null_safe=True)) == [(None, "b", None, "t1")]
+    assert M.merge_insert_only(t, u, ["id"], strategy=strategy).count() == 3   # SQL rule: NULL never matches
+    assert M.merge_insert_only(t, u, ["id"], null_safe=True, strategy=strategy).count() == 2
+    assert rows(M.merge_upsert(t, u, ["id"], null_safe=True, strategy=strategy)) == \
+        [(1, "x", None, "t0"), (None, "b", None, "t1")]
+    assert M.merge_upsert(t, u, ["id"], strategy=strategy).count() == 3
 
 
 def test_insert_only_is_idempotent(spark):
@@ -50,10 +57,11 @@ def test_insert_only_is_idempotent(spark):
     assert rows(M.merge_insert_only(once, u, ["id"])) == rows(once)
 
 
-def test_merge_columns(spark):
+@pytest.mark.parametrize("strategy", STRATEGIES)
+def test_merge_columns(spark, strategy):
     t = spark.createDataFrame([(1, "a", Decimal("1.00"), "t0")], SCHEMA)
     u = spark.createDataFrame([(1, "x", Decimal("9.00"), "t1"), (2, "b", Decimal("2.00"), "t1")], SCHEMA)
-    out = M.merge_columns(t, u, ["id"], update_set=["price"], insert_cols=["name"])
+    out = M.merge_columns(t, u, ["id"], update_set=["price"], insert_cols=["name"], strategy=strategy)
     assert rows(out, "id") == [(1, "a", Decimal("9.00"), "t0"), (2, "b", None, None)]
 
 
