@@ -34,6 +34,28 @@ def q_run_stream(spark, sf_dir):
     return sink.read()
 
 
+@query("stream_user_sessions", """
+WITH o AS (SELECT user_id, ts, value,
+                  CASE WHEN lag(ts) OVER (PARTITION BY user_id ORDER BY ts) IS NULL
+                         OR ts - lag(ts) OVER (PARTITION BY user_id ORDER BY ts) > INTERVAL 30 MINUTE THEN 1 ELSE 0 END
+                    AS new_s
+           FROM events),
+s AS (SELECT *, sum(new_s) OVER (PARTITION BY user_id ORDER BY ts ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)
+                AS sid FROM o),
+g AS (SELECT user_id, min(ts) AS session_start, max(ts) + INTERVAL 30 MINUTE AS session_end, count(*) AS n_events,
+             CAST(sum(CAST(value AS DECIMAL(18,2))) AS DECIMAL(38,2)) AS total_value
+      FROM s GROUP BY user_id, sid)
+SELECT * FROM g WHERE session_end <= (SELECT max(ts) FROM events) - INTERVAL 1 HOUR""")
+def q_stream_user_sessions(spark, sf_dir):
+    """Per-user sessions on a stream, append mode, watermark 1 hour: a drained stream emits
+    exactly the sessions that closed before the final watermark (max event time - 1 hour)."""
+    out = st.run_stream(_events_stream(spark, sf_dir),
+                        lambda s: st.session_totals(s, "ts", "30min", ["user_id"], "value"),
+                        work_dir(spark, "sessions-sink"), work_dir(spark, "sessions-ckpt"),
+                        output_mode="append", watermark=("ts", "1 hour"))
+    return st.to_ntz(spark.read.parquet(out))
+
+
 def _with_day(trips):
     return trips.withColumn("pickup_date", F.to_date("pickup_datetime"))
 

@@ -86,3 +86,16 @@ def run_stream(stream: DataFrame, transform: Callable[[DataFrame], DataFrame], s
         q.awaitTermination()
         return sink_root
     raise ValueError("output_mode must be 'complete' or 'append'")
+
+
+def session_totals(stream: DataFrame, ts: str, gap: str, keys, value: str | None = None) -> DataFrame:
+    """Per-key session windows on a stream (T3, T4): Spark keeps open sessions in the state
+    store and, in append mode, emits a session once the watermark passes its end."""
+    from lakekit.functions.scalar import MONEY, MONEY_SUM, seconds_of
+
+    aggs = [F.count(F.lit(1)).alias("n_events")]
+    if value:
+        aggs.append(F.sum(F.col(value).cast(MONEY)).cast(MONEY_SUM).alias("total_value"))
+    g = stream.groupBy(*keys, F.session_window(ts, f"{seconds_of(gap)} seconds").alias("__sw")).agg(*aggs)
+    return g.select(*keys, F.col("__sw.start").alias("session_start"), F.col("__sw.end").alias("session_end"),
+                    *[a for a in ("n_events", "total_value") if a in g.columns])
