@@ -2,18 +2,31 @@
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Callable
 
+from lakekit.session import prepare
+
 QUERIES: dict[str, Callable] = {}
 ORACLES: dict[str, str] = {}
 
 
 def query(name: str, sql: str | None = None):
-    """Register ``fn(spark, sf_dir)`` under ``name``; ``sql`` is its DuckDB oracle (optional)."""
+    """Register ``fn(spark, sf_dir)`` under ``name``; ``sql`` is its DuckDB oracle (optional).
+
+    The registered callable first prepares the session it is given (shared checkpoint
+    folder, UTC session time zone) so it runs the same on any caller's session.
+    """
     def deco(fn):
         if name in QUERIES:
             raise ValueError(f"duplicate query {name}")
-        QUERIES[name] = fn
+
+        @functools.wraps(fn)
+        def run(spark, sf_dir):
+            prepare(spark)
+            return fn(spark, sf_dir)
+
+        QUERIES[name] = run
         if sql is not None:
             ORACLES[name] = sql
         return fn

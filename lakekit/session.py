@@ -44,6 +44,15 @@ def build_session(master: str | None = None, app: str = "lakekit", shuffle_parti
     return spark
 
 
+def prepare(spark: SparkSession) -> SparkSession:
+    """Make any session fit for this library: shared checkpoint folder, UTC time zone
+    (event-time arithmetic round-trips through zoned timestamps)."""
+    ensure_checkpoint_dir(spark)
+    if spark.conf.get("spark.sql.session.timeZone") != "UTC":
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+    return spark
+
+
 def _is_local(spark: SparkSession) -> bool:
     return spark.sparkContext.master.startswith("local")
 
