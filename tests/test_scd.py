@@ -141,3 +141,55 @@ def test_changed_members(spark):
     assert rows(out) == [(1, "a", "a", None, "y")]
     assert scd.changed_members(dim, lat, ["k"], ["n", "addr"], strict_sql=True).count() == 0
     assert F  # keep import used
+
+
+def _drops(spark, seed):
+    import random
+    rnd = random.Random(seed)
+    rows = []
+    for d in range(5):
+        for k in range(1, 6):
+            for _ in range(rnd.choice([0, 1, 2])):
+                rows.append((k, rnd.choice(["a", "b", None]), rnd.choice(["x", "y"]), D(2022, 1, 1 + d),
+                             rnd.randrange(1000), f"drop{d}"))
+    return spark.createDataFrame(rows, "customer_id int, name string, address string, last_updated date, "
+                                       "seq int, drop string")
+
+
+def _dim_for_replay(spark):
+    return spark.createDataFrame([
+        (1, "a", "x", D(2020, 1, 1), D(2021, 1, 1), False),
+        (1, "a", "y", D(2021, 1, 1), None, True),
+        (2, None, "x", D(2021, 1, 1), None, True),
+        (3, "b", "x", D(2022, 1, 3), None, True),      # newer than the first drops: guard applies
+    ], DIM2N)
+
+
+import pytest  # noqa: E402
+
+
+@pytest.mark.parametrize("seed", [1, 2, 3])
+def test_scd2_replay_equals_loading_drops_one_by_one(spark, seed):
+    drops = _drops(spark, seed)
+    seq_dim = _dim_for_replay(spark)
+    for d in range(5):
+        one = drops.filter(F.col("drop") == f"drop{d}").drop("drop")
+        seq_dim = scd.scd2_apply(seq_dim, one, ["customer_id"], ["name", "address"], tiebreak=["seq"])
+        seq_dim = spark.createDataFrame(seq_dim.collect(), seq_dim.schema)
+    replay = scd.scd2_replay(_dim_for_replay(spark), drops, ["customer_id"], ["name", "address"], drop="drop",
+                             tiebreak=["seq"])
+    assert rows(replay) == rows(seq_dim)
+
+
+@pytest.mark.parametrize("seed", [4, 5])
+def test_scd1_replay_equals_loading_drops_one_by_one(spark, seed):
+    drops = _drops(spark, seed).withColumn("email", F.lit("e")).withColumnRenamed("last_updated", "file_date")
+    dim = spark.createDataFrame([(1, "a", "e", "x", D(2021, 1, 1)), (2, None, "e", "x", D(2022, 1, 3))], DIM1)
+    seq_dim = dim
+    for d in range(5):
+        one = drops.filter(F.col("drop") == f"drop{d}").drop("drop")
+        seq_dim = scd.scd1_apply(seq_dim, one, ["customer_id"], ["name", "email", "address"], tiebreak=["seq"])
+        seq_dim = spark.createDataFrame(seq_dim.collect(), seq_dim.schema)
+    replay = scd.scd1_replay(dim, drops, ["customer_id"], ["name", "email", "address"], drop="drop",
+                             tiebreak=["seq"])
+    assert rows(replay) == rows(seq_dim)
