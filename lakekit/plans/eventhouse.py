@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lakekit.functions.scalar import MONEY_SUM, ago, exact_avg, exact_sum
+from lakekit.functions.scalar import ago, exact_avg, exact_sum
 from lakekit.session import maybe_broadcast
 
 
@@ -99,7 +99,3 @@ def small_first_join(small: DataFrame, big: DataFrame, on, max_rows: int = 1_000
     """``Small | join kind=inner Big on k`` (J8).  In Spark the written order does not
     matter; the small side is broadcast only behind a proven row bound."""
     return maybe_broadcast(small, max_rows).join(big, on, "inner")
-
-
-def money_total(c: str) -> Column:
-    return F.sum(F.col(c).cast("decimal(18,2)")).cast(MONEY_SUM)

@@ -18,8 +18,8 @@ from pyspark.sql.types import (DateType, DecimalType, IntegerType, LongType, Str
                                StructType, BooleanType, TimestampNTZType)
 
 from lakekit.functions.scalar import before_date, null_or_empty_default, split_word, word_or_empty
-from lakekit.operators.keys import assign_surrogate_keys, dedup_by_key, max_key
-from lakekit.operators.merge import merge_insert_only, merge_upsert
+from lakekit.operators.keys import assign_surrogate_keys, max_key
+from lakekit.operators.merge import assert_unique_keys, merge_insert_only, merge_upsert
 from lakekit.session import maybe_broadcast
 from lakekit.sources.files import read_csv_typed, with_lineage
 from lakekit.sources.snapshots import SnapshotTable
@@ -67,19 +67,18 @@ DIM_BROADCAST_ROWS = 2_000_000
 
 # ------------------------------------------------------------------ silver
 
-def silver_enrich(df: DataFrame, *, flag_before, as_of=None, name_default: str = "Unknown") -> DataFrame:
-    """Clean and enrich a bronze frame: legacy flag, audit times, default names.
-
-    ``as_of`` fixes the audit time (tests); by default it is ``current_timestamp()``.
-    """
+def with_audit(df: DataFrame, as_of=None, created: str = "CreatedTS", modified: str = "ModifiedTS") -> DataFrame:
+    """Audit columns (Q3): load time as created/modified.  ``as_of`` fixes the clock (tests);
+    by default it is ``current_timestamp()``, one value for the whole query."""
     now = (F.lit(as_of).cast("timestamp_ntz") if as_of is not None
            else F.current_timestamp().cast("timestamp_ntz"))
-    return df.withColumns({
-        "IsFlagged": before_date("OrderDate", flag_before),
-        "CreatedTS": now,
-        "ModifiedTS": now,
-        "CustomerName": null_or_empty_default("CustomerName", name_default),
-    })
+    return df.withColumns({created: now, modified: now})
+
+
+def silver_enrich(df: DataFrame, *, flag_before, as_of=None, name_default: str = "Unknown") -> DataFrame:
+    """Clean and enrich a bronze frame: legacy flag, audit times, default names."""
+    df = df.withColumn("IsFlagged", before_date("OrderDate", flag_before))
+    return with_audit(df, as_of).withColumn("CustomerName", null_or_empty_default("CustomerName", name_default))
 
 
 def bronze_to_silver(spark: SparkSession, bronze_glob: str, silver: SnapshotTable, *, flag_before,
@@ -97,7 +96,6 @@ def bronze_to_silver(spark: SparkSession, bronze_glob: str, silver: SnapshotTabl
     if silver.snapshots():
         merged = merge_upsert(silver.read(), updates, keys, preserve=("CreatedTS",))
     else:
-        from lakekit.operators.merge import assert_unique_keys
         assert_unique_keys(updates, keys)
         merged = updates
     return silver.write(merged)
