@@ -64,7 +64,9 @@ class SnapshotTable:
             if at is not None:
                 raise ValueError("snapshot time must be after the newest snapshot")
             sid = existing[-1] + 1
-        df.write.mode("errorifexists").parquet(self._path(sid))
+        # the id is not committed: a folder left by a writer that died midway (no
+        # _SUCCESS) is replaced, so a replayed batch can always write its snapshot
+        df.write.mode("overwrite").parquet(self._path(sid))
         return sid
 
     def truncate(self, at=None) -> int:

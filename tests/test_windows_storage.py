@@ -103,6 +103,8 @@ def test_uncommitted_snapshot_is_ignored(spark, tmp_dir):
     t.write(spark.range(3), at=T(2025, 1, 1))
     os.makedirs(f"{tmp_dir}/t/snapshot_ts=99999999999999999")   # half-written: no _SUCCESS
     assert t.read().count() == 3
+    t.write(spark.range(5), at=99999999999999999)                # a replay of that id replaces it
+    assert t.read().count() == 5
 
 
 @pytest.mark.parametrize("cut", [0, 30, 77, 100])
