@@ -30,24 +30,27 @@ def assign_surrogate_keys(df: DataFrame, order_cols: Sequence[str], key_name: st
     """Add ``key_name`` = start_after + dense 1-based rank of each row in ``order_cols`` order.
 
     ``order_cols`` must order the rows totally (ties would be numbered arbitrarily).
+    Without ``num_partitions`` the range exchange is sized by AQE (adjacent ranges are
+    coalesced, which keeps the order).  The per-partition offsets (one row per
+    partition) reach the rows through a broadcast join on the partition id, which
+    keeps each partition's rows where and in the order they are.
     """
     spark = df.sparkSession
-    n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    ranged = (df.repartitionByRange(n, *order_cols)
-              .sortWithinPartitions(*order_cols)
-              .withColumn(PID, F.spark_partition_id()))
+    ranged = (df.repartitionByRange(num_partitions, *order_cols) if num_partitions
+              else df.repartitionByRange(*order_cols))
+    ranged = ranged.sortWithinPartitions(*order_cols).withColumn(PID, F.spark_partition_id())
     ranged = reliable_checkpoint(ranged)
     counts = {r[PID]: r["n"] for r in ranged.groupBy(PID).agg(F.count(F.lit(1)).alias("n")).collect()}
-    nparts = ranged.rdd.getNumPartitions()
     offsets, run = [], 0
-    for p in range(nparts):
-        offsets.append(run)
+    for p in range(ranged.rdd.getNumPartitions()):
+        offsets.append((p, run))
         run += counts.get(p, 0)
-    offset = F.get(F.lit(offsets).cast("array<bigint>"), F.col(PID)) if offsets else F.lit(0)
+    table = spark.createDataFrame(offsets or [(0, 0)], f"{PID} int, __off long")
     row_in_part = F.monotonically_increasing_id() - F.shiftleft(F.col(PID).cast("bigint"), 33)
     start = start_after if isinstance(start_after, Column) else F.lit(int(start_after))
-    return (ranged.withColumn(key_name, (start.cast("bigint") + offset + row_in_part + 1).cast("bigint"))
-            .drop(PID))
+    numbered = ranged.withColumn("__row", row_in_part).join(F.broadcast(table), PID)
+    return (numbered.withColumn(key_name, (start.cast("bigint") + F.col("__off") + F.col("__row") + 1).cast("bigint"))
+            .drop(PID, "__off", "__row"))
 
 
 def latest_per_key(df: DataFrame, keys: Sequence[str], order_cols: Sequence[str]) -> DataFrame:
