@@ -52,7 +52,7 @@ def _joined(target: DataFrame, updates: DataFrame, keys: Sequence[str], null_saf
 
 
 # Updates up to this many rows are shipped to every executor instead of shuffling the target.
-BROADCAST_UPDATES_ROWS = 2_000_000
+BROADCAST_UPDATES_ROWS = 500_000
 
 
 def _use_broadcast(updates: DataFrame, strategy: str, max_rows: int) -> bool:

@@ -116,3 +116,15 @@ def q_read_dated_files(spark, sf_dir):
                      .alias("drop"))
     drops.write.partitionBy("drop").option("header", True).csv(root)
     return fs.read_dated_files(spark, root, DROP_SCHEMA, name_col=None)
+
+
+@query("append_query", "SELECT * FROM orders")
+def q_append_query(spark, sf_dir):
+    """``INSERT INTO t SELECT ...`` twice into a table created empty with a declared schema."""
+    o = tb.load(spark, sf_dir, "orders")
+    path = work_dir(spark, "append") + "/orders"
+    tb.ensure_table(spark, path, o.schema)
+    cut = F.lit(CUT).cast("timestamp_ntz")
+    tb.append_query(o.filter(F.col("o_orderdate") < cut), path)
+    tb.append_query(o.filter(F.col("o_orderdate") >= cut), path)
+    return spark.read.schema(o.schema).parquet(path)

@@ -113,3 +113,17 @@ def test_dated_files_by_offset(spark, tmp_dir):
     assert sorted(r.file_date for r in out.collect()) == [D(2026, 3, 17), D(2026, 3, 18)]
     lin = fs.with_lineage(spark.read.schema(SCHEMA).option("header", True).csv(f"{tmp_dir}/drops"))
     assert all(r.FileName.endswith(".csv") for r in lin.collect())
+
+
+def test_ensure_table_append_rows_and_query(spark, tmp_dir):
+    from lakekit.sources import tables as tb
+    schema = "employee_id int, name string"
+    from pyspark.sql.types import _parse_datatype_string
+    st = _parse_datatype_string(schema)
+    path = f"{tmp_dir}/emp"
+    assert tb.ensure_table(spark, path, st).count() == 0
+    tb.append_rows(spark, path, [(1, "John Doe"), (2, "Jane Smith")], st)
+    tb.append_query(spark.createDataFrame([(12, "John Smith")], schema), path)
+    assert sorted(r.employee_id for r in tb.ensure_table(spark, path, st).collect()) == [1, 2, 12]
+    with pytest.raises(Exception):
+        tb.ctas(spark.createDataFrame([(3, "x")], schema), path)     # CTAS needs a new table
