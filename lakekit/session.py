@@ -18,6 +18,24 @@ from pyspark.sql import functions as F
 DEFAULT_BROADCAST_ROWS = 1_000_000
 
 
+# Settings we recommend for a large cluster (about 100 TB, 1000 executors).  AQE
+# sizes every shuffle from a large initial partition count down to ~256 MB
+# partitions and splits skewed join partitions; scans read 512 MB splits.
+CLUSTER_CONF = {
+    "spark.sql.session.timeZone": "UTC",
+    "spark.sql.adaptive.enabled": "true",
+    "spark.sql.adaptive.coalescePartitions.enabled": "true",
+    "spark.sql.adaptive.coalescePartitions.initialPartitionNum": "20000",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(256 << 20),
+    "spark.sql.adaptive.skewJoin.enabled": "true",
+    "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "4",
+    "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(512 << 20),
+    "spark.sql.files.maxPartitionBytes": str(512 << 20),
+    "spark.sql.shuffle.partitions": "20000",
+    "spark.sql.autoBroadcastJoinThreshold": str(64 << 20),
+}
+
+
 def build_session(master: str | None = None, app: str = "lakekit", shuffle_partitions: int = 8,
                   extra: dict | None = None) -> SparkSession:
     """A session configured the way this library expects (UTC, ANSI, AQE, no UI)."""
