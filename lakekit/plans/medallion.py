@@ -182,7 +182,10 @@ def build_star(sales: DataFrame, current: Star | None = None) -> Star:
     c = dim_customer(sales, current.dim_customer if current else None)
     p = dim_product(sales, current.dim_product if current else None)
     fact_new = build_fact_sales(sales, c, p)
-    fact = merge_insert_only(current.fact, fact_new, list(LINE_KEY)) if current else fact_new
+    # facts are the large side by nature: go straight to the shuffle anti join instead of
+    # paying a bounded count to learn that the batch is too big to broadcast
+    fact = (merge_insert_only(current.fact, fact_new, list(LINE_KEY), strategy="shuffle")
+            if current else fact_new)
     return Star(d, c, p, fact)
 
 
