@@ -107,3 +107,21 @@ def q_union_all_stores(spark, sf_dir):
     a = s.filter(F.col("s_acctbal") < STORE_A_BELOW)
     b = s.filter(F.col("s_acctbal") >= STORE_B_FROM)
     return wh.union_all_stores(a, b)
+
+
+@query("compare_stores", f"""
+(SELECT s_suppkey, s_name, s_nationkey, s_acctbal, 'a' AS only_in FROM (
+   SELECT s_suppkey, s_name, s_nationkey, s_acctbal FROM supplier WHERE s_acctbal < {STORE_A_BELOW}
+   EXCEPT ALL
+   SELECT s_suppkey, s_name, s_nationkey, s_acctbal FROM supplier WHERE s_acctbal >= {STORE_B_FROM}))
+UNION ALL
+(SELECT s_suppkey, s_name, s_nationkey, s_acctbal, 'b' AS only_in FROM (
+   SELECT s_suppkey, s_name, s_nationkey, s_acctbal FROM supplier WHERE s_acctbal >= {STORE_B_FROM}
+   EXCEPT ALL
+   SELECT s_suppkey, s_name, s_nationkey, s_acctbal FROM supplier WHERE s_acctbal < {STORE_A_BELOW}))""")
+def q_compare_stores(spark, sf_dir):
+    """The comparison the reference's comment announces next to its store union."""
+    s = load(spark, sf_dir, "supplier")
+    a = s.filter(F.col("s_acctbal") < STORE_A_BELOW)
+    b = s.filter(F.col("s_acctbal") >= STORE_B_FROM)
+    return wh.compare_stores(a, b)

@@ -76,3 +76,14 @@ def union_all_stores(*stores: DataFrame) -> DataFrame:
     for s in stores[1:]:
         out = out.union(s)
     return out
+
+
+def compare_stores(a: DataFrame, b: DataFrame, names=("a", "b")) -> DataFrame:
+    """Rows of one store missing from the other, duplicates counted (``EXCEPT ALL`` both ways),
+    tagged with the store they come from.  Columns bind by position, as in the union."""
+    if len(a.columns) != len(b.columns):
+        raise ValueError("stores must have the same number of columns")
+    b = b.toDF(*a.columns)
+    only_a = a.exceptAll(b).withColumn("only_in", F.lit(names[0]))
+    only_b = b.exceptAll(a).withColumn("only_in", F.lit(names[1]))
+    return only_a.unionByName(only_b)
