@@ -57,8 +57,9 @@ def count_by_keys_limit(trips: DataFrame, as_of: Column, n: int = 1000, span: st
 
 
 def count_per_bin(df: DataFrame, ts: str, width: str = "hour", name: str = "IngestionCount") -> DataFrame:
-    """``summarize count() by bin(ts, 1h)``."""
-    return (df.groupBy(F.date_trunc(width, F.col(ts)).alias("bin_start"))
+    """``summarize count() by bin(ts, 1h)`` (A6, F7).  The bin keeps the input's timestamp type
+    (``date_trunc`` would turn a zone-free time into a zoned one)."""
+    return (df.groupBy(F.date_trunc(width, F.col(ts)).cast(df.schema[ts].dataType).alias("bin_start"))
             .agg(F.count(F.lit(1)).alias(name)))
 
 

@@ -29,7 +29,7 @@ def _cust(spark, sf_dir):
 @query("mask_default", f"""WITH {SQL_CUST}
 SELECT c_custkey, CASE WHEN c_name IS NOT NULL THEN 'xxxx' END AS c_name,
        CASE WHEN c_mktsegment IS NOT NULL THEN 'xxx' END AS c_mktsegment,
-       CASE WHEN c_acctbal IS NOT NULL THEN 0.0 END AS c_acctbal
+       CASE WHEN c_acctbal IS NOT NULL THEN CAST(0.0 AS DOUBLE) END AS c_acctbal
 FROM cust""")
 def q_mask_default(spark, sf_dir):
     policy = (mk.MaskPolicy().add("c_name", mk.default()).add("c_mktsegment", mk.Mask("default", length=3))
@@ -61,7 +61,7 @@ def q_mask_partial(spark, sf_dir):
 @query("masked_query", f"""WITH {SQL_CUST}
 SELECT c_custkey, CASE WHEN c_name IS NOT NULL THEN 'xxxx' END AS c_name,
        CASE WHEN email IS NOT NULL THEN left(email, 1) || 'XXX@XXX.com' END AS email,
-       CASE WHEN c_acctbal IS NOT NULL THEN 0.0 END AS c_acctbal
+       CASE WHEN c_acctbal IS NOT NULL THEN CAST(0.0 AS DOUBLE) END AS c_acctbal
 FROM cust WHERE c_acctbal >= {SALARY_LO} AND c_acctbal <= {SALARY_HI}""")
 def q_masked_query(spark, sf_dir):
     policy = mk.MaskPolicy().add("c_name", mk.default()).add("email", mk.email()).add("c_acctbal", mk.default())
