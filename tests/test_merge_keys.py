@@ -105,3 +105,35 @@ def test_latest_per_key_tie_break(spark):
 def test_duplicate_keys_report(spark):
     df = spark.createDataFrame([(1, 1), (1, 1), (1, 2)], "a int, b int")
     assert rows(M.duplicate_keys(df, ["a", "b"])) == [(1, 1, 2)]
+
+
+@pytest.mark.parametrize("seed", [7, 8])
+@pytest.mark.parametrize("null_safe", [False, True])
+def test_strategies_agree_on_random_inputs(spark, seed, null_safe):
+    import random
+    rnd = random.Random(seed)
+
+    def frame(n, tag):
+        keys = rnd.sample(range(60), n)
+        data = [(None if rnd.random() < 0.1 else k, rnd.choice(["p", "q", None]), None, tag) for k in keys]
+        # at most one NULL key per side keeps the update keys unique
+        seen_null, out = False, []
+        for r in data:
+            if r[0] is None:
+                if seen_null:
+                    continue
+                seen_null = True
+            out.append(r)
+        return spark.createDataFrame(out, SCHEMA)
+
+    t, u = frame(40, "t"), frame(25, "u")
+    results = {}
+    for strategy in STRATEGIES:
+        up = M.merge_upsert(t, u, ["id"], null_safe=null_safe, strategy=strategy, preserve=("created",))
+        ins = M.merge_insert_only(t, u, ["id"], null_safe=null_safe, strategy=strategy)
+        col = M.merge_columns(t, u, ["id"], update_set=["name"], insert_cols=["created"], null_safe=null_safe,
+                              strategy=strategy)
+        results[strategy] = (rows(up), rows(ins), rows(col))
+    assert results["shuffle"] == results["broadcast"] == results["auto"]
+    once = rows(M.merge_upsert(t, u, ["id"], null_safe=True))
+    assert rows(M.merge_upsert(spark.createDataFrame(once, SCHEMA), u, ["id"], null_safe=True)) == once
