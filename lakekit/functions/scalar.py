@@ -86,7 +86,7 @@ def exact_avg(c) -> Column:
 
 
 def interval(spec: str) -> Column:
-    """Interval literal from a KQL-like timespan: '30min', '1h', '1d', '7d', '10s'."""
+    """Interval literal from a timespan literal: '30min', '1h', '1d', '7d', '10s'."""
     units = {"s": "seconds", "sec": "seconds", "min": "minutes", "m": "minutes", "h": "hours", "d": "days"}
     spec = spec.strip()
     num = "".join(ch for ch in spec if ch.isdigit())
@@ -102,7 +102,7 @@ def seconds_of(spec: str) -> int:
 
 
 def ago(c, spec: str, as_of) -> Column:
-    """KQL ``c > ago(spec)`` with an explicit clock ``as_of`` (a Column or literal)."""
+    """``c > ago(spec)`` with an explicit clock ``as_of`` (a Column or literal)."""
     as_of = as_of if isinstance(as_of, Column) else F.lit(as_of)
     return col_(c) > (as_of - interval(spec))
 

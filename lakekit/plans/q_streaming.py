@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from lakekit.plans import fixtures as fx
-from lakekit.plans.q_eventhouse import SQL_DAILY
+from lakekit.plans.q_timeseries import SQL_DAILY
 from lakekit.plans.registry import query
 from lakekit.session import work_dir
 from lakekit.sources.tables import load

@@ -1,10 +1,10 @@
-"""Registered event-table queries (the KQL pipelines, the materialized view query, the stored function)."""
+"""Registered event-table queries (pipe-style queries, the materialized view query, the stored function)."""
 
 from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from lakekit.plans import eventhouse as eh
+from lakekit.plans import timeseries as eh
 from lakekit.plans import fixtures as fx
 from lakekit.plans.registry import query
 from lakekit.sources.tables import load

@@ -37,5 +37,5 @@ def load_all() -> None:
     """Import every query module so their registrations run."""
     import importlib
 
-    for mod in ("q_warehouse", "q_dimensions", "q_medallion", "q_eventhouse", "q_views", "q_security", "q_reqlog", "q_storage", "q_windows", "q_streaming"):
+    for mod in ("q_warehouse", "q_dimensions", "q_medallion", "q_timeseries", "q_views", "q_security", "q_reqlog", "q_storage", "q_windows", "q_streaming"):
         importlib.import_module(f"lakekit.plans.{mod}")

@@ -1,7 +1,7 @@
-"""Time-series reporting over an event table (the KQL pipelines: P1, P4-P6, P15, A1-A3, A5-A7,
+"""Time-series reporting over an event table (pipe-style queries: P1, P4-P6, P15, A1-A3, A5-A7,
 F7, F8, J8, O2, O3, V4, V5).
 
-Each KQL pipe ``T | where | project | summarize | sort`` is a chain of DataFrame
+Each pipe ``T | where | project | summarize | sort`` is a chain of DataFrame
 calls; the time filter is a plain comparison so Parquet statistics skip row groups
 and the projection prunes the scan.  "now" is always an explicit ``as_of``.
 """

@@ -11,7 +11,7 @@ VIEWER = "viewer@x.com"
 
 
 def test_stated_mask_output(spark):
-    df = spark.createDataFrame([(29485, "Catherine", "Abel", "555-555-5555", "catherine0@adventure-works.com")],
+    df = spark.createDataFrame([(29485, "Catherine", "Abel", "555-555-5555", "catherine0@example.com")],
                                "CustomerID int, FirstName string, LastName string, Phone string, Email string")
     p = (mk.MaskPolicy().add("FirstName", mk.partial(1, "XXXXXXX", 0)).add("Phone", mk.default())
          .add("Email", mk.email()))
