@@ -12,12 +12,14 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from lakekit.session import reliable_checkpoint
+from lakekit.session import fits_rows, reliable_checkpoint
 
 PID = "__pid"
+# New members up to this many rows are numbered in one task (checked with a bounded count).
+SINGLE_TASK_ROWS = 200_000
 
 
 def max_key(df: DataFrame, key: str) -> Column:
@@ -30,12 +32,20 @@ def assign_surrogate_keys(df: DataFrame, order_cols: Sequence[str], key_name: st
     """Add ``key_name`` = start_after + dense 1-based rank of each row in ``order_cols`` order.
 
     ``order_cols`` must order the rows totally (ties would be numbered arbitrarily).
+    A batch proven to hold at most ``SINGLE_TASK_ROWS`` rows is numbered by one global
+    ``row_number()``; larger ones never meet in one task.
     Without ``num_partitions`` the range exchange is sized by AQE (adjacent ranges are
     coalesced, which keeps the order).  The per-partition offsets (one row per
     partition) reach the rows through a broadcast join on the partition id, which
     keeps each partition's rows where and in the order they are.
     """
     spark = df.sparkSession
+    start = start_after if isinstance(start_after, Column) else F.lit(int(start_after))
+    if num_partitions is None and fits_rows(df, SINGLE_TASK_ROWS):
+        # proven small: one task numbers the rows in key order; the order is total, so a
+        # recomputation after executor loss gives the same numbers
+        rank = F.row_number().over(Window.orderBy(*order_cols))
+        return df.withColumn(key_name, (start.cast("bigint") + rank).cast("bigint"))
     ranged = (df.repartitionByRange(num_partitions, *order_cols) if num_partitions
               else df.repartitionByRange(*order_cols))
     ranged = ranged.sortWithinPartitions(*order_cols).withColumn(PID, F.spark_partition_id())
@@ -47,7 +57,6 @@ def assign_surrogate_keys(df: DataFrame, order_cols: Sequence[str], key_name: st
         run += counts.get(p, 0)
     table = spark.createDataFrame(offsets or [(0, 0)], f"{PID} int, __off long")
     row_in_part = F.monotonically_increasing_id() - F.shiftleft(F.col(PID).cast("bigint"), 33)
-    start = start_after if isinstance(start_after, Column) else F.lit(int(start_after))
     numbered = ranged.withColumn("__row", row_in_part).join(F.broadcast(table), PID)
     return (numbered.withColumn(key_name, (start.cast("bigint") + F.col("__off") + F.col("__row") + 1).cast("bigint"))
             .drop(PID, "__off", "__row"))

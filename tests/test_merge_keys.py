@@ -137,3 +137,11 @@ def test_strategies_agree_on_random_inputs(spark, seed, null_safe):
     assert results["shuffle"] == results["broadcast"] == results["auto"]
     once = rows(M.merge_upsert(t, u, ["id"], null_safe=True))
     assert rows(M.merge_upsert(spark.createDataFrame(once, SCHEMA), u, ["id"], null_safe=True)) == once
+
+
+def test_small_and_distributed_numbering_agree(spark):
+    df = spark.range(0, 3000).select((F.col("id") * 7919 % 5000).alias("k"), F.lit("v").alias("v"))
+    start = K.max_key(spark.range(0, 41).withColumnRenamed("id", "sk"), "sk")      # lazy scalar: 40
+    small = rows(K.assign_surrogate_keys(df, ["k"], "sk", start_after=start).select("k", "sk"), "k")
+    big = rows(K.assign_surrogate_keys(df, ["k"], "sk", start_after=start, num_partitions=5).select("k", "sk"), "k")
+    assert small == big and small[0][1] == 41 and small[-1][1] == 40 + len(small)
