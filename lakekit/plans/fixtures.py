@@ -120,8 +120,12 @@ trips AS (
 
 
 def events_as_of(spark: SparkSession, sf_dir: str):
-    """The clock for relative-time filters: the newest event time (a scalar subquery)."""
-    return load(spark, sf_dir, "events").select(F.max("ts")).scalar()
+    """The clock for relative-time filters: the newest event time, fetched once (one
+    aggregate, one value) and used as a literal so ``ts > now - span`` is pushed to the
+    Parquet scan and skips row groups (a scalar subquery would only filter after the scan).
+    In production the clock is simply a literal ``as_of`` or ``current_timestamp()``."""
+    newest = load(spark, sf_dir, "events").agg(F.max("ts")).first()[0]
+    return F.lit(newest).cast("timestamp_ntz")
 
 
 SQL_EVENTS_AS_OF = "(SELECT max(ts) FROM events)"

@@ -66,3 +66,9 @@ def test_keyed_sessions_do_not_funnel_a_hot_key(spark):
     hot = df.filter("k = 0").withColumn("b", F.floor(F.unix_seconds(F.col("ts").cast("timestamp")) / 600))
     assert hot.select("b").distinct().count() > 10      # the hot key spreads over many level-1 groups
     assert out.filter("k = 0").agg(F.sum("n_events")).first()[0] == 1000
+
+
+def test_relative_time_filter_reaches_the_events_scan(spark):
+    p = plan(entry.queries()["filter_funnel"](spark, SF))
+    scan = [ln for ln in p.splitlines() if ln.startswith("PushedFilters")][0]
+    assert "GreaterThan(ts," in scan and "EqualTo(event_type,click)" in scan
