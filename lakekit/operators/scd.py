@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from lakekit.functions.scalar import any_changed
 from lakekit.operators.keys import assign_surrogate_keys, latest_per_key, max_key
 from lakekit.operators.merge import merge_insert_only
+from lakekit.session import fits_rows
 
 S = "__s__"  # prefix of the staged side after the join
 IN_S = "__in_staged"
@@ -20,14 +21,47 @@ def _staged(latest: DataFrame) -> DataFrame:
     return latest.select(*[F.col(c).alias(S + c) for c in latest.columns]).withColumn(IN_S, F.lit(True))
 
 
-def _join(dim: DataFrame, latest: DataFrame, key: Sequence[str], how: str) -> DataFrame:
+# A reduced staging batch up to this many rows is broadcast, so the dimension is never shuffled.
+BROADCAST_STAGED_ROWS = 500_000
+
+
+def _join(dim: DataFrame, latest: DataFrame, key: Sequence[str], how: str, strategy: str = "auto") -> DataFrame:
+    """Join dimension rows with the latest staged row per key (``inner``, ``left`` or ``full_outer``).
+
+    With a staged batch under a checked bound (the usual daily load), the dimension is
+    streamed through a join against the broadcast batch and never shuffled; for a full
+    outer join the unseen keys are the staged rows whose key the dimension's key column
+    does not hold.  Otherwise both sides are shuffled on the key.
+    """
     d = dim.withColumn(IN_D, F.lit(True))
     s = _staged(latest)
+
+    def cond_for(left, right):
+        cond = None
+        for k in key:
+            c = left[k] == right[S + k]
+            cond = c if cond is None else cond & c
+        return cond
+
+    small = strategy == "broadcast" or (strategy == "auto" and fits_rows(latest, BROADCAST_STAGED_ROWS))
+    if not small:
+        return d.join(s, cond_for(d, s), how)
+    sb = F.broadcast(s)
+    if how in ("inner", "left"):
+        return d.join(sb, cond_for(d, sb), how)
+    kept = d.join(sb, cond_for(d, sb), "left")
+    skeys = F.broadcast(latest.select(*[F.col(k).alias(S + k) for k in key]).distinct())
+    seen = dim.select(*key).join(skeys, cond_for(dim, skeys), "left_semi")
+    seen = seen.select(*[F.col(k).alias(S + k + "__seen") for k in key])
     cond = None
     for k in key:
-        c = d[k] == s[S + k]
+        c = s[S + k] == seen[S + k + "__seen"]
         cond = c if cond is None else cond & c
-    return d.join(s, cond, how)
+    new = s.join(seen, cond, "left_anti")
+    for c in dim.columns:
+        new = new.withColumn(c, F.lit(None).cast(dim.schema[c].dataType))
+    new = new.withColumn(IN_D, F.lit(None).cast("boolean"))
+    return kept.unionByName(new.select(*kept.columns))
 
 
 def scd0_insert_new(dim: DataFrame, incoming: DataFrame, key: Sequence[str]) -> DataFrame:

@@ -193,3 +193,22 @@ def test_scd1_replay_equals_loading_drops_one_by_one(spark, seed):
     replay = scd.scd1_replay(dim, drops, ["customer_id"], ["name", "email", "address"], drop="drop",
                              tiebreak=["seq"])
     assert rows(replay) == rows(seq_dim)
+
+
+@pytest.mark.parametrize("seed", [6])
+def test_shuffle_and_broadcast_joins_agree(spark, seed, monkeypatch):
+    drops = _drops(spark, seed)
+    stg = drops.drop("drop")
+
+    def run():
+        a = scd.scd2_apply(_dim_for_replay(spark), stg, ["customer_id"], ["name", "address"], tiebreak=["seq"])
+        b = scd.scd2_replay(_dim_for_replay(spark), drops, ["customer_id"], ["name", "address"], drop="drop",
+                            tiebreak=["seq"])
+        dim1 = spark.createDataFrame([(1, "a", "e", "x", D(2021, 1, 1)), (9, None, "e", "x", D(2022, 1, 3))], DIM1)
+        c = scd.scd1_apply(dim1, stg.withColumn("email", F.lit("e")).withColumnRenamed("last_updated", "file_date"),
+                           ["customer_id"], ["name", "email", "address"], tiebreak=["seq"])
+        return rows(a), rows(b), rows(c)
+
+    broadcast = run()
+    monkeypatch.setattr(scd, "BROADCAST_STAGED_ROWS", 0)
+    assert run() == broadcast
