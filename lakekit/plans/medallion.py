@@ -62,7 +62,7 @@ FACT_COLUMNS = ("SalesOrderNumber", "SalesOrderLineNumber", "CustomerID", "ItemI
                 "Quantity", "UnitPrice", "Tax")
 
 # Row bound under which a dimension is shipped whole to every executor for the fact join.
-DIM_BROADCAST_ROWS = 2_000_000
+DIM_BROADCAST_ROWS = 1_000_000
 
 
 # ------------------------------------------------------------------ silver
