@@ -1,6 +1,6 @@
 """Run registered queries against their DuckDB oracle and compare the rows.
 
-Usage: python -m tests.oracle_check [sf_dir] [key ...]
+Usage: python -m tests.oracle_check [--exact] [sf_dir] [key ...]
 """
 
 from __future__ import annotations
@@ -25,11 +25,14 @@ def duck(sf_dir: str) -> duckdb.DuckDBPyConnection:
     return con
 
 
+EXACT = False  # set by --exact: compare doubles bit for bit
+
+
 def _norm(v):
     if isinstance(v, float):
         if math.isnan(v):
             return "nan"
-        return float(f"{v:.9g}")
+        return v if EXACT else float(f"{v:.9g}")
     if isinstance(v, decimal.Decimal):
         return v.normalize()
     if isinstance(v, dt.datetime):
@@ -63,6 +66,9 @@ def main(argv):
     import __spark_entry__ as entry
     from lakekit.session import build_session
 
+    global EXACT
+    EXACT = "--exact" in argv
+    argv = [a for a in argv if a != "--exact"]
     sf_dir = argv[0] if argv and argv[0].startswith("/") else "/root/testdata/sf0.01"
     keys = [k for k in argv if not k.startswith("/")]
     spark = build_session("local[8]")
