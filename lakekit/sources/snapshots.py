@@ -56,8 +56,12 @@ class SnapshotTable:
         return f"{self.root}/{PREFIX}{sid}"
 
     # -- writing -----------------------------------------------------------------------------
-    def write(self, df: DataFrame, at=None) -> int:
-        """Write ``df`` as a new snapshot; returns its id.  Ids only grow."""
+    def write(self, df: DataFrame, at=None, partition_by: tuple[str, ...] | list[str] = ()) -> int:
+        """Write ``df`` as a new snapshot; returns its id.  Ids only grow.
+
+        ``partition_by`` lays the snapshot out in folders by those columns, so reads
+        that filter on them prune whole folders (partition pruning).
+        """
         existing = self.snapshots()
         sid = _micros(at) if at is not None else int(time.time() * 1_000_000)
         if existing and sid <= existing[-1]:
@@ -66,7 +70,10 @@ class SnapshotTable:
             sid = existing[-1] + 1
         # the id is not committed: a folder left by a writer that died midway (no
         # _SUCCESS) is replaced, so a replayed batch can always write its snapshot
-        df.write.mode("overwrite").parquet(self._path(sid))
+        writer = df.write.mode("overwrite")
+        if partition_by:
+            writer = writer.partitionBy(*partition_by)
+        writer.parquet(self._path(sid))
         return sid
 
     def truncate(self, at=None) -> int:

@@ -60,7 +60,9 @@ def run_stream(stream: DataFrame, transform: Callable[[DataFrame], DataFrame], s
     """Run ``transform`` over ``stream`` until the input is drained (``availableNow``).
 
     Complete mode returns the snapshot table holding the latest full result; append
-    mode returns the Parquet folder of emitted rows.
+    mode returns the Parquet folder of emitted rows.  With ``available_now=False`` the
+    query keeps running on a 10-second trigger and its ``StreamingQuery`` handle is
+    returned instead (the caller stops it).
     """
     spark = stream.sparkSession
     if watermark:
@@ -77,12 +79,16 @@ def run_stream(stream: DataFrame, transform: Callable[[DataFrame], DataFrame], s
             sink.write(to_ntz(batch), at=batch_id)
 
         q = writer.foreachBatch(write_batch).start()
+        if not available_now:
+            return q
         q.awaitTermination()
         if q.exception():
             raise q.exception()
         return sink
     if output_mode == "append":
         q = writer.format("parquet").option("path", sink_root).start()
+        if not available_now:
+            return q
         q.awaitTermination()
         return sink_root
     raise ValueError("output_mode must be 'complete' or 'append'")

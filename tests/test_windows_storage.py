@@ -120,3 +120,16 @@ def test_materialized_view_equals_recomputed(spark, tmp_dir, cut):
     got = rows(view.read_partials())
     exp = rows(view.partials(df))
     assert got == exp
+
+
+def test_partitioned_snapshot_prunes_on_read(spark, tmp_dir):
+    import contextlib
+    import io
+    t = SnapshotTable(spark, f"{tmp_dir}/events")
+    df = spark.range(0, 300).select(F.col("id"), (F.col("id") % 3).cast("int").alias("day"))
+    t.write(df, at=T(2025, 1, 1), partition_by=["day"])
+    got = t.read().filter(F.col("day") == 1)
+    buf = io.StringIO()
+    with contextlib.redirect_stdout(buf):
+        got.explain("formatted")
+    assert "PartitionFilters: [isnotnull(day" in buf.getvalue() and got.count() == 100
