@@ -133,3 +133,19 @@ def test_partitioned_snapshot_prunes_on_read(spark, tmp_dir):
     with contextlib.redirect_stdout(buf):
         got.explain("formatted")
     assert "PartitionFilters: [isnotnull(day" in buf.getvalue() and got.count() == 100
+
+
+def test_continuous_stream_returns_handle(spark, tmp_dir):
+    from lakekit.streaming import stream as st
+    src = f"{tmp_dir}/src"
+    _events(spark, [(i * 60, i) for i in range(120)]).write.parquet(src)
+    schema = spark.read.parquet(src).schema
+    s = st.file_stream(spark, src, schema, event_time="ts")
+    q = st.run_stream(s, lambda d: wn.tumbling(d, "ts", "1h", "v"), f"{tmp_dir}/sink", f"{tmp_dir}/ck",
+                      output_mode="complete", available_now=False)
+    try:
+        q.processAllAvailable()
+    finally:
+        q.stop()
+    out = SnapshotTable(spark, f"{tmp_dir}/sink").read()
+    assert out.agg(F.sum("n_events")).first()[0] == 120 and out.count() == 2
