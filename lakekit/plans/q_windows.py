@@ -52,6 +52,20 @@ def q_sliding_sum(spark, sf_dir):
     return wn.sliding(load(spark, sf_dir, "events"), "ts", "2h", "1h", "value")
 
 
+@query("sliding_first", f"""
+WITH f AS (SELECT min(ts) AS t0, max(ts) AS t1 FROM events),
+g AS (SELECT unnest(generate_series((SELECT t0 FROM f), (SELECT t1 FROM f), INTERVAL 1 HOUR)) AS window_start),
+w AS (SELECT window_start FROM g WHERE window_start < (SELECT t1 FROM f) - INTERVAL 2 HOUR)
+SELECT w.window_start, w.window_start + INTERVAL 2 HOUR AS window_end, count(e.ts) AS n_events,
+       CAST(COALESCE(sum(CAST(e.value AS DECIMAL(18,2))), 0) AS DECIMAL(38,2)) AS total_value
+FROM w LEFT JOIN events e ON e.ts >= w.window_start AND e.ts < w.window_start + INTERVAL 2 HOUR
+GROUP BY w.window_start""")
+def q_sliding_first(spark, sf_dir):
+    """The reference's sliding helper: two-hour windows every hour from the first event,
+    stopping before a window reaches the last event; empty windows are emitted with 0."""
+    return wn.sliding(load(spark, sf_dir, "events"), "ts", "2h", "1h", "value", reference_bounds=True)
+
+
 def _sessions_sql(gap_min: int, keys: str) -> str:
     part = f"PARTITION BY {keys}" if keys else ""
     sel = f"{keys}, " if keys else ""

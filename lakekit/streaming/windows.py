@@ -84,12 +84,15 @@ def tumbling(df: DataFrame, ts: str, size: str, value: str | None = None, keys:
     return out
 
 
-def _fill(agg: DataFrame, keys: Sequence[str], size_us: int, has_sum: bool, ntz: bool) -> DataFrame:
-    """Windows without events: per series, the grid from its first to its last window is
-    generated by ``sequence`` (rows grow with the time span, not with the data)."""
+def _fill(agg: DataFrame, keys: Sequence[str], step_us: int, has_sum: bool, ntz: bool,
+          size_us: int | None = None) -> DataFrame:
+    """Windows without events: per series, the grid from its first to its last window
+    (every ``step_us``) is generated by ``sequence`` (rows grow with the time span, not
+    with the data)."""
+    size_us = size_us or step_us
     span = agg.groupBy(*keys).agg(F.min(_us(F.col("window_start"))).alias("__lo"),
                                   F.max(_us(F.col("window_start"))).alias("__hi"))
-    grid = span.select(*keys, F.explode(F.sequence("__lo", "__hi", F.lit(size_us))).alias("__s"))
+    grid = span.select(*keys, F.explode(F.sequence("__lo", "__hi", F.lit(step_us))).alias("__s"))
     grid = grid.select(*keys, _ts(F.col("__s"), ntz).alias("window_start"),
                        _ts(F.col("__s") + F.lit(size_us), ntz).alias("window_end"))
     filled = grid.join(agg.drop("window_end"), [*keys, "window_start"], "left")
@@ -100,9 +103,17 @@ def _fill(agg: DataFrame, keys: Sequence[str], size_us: int, has_sum: bool, ntz:
 
 
 def sliding(df: DataFrame, ts: str, size: str, step: str, value: str | None = None, keys: Sequence[str] = (),
-            origin: str = "epoch", complete_only: bool = False) -> DataFrame:
+            origin: str = "epoch", complete_only: bool = False, fill_empty: bool = False,
+            reference_bounds: bool = False) -> DataFrame:
     """Overlapping windows of ``size`` every ``step``; each event is counted in every window
-    containing it.  ``complete_only`` keeps windows lying within [first event, last event]."""
+    containing it.  ``complete_only`` keeps windows lying within [first event, last event].
+
+    ``fill_empty`` also emits windows without events (count 0, total 0) on the grid from
+    the first to the last window.  ``reference_bounds`` keeps the reference loop's rule:
+    windows start at the first event and stop before ``start + size`` reaches the last
+    event (single series, ``origin="first"``)."""
+    if reference_bounds:
+        return _sliding_reference(df, ts, size, step, value)
     ntz = _is_ntz(df, ts)
     size_s, step_s = seconds_of(size), seconds_of(step)
     if origin == "epoch":
@@ -125,12 +136,34 @@ def sliding(df: DataFrame, ts: str, size: str, step: str, value: str | None = No
                              *[c for c in grouped.columns if c in ("n_events", "total_value")])
     else:
         raise ValueError("origin must be 'epoch' or 'first'")
+    if fill_empty:
+        out = _fill(out, keys, step_s * US, value is not None, ntz, size_us=size_s * US)
     if complete_only:
         bounds = df.groupBy(*keys).agg(F.min(ts).alias("__lo"), F.max(ts).alias("__hi"))
         out = _within(out, bounds, keys)
     return out
 
 
+def _sliding_reference(df: DataFrame, ts: str, size: str, step: str, value: str | None) -> DataFrame:
+    """The reference's sliding loop, distributed: grid ``first + k*step`` while
+    ``start < last - size``; every grid window is emitted, empty ones with 0."""
+    ntz = _is_ntz(df, ts)
+    size_us, step_us = seconds_of(size) * US, seconds_of(step) * US
+    counted = sliding(df, ts, size, step, value, origin="first")
+    first = df.select(F.min(_us(F.col(ts)))).scalar()
+    last = df.select(F.max(_us(F.col(ts)))).scalar()
+    grid = (df.sparkSession.range(1)
+            .select(F.explode(F.sequence(first, last, F.lit(step_us))).alias("__s"))
+            .filter(F.col("__s") < last - F.lit(size_us))
+            .select(_ts(F.col("__s"), ntz).alias("window_start"),
+                    _ts(F.col("__s") + F.lit(size_us), ntz).alias("window_end")))
+    filled = grid.join(counted.drop("window_end"), ["window_start"], "left")
+    cols = ["window_start", "window_end", F.coalesce("n_events", F.lit(0)).cast("bigint").alias("n_events")]
+    if value is not None:
+        cols.append(F.coalesce("total_value", F.lit(0).cast(MONEY_SUM)).cast(MONEY_SUM).alias("total_value"))
+    return filled.select(*cols)
+
+
 def _within(out: DataFrame, bounds: DataFrame, keys: Sequence[str]) -> DataFrame:
     if keys:
         j = out.join(bounds, list(keys), "inner")

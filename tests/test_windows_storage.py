@@ -149,3 +149,12 @@ def test_continuous_stream_returns_handle(spark, tmp_dir):
         q.stop()
     out = SnapshotTable(spark, f"{tmp_dir}/sink").read()
     assert out.agg(F.sum("n_events")).first()[0] == 120 and out.count() == 2
+
+
+def test_sliding_reference_bounds_fixture(spark):
+    df = _events(spark, [(0, 1), (5, 2), (25, 4)])
+    out = wn.sliding(df, "ts", "10s", "5s", "v", reference_bounds=True)
+    got = [(int((r.window_start - BASE).total_seconds()), r.n_events, r.total_value)
+           for r in out.orderBy("window_start").collect()]
+    # starts stop at start < 25 - 10; the last event is in no window (the reference's rule)
+    assert got == [(0, 2, Decimal("3.00")), (5, 1, Decimal("2.00")), (10, 0, Decimal("0.00"))]
