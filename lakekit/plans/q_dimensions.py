@@ -328,3 +328,29 @@ def q_scd1_replay(spark, sf_dir):
     stg = staged.withColumnRenamed("last_updated", "file_date")
     return scd.scd1_replay(dim, stg, ["customer_id"], ["name", "email", "address"], drop="drop",
                            dim_date="last_updated_date", staged_date="file_date", tiebreak=["seq"])
+
+
+@query("scd3_apply_insert", "WITH " + SQL_SCD_INPUTS + """,
+dim AS (SELECT customer_id, name, address AS current_address, CAST(NULL AS VARCHAR) AS previous_address,
+               last_updated AS current_valid_from FROM pre)
+SELECT d.customer_id, d.name,
+       CASE WHEN l.customer_id IS NOT NULL AND d.current_address IS DISTINCT FROM l.address
+            THEN l.address ELSE d.current_address END AS current_address,
+       CASE WHEN l.customer_id IS NOT NULL AND d.current_address IS DISTINCT FROM l.address
+            THEN d.current_address ELSE d.previous_address END AS previous_address,
+       CASE WHEN l.customer_id IS NOT NULL AND d.current_address IS DISTINCT FROM l.address
+            THEN l.last_updated ELSE d.current_valid_from END AS current_valid_from
+FROM dim d LEFT JOIN lat l ON d.customer_id = l.customer_id
+UNION ALL
+SELECT l.customer_id, CAST(NULL AS VARCHAR) AS name, l.address, CAST(NULL AS VARCHAR), l.last_updated
+FROM lat l WHERE l.customer_id NOT IN (SELECT customer_id FROM dim)""")
+def q_scd3_apply_insert(spark, sf_dir):
+    """Type 3 with new keys inserted (previous value NULL)."""
+    pre, staged = _scd_inputs(spark, sf_dir)
+    dim = pre.select("customer_id", "name", F.col("address").alias("current_address"),
+                     F.lit(None).cast("string").alias("previous_address"),
+                     F.col("last_updated").alias("current_valid_from"))
+    changes = staged.select("customer_id", F.col("address").alias("current_address"), "last_updated", "seq")
+    return scd.scd3_apply(dim, changes, ["customer_id"], "current_address", previous="previous_address",
+                          valid_from="current_valid_from", effective="last_updated", tiebreak=["seq"],
+                          insert_new=True)
