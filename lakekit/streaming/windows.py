@@ -23,6 +23,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from lakekit.functions.scalar import MONEY, MONEY_SUM, seconds_of
+from lakekit.session import reliable_checkpoint
 
 US = 1_000_000
 
@@ -210,7 +211,9 @@ def sessions(df: DataFrame, ts: str, gap: str, value: str | None = None, keys: S
     if with_values:
         aggs.append(F.collect_list(F.struct(F.col("__ts").alias("t"), F.col("__v").alias("v"))).alias("p_vals"))
     part = ev.groupBy(*keys, "__b", F.session_window("__ts", f"{seconds_of(gap)} seconds").alias("__sw")).agg(*aggs)
-    part = part.drop("__sw")
+    # the partial sessions feed both the bucket summary and the final grouping; write them
+    # once (they are far fewer than the events) so the event shuffle and sort run once
+    part = reliable_checkpoint(part.drop("__sw"))
 
     # level 2: one summary row per non-empty (key, bucket); the first session of a bucket
     # continues the previous non-empty bucket's last session when it starts within
