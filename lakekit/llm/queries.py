@@ -55,3 +55,15 @@ def op7(spark, sf_dir):
 def op9(spark, sf_dir):
     from lakekit.llm.language_id import identify_languages
     return identify_languages(table(spark, sf_dir, "documents"))
+
+
+@query("op6_pii")
+def op6(spark, sf_dir):
+    from lakekit.llm.pii import find_pii
+    return find_pii(table(spark, sf_dir, "documents"))
+
+
+@query("op8_host_rules")
+def op8(spark, sf_dir):
+    from lakekit.llm.host_rules import judge_documents
+    return judge_documents(table(spark, sf_dir, "documents"))
