@@ -67,3 +67,19 @@ def op6(spark, sf_dir):
 def op8(spark, sf_dir):
     from lakekit.llm.host_rules import judge_documents
     return judge_documents(table(spark, sf_dir, "documents"))
+
+
+_SQL_WARC = """
+WITH p AS (SELECT page_id, coalesce(html, '') AS html FROM pages),
+     f AS (SELECT html, min(page_id) AS first FROM p WHERE octet_length(encode(html)) >= 100 GROUP BY html)
+SELECT p.page_id, CAST(octet_length(encode(p.html)) AS BIGINT) AS payload_bytes, sha256(p.html) AS payload_digest,
+       CASE WHEN f.first IS NOT NULL AND f.first <> p.page_id THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN f.first <> p.page_id THEN f.first END AS refers_to
+FROM p LEFT JOIN f USING (html)
+"""
+
+
+@query("op4_warc", _SQL_WARC)
+def op4(spark, sf_dir):
+    from lakekit.llm.warc import round_trip
+    return round_trip(table(spark, sf_dir, "pages"))
