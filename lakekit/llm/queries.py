@@ -83,3 +83,9 @@ FROM p LEFT JOIN f USING (html)
 def op4(spark, sf_dir):
     from lakekit.llm.warc import round_trip
     return round_trip(table(spark, sf_dir, "pages"))
+
+
+@query("op10_jaccard_join")
+def op10(spark, sf_dir):
+    from lakekit.llm.jaccard_join import jaccard_components
+    return jaccard_components(table(spark, sf_dir, "documents"))
