@@ -89,3 +89,9 @@ def op4(spark, sf_dir):
 def op10(spark, sf_dir):
     from lakekit.llm.jaccard_join import jaccard_components
     return jaccard_components(table(spark, sf_dir, "documents"))
+
+
+@query("op1_embedding_dedup")
+def op1(spark, sf_dir):
+    from lakekit.llm.embedding_dedup import near_duplicates
+    return near_duplicates(table(spark, sf_dir, "embeddings"))
