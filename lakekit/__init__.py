@@ -15,7 +15,7 @@ from lakekit.operators.merge import (assert_unique_keys, duplicate_keys, merge_c
 from lakekit.operators.quality import assert_not_null, null_counts, null_violations, orphan_facts  # noqa: F401
 from lakekit.operators.scd import (changed_members, scd0_insert_new, scd1_apply, scd1_replay,  # noqa: F401
                                    scd2_apply, scd2_replay, scd3_apply)
-from lakekit.session import build_session, ensure_checkpoint_dir, maybe_broadcast, prepare  # noqa: F401
+from lakekit.session import build_session, ensure_checkpoint_dir, prepare  # noqa: F401
 from lakekit.sources.files import copy_into, read_csv_typed, read_dated_files, with_lineage  # noqa: F401
 from lakekit.sources.snapshots import SnapshotTable, as_of  # noqa: F401
 from lakekit.sources.tables import append_query, append_rows, ctas, ensure_table, file_to_table, load  # noqa: F401

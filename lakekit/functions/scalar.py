@@ -7,8 +7,11 @@ import datetime as _dt
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-MONEY = "decimal(18,2)"
-MONEY_SUM = "decimal(38,2)"
+# Scale of measures: doubles are summed as decimals with six places, so a sum does not depend
+# on the order of rows.  ``quality.scale_violations`` lists values that have more places.
+MONEY_SCALE = 6
+MONEY = f"decimal(24,{MONEY_SCALE})"
+MONEY_SUM = f"decimal(38,{MONEY_SCALE})"
 
 
 def col_(c) -> Column:
@@ -54,14 +57,6 @@ def year_range(c, year: int) -> Column:
     return (c >= F.lit(lo)) & (c < F.lit(hi))
 
 
-def ts_year_range(c, year: int) -> Column:
-    """Same as :func:`year_range` for timestamp_ntz columns."""
-    lo = _dt.datetime(year, 1, 1)
-    hi = _dt.datetime(year + 1, 1, 1)
-    c = col_(c)
-    return (c >= F.lit(lo).cast("timestamp_ntz")) & (c < F.lit(hi).cast("timestamp_ntz"))
-
-
 def before_date(c, day) -> Column:
     """Compare against a DATE literal (not a string), NULL -> False."""
     return F.coalesce(col_(c) < F.lit(_as_date(day)), F.lit(False))

@@ -12,14 +12,13 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import MapType
 
-from lakekit.session import fits_rows, reliable_checkpoint
+from lakekit.session import reliable_checkpoint
 
 PID = "__pid"
-# New members up to this many rows are numbered in one task (checked with a bounded count).
-SINGLE_TASK_ROWS = 200_000
 
 
 def max_key(df: DataFrame, key: str) -> Column:
@@ -32,8 +31,6 @@ def assign_surrogate_keys(df: DataFrame, order_cols: Sequence[str], key_name: st
     """Add ``key_name`` = start_after + dense 1-based rank of each row in ``order_cols`` order.
 
     ``order_cols`` must order the rows totally (ties would be numbered arbitrarily).
-    A batch proven to hold at most ``SINGLE_TASK_ROWS`` rows is numbered by one global
-    ``row_number()``; larger ones never meet in one task.
     Without ``num_partitions`` the range exchange is sized by AQE (adjacent ranges are
     coalesced, which keeps the order).  The per-partition offsets (one row per
     partition) reach the rows through a broadcast join on the partition id, which
@@ -41,11 +38,6 @@ def assign_surrogate_keys(df: DataFrame, order_cols: Sequence[str], key_name: st
     """
     spark = df.sparkSession
     start = start_after if isinstance(start_after, Column) else F.lit(int(start_after))
-    if num_partitions is None and fits_rows(df, SINGLE_TASK_ROWS):
-        # proven small: one task numbers the rows in key order; the order is total, so a
-        # recomputation after executor loss gives the same numbers
-        rank = F.row_number().over(Window.orderBy(*order_cols))
-        return df.withColumn(key_name, (start.cast("bigint") + rank).cast("bigint"))
     ranged = (df.repartitionByRange(num_partitions, *order_cols) if num_partitions
               else df.repartitionByRange(*order_cols))
     ranged = ranged.sortWithinPartitions(*order_cols).withColumn(PID, F.spark_partition_id())
@@ -68,8 +60,14 @@ def latest_per_key(df: DataFrame, keys: Sequence[str], order_cols: Sequence[str]
     Written as ``max(struct(order..., rest...))`` per key, so each map task keeps one
     row per key before the shuffle (partial aggregation): a key holding a third of
     all rows is reduced on every executor instead of landing whole in one task.
-    ``order_cols`` should include a tie-break that makes the choice unique.
+    ``order_cols`` should include a tie-break that makes the choice unique.  Structs of
+    variable width are aggregated by sorting, so each map task sorts its rows by key.
+    A MAP column cannot be compared; it is carried as sorted entries and rebuilt.
     """
+    maps = [f.name for f in df.schema.fields if isinstance(f.dataType, MapType) and f.name not in keys]
+    if maps:
+        as_entries = df.withColumns({c: F.array_sort(F.map_entries(c)) for c in maps})
+        return latest_per_key(as_entries, keys, order_cols).withColumns({c: F.map_from_entries(c) for c in maps})
     rest = [c for c in df.columns if c not in keys and c not in order_cols]
     packed = F.struct(*[F.col(c).alias(f"o{i}") for i, c in enumerate(order_cols)],
                       *[F.col(c) for c in rest]).alias("__best")

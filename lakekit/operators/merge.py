@@ -2,9 +2,8 @@
 
 Every operator is a pure function ``(target, updates) -> new target``; writing the
 result as a new snapshot is the caller's (or :mod:`lakekit.sources.snapshots`') job.
-Large update sets merge with one shuffle join on the keys; update sets under a
-checked row bound are broadcast so the (large) target is never shuffled.  Presence
-flags (not ``IS NULL`` tests) tell matched rows apart, so NULL payloads survive.
+Each merge is one join on the keys; Spark picks the join by the bytes it measures.
+Presence flags (not ``IS NULL`` tests) tell matched rows apart, so NULL payloads survive.
 """
 
 from __future__ import annotations
@@ -14,8 +13,6 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lakekit.session import fits_rows
-
 T_FLAG = "__in_target"
 U_FLAG = "__in_updates"
 
@@ -51,61 +48,16 @@ def _joined(target: DataFrame, updates: DataFrame, keys: Sequence[str], null_saf
     return t.join(u, _key_cond(t, u, keys, null_safe), how), t, u
 
 
-# Updates up to this many rows are shipped to every executor instead of shuffling the target.
-BROADCAST_UPDATES_ROWS = 500_000
-
-
-def _use_broadcast(updates: DataFrame, strategy: str, max_rows: int) -> bool:
-    if strategy not in ("auto", "shuffle", "broadcast"):
-        raise ValueError("strategy must be 'auto', 'shuffle' or 'broadcast'")
-    if strategy == "auto":
-        return fits_rows(updates, max_rows)
-    return strategy == "broadcast"
-
-
-def _merged(target: DataFrame, updates: DataFrame, keys: Sequence[str], null_safe: bool, strategy: str,
-            max_rows: int) -> DataFrame:
-    """Target rows joined with their update (flags mark presence), plus the new keys.
-
-    ``shuffle``: one full outer join — both sides are shuffled on the keys.
-    ``broadcast`` (updates behind a proven row bound): the target is streamed through a
-    left join against the broadcast updates (no shuffle of the target), and the new
-    keys are the updates whose key the target does not hold — found by a semi join
-    of the target's keys against the broadcast update keys, whose output is bounded
-    by the updates.
-    """
-    if not _use_broadcast(updates, strategy, max_rows):
-        return _joined(target, updates, keys, null_safe, "full_outer")[0]
-    t = target.withColumn(T_FLAG, F.lit(True))
-    u = updates.select(*[F.col(c).alias(_u(c)) for c in updates.columns]).withColumn(U_FLAG, F.lit(True))
-    kept = t.join(F.broadcast(u), _key_cond(t, u, keys, null_safe), "left")
-    ukeys = F.broadcast(updates.select(*[F.col(k).alias(_u(k)) for k in keys]).distinct())
-    hit = target.select(*keys).join(ukeys, _key_cond(target, ukeys, keys, null_safe), "left_semi")
-    hit = hit.select(*[F.col(k).alias(_u(k) + "h") for k in keys])
-    cond = None
-    for k in keys:
-        c = u[_u(k)].eqNullSafe(hit[_u(k) + "h"]) if null_safe else (u[_u(k)] == hit[_u(k) + "h"])
-        cond = c if cond is None else cond & c
-    new = u.join(hit, cond, "left_anti")
-    for c in target.columns:
-        new = new.withColumn(c, F.lit(None).cast(target.schema[c].dataType))
-    new = new.withColumn(T_FLAG, F.lit(None).cast("boolean"))
-    return kept.unionByName(new.select(*kept.columns))
-
-
 def merge_upsert(target: DataFrame, updates: DataFrame, keys: Sequence[str], *, null_safe: bool = False,
-                 preserve: Sequence[str] = (), check_unique: bool = True, strategy: str = "auto",
-                 broadcast_rows: int = BROADCAST_UPDATES_ROWS) -> DataFrame:
+                 preserve: Sequence[str] = (), check_unique: bool = True) -> DataFrame:
     """MERGE: matched -> update all columns, not matched -> insert all (M1).
 
     ``preserve`` columns keep the target's value on update (e.g. ``CreatedTS``).
     Duplicate source keys would update one target row twice, so they raise.
-    ``strategy``: ``auto`` broadcasts updates of at most ``broadcast_rows`` rows
-    (checked), else shuffles both sides; ``shuffle``/``broadcast`` force one.
     """
     if check_unique:
         assert_unique_keys(updates, keys)
-    j = _merged(target, updates, keys, null_safe, strategy, broadcast_rows)
+    j = _joined(target, updates, keys, null_safe, "full_outer")[0]
     in_u = F.col(U_FLAG).isNotNull()
     in_t = F.col(T_FLAG).isNotNull()
     out = []
@@ -120,21 +72,12 @@ def merge_upsert(target: DataFrame, updates: DataFrame, keys: Sequence[str], *,
 
 
 def merge_insert_only(target: DataFrame, updates: DataFrame, keys: Sequence[str], *,
-                      null_safe: bool = False, strategy: str = "auto",
-                      broadcast_rows: int = BROADCAST_UPDATES_ROWS) -> DataFrame:
+                      null_safe: bool = False) -> DataFrame:
     """MERGE ... WHEN NOT MATCHED INSERT: append rows whose key is new (M2, idempotent).
 
-    With small updates (checked bound) only the target's key columns are scanned and
-    probed against the broadcast update keys; the target itself is never shuffled.
+    Only the target's key columns are joined; its rows pass through as they are.
     """
     tk = target.select(*[F.col(k).alias(_u(k) + "t") for k in keys])
-    if _use_broadcast(updates, strategy, broadcast_rows):
-        ukeys = F.broadcast(updates.select(*[F.col(k).alias(_u(k)) for k in keys]).distinct())
-        cond = None
-        for k in keys:
-            c = tk[_u(k) + "t"].eqNullSafe(ukeys[_u(k)]) if null_safe else (tk[_u(k) + "t"] == ukeys[_u(k)])
-            cond = c if cond is None else cond & c
-        tk = tk.join(ukeys, cond, "left_semi")
     cond = None
     for k in keys:
         c = updates[k].eqNullSafe(tk[_u(k) + "t"]) if null_safe else (updates[k] == tk[_u(k) + "t"])
@@ -145,8 +88,7 @@ def merge_insert_only(target: DataFrame, updates: DataFrame, keys: Sequence[str]
 
 def merge_columns(target: DataFrame, updates: DataFrame, keys: Sequence[str], *,
                   update_set: Mapping[str, str] | Sequence[str] = (), insert_cols: Sequence[str] = (),
-                  null_safe: bool = False, check_unique: bool = True, strategy: str = "auto",
-                  broadcast_rows: int = BROADCAST_UPDATES_ROWS) -> DataFrame:
+                  null_safe: bool = False, check_unique: bool = True) -> DataFrame:
     """MERGE with explicit column lists (M3).
 
     Matched rows take ``update_set`` columns from the updates (others kept); new keys
@@ -157,7 +99,7 @@ def merge_columns(target: DataFrame, updates: DataFrame, keys: Sequence[str], *,
     if not isinstance(update_set, Mapping):
         update_set = {c: c for c in update_set}
     insert = set(insert_cols) | set(keys)
-    j = _merged(target, updates, keys, null_safe, strategy, broadcast_rows)
+    j = _joined(target, updates, keys, null_safe, "full_outer")[0]
     in_u = F.col(U_FLAG).isNotNull()
     in_t = F.col(T_FLAG).isNotNull()
     out = []

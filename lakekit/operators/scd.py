@@ -10,58 +10,27 @@ from pyspark.sql import functions as F
 from lakekit.functions.scalar import any_changed
 from lakekit.operators.keys import assign_surrogate_keys, latest_per_key, max_key
 from lakekit.operators.merge import merge_insert_only
-from lakekit.session import fits_rows
+from lakekit.session import reliable_checkpoint
 
 S = "__s__"  # prefix of the staged side after the join
 IN_S = "__in_staged"
 IN_D = "__in_dim"
+PARSED = "__parsed"
 
 
 def _staged(latest: DataFrame) -> DataFrame:
     return latest.select(*[F.col(c).alias(S + c) for c in latest.columns]).withColumn(IN_S, F.lit(True))
 
 
-# A reduced staging batch up to this many rows is broadcast, so the dimension is never shuffled.
-BROADCAST_STAGED_ROWS = 500_000
-
-
-def _join(dim: DataFrame, latest: DataFrame, key: Sequence[str], how: str, strategy: str = "auto") -> DataFrame:
-    """Join dimension rows with the latest staged row per key (``inner``, ``left`` or ``full_outer``).
-
-    With a staged batch under a checked bound (the usual daily load), the dimension is
-    streamed through a join against the broadcast batch and never shuffled; for a full
-    outer join the unseen keys are the staged rows whose key the dimension's key column
-    does not hold.  Otherwise both sides are shuffled on the key.
-    """
-    d = dim.withColumn(IN_D, F.lit(True))
-    s = _staged(latest)
-
-    def cond_for(left, right):
-        cond = None
-        for k in key:
-            c = left[k] == right[S + k]
-            cond = c if cond is None else cond & c
-        return cond
-
-    small = strategy == "broadcast" or (strategy == "auto" and fits_rows(latest, BROADCAST_STAGED_ROWS))
-    if not small:
-        return d.join(s, cond_for(d, s), how)
-    sb = F.broadcast(s)
-    if how in ("inner", "left"):
-        return d.join(sb, cond_for(d, sb), how)
-    kept = d.join(sb, cond_for(d, sb), "left")
-    skeys = F.broadcast(latest.select(*[F.col(k).alias(S + k) for k in key]).distinct())
-    seen = dim.select(*key).join(skeys, cond_for(dim, skeys), "left_semi")
-    seen = seen.select(*[F.col(k).alias(S + k + "__seen") for k in key])
+def _join(dim: DataFrame, latest: DataFrame, key: Sequence[str], how: str) -> DataFrame:
+    """Join dimension rows with the latest staged row per key (``inner``, ``left`` or ``full_outer``):
+    one join, chosen by Spark from the bytes it measures."""
+    d, s = dim.withColumn(IN_D, F.lit(True)), _staged(latest)
     cond = None
     for k in key:
-        c = s[S + k] == seen[S + k + "__seen"]
+        c = d[k] == s[S + k]
         cond = c if cond is None else cond & c
-    new = s.join(seen, cond, "left_anti")
-    for c in dim.columns:
-        new = new.withColumn(c, F.lit(None).cast(dim.schema[c].dataType))
-    new = new.withColumn(IN_D, F.lit(None).cast("boolean"))
-    return kept.unionByName(new.select(*kept.columns))
+    return d.join(s, cond, how)
 
 
 def scd0_insert_new(dim: DataFrame, incoming: DataFrame, key: Sequence[str]) -> DataFrame:
@@ -89,15 +58,18 @@ def scd1_apply(dim: DataFrame, staging: DataFrame, key: Sequence[str], attrs: Se
     """Type 1 (M7): overwrite attributes when the staged row is newer AND a value changed;
     insert unseen keys.  Staging is reduced to its latest row per key first (X13).
 
-    Dates are compared after ``try_cast`` to DATE; a row whose date does not parse is
-    not updated (the SQL rule).  Unchanged rows keep their old date.
+    Dates are compared after ``try_cast`` to DATE.  A staged row whose date does not parse
+    counts only when its key has no other: it updates nothing (the SQL rule), and an
+    unseen key is inserted with it, its date NULL unless the dimension keeps dates as
+    text.  Unchanged rows keep their old date.
     """
-    latest = latest_per_key(staging.select(*key, *attrs, staged_date, *tiebreak), key,
-                            [staged_date, *tiebreak])
+    dated = staging.select(*key, *attrs, staged_date, *tiebreak)
+    # NULL is smallest, so a row whose date does not parse loses against any that has one
+    latest = latest_per_key(dated.withColumn(PARSED, F.col(staged_date).try_cast("date")), key,
+                            [PARSED, staged_date, *tiebreak])
     j = _join(dim, latest, key, "full_outer")
     in_d, in_s = F.col(IN_D).isNotNull(), F.col(IN_S).isNotNull()
-    newer = F.coalesce(F.col(S + staged_date).try_cast("date") > F.col(dim_date).try_cast("date"),
-                       F.lit(False))
+    newer = F.coalesce(F.col(S + PARSED) > F.col(dim_date).try_cast("date"), F.lit(False))
     changed = any_changed([(F.col(a), F.col(S + a)) for a in attrs], strict_sql)
     update = in_d & in_s & newer & changed
     out = []
@@ -107,7 +79,7 @@ def scd1_apply(dim: DataFrame, staging: DataFrame, key: Sequence[str], attrs: Se
         elif c in attrs:
             out.append(F.when(update | ~in_d, F.col(S + c)).otherwise(F.col(c)).alias(c))
         elif c == dim_date:
-            out.append(F.when(update | ~in_d, F.col(S + staged_date).cast(dim.schema[c].dataType))
+            out.append(F.when(update | ~in_d, F.col(S + staged_date).try_cast(dim.schema[c].dataType))
                        .otherwise(F.col(c)).alias(c))
         else:
             out.append(F.when(in_d, F.col(c)).alias(c))
@@ -175,6 +147,7 @@ def scd2_apply(dim: DataFrame, staging: DataFrame, key: Sequence[str], attrs: Se
                .select("r.*"))
     if surrogate is None:
         return history.unionByName(emitted.drop("__new"))
+    emitted = reliable_checkpoint(emitted)     # read for the old rows and for numbering the new ones
     old = emitted.filter(~F.col("__new")).drop("__new")
     new = assign_surrogate_keys(emitted.filter(F.col("__new")).drop("__new", surrogate),
                                 [*key], "__sk", start_after=max_key(dim, surrogate))
@@ -217,61 +190,63 @@ def state_changes(current: DataFrame, staging: DataFrame, key: Sequence[str], at
                   guard_newer: bool = True, strict_sql: bool = False) -> DataFrame:
     """The staged rows that change a key's state when drops are applied one after another.
 
-    Each drop is first reduced to its latest row per key (as each per-file load does),
-    by partial aggregation, so a key costs at most one row per drop however hot it is.
-    Per key, drops are ordered by ``effective``; a row is a change when its attributes
-    differ from the previous drop's row (or, for the first, from the current dimension
-    row).  Rows not newer than the current row's start are ignored first (``guard_newer``).
-    Output: key, attrs, ``effective``.
-    """
-    from pyspark.sql import Window
+    Each drop is first reduced to its latest row per key (as each per-file load does), by
+    partial aggregation, so a key costs at most one row per drop however hot it is.  Per key,
+    the drops' rows are folded in the order of the drops: a row changes the state when the
+    key is new, or when it differs from the running state and (``guard_newer``) is newer
+    than the date the running state got last.  Drops whose date is NULL or older change nothing.
 
-    latest = latest_per_key(staging.select(*key, *attrs, effective, drop, *tiebreak), [*key, drop],
-                            [effective, *tiebreak])
-    cur_cols = [F.col(c).alias(f"__c_{c}") for c in attrs]
-    if cur_start:
-        cur_cols.append(F.col(cur_start).alias("__c_start"))
-    cur = current.select(*key, *cur_cols, F.lit(True).alias("__has_cur"))
-    j = latest.join(cur, list(key), "left")
-    if guard_newer and cur_start:
-        j = j.filter(F.col("__c_start").isNull() | (F.col(effective).cast("date") > F.col("__c_start")))
-    w = Window.partitionBy(*key).orderBy(effective, *tiebreak)
-    first = F.row_number().over(w) == 1
-    diffs = []
-    for a in attrs:
-        prev = F.when(first, F.col(f"__c_{a}")).otherwise(F.lag(a).over(w))
-        diffs.append((F.col(a), prev))
-    changed = any_changed(diffs, strict_sql)
-    changed = F.when(first & F.col("__has_cur").isNull(), F.lit(True)).otherwise(changed)
-    return j.withColumn("__chg", changed).filter("__chg").select(*key, *attrs, effective)
+    Output: key, ``__changes`` (array of structs of ``effective`` and the attributes, in the
+    order applied), ``__known`` (the key was in ``current``).
+    """
+    dated = staging.withColumn(PARSED, F.col(effective).try_cast("date"))
+    latest = latest_per_key(dated.select(*key, *attrs, effective, PARSED, drop, *tiebreak), [*key, drop],
+                            [PARSED, effective, *tiebreak])
+    state = lambda at, values: F.struct(at.alias("at"), *(v.alias(f"a{i}") for i, v in enumerate(values)))
+    rows = latest.groupBy(*key).agg(F.array_sort(F.collect_list(F.struct(
+        F.col(drop).alias("drop"), F.col(PARSED).alias("at"), F.col(effective).alias("raw"), *(F.col(c).alias(f"a{i}") for i, c in enumerate(attrs))))).alias("__rows"))
+    start = F.col(cur_start).try_cast("date") if cur_start else F.lit(None).cast("date")
+    cur = current.select(*key, state(start, [F.col(c) for c in attrs]).alias("__state"))
+    j = rows.join(cur, list(key), "left").withColumn("__known", F.col("__state").isNotNull())
+    kind = j.schema["__rows"].dataType.simpleString()
+    first = F.struct(F.col("__state").alias("now"), F.array().cast(kind).alias("out"))
+
+    def step(acc: Column, row: Column) -> Column:
+        now = acc["now"]
+        differs = any_changed([(row[f"a{i}"], now[f"a{i}"]) for i in range(len(attrs))], strict_sql)
+        if guard_newer:
+            differs = differs & F.coalesce(row["at"] > now["at"], F.lit(False))
+        change = now.isNull() | differs
+        return F.struct(F.when(change, state(row["at"], [row[f"a{i}"] for i in range(len(attrs))])).otherwise(now).alias("now"),
+                        F.when(change, F.concat(acc["out"], F.array(row))).otherwise(acc["out"]).alias("out"))
+
+    changes = F.aggregate("__rows", first, step, lambda acc: acc["out"])
+    return j.select(*key, "__known", changes.alias("__changes")).filter(F.size("__changes") > 0)
 
 
 def scd2_replay(dim: DataFrame, staging: DataFrame, key: Sequence[str], attrs: Sequence[str], *,
                 drop: str, effective: str = "last_updated", start: str = "start_date", end: str = "end_date",
                 current: str = "is_current", open_end=None, tiebreak: Sequence[str] = (),
                 guard_newer: bool = True, strict_sql: bool = False) -> DataFrame:
-    """SCD type 2 over several dated drops at once, equal to loading them one by one:
-    every change becomes a version; each version ends where the next one starts."""
-    from pyspark.sql import Window
-
+    """SCD type 2 over several dated drops at once, equal to loading them one by one in the
+    order of ``drop``: every change becomes a version; each ends where the next one starts."""
     is_cur = F.coalesce(F.col(current).cast("boolean"), F.lit(False))
     history, cur = dim.filter(~is_cur), dim.filter(is_cur)
     chg = state_changes(cur, staging, key, attrs, effective=effective, drop=drop, cur_start=start,
                         tiebreak=tiebreak, guard_newer=guard_newer, strict_sql=strict_sql)
+    chg = reliable_checkpoint(chg)      # read for the versions and for closing the open rows
     start_t, end_t, cur_t = dim.schema[start].dataType, dim.schema[end].dataType, dim.schema[current].dataType
-    w = Window.partitionBy(*key).orderBy(effective)
-    nxt = F.lead(effective).over(w)
-    versions = chg.select(*key, *attrs, F.col(effective).cast(start_t).alias(start),
-                          F.coalesce(nxt.cast(end_t), F.lit(open_end).cast(end_t)).alias(end),
-                          nxt.isNull().cast(cur_t).alias(current))
-    first_change = chg.groupBy(*key).agg(F.min(effective).alias("__first"))
-    cur_j = cur.join(first_change, list(key), "left")
-    closed = cur_j.withColumn(end, F.when(F.col("__first").isNull(), F.col(end))
-                              .otherwise(F.col("__first").cast(end_t))) \
-        .withColumn(current, F.when(F.col("__first").isNull(), F.col(current))
-                    .otherwise(F.lit(False).cast(cur_t))).drop("__first")
-    other = [c for c in dim.columns if c not in (*key, *attrs, start, end, current)]
-    for c in other:
+    each = chg.select(*key, "__changes", F.posexplode("__changes").alias("__i", "__v"))
+    nxt = F.get("__changes", F.col("__i") + 1)["raw"]
+    versions = each.select(*key, *(F.col(f"__v.a{i}").alias(c) for i, c in enumerate(attrs)),
+                           F.col("__v.raw").cast(start_t).alias(start),
+                           F.coalesce(nxt.cast(end_t), F.lit(open_end).cast(end_t)).alias(end),
+                           nxt.isNull().cast(cur_t).alias(current))
+    first = chg.filter("__known").select(*key, F.col("__changes")[0]["raw"].alias("__first"))
+    closed = cur.join(first, list(key), "left") \
+        .withColumn(end, F.when(F.col("__first").isNull(), F.col(end)).otherwise(F.col("__first").cast(end_t))) \
+        .withColumn(current, F.when(F.col("__first").isNull(), F.col(current)).otherwise(F.lit(False).cast(cur_t)))
+    for c in (c for c in dim.columns if c not in (*key, *attrs, start, end, current)):
         versions = versions.withColumn(c, F.lit(None).cast(dim.schema[c].dataType))
     return history.unionByName(closed.select(*dim.columns)).unionByName(versions.select(*dim.columns))
 
@@ -279,16 +254,12 @@ def scd2_replay(dim: DataFrame, staging: DataFrame, key: Sequence[str], attrs: S
 def scd1_replay(dim: DataFrame, staging: DataFrame, key: Sequence[str], attrs: Sequence[str], *,
                 drop: str, dim_date: str = "last_updated_date", staged_date: str = "file_date",
                 tiebreak: Sequence[str] = (), strict_sql: bool = False) -> DataFrame:
-    """SCD type 1 over several dated drops at once, equal to loading them one by one:
-    the last change wins and sets the date; drops that change nothing leave the date."""
-    chg = state_changes(dim, staging.withColumn(staged_date, F.col(staged_date).try_cast("date")), key, attrs,
-                        effective=staged_date, drop=drop, cur_start=dim_date, tiebreak=tiebreak,
-                        strict_sql=strict_sql)
-    last = latest_per_key(chg, key, [staged_date])
-    return _scd1_from_changes(dim, last, key, attrs, dim_date, staged_date)
-
-
-def _scd1_from_changes(dim: DataFrame, last: DataFrame, key, attrs, dim_date: str, staged_date: str) -> DataFrame:
+    """SCD type 1 over several dated drops at once, equal to loading them one by one in the
+    order of ``drop``: the last change wins and sets the date; drops that change nothing leave it."""
+    chg = state_changes(dim, staging, key, attrs, effective=staged_date, drop=drop, cur_start=dim_date,
+                        tiebreak=tiebreak, strict_sql=strict_sql)
+    last = chg.select(*key, F.element_at("__changes", -1).alias("__v"))
+    last = last.select(*key, *(F.col(f"__v.a{i}").alias(c) for i, c in enumerate(attrs)), F.col("__v.raw").alias(staged_date))
     j = _join(dim, last, key, "full_outer")
     in_d, in_s = F.col(IN_D).isNotNull(), F.col(IN_S).isNotNull()
     out = []
@@ -298,7 +269,7 @@ def _scd1_from_changes(dim: DataFrame, last: DataFrame, key, attrs, dim_date: st
         elif c in attrs:
             v = F.when(in_s, F.col(S + c)).otherwise(F.col(c))
         elif c == dim_date:
-            v = F.when(in_s, F.col(S + staged_date)).otherwise(F.col(c))
+            v = F.when(in_s, F.col(S + staged_date).try_cast(dim.schema[c].dataType)).otherwise(F.col(c))
         else:
             v = F.when(in_d, F.col(c))
         out.append(v.cast(dim.schema[c].dataType).alias(c))

@@ -354,3 +354,59 @@ def q_scd3_apply_insert(spark, sf_dir):
     return scd.scd3_apply(dim, changes, ["customer_id"], "current_address", previous="previous_address",
                           valid_from="current_valid_from", effective="last_updated", tiebreak=["seq"],
                           insert_new=True)
+
+
+# ---------------------------------------------------------------- text dates and late drops
+
+@query("scd1_text_dates", "WITH " + fx.SQL_STAGING + """,
+pre AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY customer_id ORDER BY last_updated DESC, seq DESC) AS rn
+        FROM staging WHERE last_updated < DATE '1998-01-01') WHERE rn = 1),
+txt AS (SELECT *, CASE WHEN seq % 3 = 0 THEN 'n/a' ELSE strftime(last_updated, '%Y-%m-%d') END AS raw
+        FROM staging WHERE last_updated >= DATE '1998-01-01'),
+lat AS (SELECT *, TRY_CAST(raw AS DATE) AS parsed FROM (
+          SELECT *, row_number() OVER (PARTITION BY customer_id ORDER BY TRY_CAST(raw AS DATE) DESC NULLS LAST, seq DESC) AS rn FROM txt)
+        WHERE rn = 1),
+j AS (SELECT d.customer_id, d.name, d.address, d.last_updated, l.address AS n_address, l.parsed,
+             COALESCE(l.parsed > d.last_updated AND (d.name IS DISTINCT FROM l.name OR d.address IS DISTINCT FROM l.address), FALSE) AS upd
+      FROM pre d LEFT JOIN lat l ON d.customer_id = l.customer_id)
+SELECT customer_id, name, CASE WHEN upd THEN n_address ELSE address END AS address,
+       CASE WHEN upd THEN parsed ELSE last_updated END AS last_updated_date FROM j
+UNION ALL
+SELECT customer_id, name, address, parsed FROM lat WHERE customer_id NOT IN (SELECT customer_id FROM pre)""")
+def q_scd1_text_dates(spark, sf_dir):
+    """Staged dates come as text and a third of them don't parse."""
+    pre, staged = _scd_inputs(spark, sf_dir)
+    dim = pre.select("customer_id", "name", "address", F.col("last_updated").alias("last_updated_date"))
+    text = F.when(F.col("seq") % 3 == 0, F.lit("n/a")).otherwise(F.date_format("last_updated", "yyyy-MM-dd"))
+    return scd.scd1_apply(dim, staged.withColumn("file_date", text), ["customer_id"], ["name", "address"],
+                          dim_date="last_updated_date", staged_date="file_date", tiebreak=["seq"])
+
+
+@query("scd2_replay_late_drop", "WITH RECURSIVE " + fx.SQL_STAGING + """,
+pre AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY customer_id ORDER BY last_updated DESC, seq DESC) AS rn
+        FROM staging WHERE last_updated < DATE '1998-01-01') WHERE rn = 1),
+per AS (SELECT customer_id, address, last_updated, row_number() OVER (PARTITION BY customer_id ORDER BY drp) AS pos FROM (
+          SELECT *, seq % 4 AS drp, row_number() OVER (PARTITION BY customer_id, seq % 4 ORDER BY last_updated DESC, seq DESC) AS rn
+          FROM staging WHERE last_updated >= DATE '1998-01-01') WHERE rn = 1),
+fold AS (
+  SELECT k.customer_id, 0::BIGINT AS pos, p.address, p.last_updated AS since, FALSE AS changed
+  FROM (SELECT customer_id FROM pre UNION SELECT customer_id FROM per) k LEFT JOIN pre p USING (customer_id)
+  UNION ALL
+  SELECT customer_id, pos, CASE WHEN go THEN n_address ELSE address END, CASE WHEN go THEN n_since ELSE since END, go FROM (
+    SELECT f.customer_id, r.pos, f.address, f.since, r.address AS n_address, r.last_updated AS n_since,
+           (f.since IS NULL OR (r.last_updated > f.since AND r.address IS DISTINCT FROM f.address)) AS go
+    FROM fold f JOIN per r ON r.customer_id = f.customer_id AND r.pos = f.pos + 1)),
+chg AS (SELECT customer_id, address, since, lead(since) OVER (PARTITION BY customer_id ORDER BY pos) AS nxt FROM fold WHERE changed),
+firsts AS (SELECT customer_id, min(since) AS since FROM chg GROUP BY customer_id)
+SELECT p.customer_id, p.name, p.address, p.last_updated AS start_date, f.since AS end_date, f.since IS NULL AS is_current
+FROM pre p LEFT JOIN firsts f USING (customer_id)
+UNION ALL
+SELECT c.customer_id, n.name, c.address, c.since, c.nxt, c.nxt IS NULL
+FROM chg c JOIN (SELECT DISTINCT customer_id, name FROM staging) n USING (customer_id)""")
+def q_scd2_replay_late_drop(spark, sf_dir):
+    """Four drops whose dates don't rise with the drop: a late, older row changes nothing."""
+    pre, staged = _scd_inputs(spark, sf_dir)
+    dim = pre.select("customer_id", "name", "address", F.col("last_updated").alias("start_date"),
+                     F.lit(None).cast("date").alias("end_date"), F.lit(True).alias("is_current"))
+    return scd.scd2_replay(dim, staged.withColumn("drop", F.col("seq") % 4), ["customer_id"], ["name", "address"],
+                           drop="drop", effective="last_updated", tiebreak=["seq"])

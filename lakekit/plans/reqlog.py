@@ -9,9 +9,6 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lakekit.session import maybe_broadcast
-
-SESSION_BROADCAST_ROWS = 1_000_000
 
 
 def active_requests(connections: DataFrame, sessions: DataFrame, requests: DataFrame,
@@ -22,9 +19,9 @@ def active_requests(connections: DataFrame, sessions: DataFrame, requests: DataF
     session id, so each join is an equi-join on that key.
     """
     running = requests.filter(F.col("status") == status)
-    s = maybe_broadcast(sessions.select("session_id", "login_name", "login_time"), SESSION_BROADCAST_ROWS)
-    c = maybe_broadcast(connections.select("connection_id", "session_id"), SESSION_BROADCAST_ROWS)
-    return (c.join(s, "session_id").join(running, "session_id")
+    s = sessions.select("session_id", "login_name", "login_time")
+    c = connections.select("connection_id", "session_id")
+    return (running.join(s, "session_id").join(c, "session_id")
             .select("connection_id", "session_id", "login_name", "login_time", "request_id", "command",
                     "start_time", "total_elapsed_time")
             .orderBy(F.desc("total_elapsed_time"), "request_id"))

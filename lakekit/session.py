@@ -1,4 +1,4 @@
-"""Session helpers: building a session, the shared checkpoint folder, size checks.
+"""Session helpers: building a session, the shared checkpoint folder.
 
 Everything that needs to cut lineage or stage files uses the folder the cluster
 names in ``spark.checkpoint.dir``.  Only when that setting is absent *and* the
@@ -11,12 +11,6 @@ import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
-
-# Rows a side may hold before we hand it to the executors as a broadcast.
-# A count proves the bound; beyond it AQE decides.
-DEFAULT_BROADCAST_ROWS = 1_000_000
-
 
 # Settings we recommend for a large cluster (about 100 TB, 1000 executors).  AQE
 # sizes every shuffle from a large initial partition count down to ~256 MB
@@ -104,19 +98,6 @@ def work_dir(spark: SparkSession, name: str) -> str:
     return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex[:12]}"
 
 
-def fits_rows(df: DataFrame, max_rows: int) -> bool:
-    """True when ``df`` has at most ``max_rows`` rows: a plain count, aggregated per
-    partition (only one number per partition is shuffled).  ``limit(n + 1).count()``
-    would look cheaper but funnels up to n + 1 rows of every partition through a
-    single-partition exchange; for Parquet and CSV inputs the count reads no column data."""
-    return df.count() <= max_rows
-
-
-def maybe_broadcast(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
-    """Broadcast ``df`` only behind a proven row bound; otherwise let AQE plan the join."""
-    return F.broadcast(df) if fits_rows(df, max_rows) else df
-
-
 def reliable_checkpoint(df: DataFrame) -> DataFrame:
     """Materialise ``df`` into the shared checkpoint folder and cut its lineage.
 

@@ -11,14 +11,10 @@ from lakekit.operators import merge as M
 SCHEMA = "id int, name string, price decimal(10,2), created string"
 
 
-STRATEGIES = ["shuffle", "broadcast", "auto"]
-
-
-@pytest.mark.parametrize("strategy", STRATEGIES)
-def test_upsert_updates_inserts_and_keeps_null_payload(spark, strategy):
+def test_upsert_updates_inserts_and_keeps_null_payload(spark):
     t = spark.createDataFrame([(1, "a", Decimal("1.00"), "t0"), (2, "b", Decimal("2.00"), "t0")], SCHEMA)
     u = spark.createDataFrame([(2, None, Decimal("3.00"), "t1"), (3, "c", None, "t1")], SCHEMA)
-    out = M.merge_upsert(t, u, ["id"], preserve=("created",), strategy=strategy)
+    out = M.merge_upsert(t, u, ["id"], preserve=("created",))
     assert rows(out, "id") == [(1, "a", Decimal("1.00"), "t0"), (2, None, Decimal("3.00"), "t0"),
                                (3, "c", None, "t1")]
 
@@ -38,15 +34,14 @@ def test_upsert_rejects_duplicate_source_keys(spark):
         M.merge_upsert(t, u, ["id"])
 
 
-@pytest.mark.parametrize("strategy", STRATEGIES)
-def test_null_keys_match_only_when_null_safe(spark, strategy):
+def test_null_keys_match_only_when_null_safe(spark):
     t = spark.createDataFrame([(None, "a", None, "t0"), (1, "x", None, "t0")], SCHEMA)
     u = spark.createDataFrame([(None, "b", None, "t1")], SCHEMA)
-    assert M.merge_insert_only(t, u, ["id"], strategy=strategy).count() == 3   # SQL rule: NULL never matches
-    assert M.merge_insert_only(t, u, ["id"], null_safe=True, strategy=strategy).count() == 2
-    assert rows(M.merge_upsert(t, u, ["id"], null_safe=True, strategy=strategy)) == \
+    assert M.merge_insert_only(t, u, ["id"]).count() == 3   # SQL rule: NULL never matches
+    assert M.merge_insert_only(t, u, ["id"], null_safe=True).count() == 2
+    assert rows(M.merge_upsert(t, u, ["id"], null_safe=True)) == \
         [(1, "x", None, "t0"), (None, "b", None, "t1")]
-    assert M.merge_upsert(t, u, ["id"], strategy=strategy).count() == 3
+    assert M.merge_upsert(t, u, ["id"]).count() == 3
 
 
 def test_insert_only_is_idempotent(spark):
@@ -57,11 +52,10 @@ def test_insert_only_is_idempotent(spark):
     assert rows(M.merge_insert_only(once, u, ["id"])) == rows(once)
 
 
-@pytest.mark.parametrize("strategy", STRATEGIES)
-def test_merge_columns(spark, strategy):
+def test_merge_columns(spark):
     t = spark.createDataFrame([(1, "a", Decimal("1.00"), "t0")], SCHEMA)
     u = spark.createDataFrame([(1, "x", Decimal("9.00"), "t1"), (2, "b", Decimal("2.00"), "t1")], SCHEMA)
-    out = M.merge_columns(t, u, ["id"], update_set=["price"], insert_cols=["name"], strategy=strategy)
+    out = M.merge_columns(t, u, ["id"], update_set=["price"], insert_cols=["name"])
     assert rows(out, "id") == [(1, "a", Decimal("9.00"), "t0"), (2, "b", None, None)]
 
 
@@ -109,7 +103,7 @@ def test_duplicate_keys_report(spark):
 
 @pytest.mark.parametrize("seed", [7, 8])
 @pytest.mark.parametrize("null_safe", [False, True])
-def test_strategies_agree_on_random_inputs(spark, seed, null_safe):
+def test_merges_on_random_inputs(spark, seed, null_safe):
     import random
     rnd = random.Random(seed)
 
@@ -127,21 +121,29 @@ def test_strategies_agree_on_random_inputs(spark, seed, null_safe):
         return spark.createDataFrame(out, SCHEMA)
 
     t, u = frame(40, "t"), frame(25, "u")
-    results = {}
-    for strategy in STRATEGIES:
-        up = M.merge_upsert(t, u, ["id"], null_safe=null_safe, strategy=strategy, preserve=("created",))
-        ins = M.merge_insert_only(t, u, ["id"], null_safe=null_safe, strategy=strategy)
-        col = M.merge_columns(t, u, ["id"], update_set=["name"], insert_cols=["created"], null_safe=null_safe,
-                              strategy=strategy)
-        results[strategy] = (rows(up), rows(ins), rows(col))
-    assert results["shuffle"] == results["broadcast"] == results["auto"]
+    old, new = ({r[0]: r for r in rows(d)} for d in (t, u))
+
+    def hit(k):
+        return k in old and (null_safe or k is not None)
+
+    up = sorted([(k, new[k][1] if k in new and hit(k) else r[1], None, "t") for k, r in old.items()]
+                + [r for k, r in new.items() if not hit(k)], key=str)
+    ins = sorted([*old.values(), *(r for k, r in new.items() if not hit(k))], key=str)
+    assert sorted(rows(M.merge_upsert(t, u, ["id"], null_safe=null_safe, preserve=("created",))), key=str) == up
+    assert sorted(rows(M.merge_insert_only(t, u, ["id"], null_safe=null_safe)), key=str) == ins
+    col = M.merge_columns(t, u, ["id"], update_set=["name"], insert_cols=["created"], null_safe=null_safe)
+    assert col.count() == len(up)
     once = rows(M.merge_upsert(t, u, ["id"], null_safe=True))
     assert rows(M.merge_upsert(spark.createDataFrame(once, SCHEMA), u, ["id"], null_safe=True)) == once
 
 
-def test_small_and_distributed_numbering_agree(spark):
+def test_numbering_equals_row_number(spark):
     df = spark.range(0, 3000).select((F.col("id") * 7919 % 5000).alias("k"), F.lit("v").alias("v"))
     start = K.max_key(spark.range(0, 41).withColumnRenamed("id", "sk"), "sk")      # lazy scalar: 40
-    small = rows(K.assign_surrogate_keys(df, ["k"], "sk", start_after=start).select("k", "sk"), "k")
-    big = rows(K.assign_surrogate_keys(df, ["k"], "sk", start_after=start, num_partitions=5).select("k", "sk"), "k")
-    assert small == big and small[0][1] == 41 and small[-1][1] == 40 + len(small)
+    got = rows(K.assign_surrogate_keys(df, ["k"], "sk", start_after=start).select("k", "sk"), "k")
+    assert got == [(k, 41 + i) for i, k in enumerate(sorted(i * 7919 % 5000 for i in range(3000)))]
+
+
+def test_latest_per_key_carries_maps(spark):
+    df = spark.sql("SELECT 1 AS k, 1 AS o, map('a', 1) AS m UNION ALL SELECT 1, 2, map('b', 2, 'c', 3) UNION ALL SELECT 2, 1, NULL")
+    assert {r.k: r.m for r in K.latest_per_key(df, ["k"], ["o"]).collect()} == {1: {"b": 2, "c": 3}, 2: None}
