@@ -13,11 +13,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lakekit.operators.mask import MaskPolicy, apply_masks
-from lakekit.session import maybe_broadcast
-
-# Bound under which the principal's slice of a mapping table is broadcast.
-MAPPING_BROADCAST_ROWS = 1_000_000
+from lakekit.operators.mask import MaskPolicy, apply_masks, resolve_column
 
 
 class AccessDenied(PermissionError):
@@ -69,26 +65,32 @@ def rls_filter_mapping(df: DataFrame, col: str, mapping: DataFrame, principal: s
                        user_col: str = "user_email", value_col: str = "region") -> DataFrame:
     """``@value IN (SELECT value FROM mapping WHERE user = principal)`` as a semi join.
 
-    Only the principal's mapping rows are kept, so the broadcast side is small; it is
-    still broadcast only behind a checked bound.
+    Only the principal's mapping rows are kept; Spark broadcasts them when they are small.
     """
     allowed = (mapping.filter(F.col(user_col) == F.lit(principal))
                .select(F.col(value_col).alias("__allowed")).distinct())
-    allowed = maybe_broadcast(allowed, MAPPING_BROADCAST_ROWS)
     return df.join(allowed, df[col] == allowed["__allowed"], "left_semi")
 
 
 def cls_select(df: DataFrame, policy: AccessPolicy, table: str, principal: str,
                columns: Sequence[str] | None = None) -> DataFrame:
     """Column check (K12, K13): asking for a denied or ungranted column raises, like a
-    ``SELECT *`` over a denied column; asking only for allowed columns succeeds."""
-    wanted = list(columns) if columns is not None else list(df.columns)
-    allow = policy.column_grants.get((table, principal))
-    deny = policy.column_denies.get((table, principal), set())
-    bad = [c for c in wanted if c in deny or (allow is not None and c not in allow)]
+    ``SELECT *`` over a denied column; asking only for allowed columns succeeds.
+
+    Names are resolved against the frame with the session's case rule before they are
+    compared; ``*``, expressions and nested paths are refused.  ``columns=None`` asks for all."""
+    try:
+        wanted = [resolve_column(df, c) for c in (columns if columns is not None else df.columns)]
+    except (ValueError, AttributeError) as e:
+        raise AccessDenied(f"only plain column names of {table} can be selected: {e}") from e
+    fold = (lambda c: c) if df.sparkSession.conf.get("spark.sql.caseSensitive") == "true" else str.lower
+    names = lambda cols: {fold(c.strip("`")) for c in cols}
+    granted = policy.column_grants.get((table, principal))
+    deny = names(policy.column_denies.get((table, principal), set()))
+    bad = [c for c in wanted if fold(c) in deny or (granted is not None and fold(c) not in names(granted))]
     if bad:
         raise AccessDenied(f"SELECT permission denied on column(s) {bad} of {table} for {principal}")
-    return df.select(*wanted)
+    return df.select(*(df[f"`{c}`"] for c in wanted))
 
 
 def secure_read(df: DataFrame, principal: str, table: str, *, access: AccessPolicy,

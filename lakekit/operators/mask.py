@@ -92,6 +92,18 @@ def mask_random(c: Column, low: int, high: int, row_key: Column, salt: str) -> C
     return F.when(c.isNotNull(), v)
 
 
+def resolve_column(df: DataFrame, name: str) -> str:
+    """The frame's column that ``name`` means (backticks stripped, the session's case rule);
+    raises when there is none or more than one."""
+    if name.startswith("`") and name.endswith("`") and len(name) > 2:
+        name = name[1:-1].replace("``", "`")
+    exact = df.sparkSession.conf.get("spark.sql.caseSensitive") == "true"
+    found = [c for c in df.columns if c == name or (not exact and c.lower() == name.lower())]
+    if len(found) != 1:
+        raise ValueError(f"{name!r} is {'no' if not found else 'more than one'} column of {df.columns}")
+    return found[0]
+
+
 @dataclass
 class MaskPolicy:
     """Masks per column plus the principals allowed to see raw values (UNMASK)."""
@@ -116,9 +128,15 @@ class MaskPolicy:
         self.unmasked.discard(principal)
         return self
 
+    def resolved(self, df: DataFrame) -> dict[str, Mask]:
+        """Masks by the frame's own column names.  A mask on a column that the frame does not
+        have raises: a misspelt policy must not leave a column open."""
+        return {resolve_column(df, name): mask for name, mask in self.masks.items()}
+
     def column(self, df: DataFrame, name: str) -> Column:
-        m = self.masks[name]
-        c = F.col(name)
+        name = resolve_column(df, name)
+        m = self.resolved(df)[name]
+        c = df[f"`{name}`"]
         dtype = df.schema[name].dataType
         if m.kind == "default":
             out = mask_default(c, dtype, m.length)
@@ -129,7 +147,7 @@ class MaskPolicy:
         elif m.kind == "random":
             if not self.row_key:
                 raise ValueError("a random mask needs MaskPolicy.row_key")
-            out = mask_random(c, m.low, m.high, F.col(self.row_key), self.salt)
+            out = mask_random(c, m.low, m.high, df[f"`{resolve_column(df, self.row_key)}`"], self.salt)
         else:
             raise ValueError(f"unknown mask {m.kind}")
         return out.cast(dtype).alias(name)
@@ -139,7 +157,8 @@ def apply_masks(df: DataFrame, policy: MaskPolicy, principal: str) -> DataFrame:
     """The final projection: masked columns for everyone without UNMASK (K8)."""
     if principal in policy.unmasked:
         return df
-    return df.select(*[policy.column(df, c) if c in policy.masks else F.col(c) for c in df.columns])
+    masked = policy.resolved(df)
+    return df.select(*[policy.column(df, c) if c in masked else df[f"`{c}`"] for c in df.columns])
 
 
 def masked_query(df: DataFrame, policy: MaskPolicy, principal: str, predicate: Column | None = None,

@@ -7,7 +7,6 @@ from pyspark.sql import functions as F
 from lakekit.operators import access as ac
 from lakekit.operators import mask as mk
 from lakekit.plans.registry import query
-from lakekit.session import maybe_broadcast
 from lakekit.sources.tables import load
 
 VIEWER = "viewer@example.com"
@@ -69,10 +68,63 @@ def q_masked_query(spark, sf_dir):
     return mk.masked_query(df, policy, VIEWER, F.col("c_acctbal").between(SALARY_LO, SALARY_HI))
 
 
-@query("mask_random")
+@query("mask_random", """
+SELECT c_custkey, c_nationkey IS NULL AS is_null, CASE WHEN c_nationkey IS NOT NULL THEN TRUE END AS in_range FROM customer""")
 def q_mask_random(spark, sf_dir):
+    """The numbers are keyed by a salted hash: returned is whether each lies in the mask's range."""
     policy = mk.MaskPolicy(row_key="c_custkey").add("c_nationkey", mk.random(1000, 9999))
-    return mk.apply_masks(_cust(spark, sf_dir).select("c_custkey", "c_nationkey"), policy, VIEWER)
+    masked = mk.apply_masks(_cust(spark, sf_dir).select("c_custkey", "c_nationkey"), policy, VIEWER)
+    return masked.select("c_custkey", F.col("c_nationkey").isNull().alias("is_null"),
+                         F.col("c_nationkey").between(1000, 9999).alias("in_range"))
+
+
+@query("mask_default_types", """
+SELECT o_orderkey, CASE WHEN o_orderdate IS NOT NULL THEN TIMESTAMP '1900-01-01' END AS placed,
+       CASE WHEN o_orderdate IS NOT NULL THEN DATE '1900-01-01' END AS day,
+       CASE WHEN o_orderstatus IS NOT NULL THEN '00' END AS status_hex, CASE WHEN o_totalprice IS NOT NULL THEN FALSE END AS large
+FROM orders""")
+def q_mask_default_types(spark, sf_dir):
+    """The default mask on times, dates, binary values and booleans."""
+    o = load(spark, sf_dir, "orders").select(
+        "o_orderkey", F.col("o_orderdate").alias("placed"), F.col("o_orderdate").cast("date").alias("day"),
+        F.col("o_orderstatus").cast("binary").alias("status"), (F.col("o_totalprice") > 1000).alias("large"))
+    policy = mk.MaskPolicy()
+    for c in ("placed", "day", "status", "large"):
+        policy.add(c, mk.default())
+    return mk.apply_masks(o, policy, VIEWER).withColumn("status_hex", F.hex("status")).drop("status")
+
+
+@query("mask_add_drop", f"""WITH {SQL_CUST}
+SELECT c_custkey, c_name, CASE WHEN email IS NOT NULL THEN left(email, 1) || 'XXX@XXX.com' END AS email FROM cust""")
+def q_mask_add_drop(spark, sf_dir):
+    """A mask added and dropped again leaves its column as it was; the other one stays."""
+    policy = mk.MaskPolicy().add("c_name", mk.default()).add("email", mk.email()).drop("c_name")
+    return mk.apply_masks(_cust(spark, sf_dir).select("c_custkey", "c_name", "email"), policy, VIEWER)
+
+
+@query("unmask_grant", f"""WITH {SQL_CUST}
+SELECT c_custkey, email, 'granted' AS reader FROM cust
+UNION ALL SELECT c_custkey, left(email, 1) || 'XXX@XXX.com', 'revoked' FROM cust""")
+def q_unmask_grant(spark, sf_dir):
+    """A reader with UNMASK sees the values; one whose grant was revoked does not."""
+    policy = mk.MaskPolicy().add("EMAIL", mk.email()).grant_unmask("a").grant_unmask("b").revoke_unmask("b")
+    c = _cust(spark, sf_dir).select("c_custkey", "email")
+    granted = mk.apply_masks(c, policy, "a").withColumn("reader", F.lit("granted"))
+    return granted.unionByName(mk.apply_masks(c, policy, "b").withColumn("reader", F.lit("revoked")))
+
+
+@query("cls_deny_select", "SELECT c_custkey, c_name FROM customer")
+def q_cls_deny_select(spark, sf_dir):
+    """Denied columns can't be had by any spelling; the others can."""
+    c = load(spark, sf_dir, "customer").select("c_custkey", "c_name", "c_acctbal")
+    policy = ac.AccessPolicy().grant_table("customer", VIEWER).deny_columns("customer", VIEWER, ["c_acctbal"])
+    for asked in (["*"], ["c_custkey", "C_ACCTBAL"], ["`c_acctbal`"], None):
+        try:
+            ac.cls_select(c, policy, "customer", VIEWER, asked)
+        except ac.AccessDenied:
+            continue
+        raise AssertionError(f"a denied column was selected by {asked}")
+    return ac.cls_select(c, policy, "customer", VIEWER, ["c_custkey", "`c_name`"])
 
 
 @query("rls_filter_owner", f"""
@@ -97,7 +149,7 @@ def q_rls_filter_mapping(spark, sf_dir):
     geo = n.join(r, n.n_regionkey == r.r_regionkey).select("n_nationkey", "n_name", F.col("r_name").alias("region"))
     mapping = geo.select(F.col("n_name").alias("user_email"), "region")
     c = load(spark, sf_dir, "customer").select("c_custkey", "c_name", "c_nationkey")
-    geo_small = maybe_broadcast(geo.select("n_nationkey", "region"))
+    geo_small = geo.select("n_nationkey", "region")
     regional = c.join(geo_small, c.c_nationkey == geo_small.n_nationkey).select("c_custkey", "c_name", "region")
     return ac.rls_filter_mapping(regional, "region", mapping, MAPPED_USER)
 

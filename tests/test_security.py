@@ -133,3 +133,21 @@ def test_secure_read_order(spark):
                          row_filter=lambda d: ac.rls_filter_mapping(d, "region", mapping, VIEWER),
                          columns=["sale_id", "sales_person"], masks=masks)
     assert rows(out, "sale_id") == [(101, "A***"), (103, "C***")]
+
+
+def test_denied_columns_by_any_spelling(spark):
+    from lakekit.operators import access as ac
+    df = spark.createDataFrame([(1, 100)], "id int, salary int")
+    policy = ac.AccessPolicy().grant_table("t", "u").deny_columns("t", "u", ["Salary"])
+    for asked in (["*"], ["id", "SALARY"], ["`salary`"], ["salary + 0"], ["t.salary"], [df.salary], None):
+        with pytest.raises(ac.AccessDenied):
+            ac.cls_select(df, policy, "t", "u", asked)
+    assert ac.cls_select(df, policy, "t", "u", ["ID"]).columns == ["id"]
+
+
+def test_masks_resolve_names_and_refuse_unknown_ones(spark):
+    from lakekit.operators import mask as mk
+    df = spark.createDataFrame([(1, 100)], "id int, salary int")
+    assert mk.apply_masks(df, mk.MaskPolicy().add("Salary", mk.default()), "u").collect() == [(1, 0)]
+    with pytest.raises(ValueError):
+        mk.apply_masks(df, mk.MaskPolicy().add("salry", mk.default()), "u")
