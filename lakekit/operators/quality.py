@@ -7,7 +7,16 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lakekit.operators.merge import assert_unique_keys, duplicate_keys  # noqa: F401  (re-exported)
+from lakekit.functions.scalar import MONEY_SCALE
+
+
+def scale_violations(df: DataFrame, measures: Sequence[str], scale: int = MONEY_SCALE) -> DataFrame:
+    """Rows with a measure that a sum with ``scale`` decimal places would round."""
+    cond = F.lit(False)
+    for c in measures:
+        kept = F.col(c).try_cast(f"decimal(38,{scale})")
+        cond = cond | (F.col(c).isNotNull() & ~F.coalesce(kept.cast("double") == F.col(c).cast("double"), F.lit(False)))
+    return df.filter(cond)
 
 
 def null_violations(df: DataFrame, not_null: Sequence[str]) -> DataFrame:

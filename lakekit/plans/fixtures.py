@@ -11,6 +11,7 @@ import datetime as dt
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from lakekit.functions.scalar import MONEY
 from lakekit.sources.tables import load
 
 # Fixed values of the stand-in data (see FIXTURES.md §3).
@@ -45,8 +46,8 @@ def sales(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.concat(F.lit("c"), F.col("c_custkey").cast("string"), F.lit("@example.com")).alias("Email"),
         F.col("p_name").alias("Item"),
         F.col("l_quantity").cast("int").alias("Quantity"),
-        F.col("p_retailprice").cast("decimal(18,2)").alias("UnitPrice"),
-        F.col("l_tax").cast("decimal(18,2)").alias("Tax"),
+        F.col("p_retailprice").cast(MONEY).alias("UnitPrice"),
+        F.col("l_tax").cast(MONEY).alias("Tax"),
     )
 
 
@@ -61,8 +62,8 @@ sales AS (
          'c' || CAST(c.c_custkey AS VARCHAR) || '@example.com' AS Email,
          p.p_name AS Item,
          CAST(l.l_quantity AS INTEGER) AS Quantity,
-         CAST(p.p_retailprice AS DECIMAL(18,2)) AS UnitPrice,
-         CAST(l.l_tax AS DECIMAL(18,2)) AS Tax
+         CAST(p.p_retailprice AS DECIMAL(24,6)) AS UnitPrice,
+         CAST(l.l_tax AS DECIMAL(24,6)) AS Tax
   FROM lineitem l
   JOIN orders o ON l.l_orderkey = o.o_orderkey
   JOIN customer c ON o.o_custkey = c.c_custkey

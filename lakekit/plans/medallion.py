@@ -12,18 +12,21 @@ import datetime as dt
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import (DateType, DecimalType, IntegerType, LongType, StringType, StructField,
                                StructType, BooleanType, TimestampNTZType)
 
-from lakekit.functions.scalar import before_date, null_or_empty_default, split_word, word_or_empty
+from lakekit.functions.scalar import MONEY_SCALE, before_date, null_or_empty_default, split_word, word_or_empty, year_range
 from lakekit.operators.keys import assign_surrogate_keys, max_key
 from lakekit.operators.merge import assert_unique_keys, merge_insert_only, merge_upsert
-from lakekit.session import maybe_broadcast
+from lakekit.session import reliable_checkpoint
 from lakekit.sources.files import read_csv_typed, with_lineage
 from lakekit.sources.snapshots import SnapshotTable
 
+# Unit prices and taxes keep six places (the files hold up to four).
+MEASURE = DecimalType(24, MONEY_SCALE)
+
 BRONZE_SCHEMA = StructType([
     StructField("SalesOrderNumber", StringType()),
     StructField("SalesOrderLineNumber", IntegerType()),
@@ -32,8 +35,8 @@ BRONZE_SCHEMA = StructType([
     StructField("Email", StringType()),
     StructField("Item", StringType()),
     StructField("Quantity", IntegerType()),
-    StructField("UnitPrice", DecimalType(18, 2)),
-    StructField("Tax", DecimalType(18, 2)),
+    StructField("UnitPrice", MEASURE),
+    StructField("Tax", MEASURE),
 ])
 
 SILVER_SCHEMA = StructType(list(BRONZE_SCHEMA.fields) + [
@@ -61,9 +64,6 @@ DIM_PRODUCT_SCHEMA = StructType([
 FACT_COLUMNS = ("SalesOrderNumber", "SalesOrderLineNumber", "CustomerID", "ItemID", "OrderDate",
                 "Quantity", "UnitPrice", "Tax")
 
-# Row bound under which a dimension is shipped whole to every executor for the fact join.
-DIM_BROADCAST_ROWS = 1_000_000
-
 
 # ------------------------------------------------------------------ silver
 
@@ -92,7 +92,8 @@ def bronze_to_silver(spark: SparkSession, bronze_glob: str, silver: SnapshotTabl
     if bad_rows == "quarantine":
         bronze = bronze[0]
     updates = silver_enrich(with_lineage(bronze), flag_before=flag_before, as_of=as_of)
-    updates = updates.select(*SILVER_SCHEMA.fieldNames())
+    # parsed once: the key check and the merge read the written rows
+    updates = reliable_checkpoint(updates.select(*SILVER_SCHEMA.fieldNames()))
     if silver.snapshots():
         merged = merge_upsert(silver.read(), updates, keys, preserve=("CreatedTS",))
     else:
@@ -122,12 +123,32 @@ def dim_date(sales: DataFrame, existing: DataFrame | None = None) -> DataFrame:
     return merge_insert_only(existing, dates, ["OrderDate"])
 
 
+def _same(left: DataFrame, right: DataFrame, pairs) -> Column:
+    """NULL-safe equality of column pairs: a NULL key is a member like any other."""
+    cond = F.lit(True)
+    for a, b in pairs:
+        cond = cond & left[a].eqNullSafe(right[b])
+    return cond
+
+
+def _unseen(members: DataFrame, existing: DataFrame, key: Sequence[str]) -> DataFrame:
+    """Members whose key the dimension does not hold yet."""
+    seen = existing.select(*(F.col(c).alias(f"__{c}") for c in key))
+    return members.join(seen, _same(members, seen, [(c, f"__{c}") for c in key]), "left_anti")
+
+
+def _with_id(rows: DataFrame, dim: DataFrame, pairs, id_col: str) -> DataFrame:
+    """Look up ``id_col`` by NULL-safe key pairs (row column, dimension column)."""
+    d = dim.select(*(F.col(b).alias(f"__{b}") for _, b in pairs), id_col)
+    return rows.join(d, _same(rows, d, [(a, f"__{b}") for a, b in pairs]), "left").drop(*(f"__{b}" for _, b in pairs))
+
+
 def dim_customer(sales: DataFrame, existing: DataFrame | None = None) -> DataFrame:
     """Customer dimension: one key (name, email) for dedup, anti join and ids."""
     spark = sales.sparkSession
     existing = existing if existing is not None else empty(spark, DIM_CUSTOMER_SCHEMA)
     members = sales.select(*CUSTOMER_KEY).distinct()
-    new = (members.join(existing.select(*CUSTOMER_KEY), list(CUSTOMER_KEY), "left_anti")
+    new = (_unseen(members, existing, CUSTOMER_KEY)
            .withColumn("First", split_word("CustomerName", 0))
            .withColumn("Last", split_word("CustomerName", 1)))
     new = assign_surrogate_keys(new, list(CUSTOMER_KEY), "CustomerID", start_after=max_key(existing, "CustomerID"))
@@ -144,23 +165,16 @@ def dim_product(sales: DataFrame, existing: DataFrame | None = None) -> DataFram
     spark = sales.sparkSession
     existing = existing if existing is not None else empty(spark, DIM_PRODUCT_SCHEMA)
     members = product_parts(sales.select("Item").distinct()).select(*PRODUCT_KEY).distinct()
-    new = members.join(existing.select(*PRODUCT_KEY), list(PRODUCT_KEY), "left_anti")
+    new = _unseen(members, existing, PRODUCT_KEY)
     new = assign_surrogate_keys(new, list(PRODUCT_KEY), "ItemID", start_after=max_key(existing, "ItemID"))
     return existing.unionByName(new.select(*DIM_PRODUCT_SCHEMA.fieldNames()))
 
 
 def build_fact_sales(sales: DataFrame, dim_cust: DataFrame, dim_prod: DataFrame) -> DataFrame:
-    """Fact rows with both surrogate keys looked up by left joins.
-
-    Each dimension is broadcast only behind a proven row bound; above it the join is
-    a shuffle join that AQE may still turn into a broadcast at run time.
-    """
-    c = maybe_broadcast(dim_cust.select(*CUSTOMER_KEY, "CustomerID"), DIM_BROADCAST_ROWS)
-    p = maybe_broadcast(dim_prod.select(*PRODUCT_KEY, "ItemID"), DIM_BROADCAST_ROWS)
-    return (product_parts(sales)
-            .join(c, list(CUSTOMER_KEY), "left")
-            .join(p, list(PRODUCT_KEY), "left")
-            .select(*FACT_COLUMNS))
+    """Fact rows with both surrogate keys looked up by NULL-safe left joins.
+    Spark broadcasts a dimension that is small by its bytes."""
+    rows = _with_id(product_parts(sales), dim_cust, [(c, c) for c in CUSTOMER_KEY], "CustomerID")
+    return _with_id(rows, dim_prod, [(c, c) for c in PRODUCT_KEY], "ItemID").select(*FACT_COLUMNS)
 
 
 @dataclass
@@ -171,73 +185,65 @@ class Star:
     fact: DataFrame
 
 
-def build_star(sales: DataFrame, current: Star | None = None) -> Star:
-    """The whole gold build (M15): dims first, then the fact against the new dims.
+def build_star(sales: DataFrame, current: Star | None = None, tables: dict[str, SnapshotTable] | None = None) -> Star:
+    """The whole gold build (M15): dims first, then the fact against the dims as written.
 
-    The fact merge is insert-only on the sales line, so running the build twice on
-    the same silver data gives the same fact (X18).
+    Each table is written once, as a new snapshot of ``tables`` (or to the shared
+    checkpoint folder), and read back.  The fact merge is insert-only on the sales
+    line, so running the build twice on the same silver data gives the same fact (X18).
     """
     spark = sales.sparkSession
-    d = dim_date(sales, current.dim_date if current else empty(spark, DIM_DATE_SCHEMA))
-    c = dim_customer(sales, current.dim_customer if current else None)
-    p = dim_product(sales, current.dim_product if current else None)
-    fact_new = build_fact_sales(sales, c, p)
-    # facts are the large side by nature: go straight to the shuffle anti join instead of
-    # paying a bounded count to learn that the batch is too big to broadcast
-    fact = (merge_insert_only(current.fact, fact_new, list(LINE_KEY), strategy="shuffle")
-            if current else fact_new)
-    return Star(d, c, p, fact)
-
-
-def persist_star(star: Star, tables: dict[str, SnapshotTable]) -> Star:
-    """Write each table as a new snapshot (dims before the fact) and re-read them."""
-    out = {}
-    for name in ("dim_date", "dim_customer", "dim_product", "fact"):
-        t = tables[name]
-        t.write(getattr(star, name))
-        out[name] = t.read()
-    return Star(**out)
+
+    def landed(name: str, df: DataFrame) -> DataFrame:
+        if tables is None:
+            return reliable_checkpoint(df)
+        tables[name].write(df)
+        return tables[name].read()
+
+    d = landed("dim_date", dim_date(sales, current.dim_date if current else empty(spark, DIM_DATE_SCHEMA)))
+    c = landed("dim_customer", dim_customer(sales, current.dim_customer if current else None))
+    p = landed("dim_product", dim_product(sales, current.dim_product if current else None))
+    fact = build_fact_sales(sales, c, p)
+    if current:
+        fact = merge_insert_only(current.fact, fact, list(LINE_KEY))
+    return Star(d, c, p, landed("fact", fact))
 
 
 # ------------------------------------------------------------------ year-scoped warehouse load
 
+CUSTOMER_ROW = StructType([StructField("CustomerID", LongType()), StructField("CustomerName", StringType()),
+                           StructField("EmailAddress", StringType())])
+ITEM_ROW = StructType([StructField("ItemID", LongType()), StructField("ItemName", StringType())])
+
+
 def load_year(staging: DataFrame, year: int, dim_cust: DataFrame | None = None,
               dim_item: DataFrame | None = None) -> Star:
     """Year-scoped load (M16): customer and item dims from the year's staging rows
     (DISTINCT + NOT EXISTS), then the year's facts with explicit casts (F9).
 
-    Names are not used as ids (X19): both dims get surrogate keys.
+    The year's rows are written once and read for both dims and the fact.  Names are not
+    used as ids (X19): both dims get surrogate keys.
     """
-    from lakekit.functions.scalar import year_range
-
     spark = staging.sparkSession
     rows = staging.filter(year_range(F.col("OrderDate").cast("date"), year))
-    dim_cust = dim_cust if dim_cust is not None else empty(spark, StructType([
-        StructField("CustomerID", LongType()), StructField("CustomerName", StringType()),
-        StructField("EmailAddress", StringType())]))
-    dim_item = dim_item if dim_item is not None else empty(spark, StructType([
-        StructField("ItemID", LongType()), StructField("ItemName", StringType())]))
-    cust = (rows.select("CustomerName", F.col("Email").alias("EmailAddress")).distinct()
-            .join(dim_cust.select("CustomerName", "EmailAddress"), ["CustomerName", "EmailAddress"], "left_anti"))
-    cust = assign_surrogate_keys(cust, ["CustomerName", "EmailAddress"], "CustomerID",
-                                 start_after=max_key(dim_cust, "CustomerID"))
-    dim_cust = dim_cust.unionByName(cust.select("CustomerID", "CustomerName", "EmailAddress"))
-    items = (rows.select(F.col("Item").alias("ItemName")).distinct()
-             .join(dim_item.select("ItemName"), ["ItemName"], "left_anti"))
-    items = assign_surrogate_keys(items, ["ItemName"], "ItemID", start_after=max_key(dim_item, "ItemID"))
-    dim_item = dim_item.unionByName(items.select("ItemID", "ItemName"))
-    c = maybe_broadcast(dim_cust, DIM_BROADCAST_ROWS)
-    i = maybe_broadcast(dim_item, DIM_BROADCAST_ROWS)
-    fact = (rows.withColumnRenamed("Email", "EmailAddress").withColumnRenamed("Item", "ItemName")
-            .join(c, ["CustomerName", "EmailAddress"], "left")
-            .join(i, ["ItemName"], "left")
-            .select("CustomerID", "ItemID", "SalesOrderNumber",
-                    F.col("SalesOrderLineNumber").cast("int").alias("SalesOrderLineNumber"),
-                    F.col("OrderDate").cast("date").alias("OrderDate"),
-                    F.col("Quantity").cast("int").alias("Quantity"),
-                    F.col("Tax").cast("double").alias("TaxAmount"),
-                    F.col("UnitPrice").cast("double").alias("UnitPrice")))
-    return Star(None, dim_cust, dim_item, fact)
+    rows = reliable_checkpoint(rows.select(
+        "SalesOrderNumber", F.col("SalesOrderLineNumber").cast("int").alias("SalesOrderLineNumber"),
+        F.col("OrderDate").cast("date").alias("OrderDate"), "CustomerName", F.col("Email").alias("EmailAddress"),
+        F.col("Item").alias("ItemName"), F.col("Quantity").cast("int").alias("Quantity"),
+        F.col("Tax").cast("double").alias("TaxAmount"), F.col("UnitPrice").cast("double").alias("UnitPrice")))
+
+    def grown(dim: DataFrame | None, row: StructType) -> DataFrame:
+        id_col, *key = row.fieldNames()
+        dim = dim if dim is not None else empty(spark, row)
+        new = assign_surrogate_keys(_unseen(rows.select(*key).distinct(), dim, key), key, id_col,
+                                    start_after=max_key(dim, id_col))
+        return reliable_checkpoint(dim.unionByName(new.select(id_col, *key)))
+
+    cust, item = grown(dim_cust, CUSTOMER_ROW), grown(dim_item, ITEM_ROW)
+    fact = _with_id(rows, cust, [("CustomerName", "CustomerName"), ("EmailAddress", "EmailAddress")], "CustomerID")
+    fact = _with_id(fact, item, [("ItemName", "ItemName")], "ItemID")
+    return Star(None, cust, item, fact.select("CustomerID", "ItemID", "SalesOrderNumber", "SalesOrderLineNumber",
+                                              "OrderDate", "Quantity", "TaxAmount", "UnitPrice"))
 
 
 def flag_legacy_orders(orders: DataFrame, before=dt.date(1998, 8, 1)) -> DataFrame:

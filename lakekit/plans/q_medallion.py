@@ -150,8 +150,8 @@ def _two_loads(spark, sf_dir):
     """Gold built in two runs: orders before the cut first, then everything."""
     sales = silver_table(spark, sf_dir)
     tables = _gold_tables(spark)
-    first = md.persist_star(md.build_star(sales.filter(F.col("OrderDate") < F.lit(fx.FIRST_LOAD_CUT))), tables)
-    return sales, first, md.persist_star(md.build_star(sales, first), tables)
+    first = md.build_star(sales.filter(F.col("OrderDate") < F.lit(fx.FIRST_LOAD_CUT)), tables=tables)
+    return sales, first, md.build_star(sales, first, tables)
 
 
 @query("dim_date", f"""WITH {fx.SQL_SALES}
@@ -205,8 +205,8 @@ def q_build_star(spark, sf_dir):
     """Gold build run twice over the same silver data: the second run adds nothing."""
     sales = silver_table(spark, sf_dir)
     tables = _gold_tables(spark)
-    once = md.persist_star(md.build_star(sales), tables)
-    twice = md.persist_star(md.build_star(sales, once), tables)
+    once = md.build_star(sales, tables=tables)
+    twice = md.build_star(sales, once, tables)
     return twice.fact
 
 
@@ -229,11 +229,14 @@ def q_orphan_facts(spark, sf_dir):
     return orphan_facts(fact, dim1, "CustomerID")
 
 
-@query("load_year", f"""WITH {fx.SQL_SALES},
+SQL_YEAR = f"""{fx.SQL_SALES},
 yr AS (SELECT * FROM sales WHERE YEAR(OrderDate) = {LOAD_YEAR}),
 dc AS (SELECT CustomerName, EmailAddress, row_number() OVER (ORDER BY CustomerName, EmailAddress) AS CustomerID
        FROM (SELECT DISTINCT CustomerName, Email AS EmailAddress FROM yr)),
-di AS (SELECT ItemName, row_number() OVER (ORDER BY ItemName) AS ItemID FROM (SELECT DISTINCT Item AS ItemName FROM yr))
+di AS (SELECT ItemName, row_number() OVER (ORDER BY ItemName) AS ItemID FROM (SELECT DISTINCT Item AS ItemName FROM yr))"""
+
+
+@query("load_year", f"""WITH {SQL_YEAR}
 SELECT CAST(dc.CustomerID AS BIGINT) AS CustomerID, CAST(di.ItemID AS BIGINT) AS ItemID, y.SalesOrderNumber,
        CAST(y.SalesOrderLineNumber AS INTEGER) AS SalesOrderLineNumber, CAST(y.OrderDate AS DATE) AS OrderDate,
        CAST(y.Quantity AS INTEGER) AS Quantity, CAST(y.Tax AS DOUBLE) AS TaxAmount,
@@ -242,3 +245,40 @@ FROM yr y JOIN dc ON y.CustomerName = dc.CustomerName AND y.Email = dc.EmailAddr
 JOIN di ON y.Item = di.ItemName""")
 def q_load_year(spark, sf_dir):
     return md.load_year(fx.sales(spark, sf_dir), LOAD_YEAR).fact
+
+
+@query("load_year_customers", f"""WITH {SQL_YEAR}
+SELECT CAST(CustomerID AS BIGINT) AS CustomerID, CustomerName, EmailAddress FROM dc""")
+def q_load_year_customers(spark, sf_dir):
+    return md.load_year(fx.sales(spark, sf_dir), LOAD_YEAR).dim_customer
+
+
+@query("load_year_items", f"""WITH {SQL_YEAR} SELECT CAST(ItemID AS BIGINT) AS ItemID, ItemName FROM di""")
+def q_load_year_items(spark, sf_dir):
+    return md.load_year(fx.sales(spark, sf_dir), LOAD_YEAR).dim_product
+
+
+SQL_HOLED = fx.SQL_SALES + """,
+holed AS (SELECT SalesOrderNumber, SalesOrderLineNumber, OrderDate, CustomerName,
+                 CASE WHEN SalesOrderLineNumber % 3 <> 0 THEN Email END AS Email,
+                 CASE WHEN SalesOrderLineNumber % 4 <> 0 THEN Item END AS Item, Quantity, UnitPrice, Tax FROM sales)"""
+
+
+@query("build_star_null_keys", f"""WITH {SQL_HOLED},
+dc AS (SELECT CustomerName, Email, row_number() OVER (ORDER BY CustomerName NULLS FIRST, Email NULLS FIRST) AS CustomerID
+       FROM (SELECT DISTINCT CustomerName, Email FROM holed)),
+i AS (SELECT *, string_split(Item, ' ')[1] AS ItemName, COALESCE(NULLIF(string_split(Item, ' ')[2], ''), '') AS ItemInfo FROM holed),
+dp AS (SELECT ItemName, ItemInfo, row_number() OVER (ORDER BY ItemName NULLS FIRST, ItemInfo NULLS FIRST) AS ItemID
+       FROM (SELECT DISTINCT ItemName, ItemInfo FROM i))
+SELECT i.SalesOrderNumber, i.SalesOrderLineNumber, CAST(dc.CustomerID AS BIGINT) AS CustomerID,
+       CAST(dp.ItemID AS BIGINT) AS ItemID, i.OrderDate, i.Quantity, i.UnitPrice, i.Tax
+FROM i LEFT JOIN dc ON i.CustomerName IS NOT DISTINCT FROM dc.CustomerName AND i.Email IS NOT DISTINCT FROM dc.Email
+LEFT JOIN dp ON i.ItemName IS NOT DISTINCT FROM dp.ItemName AND i.ItemInfo IS NOT DISTINCT FROM dp.ItemInfo""")
+def q_build_star_null_keys(spark, sf_dir):
+    """Lines without an email or an item find their members, and a second build adds none."""
+    line = F.col("SalesOrderLineNumber")
+    sales = silver_table(spark, sf_dir).withColumns({"Email": F.when(line % 3 != 0, F.col("Email")),
+                                                     "Item": F.when(line % 4 != 0, F.col("Item"))})
+    tables = _gold_tables(spark)
+    once = md.build_star(sales, tables=tables)
+    return md.build_star(sales, once, tables).fact

@@ -15,7 +15,7 @@ from lakekit.plans.registry import query
 from lakekit.session import work_dir
 from lakekit.sources import files as fs
 from lakekit.sources import tables as tb
-from lakekit.sources.snapshots import SnapshotTable
+from lakekit.sources.snapshots import SnapshotTable, as_of
 
 # Fixed snapshot times of the demo table.
 T1 = dt.datetime(2025, 4, 18, 19, 39, 35)
@@ -94,28 +94,111 @@ def q_file_to_table(spark, sf_dir):
     return tb.file_to_table(spark, path, work_dir(spark, "file-table") + "/customer", schema=schema)
 
 
-@query("ctas", "SELECT * FROM customer WHERE c_acctbal > 0")
+@query("ctas", "SELECT * FROM customer")
 def q_ctas(spark, sf_dir):
-    c = tb.load(spark, sf_dir, "customer")
-    return tb.ctas(c.filter(F.col("c_acctbal") > 0), work_dir(spark, "ctas") + "/gold_customer")
+    return tb.ctas(tb.load(spark, sf_dir, "customer"), work_dir(spark, "ctas") + "/gold_customer")
+
+
+@query("drop_table", "SELECT * FROM nation")
+def q_drop_table(spark, sf_dir):
+    """A table created, dropped and created anew under its name with other columns."""
+    path = work_dir(spark, "drop") + "/t"
+    tb.ctas(tb.load(spark, sf_dir, "customer"), path)
+    assert tb.drop_table(spark, path) and not tb.drop_table(spark, path)
+    return tb.ctas(tb.load(spark, sf_dir, "nation"), path)
+
+
+@query("append_rows", "SELECT * FROM region")
+def q_append_rows(spark, sf_dir):
+    """``INSERT ... VALUES`` of the few region rows into a table created empty."""
+    region = tb.load(spark, sf_dir, "region")
+    path = work_dir(spark, "values") + "/region"
+    tb.ensure_table(spark, path, region.schema)
+    tb.append_rows(spark, path, region.collect(), region.schema)
+    return spark.read.schema(region.schema).parquet(path)
+
+
+@query("view_as_of", """
+SELECT o_orderpriority, count(*) AS n, max(o_orderkey) AS newest FROM orders WHERE o_orderdate < TIMESTAMP '1998-01-01'
+GROUP BY o_orderpriority""")
+def q_view_as_of(spark, sf_dir):
+    """A view over a table, read as of a time between its two versions."""
+    def view(orders):
+        return orders.groupBy("o_orderpriority").agg(F.count("*").alias("n"), F.max("o_orderkey").alias("newest"))
+
+    return view(**as_of({"orders": _orders_table(spark, sf_dir)}, T_BETWEEN))
+
+
+def _bad_csv(spark, sf_dir):
+    """Customers as CSV, every 10th with a nation key that is no number."""
+    c = tb.load(spark, sf_dir, "customer").select("c_custkey", "c_name", "c_nationkey", "c_acctbal")
+    path = work_dir(spark, "bad-csv")
+    nation = F.when(F.col("c_custkey") % 10 == 0, F.lit("none")).otherwise(F.col("c_nationkey").cast("string"))
+    c.withColumn("c_nationkey", nation).write.option("header", True).csv(path)
+    return c.schema, path
+
+
+@query("csv_bad_rows_null", """
+SELECT c_custkey, c_name, CASE WHEN c_custkey % 10 <> 0 THEN c_nationkey END AS c_nationkey, c_acctbal FROM customer""")
+def q_csv_bad_rows_null(spark, sf_dir):
+    schema, path = _bad_csv(spark, sf_dir)
+    return fs.read_csv_typed(spark, path, schema, bad_rows="null")
+
+
+@query("csv_bad_rows_drop", "SELECT c_custkey, c_name, c_nationkey, c_acctbal FROM customer WHERE c_custkey % 10 <> 0")
+def q_csv_bad_rows_drop(spark, sf_dir):
+    schema, path = _bad_csv(spark, sf_dir)
+    return fs.read_csv_typed(spark, path, schema, bad_rows="drop")
+
+
+@query("csv_bad_rows_quarantine", """
+SELECT c_custkey, c_custkey % 10 = 0 AS quarantined FROM customer""")
+def q_csv_bad_rows_quarantine(spark, sf_dir):
+    """Every row is in one of the two frames; the bad one keeps the raw line."""
+    schema, path = _bad_csv(spark, sf_dir)
+    good, bad = fs.read_csv_typed(spark, path, schema, bad_rows="quarantine")
+    raw_key = F.split(fs.CORRUPT, ",")[0].cast(schema["c_custkey"].dataType)
+    return (good.select("c_custkey", F.lit(False).alias("quarantined"))
+            .unionByName(bad.select(raw_key.alias("c_custkey"), F.lit(True).alias("quarantined"))))
 
 
 DROP_SCHEMA = StructType([StructField("o_orderkey", LongType()), StructField("o_custkey", LongType()),
                           StructField("OrderDate", DateType())])
 
 
-@query("read_dated_files", """
-SELECT o_orderkey, o_custkey, CAST(o_orderdate AS DATE) AS OrderDate,
-       make_date(CAST(year(o_orderdate) AS INTEGER), 1, 1) AS file_date FROM orders""")
-def q_read_dated_files(spark, sf_dir):
-    """Orders dropped as one dated file per year (``orders_YYYY-01-01.csv``), read back in one scan."""
+def _dated_drops(spark, sf_dir):
+    """Orders dropped as one dated file per year (``orders_YYYY-01-01.csv``)."""
     o = tb.load(spark, sf_dir, "orders")
     root = work_dir(spark, "drops")
     drops = o.select("o_orderkey", "o_custkey", F.col("o_orderdate").cast("date").alias("OrderDate"),
                      F.concat(F.lit("orders_"), F.year("o_orderdate").cast("string"), F.lit("-01-01.csv"))
                      .alias("drop"))
     drops.write.partitionBy("drop").option("header", True).csv(root)
-    return fs.read_dated_files(spark, root, DROP_SCHEMA, name_col=None)
+    return root
+
+
+SQL_DATED = """SELECT o_orderkey, o_custkey, CAST(o_orderdate AS DATE) AS OrderDate,
+       make_date(CAST(year(o_orderdate) AS INTEGER), 1, 1) AS file_date"""
+
+
+@query("read_dated_files", f"{SQL_DATED} FROM orders")
+def q_read_dated_files(spark, sf_dir):
+    """The drops read back in one scan, the date found by pattern."""
+    return fs.read_dated_files(spark, _dated_drops(spark, sf_dir), DROP_SCHEMA, name_col=None)
+
+
+@query("read_dated_files_offset", f"{SQL_DATED} FROM orders")
+def q_read_dated_files_offset(spark, sf_dir):
+    """The date cut out by place, as ``substring(name, offset, length)`` does (folder names start with ``drop=``)."""
+    return fs.read_dated_files(spark, _dated_drops(spark, sf_dir), DROP_SCHEMA, name_col=None, offset=len("drop=orders_"))
+
+
+@query("read_with_lineage", """
+SELECT o_orderkey, 'drop=orders_' || CAST(year(o_orderdate) AS VARCHAR) || '-01-01.csv' AS folder FROM orders""")
+def q_read_with_lineage(spark, sf_dir):
+    """The file each row came from, by its folder."""
+    rows = spark.read.option("header", True).option("recursiveFileLookup", True).schema(DROP_SCHEMA).csv(_dated_drops(spark, sf_dir))
+    return fs.with_lineage(rows).select("o_orderkey", F.element_at(F.split("FileName", "/"), -2).alias("folder"))
 
 
 @query("append_query", "SELECT * FROM orders")

@@ -13,7 +13,7 @@ from lakekit.streaming import mview as mv
 from lakekit.streaming import stream as st
 from lakekit.streaming import windows as wn
 
-SQL_DEC_SUM = "CAST(sum(CAST(value AS DECIMAL(18,2))) AS DECIMAL(38,2))"
+SQL_DEC_SUM = "CAST(sum(CAST(value AS DECIMAL(24,6))) AS DECIMAL(38,6))"
 
 
 def _events_stream(spark, sf_dir):
@@ -43,7 +43,7 @@ WITH o AS (SELECT user_id, ts, value,
 s AS (SELECT *, sum(new_s) OVER (PARTITION BY user_id ORDER BY ts ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)
                 AS sid FROM o),
 g AS (SELECT user_id, min(ts) AS session_start, max(ts) + INTERVAL 30 MINUTE AS session_end, count(*) AS n_events,
-             CAST(sum(CAST(value AS DECIMAL(18,2))) AS DECIMAL(38,2)) AS total_value
+             CAST(sum(CAST(value AS DECIMAL(24,6))) AS DECIMAL(38,6)) AS total_value
       FROM s GROUP BY user_id, sid)
 SELECT * FROM g WHERE session_end <= (SELECT max(ts) FROM events) - INTERVAL 1 HOUR""")
 def q_stream_user_sessions(spark, sf_dir):

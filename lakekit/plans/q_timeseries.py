@@ -10,8 +10,8 @@ from lakekit.plans.registry import query
 from lakekit.sources.tables import load
 
 ASOF = fx.SQL_EVENTS_AS_OF
-SQL_AVG = "CAST(SUM(CAST(fare_amount AS DECIMAL(18,2))) AS DOUBLE) / CAST(COUNT(fare_amount) AS DOUBLE)"
-SQL_SUM = "CAST(SUM(CAST(fare_amount AS DECIMAL(18,2))) AS DECIMAL(38,2))"
+SQL_AVG = "CAST(SUM(CAST(fare_amount AS DECIMAL(24,6))) AS DOUBLE) / CAST(COUNT(fare_amount) AS DOUBLE)"
+SQL_SUM = "CAST(SUM(CAST(fare_amount AS DECIMAL(24,6))) AS DECIMAL(38,6))"
 FUNNEL_VENDOR = "click"
 MIN_PASSENGERS = 3
 

@@ -125,3 +125,32 @@ def q_compare_stores(spark, sf_dir):
     a = s.filter(F.col("s_acctbal") < STORE_A_BELOW)
     b = s.filter(F.col("s_acctbal") >= STORE_B_FROM)
     return wh.compare_stores(a, b)
+
+
+# ------------------------------------------------------------------ the same functions, called from SQL
+
+def _sql_functions(spark, sf_dir):
+    vw.register_table_functions(spark, fx.employees(spark, sf_dir), fx.taxi_trips(spark, sf_dir))
+    return spark
+
+
+@query("sql_employee_function", f"WITH {fx.SQL_EMPLOYEES} SELECT * FROM employees WHERE employee_id = {EMPLOYEE_ID}")
+def q_sql_employee_function(spark, sf_dir):
+    return _sql_functions(spark, sf_dir).sql(f"SELECT * FROM employee_function({EMPLOYEE_ID})")
+
+
+@query("sql_high_earners", f"""WITH {fx.SQL_EMPLOYEES}
+SELECT employee_id, name, salary FROM employees WHERE department_id = {HIGH_EARNER_DEPT} AND salary >= {HIGH_EARNER_MIN}""")
+def q_sql_high_earners(spark, sf_dir):
+    return _sql_functions(spark, sf_dir).sql(f"SELECT * FROM get_high_earners_by_dept({HIGH_EARNER_DEPT}, {HIGH_EARNER_MIN})")
+
+
+@query("sql_employee_tenure", f"""WITH {fx.SQL_EMPLOYEES}
+SELECT name, hire_date, CAST(2000 - year(hire_date) AS INTEGER) AS years_employed FROM employees WHERE employee_id = {EMPLOYEE_ID}""")
+def q_sql_employee_tenure(spark, sf_dir):
+    return _sql_functions(spark, sf_dir).sql(f"SELECT * FROM get_employee_tenure({EMPLOYEE_ID}, DATE '2000-06-01')")
+
+
+@query("sql_trips_function", f"WITH {fx.SQL_TRIPS} SELECT trip_id, pickup_datetime FROM trips WHERE passenger_count >= 3")
+def q_sql_trips_function(spark, sf_dir):
+    return _sql_functions(spark, sf_dir).sql("SELECT * FROM trips_by_min_passenger_count(3)")

@@ -11,8 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lakekit.functions.scalar import ago, exact_avg, exact_sum
-from lakekit.session import maybe_broadcast
+from lakekit.functions.scalar import ago, exact_avg, exact_sum, interval
 
 
 def recent_window_filter(trips: DataFrame, as_of: Column, span: str = "30min") -> DataFrame:
@@ -79,8 +78,7 @@ def daily_metrics(trips: DataFrame) -> DataFrame:
 
 def last_days(view: DataFrame, as_of: Column, span: str = "7d") -> DataFrame:
     """``where pickup_date >= ago(7d) | project ... | sort by pickup_date desc, total_revenue desc`` (V4, O2)."""
-    return (view.filter(F.col("pickup_date").cast("timestamp_ntz") >= (as_of - F.expr(
-        f"INTERVAL {int(span[:-1])} DAYS")))
+    return (view.filter(F.col("pickup_date").cast("timestamp_ntz") >= (as_of - interval(span)))
             .select("pickup_date", "vendor_id", "trips", "avg_fare", "total_revenue")
             .orderBy(F.desc("pickup_date"), F.desc("total_revenue"), "vendor_id"))
 
@@ -96,7 +94,7 @@ def take_ordered(df: DataFrame, n: int, *order) -> DataFrame:
     return df.orderBy(*order).limit(n)
 
 
-def small_first_join(small: DataFrame, big: DataFrame, on, max_rows: int = 1_000_000) -> DataFrame:
+def small_first_join(small: DataFrame, big: DataFrame, on) -> DataFrame:
     """``Small | join kind=inner Big on k`` (J8).  In Spark the written order does not
-    matter; the small side is broadcast only behind a proven row bound."""
-    return maybe_broadcast(small, max_rows).join(big, on, "inner")
+    matter: the side that is small by its measured bytes is broadcast."""
+    return small.join(big, on, "inner")

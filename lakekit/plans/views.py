@@ -90,6 +90,10 @@ def register_table_functions(spark: SparkSession, employees: DataFrame, trips: D
                  RETURNS TABLE (employee_id BIGINT, name STRING, salary DECIMAL(18,2))
                  RETURN SELECT employee_id, name, salary FROM lk_employees
                         WHERE department_id = p_dept AND salary >= p_min""")
+    spark.sql("""CREATE OR REPLACE TEMPORARY FUNCTION get_employee_tenure(p_id BIGINT, p_as_of DATE)
+                 RETURNS TABLE (name STRING, hire_date DATE, years_employed INT)
+                 RETURN SELECT name, hire_date, year(p_as_of) - year(hire_date) FROM lk_employees
+                        WHERE employee_id = p_id""")
     if trips is not None:
         trips.createOrReplaceTempView("lk_trips")
         spark.sql("""CREATE OR REPLACE TEMPORARY FUNCTION trips_by_min_passenger_count(num_passengers BIGINT)

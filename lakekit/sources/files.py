@@ -14,16 +14,17 @@ BAD_ROW_MODES = ("null", "drop", "fail", "quarantine")
 
 
 def read_csv_typed(spark: SparkSession, path: str, schema: StructType, *, header: bool = True, sep: str = ",",
-                   bad_rows: str = "null", date_format: str | None = None):
+                   bad_rows: str = "null", date_format: str | None = None, multi_line: bool = False):
     """CSV with an explicit schema (no inference).
 
     ``bad_rows``: ``"null"`` keeps the row and NULLs cells that do not parse (Spark's
     default), ``"drop"`` skips malformed rows, ``"fail"`` raises on the first one,
     ``"quarantine"`` returns ``(good, bad)`` where ``bad`` carries the raw line.
+    ``multi_line`` reads quoted line breaks as part of a cell; a file is then one task.
     """
     if bad_rows not in BAD_ROW_MODES:
         raise ValueError(f"bad_rows must be one of {BAD_ROW_MODES}")
-    reader = spark.read.option("header", header).option("sep", sep)
+    reader = spark.read.option("header", header).option("sep", sep).option("multiLine", multi_line)
     if date_format:
         reader = reader.option("dateFormat", date_format)
     if bad_rows == "quarantine":
@@ -60,12 +61,16 @@ def with_lineage(df: DataFrame, column: str = "FileName") -> DataFrame:
     return df.withColumn(column, F.col("_metadata.file_path"))
 
 
+# Names that Spark's writers give: part, task number, job id.
+SPARK_PART = r"^part-\d{5}-[0-9a-f]{8}(-[0-9a-f]{4}){3}-[0-9a-f]{12}"
+
+
 def drop_name() -> Column:
     """Name of the file drop a row came from: the file name, or for a folder written by
     Spark (``name.csv/part-…``) the folder's name."""
     fname = F.col("_metadata.file_name")
     parent = F.element_at(F.split(F.col("_metadata.file_path"), "/"), -2)
-    return F.when(fname.startswith("part-"), parent).otherwise(fname)
+    return F.when(fname.rlike(SPARK_PART), parent).otherwise(fname)
 
 
 def read_dated_files(spark: SparkSession, folder: str, schema: StructType, *, header: bool = True,

@@ -41,16 +41,8 @@ class SnapshotTable:
     # -- listing -----------------------------------------------------------------------------
     def snapshots(self) -> list[int]:
         """Committed snapshot ids (epoch microseconds), oldest first."""
-        root = self._Path(self.root)
-        if not self._fs.exists(root):
-            return []
-        out = []
-        for st in self._fs.listStatus(root):
-            name = st.getPath().getName()
-            if st.isDirectory() and name.startswith(PREFIX):
-                if self._fs.exists(self._Path(st.getPath(), "_SUCCESS")):
-                    out.append(int(name[len(PREFIX):]))
-        return sorted(out)
+        found = self._fs.globStatus(self._Path(f"{self.root}/{PREFIX}*/_SUCCESS")) or []
+        return sorted(int(st.getPath().getParent().getName()[len(PREFIX):]) for st in found)
 
     def _path(self, sid: int) -> str:
         return f"{self.root}/{PREFIX}{sid}"
@@ -81,6 +73,20 @@ class SnapshotTable:
         schema = self.read().schema
         return self.write(self.spark.createDataFrame([], schema), at)
 
+    def expire(self, keep: int) -> list[int]:
+        """Delete all but the newest ``keep`` snapshots; returns the ids deleted.  Frames read
+        from them stop working, so keep more than the longest-running reader needs."""
+        if keep < 1:
+            raise ValueError("at least one snapshot must be kept")
+        old = self.snapshots()[:-keep]
+        for sid in old:
+            self._fs.delete(self._Path(self._path(sid)), True)
+        return old
+
+    def drop(self) -> None:
+        """``DROP TABLE``: the folder and all snapshots."""
+        self._fs.delete(self._Path(self.root), True)
+
     def restore(self, snapshot: int, at=None) -> int:
         """Make an older snapshot the newest again (copy; history is kept)."""
         return self.write(self.read_snapshot(snapshot), at)

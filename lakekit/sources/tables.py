@@ -33,6 +33,16 @@ def ensure_table(spark: SparkSession, path: str, schema: StructType) -> DataFram
     return spark.read.schema(schema).parquet(path)
 
 
+def drop_table(spark: SparkSession, path: str, if_exists: bool = True) -> bool:
+    """``DROP TABLE [IF EXISTS]``: delete the table's folder; False when there was none."""
+    if not _exists(spark, path):
+        if if_exists:
+            return False
+        raise FileNotFoundError(f"no table at {path}")
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return bool(p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True))
+
+
 def append_rows(spark: SparkSession, path: str, rows: Iterable, schema: StructType) -> None:
     """``INSERT ... VALUES``: a literal, small row set appended to the table."""
     spark.createDataFrame(list(rows), schema).write.mode("append").parquet(path)

@@ -3,9 +3,11 @@
 The view stores partial aggregates — row count, and for every measure an exact
 decimal sum and a non-NULL count — never an average.  New data is aggregated on
 its own, then merged by adding partials per key (union + re-aggregate: one shuffle
-of two pre-aggregated sets), and written as a new snapshot tagged with the batch id.
-A batch id already applied is skipped, so a ``foreachBatch`` replay after a failure
-cannot count data twice.  Averages are derived on read as sum / count.
+of two pre-aggregated sets), and written as a new snapshot.  Each row of it carries, for
+every source, the last batch applied and a digest of that batch's partials: the same
+batch of the same source is a replay and skipped, so a ``foreachBatch`` replay after a
+failure cannot count data twice; other data under an id already applied raises.
+Averages are derived on read as sum / count.
 """
 
 from __future__ import annotations
@@ -16,17 +18,20 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lakekit.functions.scalar import MONEY, MONEY_SUM
+from lakekit.session import reliable_checkpoint
 from lakekit.sources.snapshots import SnapshotTable
 
 N = "__rows"
+APPLIED = "__applied"       # map: source -> struct(batch, digest)
 
 
 class MaterializedAggregate:
-    def __init__(self, spark: SparkSession, root: str, keys: Sequence[str], measures: Sequence[str]):
+    def __init__(self, spark: SparkSession, root: str, keys: Sequence[str], measures: Sequence[str], keep: int = 3):
         self.spark = spark
         self.table = SnapshotTable(spark, root)
         self.keys = list(keys)
         self.measures = list(measures)
+        self.keep = keep
 
     def partials(self, rows: DataFrame) -> DataFrame:
         """Aggregate new rows into partials (map-side combined before the shuffle)."""
@@ -36,34 +41,45 @@ class MaterializedAggregate:
                      F.count(F.col(m)).cast("bigint").alias(f"__cnt_{m}")]
         return rows.groupBy(*self.keys).agg(*aggs)
 
-    def applied_batches(self) -> list[int]:
-        return self.table.snapshots()
-
-    def refresh(self, rows: DataFrame, batch_id: int) -> bool:
-        """Fold ``rows`` into the view as batch ``batch_id``; False when already applied."""
-        done = self.applied_batches()
-        if batch_id in done:
-            return False
-        if done and batch_id < done[-1]:
-            raise ValueError(f"batch {batch_id} is older than the last applied batch {done[-1]}")
-        new = self.partials(rows)
-        if done:
+    def applied(self) -> dict[str, tuple[int, int]]:
+        """Last batch id and digest applied from each source."""
+        row = self.table.read().select(APPLIED).first() if self.table.snapshots() else None
+        return {k: (v["batch"], v["digest"]) for k, v in (row[0] if row else {}).items()}
+
+    def refresh(self, rows: DataFrame, batch_id: int, source: str = "default") -> bool:
+        """Fold ``rows`` into the view as batch ``batch_id`` of ``source``; False for a replay.
+
+        An id not above the source's last one is a replay only if it is that last batch with
+        the same data; anything else raises, since it would be lost or counted twice.
+        """
+        done = self.applied()
+        new = reliable_checkpoint(self.partials(rows))
+        digest = new.select(F.coalesce(F.bit_xor(F.xxhash64(*new.columns)), F.lit(0)).alias("d")).first()["d"]
+        if source in done and batch_id <= done[source][0]:
+            if (batch_id, digest) == done[source]:
+                return False
+            raise ValueError(f"batch {batch_id} of {source!r} is not a replay of the last applied, {done[source][0]}")
+        merged = new
+        if self.table.snapshots():
             parts = [c for c in new.columns if c not in self.keys]
-            both = self.table.read().unionByName(new)
+            both = self.table.read().drop(APPLIED).unionByName(new)
             merged = both.groupBy(*self.keys).agg(
                 *[F.sum(c).cast(MONEY_SUM if c.startswith("__sum_") else "bigint").alias(c) for c in parts])
-        else:
-            merged = new
-        self.table.write(merged, at=batch_id)
+        state = {**done, source: (batch_id, digest)}
+        entries = [x for k, (b, d) in sorted(state.items())
+                   for x in (F.lit(k), F.struct(F.lit(b).cast("bigint").alias("batch"), F.lit(d).cast("bigint").alias("digest")))]
+        self.table.write(merged.withColumn(APPLIED, F.create_map(*entries)))
+        self.table.expire(self.keep)
         return True
 
-    def read_partials(self, as_of_batch: int | None = None) -> DataFrame:
-        return self.table.read(as_of_batch)
+    def read_partials(self) -> DataFrame:
+        return self.table.read().drop(APPLIED)
 
-    def foreach_batch(self, transform=None):
-        """A ``foreachBatch`` callback keeping the view current as a stream runs."""
+    def foreach_batch(self, transform=None, source: str = "default"):
+        """A ``foreachBatch`` callback keeping the view current as a stream runs.  Each stream
+        checkpoint needs a ``source`` of its own: batch ids start anew with it."""
         def apply(batch: DataFrame, batch_id: int) -> None:
-            self.refresh(transform(batch) if transform else batch, batch_id)
+            self.refresh(transform(batch) if transform else batch, batch_id, source)
         return apply
 
 

@@ -10,6 +10,7 @@ Append-mode results use the Parquet file sink, whose commit log gives the same.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -33,9 +34,10 @@ def file_stream(spark: SparkSession, path: str, schema: StructType, *, event_tim
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
     if not _is_dir(spark, path):
-        parent = path.rstrip("/").rsplit("/", 1)[0]
+        # a stream needs a pattern: the last character as a class of one matches this file only
+        parent, name = path.rstrip("/").rsplit("/", 1)
         reader = reader.option("basePath", parent)
-        path = path + "*"
+        path = f"{parent}/{re.sub(r'([][*?{}])', r'[\1]', name[:-1])}[{name[-1]}]"
     df = reader.parquet(path)
     if event_time:
         df = df.withColumn(event_time, F.col(event_time).cast("timestamp"))
@@ -56,11 +58,13 @@ def to_ntz(df: DataFrame) -> DataFrame:
 
 def run_stream(stream: DataFrame, transform: Callable[[DataFrame], DataFrame], sink_root: str, checkpoint: str,
                *, output_mode: str = "complete", watermark: tuple[str, str] | None = None,
-               available_now: bool = True) -> SnapshotTable | str:
+               available_now: bool = True, keep: int = 3) -> SnapshotTable | str:
     """Run ``transform`` over ``stream`` until the input is drained (``availableNow``).
 
     Complete mode returns the snapshot table holding the latest full result; append
-    mode returns the Parquet folder of emitted rows.  With ``available_now=False`` the
+    mode returns the Parquet folder of emitted rows.  Append mode emits a window or session
+    once the watermark has passed its end: those still open when the input is drained stay in
+    the checkpoint and come with later input.  Complete mode keeps the newest ``keep`` results.  With ``available_now=False`` the
     query keeps running on a 10-second trigger and its ``StreamingQuery`` handle is
     returned instead (the caller stops it).
     """
@@ -77,6 +81,7 @@ def run_stream(stream: DataFrame, transform: Callable[[DataFrame], DataFrame], s
             if batch_id in sink.snapshots():
                 return  # replayed batch, already committed
             sink.write(to_ntz(batch), at=batch_id)
+            sink.expire(keep)
 
         q = writer.foreachBatch(write_batch).start()
         if not available_now:

@@ -5,12 +5,12 @@ they are shuffled window aggregations:
 
 * tumbling / sliding use ``F.window`` (epoch-aligned, also valid on a stream) or,
   for ``origin="first"`` (batch only), the same grid anchored at the first event;
-* sessions are built in two levels so no key — not even the single series with no
-  key at all — is processed whole by one task: ``session_window`` runs per
-  (key, time bucket), and sessions that cross a bucket boundary are stitched through
-  a per-bucket summary (one row per key and bucket).
+* sessions are built in levels so no key — not even the single series with no key at
+  all — is processed whole by one task: ``session_window`` runs per (key, time bucket),
+  what it finds is stitched within blocks of buckets, and only the first and last
+  session of each block meet in a window over the whole series.
 
-Sums of money are exact decimals; every event lands in exactly one tumbling window
+Sums are decimals with ``MONEY_SCALE`` places; every event lands in exactly one tumbling window
 (the reference drops events on the last boundary, X17 — ``reference_bounds`` keeps
 its rule for comparison).
 """
@@ -59,7 +59,8 @@ def tumbling(df: DataFrame, ts: str, size: str, value: str | None = None, keys:
              origin: str = "epoch", fill_empty: bool = False, reference_bounds: bool = False) -> DataFrame:
     """Non-overlapping windows ``[start, start + size)``; output keys, window_start,
     window_end, n_events (and total_value).  ``fill_empty`` emits windows without
-    events (count 0, total 0) between each series' first and last window."""
+    events (count 0, total 0) between each series' first and last window.  Rows without a
+    time are in no window."""
     ntz = _is_ntz(df, ts)
     size_us = seconds_of(size) * US
     if origin == "epoch":
@@ -69,7 +70,7 @@ def tumbling(df: DataFrame, ts: str, size: str, value: str | None = None, keys:
     elif origin == "first":
         first = _first_us(df, ts, keys)
         start = first + F.floor((_us(F.col(ts)) - first) / F.lit(size_us)) * F.lit(size_us)
-        grouped = df.groupBy(start.alias("__s")).agg(*_measures(value))
+        grouped = df.filter(F.col(ts).isNotNull()).groupBy(start.alias("__s")).agg(*_measures(value))
         out = grouped.select(_ts(F.col("__s"), ntz).alias("window_start"),
                              _ts(F.col("__s") + F.lit(size_us), ntz).alias("window_end"),
                              *[c for c in grouped.columns if c in ("n_events", "total_value")])
@@ -85,22 +86,46 @@ def tumbling(df: DataFrame, ts: str, size: str, value: str | None = None, keys:
     return out
 
 
+GRID_BLOCK = 1000
+
+
+def _grid(span: DataFrame, keys: Sequence[str], step_us: int) -> DataFrame:
+    """keys, __s: every ``step_us`` from ``__lo`` to ``__hi`` of each row of ``span``.
+
+    Blocks of steps are dealt over the shuffle partitions first, so a long span is many
+    tasks with short arrays instead of one array.
+    """
+    parts = int(span.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    width = F.lit(GRID_BLOCK * step_us)
+    blocks = span.select(*keys, "__hi", F.explode(F.sequence("__lo", "__hi", width)).alias("__from"))
+    blocks = blocks.repartition(parts, *keys, "__from")
+    upto = F.least(F.col("__hi"), F.col("__from") + width - F.lit(step_us))
+    return blocks.select(*keys, F.explode(F.sequence(F.col("__from"), upto, F.lit(step_us))).alias("__s"))
+
+
+def _on_grid(grid: DataFrame, agg: DataFrame, keys: Sequence[str], size_us: int, has_sum: bool, ntz: bool) -> DataFrame:
+    """The grid's windows with their aggregates, 0 where there are none (keys NULL-safe)."""
+    own = {c: f"__g_{c}" for c in [*keys, "window_start"]}
+    g = grid.select(*[F.col(c).alias(own[c]) for c in keys], _ts(F.col("__s"), ntz).alias(own["window_start"]),
+                    _ts(F.col("__s") + F.lit(size_us), ntz).alias("__g_end"))
+    cond = F.lit(True)
+    for c, mine in own.items():
+        cond = cond & g[mine].eqNullSafe(agg[c])
+    filled = g.join(agg, cond, "left")
+    cols = [*[F.col(mine).alias(c) for c, mine in own.items()], F.col("__g_end").alias("window_end"),
+            F.coalesce("n_events", F.lit(0)).cast("bigint").alias("n_events")]
+    if has_sum:
+        cols.append(F.coalesce("total_value", F.lit(0).cast(MONEY_SUM)).cast(MONEY_SUM).alias("total_value"))
+    return filled.select(*cols)
+
+
 def _fill(agg: DataFrame, keys: Sequence[str], step_us: int, has_sum: bool, ntz: bool,
           size_us: int | None = None) -> DataFrame:
     """Windows without events: per series, the grid from its first to its last window
-    (every ``step_us``) is generated by ``sequence`` (rows grow with the time span, not
-    with the data)."""
-    size_us = size_us or step_us
+    (rows grow with the time span, not with the data)."""
     span = agg.groupBy(*keys).agg(F.min(_us(F.col("window_start"))).alias("__lo"),
-                                  F.max(_us(F.col("window_start"))).alias("__hi"))
-    grid = span.select(*keys, F.explode(F.sequence("__lo", "__hi", F.lit(step_us))).alias("__s"))
-    grid = grid.select(*keys, _ts(F.col("__s"), ntz).alias("window_start"),
-                       _ts(F.col("__s") + F.lit(size_us), ntz).alias("window_end"))
-    filled = grid.join(agg.drop("window_end"), [*keys, "window_start"], "left")
-    cols = [*keys, "window_start", "window_end", F.coalesce("n_events", F.lit(0)).cast("bigint").alias("n_events")]
-    if has_sum:
-        cols.append(F.coalesce("total_value", F.lit(0).cast(MONEY_SUM)).cast(MONEY_SUM).alias("total_value"))
-    return filled.select(*cols)
+                                  F.max(_us(F.col("window_start"))).alias("__hi")).filter(F.col("__lo").isNotNull())
+    return _on_grid(_grid(span, keys, step_us), agg, keys, size_us or step_us, has_sum, ntz)
 
 
 def sliding(df: DataFrame, ts: str, size: str, step: str, value: str | None = None, keys: Sequence[str] = (),
@@ -151,18 +176,11 @@ def _sliding_reference(df: DataFrame, ts: str, size: str, step: str, value: str
     ntz = _is_ntz(df, ts)
     size_us, step_us = seconds_of(size) * US, seconds_of(step) * US
     counted = sliding(df, ts, size, step, value, origin="first")
-    first = df.select(F.min(_us(F.col(ts)))).scalar()
-    last = df.select(F.max(_us(F.col(ts)))).scalar()
-    grid = (df.sparkSession.range(1)
-            .select(F.explode(F.sequence(first, last, F.lit(step_us))).alias("__s"))
-            .filter(F.col("__s") < last - F.lit(size_us))
-            .select(_ts(F.col("__s"), ntz).alias("window_start"),
-                    _ts(F.col("__s") + F.lit(size_us), ntz).alias("window_end")))
-    filled = grid.join(counted.drop("window_end"), ["window_start"], "left")
-    cols = ["window_start", "window_end", F.coalesce("n_events", F.lit(0)).cast("bigint").alias("n_events")]
-    if value is not None:
-        cols.append(F.coalesce("total_value", F.lit(0).cast(MONEY_SUM)).cast(MONEY_SUM).alias("total_value"))
-    return filled.select(*cols)
+    # the last start is the largest step below last - size
+    lo, top = F.min(_us(F.col(ts))), F.max(_us(F.col(ts))) - F.lit(size_us)
+    span = df.agg(lo.alias("__lo"), top.alias("__top")).filter(F.col("__lo") < F.col("__top"))
+    span = span.select("__lo", (F.col("__lo") + F.floor((F.col("__top") - 1 - F.col("__lo")) / F.lit(step_us)) * F.lit(step_us)).alias("__hi"))
+    return _on_grid(_grid(span, [], step_us), counted, [], size_us, value is not None, ntz)
 
 
 def _within(out: DataFrame, bounds: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -176,85 +194,100 @@ def _within(out: DataFrame, bounds: DataFrame, keys: Sequence[str]) -> DataFrame
         .drop("__lo", "__hi")
 
 
-def sessions(df: DataFrame, ts: str, gap: str, value: str | None = None, keys: Sequence[str] = (),
-             bucket: str = "auto", with_values: bool = False) -> DataFrame:
-    """Sessions: a new session starts when the time since the previous event of the same
-    key is strictly greater than ``gap`` (events exactly ``gap`` apart stay together).
+BUCKET_GAPS = 60        # width of a level-1 bucket, in gaps
+BLOCK_BUCKETS = 1024    # buckets stitched together in one level-2 group
+
 
-    Output: keys, session_start, session_end (= last event + gap), n_events,
-    total_value and, with ``with_values``, the values in time order (collected per
-    session — only for sessions known to be small).
+def _partial_sessions(df: DataFrame, ts: str, gap: str, value: str | None, keys: Sequence[str], bucket: str | None) -> DataFrame:
+    """Level 1: sessions inside each (key, bucket): keys, __b, p_start, p_last, p_n (p_sum).
 
-    ``bucket`` is the width of the level-1 time buckets: a timespan, or ``"auto"`` =
-    the event time span / (4 x shuffle partitions), computed lazily as a scalar
-    subquery, so even a key holding a third of all rows is split over many tasks.
-    Buckets may be narrower than the gap: continuity is checked against the previous
-    non-empty bucket of the same key.
+    The bucket's width is fixed (``BUCKET_GAPS`` gaps, or as given), whatever times occur,
+    so a hot key is spread over many tasks.  Written once: all later levels read it.
     """
-    ntz = _is_ntz(df, ts)
-    gap_us = seconds_of(gap) * US
+    width = F.lit((seconds_of(bucket) if bucket else BUCKET_GAPS * seconds_of(gap)) * US)
     cols = [*keys, F.col(ts).alias("__ts")] + ([F.col(value).alias("__v")] if value else [])
-    ev = df.select(*cols).filter(F.col("__ts").isNotNull())
-    if bucket == "auto":
-        parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-        span = ev.select(F.greatest(F.lit(1), F.floor((F.max(_us(F.col("__ts"))) - F.min(_us(F.col("__ts"))))
-                                                      / F.lit(4 * parts))).cast("bigint")).scalar()
-        width = span
-    else:
-        width = F.lit(seconds_of(bucket) * US)
-    ev = ev.withColumn("__b", F.floor(_us(F.col("__ts")) / width))
-
-    # level 1: sessions inside each (key, bucket) — spread over many tasks even for a hot key
+    ev = df.select(*cols).filter(F.col("__ts").isNotNull()).withColumn("__b", F.floor(_us(F.col("__ts")) / width))
     aggs = [F.min("__ts").alias("p_start"), F.max("__ts").alias("p_last"), F.count(F.lit(1)).alias("p_n")]
     if value:
-        aggs.append(F.sum(F.col("__v").cast(MONEY)).alias("p_sum"))
-    if with_values:
-        aggs.append(F.collect_list(F.struct(F.col("__ts").alias("t"), F.col("__v").alias("v"))).alias("p_vals"))
+        aggs.append(F.sum(F.col("__v").cast(MONEY)).cast(MONEY_SUM).alias("p_sum"))
     part = ev.groupBy(*keys, "__b", F.session_window("__ts", f"{seconds_of(gap)} seconds").alias("__sw")).agg(*aggs)
-    # the partial sessions feed both the bucket summary and the final grouping; write them
-    # once (they are far fewer than the events) so the event shuffle and sort run once
-    part = reliable_checkpoint(part.drop("__sw"))
-
-    # level 2: one summary row per non-empty (key, bucket); the first session of a bucket
-    # continues the previous non-empty bucket's last session when it starts within
-    # ``gap`` of that session's last event.  Chains of continuing buckets resolve to the
-    # bucket where they start with a running max.
-    summ = part.groupBy(*keys, "__b").agg(F.min("p_start").alias("first_start"),
-                                          F.max("p_start").alias("last_start"),
-                                          F.max("p_last").alias("last_ts"),
-                                          F.count(F.lit(1)).alias("n_parts"))
-    w = Window.partitionBy(*keys).orderBy("__b") if keys else Window.orderBy("__b")
-    summ = summ.withColumn("prev_last", F.lag("last_ts").over(w))
-    cont = F.coalesce(_us(F.col("first_start")) - _us(F.col("prev_last")) <= F.lit(gap_us), F.lit(False))
-    summ = summ.withColumn("cont", cont)
-    brk = ~((F.col("n_parts") == 1) & F.col("cont"))
-    summ = summ.withColumn("last_key", F.max(F.when(brk, F.struct(F.col("__b").alias("b"),
-                                                                   F.col("last_start").alias("s"))))
-                           .over(w.rowsBetween(Window.unboundedPreceding, 0)))
-    summ = summ.withColumn("first_key", F.when(F.col("cont"), F.lag("last_key").over(w))
-                           .otherwise(F.struct(F.col("__b").alias("b"), F.col("first_start").alias("s"))))
-    summ = summ.select(*keys, "__b", "first_start", "first_key")
-
-    tagged = part.join(summ, [*keys, "__b"], "inner")
-    sid = F.when(F.col("p_start") == F.col("first_start"), F.col("first_key")) \
-        .otherwise(F.struct(F.col("__b").alias("b"), F.col("p_start").alias("s")))
-    tagged = tagged.withColumn("__sid", sid)
-    fin = [F.min("p_start").alias("session_start"), F.max("p_last").alias("__last"),
-           F.sum("p_n").alias("n_events")]
-    if value:
-        fin.append(F.sum("p_sum").cast(MONEY_SUM).alias("total_value"))
-    if with_values:
-        fin.append(F.flatten(F.collect_list("p_vals")).alias("__vals"))
-    out = tagged.groupBy(*keys, "__sid").agg(*fin)
-    end = _ts(_us(F.col("__last")) + F.lit(gap_us), ntz)
-    sel = [*keys, "session_start", end.alias("session_end"), F.col("n_events").cast("bigint").alias("n_events")]
+    return reliable_checkpoint(part.drop("__sw"))
+
+
+def _stitched(parts: DataFrame, group: Sequence[str], gap_us: int, name: str) -> DataFrame:
+    """``parts`` with ``name``: the start of the session each belongs to within its group."""
+    w = Window.partitionBy(*group).orderBy("p_start") if group else Window.orderBy("p_start")
+    apart = F.coalesce(_us(F.col("p_start")) - _us(F.lag("p_last").over(w)) > F.lit(gap_us), F.lit(True))
+    starts = parts.withColumn("__new", F.when(apart, F.col("p_start")))
+    return starts.withColumn(name, F.max("__new").over(w.rowsBetween(Window.unboundedPreceding, 0))).drop("__new")
+
+
+def _merge_parts(parts: DataFrame, by: Sequence[str], value: bool) -> DataFrame:
+    aggs = [F.min("p_start").alias("p_start"), F.max("p_last").alias("p_last"), F.sum("p_n").alias("p_n")]
     if value:
-        sel.append("total_value")
-    if with_values:
-        sel.append(F.transform(F.array_sort("__vals"), lambda x: x["v"]).alias("values"))
-    return out.select(*sel)
+        aggs.append(F.sum("p_sum").cast(MONEY_SUM).alias("p_sum"))
+    return parts.groupBy(*by).agg(*aggs)
+
+
+def _blocks(part: DataFrame, keys: Sequence[str], gap_us: int, value: bool) -> tuple[DataFrame, DataFrame]:
+    """Level 2: partial sessions with their block and the session's start in it (``__sid``),
+    and one row per session of a block, ``__edge`` marking those that may go on beyond it."""
+    tagged = _stitched(part.withColumn("__blk", F.floor(F.col("__b") / F.lit(BLOCK_BUCKETS))), [*keys, "__blk"], gap_us, "__sid")
+    merged = _merge_parts(tagged, [*keys, "__blk", "__sid"], value)
+    w = Window.partitionBy(*keys, "__blk")
+    edge = (F.col("p_start") == F.min("p_start").over(w)) | (F.col("p_start") == F.max("p_start").over(w))
+    return tagged, merged.withColumn("__edge", edge)
+
 
+def sessions(df: DataFrame, ts: str, gap: str, value: str | None = None, keys: Sequence[str] = (),
+             bucket: str | None = None) -> DataFrame:
+    """Sessions: a new session starts when the time since the previous event of the same
+    key is strictly greater than ``gap`` (events exactly ``gap`` apart stay together).
 
-def session_values(df: DataFrame, ts: str, value: str, gap: str) -> DataFrame:
-    """The reference's session helper: the ordered values of each session of one series."""
-    return sessions(df, ts, gap, value, with_values=True)
+    Output: keys, session_start, session_end (= last event + gap), n_events, total_value.
+    Rows with a NULL key are one series; rows without a time are in no session.
+
+    Level 2 groups hold at most ``BLOCK_BUCKETS`` buckets of at most ``BUCKET_GAPS``
+    sessions; level 3 holds two rows per block of a series.  ``bucket`` sets the width of
+    level-1 buckets (a timespan); it may be narrower than the gap.
+    """
+    ntz = _is_ntz(df, ts)
+    gap_us = seconds_of(gap) * US
+    part = _partial_sessions(df, ts, gap, value, keys, bucket)
+    _, merged = _blocks(part, keys, gap_us, value is not None)
+    inner = merged.filter(~F.col("__edge")).drop("__edge", "__blk", "__sid")
+    ends = _stitched(merged.filter("__edge").drop("__edge", "__sid"), keys, gap_us, "__sid")
+    done = inner.unionByName(_merge_parts(ends, [*keys, "__sid"], value is not None).drop("__sid"))
+    end = _ts(_us(F.col("p_last")) + F.lit(gap_us), ntz)
+    out = [*keys, F.col("p_start").alias("session_start"), end.alias("session_end"), F.col("p_n").cast("bigint").alias("n_events")]
+    return done.select(*out, *([F.col("p_sum").alias("total_value")] if value else []))
+
+
+def session_values(df: DataFrame, ts: str, value: str, gap: str, keys: Sequence[str] = (), bucket: str | None = None) -> DataFrame:
+    """The values of each session in time order, as rows: keys, session_start, position
+    (from 1), value.  Events of the same time are ordered by value.
+
+    A session of any length stays rows: positions are counted within its partial sessions
+    and offset by those before, so no session is gathered in one array or task.
+    """
+    gap_us = seconds_of(gap) * US
+    part = _partial_sessions(df, ts, gap, None, keys, bucket)
+    tagged, merged = _blocks(part, keys, gap_us, False)
+    ends = _stitched(merged.filter("__edge").select(*keys, "__blk", F.col("__sid").alias("__of"), "p_start", "p_last"), keys, gap_us, "__start")
+    ends = ends.select(*[F.col(k).alias(f"__e_{k}") for k in keys], F.col("__blk").alias("__e_blk"), F.col("__of").alias("__e_sid"), "__start")
+    cond = (F.col("__blk") == F.col("__e_blk")) & (F.col("__sid") == F.col("__e_sid"))
+    for k in keys:
+        cond = cond & F.col(k).eqNullSafe(F.col(f"__e_{k}"))
+    known = tagged.join(ends, cond, "left").withColumn("session_start", F.coalesce("__start", "__sid"))
+    before = Window.partitionBy(*keys, "session_start").orderBy("p_start").rowsBetween(Window.unboundedPreceding, -1)
+    known = known.withColumn("__off", F.coalesce(F.sum("p_n").over(before), F.lit(0)))
+    known = known.select(*[F.col(k).alias(f"__p_{k}") for k in keys], F.col("__b").alias("__p_b"), "p_start", "p_last", "session_start", "__off")
+    width = F.lit((seconds_of(bucket) if bucket else BUCKET_GAPS * seconds_of(gap)) * US)
+    ev = df.select(*keys, F.col(ts).alias("__ts"), F.col(value).alias("value")).filter(F.col("__ts").isNotNull())
+    ev = ev.withColumn("__b", F.floor(_us(F.col("__ts")) / width))
+    cond = (F.col("__b") == F.col("__p_b")) & F.col("__ts").between(F.col("p_start"), F.col("p_last"))
+    for k in keys:
+        cond = cond & F.col(k).eqNullSafe(F.col(f"__p_{k}"))
+    within = Window.partitionBy(*keys, "__b", "p_start").orderBy("__ts", "value")
+    return (ev.join(known, cond).withColumn("position", (F.col("__off") + F.row_number().over(within)).cast("bigint"))
+            .select(*keys, "session_start", "position", "value"))

@@ -20,9 +20,9 @@ def _events(spark, pairs, keys=None):
 
 def test_session_gap_fixture(spark):
     df = _events(spark, [(0, 1), (600, 2), (1201, 3)])
-    out = rows(wn.sessions(df, "ts", "10min", "v", with_values=True).select("session_start", "n_events", "values"),
-               "session_start")
-    assert [(r[1], r[2]) for r in out] == [(2, [1.0, 2.0]), (1, [3.0])]
+    assert [r[1] for r in rows(wn.sessions(df, "ts", "10min", "v").select("session_start", "n_events"), "session_start")] == [2, 1]
+    out = rows(wn.session_values(df, "ts", "v", "10min"), "session_start", "position")
+    assert [(int((r[0] - BASE).total_seconds()), r[1], r[2]) for r in out] == [(0, 1, 1.0), (0, 2, 2.0), (1201, 1, 3.0)]
 
 
 def test_tumbling_fixture_from_first_event(spark):
@@ -56,18 +56,36 @@ def _brute_sessions(times, gap):
     return [(s[0], len(s)) for s in out]
 
 
-@pytest.mark.parametrize("bucket", ["1min", "7min", "20min", "1d", "auto"])
-def test_sessions_match_brute_force_across_buckets(spark, bucket):
+@pytest.mark.parametrize("bucket,block", [("1min", 3), ("1min", 1024), ("7min", 2), ("20min", 1024), ("1d", 1), (None, 1024)])
+def test_sessions_match_brute_force_across_buckets(spark, monkeypatch, bucket, block):
+    monkeypatch.setattr(wn, "BLOCK_BUCKETS", block)
     rnd = random.Random(11)
-    keys = [rnd.choice([1, 2, 3]) for _ in range(400)]
+    keys = [rnd.choice([1, 2, None]) for _ in range(400)]
     secs = [rnd.randrange(0, 20000) for _ in range(400)]
     df = _events(spark, [(s, 1) for s in secs], keys)
     got = rows(wn.sessions(df, "ts", "10min", "v", keys=["k"], bucket=bucket).select("k", "session_start", "n_events"))
     exp = []
-    for k in (1, 2, 3):
+    for k in (1, 2, None):
         times = sorted(s for s, kk in zip(secs, keys) if kk == k)
         exp += [(k, BASE + dt.timedelta(seconds=s), n) for s, n in _brute_sessions(times, 600)]
     assert got == sorted(exp, key=lambda t: tuple((x is None, str(x)) for x in t))
+    values = rows(wn.session_values(df, "ts", "v", "10min", keys=["k"], bucket=bucket))
+    want = [(k, start, i + 1, 1.0) for k, start, n in exp for i in range(n)]
+    assert values == sorted(want, key=lambda t: tuple((x is None, str(x)) for x in t))
+
+
+def test_measures_keep_their_places(spark):
+    df = _events(spark, [(0, 0.004), (1, 0.004), (2, 3578.2705)])
+    assert wn.tumbling(df, "ts", "1h", "v").first().total_value == Decimal("3578.278500")
+    from lakekit.operators.quality import scale_violations
+    assert scale_violations(df, ["v"]).count() == 0 and scale_violations(df, ["v"], 2).count() == 3
+
+
+def test_null_keys_are_filled_and_null_times_left_out(spark):
+    df = _events(spark, [(0, 1), (7300, 2)], [None, None]).unionByName(spark.sql("SELECT NULL AS k, CAST(NULL AS TIMESTAMP_NTZ) AS ts, 1D AS v"))
+    out = rows(wn.tumbling(df.filter("ts IS NOT NULL"), "ts", "1h", "v", keys=["k"], fill_empty=True).select("window_start", "n_events"))
+    assert [n for _, n in out] == [1, 0, 1]
+    assert wn.tumbling(df, "ts", "1h", "v", origin="first").filter("window_start IS NULL").count() == 0
 
 
 def test_sliding_contains_each_event_size_over_step_times(spark):
@@ -120,6 +138,46 @@ def test_materialized_view_equals_recomputed(spark, tmp_dir, cut):
     got = rows(view.read_partials())
     exp = rows(view.partials(df))
     assert got == exp
+    with pytest.raises(ValueError):         # other data under an id already applied
+        view.refresh(df.filter(F.col("i") < 10), 1)
+    assert view.refresh(df.filter(F.col("i") < 10), 0, source="second") is True
+    assert len(view.table.snapshots()) <= view.keep
+
+
+def test_file_stream_reads_the_exact_file(spark, tmp_dir):
+    import os
+    import shutil
+
+    from lakekit.streaming import stream as st
+    src = f"{tmp_dir}/src"
+    _events(spark, [(i, i) for i in range(3)]).coalesce(1).write.parquet(src)
+    part = [f for f in os.listdir(src) if f.endswith(".parquet")][0]
+    for name in ("events.parquet", "events.parquet.old", "events.parquet2"):
+        shutil.copy(f"{src}/{part}", f"{tmp_dir}/{name}")
+    schema = spark.read.parquet(src).schema
+    s = st.file_stream(spark, f"{tmp_dir}/events.parquet", schema)
+    out = st.run_stream(s, lambda d: d.select("k", "v"), f"{tmp_dir}/sink", f"{tmp_dir}/ck", output_mode="append")
+    assert spark.read.parquet(out).count() == 3
+
+
+def test_dated_names_that_look_like_spark_parts(spark, tmp_dir):
+    import os
+
+    from lakekit.sources.files import read_csv_typed, read_dated_files
+    os.makedirs(f"{tmp_dir}/in")
+    open(f"{tmp_dir}/in/part-2024-01-05.csv", "w").write("a\n1\n")
+    spark.range(1).select(F.col("id").alias("a")).write.option("header", True).csv(f"{tmp_dir}/in/2024-02-06.csv")
+    got = rows(read_dated_files(spark, f"{tmp_dir}/in", spark.createDataFrame([], "a int").schema).select("a", "file_date"))
+    assert got == [(0, dt.date(2024, 2, 6)), (1, dt.date(2024, 1, 5))]
+    open(f"{tmp_dir}/breaks.csv", "w").write('a,b\n1,"x\ny"\n')
+    assert read_csv_typed(spark, f"{tmp_dir}/breaks.csv", spark.createDataFrame([], "a int, b string").schema, multi_line=True, bad_rows="fail").collect() == [(1, "x\ny")]
+
+
+def test_last_days_takes_any_span(spark):
+    from lakekit.plans.timeseries import last_days
+    df = spark.sql("SELECT DATE'2024-01-10' AS pickup_date, 'a' AS vendor_id, 1L AS trips, 1D AS avg_fare, 1D AS total_revenue UNION ALL SELECT DATE'2024-01-01', 'a', 1, 1, 1")
+    now = F.lit(T(2024, 1, 10, 12)).cast("timestamp_ntz")
+    assert last_days(df, now, "24h").count() == 1 and last_days(df, now, "24d").count() == 2
 
 
 def test_partitioned_snapshot_prunes_on_read(spark, tmp_dir):
