@@ -37,14 +37,18 @@ SEARCH_NODES = 3000         # fillings looked at for one step; the best so far i
 
 def best_filling(room: int, lengths: list[int], counts: dict[int, int], nodes: int = SEARCH_NODES) -> list[int]:
     """Lengths (largest first, repeats allowed up to their count) that leave least of
-    ``room``.  ``lengths`` is sorted downwards.  The first descent is the best-fit filling;
-    the search goes on from it and leaves out branches that can't leave less: a filling in
-    which a longer free length would still fit is dominated, so each level starts at the
-    longest that fits, and one that fits exactly ends the level."""
+    ``room``.  ``lengths`` is sorted downwards.  The first descent is the best-fit filling; the
+    search goes on from it and leaves out branches that can't leave less than the incumbent:
+    all that is left from a length on must at least fill the room up to its waste.  Fillings
+    are maximal (a level starts at the longest that fits), which leaves out dominated ones,
+    and one without waste ends the search."""
     best: list[int] = []
     best_waste = room
     smallest = lengths[-1] if lengths else room + 1
     left = nodes
+    rest = [0] * (len(lengths) + 1)     # sum of all pieces from a length on
+    for i in range(len(lengths) - 1, -1, -1):
+        rest[i] = rest[i + 1] + lengths[i] * counts[lengths[i]]
 
     def descend(room: int, first: int, chosen: list[int], used: dict[int, int]) -> bool:
         nonlocal best, best_waste, left
@@ -63,11 +67,10 @@ def best_filling(room: int, lengths: list[int], counts: dict[int, int], nodes: i
                 hi = mid
         for i in range(lo, len(lengths)):
             length = lengths[i]
+            if room - rest[i] >= best_waste:
+                return False
             if counts[length] <= used.get(length, 0):
                 continue
-            # waste bound: nothing after this one can fill the room below the incumbent
-            if length < smallest or room - length < 0:
-                continue
             left -= 1
             used[length] = used.get(length, 0) + 1
             chosen.append(length)
@@ -76,8 +79,6 @@ def best_filling(room: int, lengths: list[int], counts: dict[int, int], nodes: i
             used[length] -= 1
             if stop:
                 return True
-            if room - length < smallest and room - length >= best_waste:
-                return False                # shorter ones alone would leave even more; pairs were tried
         return False
 
     descend(room, 0, [], {})

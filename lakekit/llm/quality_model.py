@@ -116,6 +116,8 @@ def fit_rules(x: np.ndarray, y: np.ndarray, seed: int = 7) -> tuple[float, list[
             step[r] = v
         margin += SHRINK * np.clip(step, -4, 4)
     names = list(rules)
+    if not names:       # too few rows for a split
+        return prior, []
     design = np.column_stack([_holds(x, r) for r in names]).astype(float)
     design, first = np.unique(design, axis=1, return_index=True)    # rules that hold for the same rows
     names = [names[i] for i in first]
