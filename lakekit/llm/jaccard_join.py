@@ -199,7 +199,8 @@ def _grams(docs: DataFrame, ids: DataFrame, id_col: str, text_col: str, words: i
 
 
 def _search(index: DataFrame, queries: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """Links a, b between the queries and the indexed sets of each block (columns block, id).
+    """Links a, b that join the queries and indexed sets of each block (columns block, id) as
+    all their alike pairs do: each set of a task is linked with the smallest it can reach there.
 
     A block's index and its queries are each split by their n-grams; every part of one meets
     every part of the other, in a task that holds one part of each.
@@ -215,16 +216,23 @@ def _search(index: DataFrame, queries: DataFrame, sets: DataFrame, percent: int)
     q = q.join(i_parts, "block").select("block", F.explode(F.sequence(F.lit(0), F.col("i_parts") - 1)).alias("i"), "q", "id").join(sets.select("id", "grams"), "id")
 
     def find(indexed: pa.Table, asked: pa.Table) -> pa.Table:
-        a, b = [], []
+        low: dict[int, int] = {}
+
+        def lowest(x: int) -> int:
+            while low.setdefault(x, x) != x:
+                low[x] = low[low[x]]
+                x = low[x]
+            return x
+
         if indexed.num_rows and asked.num_rows:
             arrays = lambda t: [np.asarray(x.values) for x in t["grams"]]
             index = InvertedIndex(indexed["id"].to_numpy(), arrays(indexed))
             for key, grams in zip(asked["id"].to_pylist(), arrays(asked)):
-                near = index.ids[index.search(grams, percent)]
-                near = near[near != key]
-                a += [key] * len(near)
-                b += near.tolist()
-        return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
+                for other in index.ids[index.search(grams, percent)].tolist():
+                    x, y = lowest(key), lowest(other)
+                    low[max(x, y)] = min(x, y)
+        links = [(x, lowest(x)) for x in low if lowest(x) != x]
+        return pa.table({"a": pa.array([x for x, _ in links], pa.int64()), "b": pa.array([y for _, y in links], pa.int64())})
 
     keys = ["block", "i", "q"]
     i, q = (d.select(*(F.col(c).alias(c) for c in (*keys, "id", "grams"))) for d in (i, q))     # a column of its own on each side
