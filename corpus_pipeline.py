@@ -19,6 +19,7 @@ from lakekit.llm.pii import redact
 from lakekit.llm.quality_model import PREDICT_AT, score_quality, train_quality
 from lakekit.llm.queries import WORD_BPE
 
+COPY_WORDS, COPY_PERCENT = 5, 80    # near copies: shingles of five words, similarity 0.8 or more
 LEAST_LANGUAGE_SCORE = 0.3      # below, no language is likelier than not to be the text's
 
 
@@ -42,7 +43,7 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near copies: the one with the smallest id."""
     ready(spark)
-    copies = jaccard_components(docs).where(F.col("component_id") != F.col("doc_id")).select("doc_id").distinct()
+    copies = jaccard_components(docs, words=COPY_WORDS, percent=COPY_PERCENT).where(F.col("component_id") != F.col("doc_id")).select("doc_id").distinct()
     repeated = docs.where(F.col("doc_id").isNotNull()).groupBy("doc_id").agg(F.count("*").alias("n")).where("n > 1").select("doc_id")
     copies, repeated = staged(copies, "pipeline-copies"), staged(repeated, "pipeline-repeated")
     left = docs.join(copies, "doc_id", "left_anti")
