@@ -7,11 +7,11 @@ short ones are merged, sets on T - L of them are kept, and only these are probed
 long lists by binary search.
 
 Which sets are searched in which index is decided without loss.  Equal sets are one set.
-Alike sets differ in at most D n-grams, so of D + 1 parts that hashing deals n-grams into, one
-at least is equal in both: sets meet under the digests of their parts.  Sizes fall into classes
-that fix D; a set also takes part in the class above when a partner may be in it.  An empty
-part says nothing, so a set with one is dealt out anew under another hash (the last time its
-empty parts count).
+Alike sets differ in at most D n-grams, so of D + 1 + E parts that hashing deals n-grams into,
+E + 1 at least are equal in both, and one of them is not empty if a set has E empty parts at
+most: sets meet under the digests of their full parts.  Sizes fall into classes that fix D and
+E; a set also takes part in the class above when a partner may be in it.  A set with more than
+E empty parts is dealt out anew under another hash (the last time empty parts count, too).
 
 In a group that meets, every set is first searched for among the groups' smallest ids.  What is
 linked then needs no more comparing among itself: only members outside their group leader's
@@ -38,7 +38,7 @@ from lakekit.llm.components import connected
 PERCENT, WORDS = 90, 3
 WORD_CACHE = 300_000
 CLASS_RATIO = 1.5           # largest to smallest size in a class
-DEALS = 4                   # times a set with empty parts is dealt out
+DEALS = 4                   # times a set with too many empty parts is dealt out
 BLOCK_GRAMS = 400_000       # n-grams in an index, or in the queries sent to it, on average
 PROBE_COST = 0.5            # cost of a probe's step against a merged posting
 HEAP_POSTINGS = 200         # up to here lists are merged by a heap, beyond by counting
@@ -87,6 +87,11 @@ def difference(size: int, percent: int) -> int:
     return 2 * size * (100 - percent) // (100 + percent)
 
 
+def spare_parts(most: int, percent: int) -> int:
+    """E: about 1.5 times the empty parts to expect in a class's smallest sets."""
+    return math.ceil(3 * most * math.exp(-(100 + percent) / (3 * (100 - percent)))) if percent < 100 else 0
+
+
 def part_digests(grams: np.ndarray, percent: int = PERCENT) -> np.ndarray:
     """Digests under which the set meets all sets it may be alike to (none for the smallest
     sets, which are alike to equal ones only)."""
@@ -95,7 +100,9 @@ def part_digests(grams: np.ndarray, percent: int = PERCENT) -> np.ndarray:
     own = int(np.searchsorted(classes, n))
     out = []
     for c in range(max(1, own), len(classes)):
-        parts = difference(classes[c], percent) + 1
+        most = difference(classes[c], percent)
+        spare = spare_parts(most, percent)
+        parts = most + 1 + spare
         for deal in range(DEALS):
             salt = np.array([deal + 1, 1 + c * DEALS + deal], np.uint64) * _STEPS[[1, 3]]
             at = (_mix(grams.view(np.uint64) + salt[0]) >> np.uint64(33)) % np.uint64(parts)
@@ -104,7 +111,7 @@ def part_digests(grams: np.ndarray, percent: int = PERCENT) -> np.ndarray:
             full = np.bincount(at.astype(np.int64), minlength=parts) > 0
             digest = _mix(sums * _STEPS[4] + np.arange(parts, dtype=np.uint64) * _STEPS[0] + salt[1])
             out.append(digest if deal == DEALS - 1 else digest[full])
-            if full.all():
+            if np.count_nonzero(~full) <= spare:
                 break
     return np.concatenate(out).view(np.int64) if out else np.zeros(0, np.int64)
 
@@ -247,12 +254,16 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     Repeated rows stay; an empty table gives no rows; other columns are left out.
     """
     rows = staged(_sets(docs, id_col, text_col, words, percent), "jaccard-sets")
-    same = staged(rows.where(F.col("print").isNotNull()).groupBy("print").agg(F.min("_id").alias("id"), F.count("*").alias("copies"), F.any_value("digests").alias("digests")), "jaccard-distinct")
-    parts = same.select("id", F.explode("digests").alias("part"))
+    known = rows.where(F.col("print").isNotNull())
+    same = staged(known.groupBy("print").agg(F.min("_id").alias("id"), F.count("*").alias("copies")), "jaccard-distinct")
+    copied = staged(same.where("copies > 1").select("print", F.col("id").alias("first")), "jaccard-copied")
+    # one of equal sets meets others; Spark broadcasts the table of repeated ones while it is small
+    parts = (known.join(copied, "print", "left").where("first is null or first = _id")
+             .select(F.col("_id").alias("id"), F.explode("digests").alias("part")))
     leads = parts.groupBy("part").agg(F.min("id").alias("lead"), F.max("id").alias("last")).where("lead <> last").select("part", "lead")
     meets = staged(parts.join(leads, "part"), "jaccard-meets")
     # rows that share an id but not a text
-    links = rows.where(F.col("print").isNotNull()).join(same.where("copies > 1").select("print", F.col("id").alias("b")), "print").where("_id <> b").select(F.col("_id").alias("a"), "b").distinct()
+    links = known.join(copied, "print").where("_id <> first").select(F.col("_id").alias("a"), F.col("first").alias("b")).distinct()
     if not meets.isEmpty():
         wanted = staged(meets.select("id").distinct(), "jaccard-wanted")
         sets = staged(_grams(docs, wanted, id_col, text_col, words), "jaccard-grams")
@@ -260,8 +271,8 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
         blocks = max(1, math.ceil((sets.join(pairs.select(F.col("lead").alias("id")).distinct(), "id", "left_semi").agg(F.sum("n")).first()[0] or 0) / BLOCK_GRAMS))
         block = F.pmod(F.xxhash64("lead"), F.lit(blocks)).alias("block")
         first = staged(_search(pairs.select(block, F.col("lead").alias("id")), pairs.select(block, "id"), sets, percent), "jaccard-links")
-        known = connected(first)
-        labelled = meets.join(known, "id", "left").withColumn("component", F.coalesce("component", "id"))
+        so_far = connected(first)
+        labelled = meets.join(so_far, "id", "left").withColumn("component", F.coalesce("component", "id"))
         mixed = (labelled.groupBy("part").agg(F.min("component").alias("low"), F.max("component").alias("high"), F.max(F.when(F.col("id") == F.col("lead"), F.col("component"))).alias("main"))
                  .where("low <> high").select("part", "main"))
         left = staged(labelled.join(mixed, "part").select("part", "id", "lead", (F.col("component") != F.col("main")).alias("outside")), "jaccard-left")

@@ -81,9 +81,9 @@ def components(ids, links):
     return {i: find(i) for i in ids}
 
 
-def jaccard_components(docs, percent: int = 90):
+def jaccard_components(docs, percent: int = 90, words: int = 3):
     """{doc_id: (n_shingles, component_id)} for (doc_id, text) rows with distinct ids."""
-    sets = {i: shingles(t) for i, t in docs}
+    sets = {i: shingles(t, words) for i, t in docs}
     ids = sorted(sets)
     links = [(a, b) for x, a in enumerate(ids) for b in ids[x + 1:]
              if sets[a] and sets[b] and 100 * len(sets[a] & sets[b]) >= percent * len(sets[a] | sets[b])]

@@ -8,9 +8,9 @@ from lakekit.llm.components import connected
 from tests.llm.brute import components, jaccard_components, shingles
 
 
-def run(llm, rows):
+def run(llm, rows, **options):
     df = llm.createDataFrame([(i, t, -1, "z") for i, t in rows], "doc_id long, text string, component_id int, print string")
-    return {r.doc_id: (r.n_shingles, r.component_id) for r in jj.jaccard_components(df).collect()}
+    return {r.doc_id: (r.n_shingles, r.component_id) for r in jj.jaccard_components(df, **options).collect()}
 
 
 def near_copies(rnd, groups, size):
@@ -35,6 +35,12 @@ def test_against_brute_force(llm, size):
     assert run(llm, rows) == jaccard_components(rows)
 
 
+@pytest.mark.parametrize("size", [(4, 60), (60, 200)])
+def test_five_words_and_four_fifths(llm, size):
+    rows = near_copies(random.Random(size[1] + 1), 40, size)
+    assert run(llm, rows, words=5, percent=80) == jaccard_components(rows, 80, 5)
+
+
 def test_chain_of_links_is_one_component(llm):
     words = [f"w{i}" for i in range(300)]
     rows = [(100 - k, " ".join(words[k * 5: k * 5 + 200])) for k in range(20)]
@@ -62,16 +68,17 @@ def test_null_ids_repeated_rows_and_empty_table(llm):
     assert jj.jaccard_components(df.limit(0)).count() == 0
 
 
-def test_alike_sets_share_a_digest():
+@pytest.mark.parametrize("percent", [90, 80, 50])
+def test_alike_sets_share_a_digest(percent):
     rnd = np.random.default_rng(1)
     for n in [*range(1, 60), 150, 400, 1100]:
         for _ in range(12):
             a = np.sort(rnd.integers(-2**62, 2**62, n))
-            drop, add = rnd.integers(0, n // 8 + 2), rnd.integers(0, n // 8 + 2)
+            drop, add = rnd.integers(0, (n * (100 - percent)) // 80 + 2), rnd.integers(0, (n * (100 - percent)) // 80 + 2)
             b = np.sort(np.concatenate([rnd.permutation(a)[drop:], rnd.integers(-2**62, 2**62, add)]))
             both = len(np.intersect1d(a, b))
-            if len(b) and 100 * both >= 90 * (len(a) + len(b) - both) and not np.array_equal(a, b):
-                assert len(np.intersect1d(jj.part_digests(a), jj.part_digests(b)))
+            if len(b) and 100 * both >= percent * (len(a) + len(b) - both) and not np.array_equal(a, b):
+                assert len(np.intersect1d(jj.part_digests(a, percent), jj.part_digests(b, percent)))
 
 
 @pytest.mark.parametrize("heap", [0, 10**9])

@@ -31,7 +31,7 @@ def test_stages_against_plain_versions(llm):
     labels = {r.doc_id: r.quality for r in llm.read.parquet(f"{SF}/labels.parquet").collect()}
     passed = {r.doc_id: r.text for r in good.collect()}
     assert len({i for i in kept if labels.get(i) == 1} - {*passed}) <= 0.02 * len(kept)
-    component = jaccard_components(sorted(passed.items()))
+    component = jaccard_components(sorted(passed.items()), 80, 5)
     left = {r.doc_id: r.text for r in unique.collect()}
     assert left == {i: t for i, t in passed.items() if component[i][1] == i}
     redacted = {r.doc_id: r.text for r in clean.collect()}
