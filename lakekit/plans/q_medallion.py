@@ -22,6 +22,19 @@ AUDIT_TS1 = dt.datetime(2001, 8, 2)
 AUDIT_TS2 = dt.datetime(2001, 8, 3)
 LOAD_YEAR = 1997
 
+_INPUTS: dict[tuple[str, str, str], str] = {}
+
+
+def _input(spark, sf_dir, name, write) -> str:
+    """Path of an input made from the driver tables, written once per application."""
+    key = (spark.sparkContext.applicationId, sf_dir, name)
+    if key not in _INPUTS:
+        path = work_dir(spark, name)
+        write(path)
+        _INPUTS[key] = path
+    return _INPUTS[key]
+
+
 SQL_SILVER_COLS = """SalesOrderNumber, SalesOrderLineNumber, OrderDate,
   CASE WHEN CustomerName IS NULL OR CustomerName = '' THEN 'Unknown' ELSE CustomerName END AS CustomerName,
   Email, Item, Quantity, UnitPrice, Tax, COALESCE(OrderDate < DATE '1998-08-01', FALSE) AS IsFlagged"""
@@ -42,10 +55,11 @@ SELECT {SQL_SILVER_COLS},
 FROM sales""")
 def q_bronze_to_silver(spark, sf_dir):
     """Two drops as CSV; run 1 loads drop A, run 2 gets A again plus B (re-delivery)."""
-    sales = fx.sales(spark, sf_dir)
-    bronze = work_dir(spark, "bronze")
-    drop = F.when(F.col("OrderDate") < F.lit(dt.date(1998, 1, 1)), "sales_a.csv").otherwise("sales_b.csv")
-    sales.withColumn("drop", drop).write.partitionBy("drop").option("header", True).csv(bronze)
+    def drops(path):
+        drop = F.when(F.col("OrderDate") < F.lit(dt.date(1998, 1, 1)), "sales_a.csv").otherwise("sales_b.csv")
+        fx.sales(spark, sf_dir).withColumn("drop", drop).write.partitionBy("drop").option("header", True).csv(path)
+
+    bronze = _input(spark, sf_dir, "bronze", drops)
     silver = SnapshotTable(spark, work_dir(spark, "silver"))
     md.bronze_to_silver(spark, f"{bronze}/drop=sales_a.csv", silver, flag_before=FLAG_BEFORE, as_of=AUDIT_TS1)
     md.bronze_to_silver(spark, f"{bronze}/drop=*", silver, flag_before=FLAG_BEFORE, as_of=AUDIT_TS2)
@@ -136,9 +150,8 @@ dp AS (SELECT ItemName, ItemInfo, ItemID FROM q1
 
 def silver_table(spark, sf_dir):
     """The silver table the gold build reads (``spark.read.table("sales_silver")``), written once."""
-    t = SnapshotTable(spark, work_dir(spark, "sales-silver"))
-    t.write(fx.sales(spark, sf_dir))
-    return t.read()
+    path = _input(spark, sf_dir, "sales-silver", lambda p: SnapshotTable(spark, p).write(fx.sales(spark, sf_dir)))
+    return SnapshotTable(spark, path).read()
 
 
 def _gold_tables(spark):

@@ -20,13 +20,10 @@ MID_YEARS = 2
 
 def seniority_view(employees: DataFrame, as_of: Column) -> DataFrame:
     """``vw_employees``: years employed (year boundaries, as DATEDIFF(year)) and a level (V1)."""
-    years = year_boundaries("hire_date", as_of)
-    return employees.select(
-        "employee_id", "name", "department_id", "hire_date", "salary",
-        years.alias("years_employed"),
-        F.when(years >= SENIOR_YEARS, "Senior").when(years >= MID_YEARS, "Mid-Level").otherwise("Junior")
-        .alias("seniority_level"),
-    )
+    years = F.col("years_employed")
+    level = F.when(years >= SENIOR_YEARS, "Senior").when(years >= MID_YEARS, "Mid-Level").otherwise("Junior")
+    return employees.select("employee_id", "name", "department_id", "hire_date", "salary",
+                            year_boundaries("hire_date", as_of).alias("years_employed")).withColumn("seniority_level", level)
 
 
 def employees_by_seniority(view: DataFrame, seniority_level: str, department_id: int | None = None) -> DataFrame:
