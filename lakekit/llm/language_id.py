@@ -20,7 +20,8 @@ from lakekit.llm.common import fold
 UNKNOWN = "und"
 BITS = 17               # hashed n-gram space
 LONGEST = 3             # n-grams of 1 to 3 characters
-PER_LANGUAGE = 200      # training texts for each language (the sample's bound)
+PER_LANGUAGE = 200      # training texts for each language at most
+SAMPLE = 6000           # training texts in all at most (the sample's bound; at least one a language)
 LANDMARKS = 60          # of them landmarks
 RIDGE = 1e-2
 SLICE = 1 << 20         # characters hashed at a time
@@ -87,7 +88,9 @@ class LanguageModel:
 def language_sample(docs: DataFrame, learn: Column, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang",
                     per_language: int = PER_LANGUAGE) -> list[tuple[str, np.ndarray]]:
     """Hashed n-grams of up to ``per_language`` labelled texts of each language, chosen by a
-    hash of the id: bounded by the number of languages, not by the corpus."""
+    hash of the id, and fewer of each when languages are so many that ``SAMPLE`` is reached."""
+    languages = docs.where(learn & F.col(lang_col).isNotNull()).select(lang_col).distinct().count()
+    per_language = max(1, min(per_language, SAMPLE // max(1, languages)))
     ids = docs.where(learn & F.col(lang_col).isNotNull() & F.col(text_col).rlike(r"\p{L}")).select(F.col(id_col).alias("_id"), F.col(lang_col).alias("_lang"))
     first = Window.partitionBy("_lang").orderBy(F.xxhash64("_id"), "_id")
     chosen = ids.withColumn("_n", F.row_number().over(first)).where(F.col("_n") <= per_language).select("_id").distinct()
