@@ -63,7 +63,41 @@ def op6(spark, sf_dir):
     return find_pii(table(spark, sf_dir, "documents"))
 
 
-@query("op8_host_rules")
+_SQL_WORDS = r"[x FOR x IN regexp_split_to_array({}, '[\x20\x09-\x0D]+') IF x <> '']"
+
+
+_SQL_RULES = {"short": "n_words < 10", "repeats": "100 * n_repeat_words > 20 * n_words", "symbols": "10 * n_symbols > word_chars",
+              "same_lines": "5 * n_dup_lines > n_words", "long_words": "word_chars > 15 * n_words"}
+
+
+def _sql_host_rules() -> str:
+    """The measures by windows over words, the hosts' beta prior by moments."""
+    sums = ", ".join(f"sum(({r})::INT) AS {k}" for k, r in _SQL_RULES.items())
+    moments = ", ".join(f"sum({k}) / sum(n)::DOUBLE AS m_{k}, sum({k}::DOUBLE * {k} / n / n) / count(*) - (sum({k}::DOUBLE / n) / count(*)) ** 2 "
+                        f"- sum({k}) / sum(n)::DOUBLE * (1 - sum({k}) / sum(n)::DOUBLE) * sum(1.0::DOUBLE / n) / count(*) AS s_{k}" for k in _SQL_RULES)
+    weights = ", ".join(f"m_{k}, CASE WHEN s_{k} > 0 THEN least(greatest(m_{k} * (1 - m_{k}) / s_{k} - 1, 1), 1e6) ELSE 1e6 END AS w_{k}" for k in _SQL_RULES)
+    bad = " OR ".join(f"({k} + m_{k} * w_{k}) / (n + w_{k}) > 0.5" for k in _SQL_RULES)
+    blank = r"regexp_matches(x, '[^\x20\x09-\x0D]')"
+    return f"""
+WITH d AS (SELECT doc_id, source, coalesce(text, '') AS text, {_SQL_WORDS.format("coalesce(text, '')")} AS words,
+                  [x FOR x IN string_split(coalesce(text, ''), chr(10)) IF {blank}] AS lines FROM documents),
+i AS (SELECT doc_id, unnest(range(1, len(words) - 3)) AS i, words FROM d WHERE len(words) >= 5),
+g AS (SELECT doc_id, i, count(*) OVER (PARTITION BY doc_id, array_to_string(words[i:i + 4], ' ')) AS times FROM i),
+r AS (SELECT doc_id, count(DISTINCT i + k) AS n FROM g, range(0, 5) t(k) WHERE times > 1 GROUP BY doc_id),
+q AS (SELECT d.doc_id, source, CAST(len(words) AS BIGINT) AS n_words, CAST(length(array_to_string(words, '')) AS BIGINT) AS word_chars,
+             CAST(length(regexp_replace(text, '[^#*$%&|<>]', '', 'g')) AS BIGINT) AS n_symbols,
+             CAST(len(lines) - len(list_distinct(lines)) AS BIGINT) AS n_dup_lines, coalesce(r.n, 0) AS n_repeat_words
+      FROM d LEFT JOIN r USING (doc_id)),
+h AS (SELECT source, count(*) AS n, {sums} FROM q WHERE source IS NOT NULL GROUP BY source),
+m AS (SELECT {weights} FROM (SELECT {moments} FROM h)),
+bad AS (SELECT source FROM h, m WHERE {bad})
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
+       {_SQL_RULES["short"]} OR {_SQL_RULES["repeats"]} AS base_failed,
+       NOT ({_SQL_RULES["short"]} OR {_SQL_RULES["repeats"]}) AND (source IS NULL OR source NOT IN (SELECT source FROM bad)) AS kept
+FROM q"""
+
+
+@query("op8_host_rules", _sql_host_rules())
 def op8(spark, sf_dir):
     from lakekit.llm.host_rules import judge_documents
     return judge_documents(table(spark, sf_dir, "documents"))
@@ -85,13 +119,43 @@ def op4(spark, sf_dir):
     return round_trip(table(spark, sf_dir, "pages"))
 
 
-@query("op10_jaccard_join")
+_SQL_JACCARD = f"""
+WITH RECURSIVE w AS (
+  SELECT doc_id, {_SQL_WORDS.format("translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')")} AS words FROM documents),
+s AS (SELECT doc_id, CASE WHEN len(words) = 0 THEN [] WHEN len(words) < 3 THEN [array_to_string(words, ' ')]
+        ELSE list_distinct([array_to_string(words[i:i + 2], ' ') FOR i IN range(1, len(words) - 1)]) END AS grams FROM w),
+g AS (SELECT doc_id, len(grams) AS n, unnest(grams) AS gram FROM s),
+p AS (SELECT a.doc_id AS x, b.doc_id AS y, any_value(a.n) + any_value(b.n) AS sizes, count(*) AS shared
+      FROM g a JOIN g b ON a.gram = b.gram AND a.doc_id <> b.doc_id GROUP BY 1, 2),
+l AS (SELECT x, y FROM p WHERE 100 * shared >= 90 * (sizes - shared)),
+r AS (SELECT doc_id AS x, doc_id AS y FROM documents UNION SELECT r.x, l.y FROM r JOIN l ON r.y = l.x),
+c AS (SELECT x, min(y) AS component_id FROM r GROUP BY x)
+SELECT s.doc_id, CAST(len(s.grams) AS BIGINT) AS n_shingles, c.component_id FROM s JOIN c ON c.x = s.doc_id
+"""
+
+
+@query("op10_jaccard_join", _SQL_JACCARD)
 def op10(spark, sf_dir):
     from lakekit.llm.jaccard_join import jaccard_components
     return jaccard_components(table(spark, sf_dir, "documents"))
 
 
-@query("op1_embedding_dedup")
+_SQL_EMBEDDINGS = """
+WITH RECURSIVE v AS (
+  SELECT vec_id, label, CAST(embedding AS DOUBLE[]) AS e FROM embeddings
+  WHERE label IS NOT NULL AND len(embedding) > 0 AND len([x FOR x IN embedding IF x IS NULL OR NOT isfinite(x)]) = 0
+    AND len([x FOR x IN embedding IF x <> 0]) > 0),
+l AS (SELECT a.vec_id AS x, b.vec_id AS y FROM v a JOIN v b ON a.label = b.label AND a.vec_id <> b.vec_id AND len(a.e) = len(b.e)
+      WHERE list_cosine_similarity(a.e, b.e) >= 0.93),
+r AS (SELECT vec_id AS x, vec_id AS y FROM embeddings UNION SELECT r.x, l.y FROM r JOIN l ON r.y = l.x),
+c AS (SELECT x, min(y) AS component_id FROM r GROUP BY x),
+n AS (SELECT x, count(*) AS n FROM l GROUP BY x)
+SELECT e.vec_id, COALESCE(n.n, 0) AS n_links, c.component_id, e.vec_id = c.component_id AS kept
+FROM embeddings e LEFT JOIN n ON n.x = e.vec_id JOIN c ON c.x = e.vec_id
+"""
+
+
+@query("op1_embedding_dedup", _SQL_EMBEDDINGS)
 def op1(spark, sf_dir):
     from lakekit.llm.embedding_dedup import near_duplicates
     return near_duplicates(table(spark, sf_dir, "embeddings"))
