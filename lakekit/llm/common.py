@@ -31,7 +31,17 @@ def staged(df: DataFrame, name: str, partition_by: tuple[str, ...] = ()) -> Data
     spark = df.sparkSession
     path = work_dir(spark, name)
     df.write.partitionBy(*partition_by).parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    table = spark.read.schema(df.schema).parquet(path)
+    table._staged_path = path
+    return table
+
+
+def release(*tables: DataFrame) -> None:
+    """Delete staged tables that nothing will read again (what was made from them is written)."""
+    for t in tables:
+        jvm = t.sparkSession.sparkContext._jvm
+        path = jvm.org.apache.hadoop.fs.Path(t._staged_path)
+        path.getFileSystem(t.sparkSession.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def fold(doc_id: Column, modulus: int) -> Column:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lakekit.llm.common import staged
+from lakekit.llm.common import release, staged
 
 
 def connected(links: DataFrame) -> DataFrame:
@@ -14,7 +14,7 @@ def connected(links: DataFrame) -> DataFrame:
     Each round takes the smallest label among neighbours and then the label's label, so
     labels travel twice as far each time.  A node with very many links is a hot join key on
     one side only, which Spark splits; sums of a node's links are pre-aggregated.  Every
-    round is written to the shared folder.
+    round is written to the shared folder, and the one before deleted.
     """
     both = links.where(F.col("a") != F.col("b")).select("a", "b")
     both = staged(both.union(both.select(F.col("b"), F.col("a"))).distinct(), "links")
@@ -25,6 +25,8 @@ def connected(links: DataFrame) -> DataFrame:
         lower = labels.join(nearest, "id").select("id", F.col("component").alias("was"), F.least("component", "theirs").alias("now"))
         jump = labels.select(F.col("id").alias("now"), F.col("component").alias("then"))
         moved = staged(lower.join(jump, "now", "left").select("id", "was", F.least("now", F.coalesce("then", "now")).alias("component")), "labels")
-        labels = moved.select("id", "component")
+        release(labels)
+        labels = moved
         if moved.where("was <> component").isEmpty():
-            return labels
+            release(both)
+            return moved.select("id", "component")

@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from lakekit.llm.common import staged
+from lakekit.llm.common import release, staged
 from lakekit.llm.components import connected
 
 COSINE = 0.93
@@ -208,6 +208,7 @@ def near_duplicates(vectors: DataFrame, cosine: float = COSINE, id_col: str = "v
     labels = connected(found.where("id <> low").select(F.col("id").alias("a"), F.col("low").alias("b")).union(same))
     final = units.select("label", "print", "id", "copies").join(counts, "id", "left").join(labels, "id", "left").where("copies > 1 or n > 0 or component <> id")
     final = staged(final.select("label", "print", (F.coalesce("n", F.lit(0)) + F.col("copies") - 1).alias("n_links"), F.coalesce("component", "id").alias("component")), "embedding-final")
+    release(units, sizes, centres, assigned, found)
     component = F.coalesce("component", "id")
     return (rows.select("id", "label", "print").join(final, ["label", "print"], "left")
             .select(F.col("id").alias(id_col), F.coalesce("n_links", F.lit(0)).alias("n_links"), component.alias("component_id"), F.coalesce(F.col("id") == component, F.lit(True)).alias("kept")))

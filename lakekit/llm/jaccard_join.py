@@ -13,8 +13,10 @@ most: sets meet under the digests of their full parts.  Sizes fall into classes
 E; a set also takes part in the class above when a partner may be in it.  A set with more than
 E empty parts is dealt out anew under another hash (the last time empty parts count, too).
 
+Digests travel in buckets, and those that many sets share once for each batch of texts.
+
 In a group that meets, every set is first searched for among the groups' smallest ids.  What is
-linked then needs no more comparing among itself: only members outside their group leader's
+linked then needs no more comparing among itself: only members outside their group's first
 component are indexed, and the whole group is searched in them.  Indexes and queries are
 split by their number of n-grams, so a group of any size is many bounded tasks.
 """
@@ -32,13 +34,14 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lakekit.llm.common import WordCache, staged
+from lakekit.llm.common import WordCache, release, staged
 from lakekit.llm.components import connected
 
 PERCENT, WORDS = 90, 3
 WORD_CACHE = 300_000
 CLASS_RATIO = 1.5           # largest to smallest size in a class
 DEALS = 4                   # times a set with too many empty parts is dealt out
+BUCKET_SETS = 2000          # sets whose digests fill one bucket, on average
 BLOCK_GRAMS = 400_000       # n-grams in an index, or in the queries sent to it, on average
 PROBE_COST = 0.5            # cost of a probe's step against a merged posting
 HEAP_POSTINGS = 200         # up to here lists are merged by a heap, beyond by counting
@@ -176,21 +179,81 @@ class InvertedIndex:
 
 # ---------------------------------------------------------------- Spark
 
+def _bucketed(digests: list[np.ndarray], owners: list[int], buckets: int) -> tuple[list[tuple], tuple]:
+    """([(bucket, digests, ids)], (digests, ids, leads)) of a batch.
+
+    A digest that several sets of the batch share goes on under the smallest id only, its lead;
+    the members are in the second part.  So a digest that very many sets share goes on once
+    for each batch.
+    """
+    part = np.concatenate([*digests, np.zeros(0, np.int64)])
+    owner = np.repeat(np.array(owners, np.int64), [len(d) for d in digests])
+    order = np.lexsort((owner, part))
+    part, owner = part[order], owner[order]
+    first = np.append(True, part[1:] != part[:-1])[: len(part)]
+    run = np.cumsum(first) - 1
+    lead, many = owner[first][run], (np.bincount(run, minlength=1) > 1)[run]
+    here = part[many], owner[many], lead[many]
+    part, owner = part[first], owner[first]
+    bucket = (part.view(np.uint64) % np.uint64(buckets)).astype(np.int64)
+    order = np.argsort(bucket, kind="stable")
+    bucket, part, owner = bucket[order], part[order], owner[order]
+    starts = np.flatnonzero(np.append(True, bucket[1:] != bucket[:-1])[: len(bucket)])
+    stops = np.append(starts[1:], len(bucket))
+    return [(int(bucket[i]), part[i:j], owner[i:j]) for i, j in zip(starts, stops)], here
+
+
+SETS = "_id long, n long, print binary, bucket long, parts array<long>, ids array<long>, leads array<long>"
+SET_TYPES = [pa.int64(), pa.int64(), pa.binary(), pa.int64(), *[pa.list_(pa.int64())] * 3]
+HERE = -1       # bucket of what sets of one batch share
+
+
 def _sets(docs: DataFrame, id_col: str, text_col: str, words: int, percent: int) -> DataFrame:
-    """_id, n, print (digest of the set; NULL without one or without an id), digests."""
+    """A row for each document (_id, n, print: digest of its set, NULL without one or without
+    an id; bucket is NULL) and rows that hold many digests each (bucket, parts, ids; leads)."""
+    buckets = max(1, docs.count() // BUCKET_SETS)
+
     def run(batches):
         for batch in batches:
-            n, prints, digests = [], [], []
+            if not batch.num_rows:
+                continue
+            rows, digests, owners, seen = [], [], [], set()
             for key, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
                 grams = gram_set(text, words)
-                n.append(len(grams))
-                known = len(grams) and key is not None
-                prints.append(hashlib.blake2b(grams.tobytes(), digest_size=16).digest() if known else None)
-                digests.append(part_digests(grams, percent) if known else None)
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(n, pa.int64()), pa.array(prints, pa.binary()), pa.array(digests, pa.list_(pa.int64()))],
-                                             names=["_id", "n", "print", "digests"])
-
-    return docs.select(F.col(id_col).cast("long"), F.col(text_col)).mapInArrow(run, "_id long, n long, print binary, digests array<long>")
+                mark = hashlib.blake2b(grams.tobytes(), digest_size=16).digest() if len(grams) and key is not None else None
+                rows.append((key, len(grams), mark, None, None, None, None))
+                if mark is not None and mark not in seen:       # equal sets are linked by their marks
+                    seen.add(mark)
+                    digests.append(part_digests(grams, percent))
+                    owners.append(key)
+            dealt, here = _bucketed(digests, owners, buckets)
+            rows += [(None, None, None, bucket, part, owner, None) for bucket, part, owner in dealt]
+            if len(here[0]):
+                rows.append((None, None, None, HERE, *here))
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), SET_TYPES)], names=[f.split()[0] for f in SETS.split(", ")])
+
+    return docs.select(F.col(id_col).cast("long"), F.col(text_col)).mapInArrow(run, SETS)
+
+
+def _meets(sets: DataFrame) -> DataFrame:
+    """part, id, lead of all sets that share a part's digest with another one."""
+    def shared(group: pa.Table) -> pa.Table:
+        flat = lambda c: np.concatenate([np.asarray(x.values) for x in group[c]])
+        part, owner = flat("parts"), flat("ids")
+        order = np.lexsort((owner, part))
+        part, owner = part[order], owner[order]
+        first = np.append(True, part[1:] != part[:-1])
+        run = np.cumsum(first) - 1
+        lead = owner[first][run]
+        apart = np.zeros(run[-1] + 1, bool)
+        apart[run[owner != lead]] = True
+        keep = apart[run]
+        return pa.table({"part": pa.array(part[keep]), "id": pa.array(owner[keep]), "lead": pa.array(lead[keep])})
+
+    dealt = sets.where(F.col("bucket") != HERE).select("bucket", "parts", "ids")
+    here = sets.where(F.col("bucket") == HERE).select(F.explode(F.arrays_zip("parts", "ids", "leads")).alias("m"))
+    return (dealt.groupBy("bucket").applyInArrow(shared, "part long, id long, lead long")
+            .union(here.select("m.parts", "m.ids", "m.leads")))
 
 
 def _grams(docs: DataFrame, ids: DataFrame, id_col: str, text_col: str, words: int) -> DataFrame:
@@ -217,7 +280,7 @@ def _search(index: DataFrame, queries: DataFrame, sets: DataFrame, percent: int)
         share = side.groupBy("block").agg(F.ceil(F.sum("n") / BLOCK_GRAMS).cast("int").alias(f"{name}_parts"))
         return staged(side.select("block", "id").join(share, "block").withColumn(name, F.pmod(F.xxhash64("id"), F.col(f"{name}_parts")).cast("int")), f"search-{name}")
 
-    i, q = split(index, "i"), split(queries, "q")
+    sides = i, q = split(index, "i"), split(queries, "q")
     i_parts, q_parts = (d.select("block", c).distinct() for d, c in ((i, "i_parts"), (q, "q_parts")))
     i = i.join(q_parts, "block").select("block", "i", F.explode(F.sequence(F.lit(0), F.col("q_parts") - 1)).alias("q"), "id").join(sets.select("id", "grams"), "id")
     q = q.join(i_parts, "block").select("block", F.explode(F.sequence(F.lit(0), F.col("i_parts") - 1)).alias("i"), "q", "id").join(sets.select("id", "grams"), "id")
@@ -243,7 +306,9 @@ def _search(index: DataFrame, queries: DataFrame, sets: DataFrame, percent: int)
 
     keys = ["block", "i", "q"]
     i, q = (d.select(*(F.col(c).alias(c) for c in (*keys, "id", "grams"))) for d in (i, q))     # a column of its own on each side
-    return i.groupBy(*keys).cogroup(q.groupBy(*keys)).applyInArrow(find, "a long, b long")
+    links = staged(i.groupBy(*keys).cogroup(q.groupBy(*keys)).applyInArrow(find, "a long, b long"), "jaccard-links")
+    release(*sides)
+    return links
 
 
 def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = WORDS, percent: int = PERCENT) -> DataFrame:
@@ -253,27 +318,25 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     (component NULL).  Rows that share an id are one document: they share its component.
     Repeated rows stay; an empty table gives no rows; other columns are left out.
     """
-    rows = staged(_sets(docs, id_col, text_col, words, percent), "jaccard-sets")
+    sets_and_parts = staged(_sets(docs, id_col, text_col, words, percent), "jaccard-sets")
+    rows = sets_and_parts.where("bucket is null").select("_id", "n", "print")
     known = rows.where(F.col("print").isNotNull())
     same = staged(known.groupBy("print").agg(F.min("_id").alias("id"), F.count("*").alias("copies")), "jaccard-distinct")
     copied = staged(same.where("copies > 1").select("print", F.col("id").alias("first")), "jaccard-copied")
-    # one of equal sets meets others; Spark broadcasts the table of repeated ones while it is small
-    parts = (known.join(copied, "print", "left").where("first is null or first = _id")
-             .select(F.col("_id").alias("id"), F.explode("digests").alias("part")))
-    leads = parts.groupBy("part").agg(F.min("id").alias("lead"), F.max("id").alias("last")).where("lead <> last").select("part", "lead")
-    meets = staged(parts.join(leads, "part"), "jaccard-meets")
-    # rows that share an id but not a text
+    meets = staged(_meets(sets_and_parts), "jaccard-meets")
+    # equal sets, and rows that share an id but not a text
     links = known.join(copied, "print").where("_id <> first").select(F.col("_id").alias("a"), F.col("first").alias("b")).distinct()
+    done = [meets]
     if not meets.isEmpty():
         wanted = staged(meets.select("id").distinct(), "jaccard-wanted")
         sets = staged(_grams(docs, wanted, id_col, text_col, words), "jaccard-grams")
         pairs = staged(meets.where("id <> lead").select("id", "lead").distinct(), "jaccard-pairs")
         blocks = max(1, math.ceil((sets.join(pairs.select(F.col("lead").alias("id")).distinct(), "id", "left_semi").agg(F.sum("n")).first()[0] or 0) / BLOCK_GRAMS))
         block = F.pmod(F.xxhash64("lead"), F.lit(blocks)).alias("block")
-        first = staged(_search(pairs.select(block, F.col("lead").alias("id")), pairs.select(block, "id"), sets, percent), "jaccard-links")
+        first = _search(pairs.select(block, F.col("lead").alias("id")), pairs.select(block, "id"), sets, percent)
         so_far = connected(first)
         labelled = meets.join(so_far, "id", "left").withColumn("component", F.coalesce("component", "id"))
-        mixed = (labelled.groupBy("part").agg(F.min("component").alias("low"), F.max("component").alias("high"), F.max(F.when(F.col("id") == F.col("lead"), F.col("component"))).alias("main"))
+        mixed = (labelled.groupBy("part").agg(F.min("component").alias("low"), F.max("component").alias("high"), F.min(F.struct("id", "component"))["component"].alias("main"))
                  .where("low <> high").select("part", "main"))
         left = staged(labelled.join(mixed, "part").select("part", "id", "lead", (F.col("component") != F.col("main")).alias("outside")), "jaccard-left")
         if not left.isEmpty():
@@ -281,9 +344,12 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
             home = staged(left.where("outside").groupBy("id").agg(F.min("lead").alias("block")), "jaccard-home")
             goes = left.where("outside").join(home, "id").select("part", "block").distinct()
             asked = left.select("part", "id").join(goes, "part").select("block", "id").distinct()
-            first = first.union(staged(_search(home, asked, sets, percent), "jaccard-links"))
+            first = first.union(_search(home, asked, sets, percent))
+            done += [home]
         links = links.union(first)
+        done += [wanted, sets, pairs, left]
     found = connected(links)
+    release(*done)
     final = same.select("print", "id").join(found, "id", "left").select("print", F.coalesce("component", "id").alias("_component"))
     changed = final.join(same.select("print", "id", "copies"), "print").where("copies > 1 or _component <> id").select("print", "_component")
     return (rows.select("_id", "n", "print").join(staged(changed, "jaccard-changed"), "print", "left")
