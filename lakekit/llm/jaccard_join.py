@@ -15,8 +15,8 @@ E empty parts is dealt out anew under another hash (the last time empty parts co
 
 Digests travel in buckets, and those that many sets share once for each batch of texts.
 
-In a group that meets, every set is first searched for among the groups' smallest ids.  What is
-linked then needs no more comparing among itself: only members outside their group's first
+Where sets meet, each is first searched for among its groups' smallest ids: in the first
+round in the block of the one it shares most parts with, then of the next.  What is linked then needs no more comparing among itself: only members outside their group's first
 component are indexed, and the whole group is searched in them.  Indexes and queries are
 split by their number of n-grams, so a group of any size is many bounded tasks.
 """
@@ -42,6 +42,8 @@ WORD_CACHE = 300_000
 CLASS_RATIO = 1.5           # largest to smallest size in a class
 DEALS = 4                   # times a set with too many empty parts is dealt out
 BUCKET_SETS = 2000          # sets whose digests fill one bucket, on average
+NEED_ROUNDS = 2             # times sets that share too few digests are left out
+LEAD_ROUNDS = 2             # leads that each set is sent to before whole groups are searched
 BLOCK_GRAMS = 400_000       # n-grams in an index, or in the queries sent to it, on average
 PROBE_COST = 0.5            # cost of a probe's step against a merged posting
 HEAP_POSTINGS = 200         # up to here lists are merged by a heap, beyond by counting
@@ -95,13 +97,14 @@ def spare_parts(most: int, percent: int) -> int:
     return math.ceil(3 * most * math.exp(-(100 + percent) / (3 * (100 - percent)))) if percent < 100 else 0
 
 
-def part_digests(grams: np.ndarray, percent: int = PERCENT) -> np.ndarray:
+def part_digests(grams: np.ndarray, percent: int = PERCENT) -> tuple[np.ndarray, int]:
     """Digests under which the set meets all sets it may be alike to (none for the smallest
-    sets, which are alike to equal ones only)."""
+    sets, which are alike to equal ones only), and how many of them it shares with each of
+    these at least: of the E + 1 equal parts, its own empty ones say nothing."""
     n = len(grams)
     classes = size_classes(max(1, n * 100 // percent), percent)
     own = int(np.searchsorted(classes, n))
-    out = []
+    out, need = [], None
     for c in range(max(1, own), len(classes)):
         most = difference(classes[c], percent)
         spare = spare_parts(most, percent)
@@ -114,9 +117,12 @@ def part_digests(grams: np.ndarray, percent: int = PERCENT) -> np.ndarray:
             full = np.bincount(at.astype(np.int64), minlength=parts) > 0
             digest = _mix(sums * _STEPS[4] + np.arange(parts, dtype=np.uint64) * _STEPS[0] + salt[1])
             out.append(digest if deal == DEALS - 1 else digest[full])
-            if np.count_nonzero(~full) <= spare:
+            empty = np.count_nonzero(~full)
+            if deal == 0:
+                need = min(need or parts, max(1, spare + 1 - empty))
+            if empty <= spare:
                 break
-    return np.concatenate(out).view(np.int64) if out else np.zeros(0, np.int64)
+    return np.concatenate(out).view(np.int64) if out else np.zeros(0, np.int64), need or 1
 
 
 # ---------------------------------------------------------------- T-occurrence
@@ -203,13 +209,13 @@ def _bucketed(digests: list[np.ndarray], owners: list[int], buckets: int) -> tup
     return [(int(bucket[i]), part[i:j], owner[i:j]) for i, j in zip(starts, stops)], here
 
 
-SETS = "_id long, n long, print binary, bucket long, parts array<long>, ids array<long>, leads array<long>"
-SET_TYPES = [pa.int64(), pa.int64(), pa.binary(), pa.int64(), *[pa.list_(pa.int64())] * 3]
+SETS = "_id long, n long, need long, print binary, bucket long, parts array<long>, ids array<long>, leads array<long>"
+SET_TYPES = [pa.int64(), pa.int64(), pa.int64(), pa.binary(), pa.int64(), *[pa.list_(pa.int64())] * 3]
 HERE = -1       # bucket of what sets of one batch share
 
 
 def _sets(docs: DataFrame, id_col: str, text_col: str, words: int, percent: int) -> DataFrame:
-    """A row for each document (_id, n, print: digest of its set, NULL without one or without
+    """A row for each document (_id, n, need: digests it shares with sets alike, print: digest of its set, NULL without one or without
     an id; bucket is NULL) and rows that hold many digests each (bucket, parts, ids; leads)."""
     buckets = max(1, docs.count() // BUCKET_SETS)
 
@@ -221,15 +227,17 @@ def _sets(docs: DataFrame, id_col: str, text_col: str, words: int, percent: int)
             for key, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
                 grams = gram_set(text, words)
                 mark = hashlib.blake2b(grams.tobytes(), digest_size=16).digest() if len(grams) and key is not None else None
-                rows.append((key, len(grams), mark, None, None, None, None))
+                need = None
                 if mark is not None and mark not in seen:       # equal sets are linked by their marks
                     seen.add(mark)
-                    digests.append(part_digests(grams, percent))
+                    parts, need = part_digests(grams, percent)
+                    digests.append(parts)
                     owners.append(key)
+                rows.append((key, len(grams), need, mark, None, None, None, None))
             dealt, here = _bucketed(digests, owners, buckets)
-            rows += [(None, None, None, bucket, part, owner, None) for bucket, part, owner in dealt]
+            rows += [(None, None, None, None, bucket, part, owner, None) for bucket, part, owner in dealt]
             if len(here[0]):
-                rows.append((None, None, None, HERE, *here))
+                rows.append((None, None, None, None, HERE, *here))
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), SET_TYPES)], names=[f.split()[0] for f in SETS.split(", ")])
 
     return docs.select(F.col(id_col).cast("long"), F.col(text_col)).mapInArrow(run, SETS)
@@ -319,22 +327,42 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     Repeated rows stay; an empty table gives no rows; other columns are left out.
     """
     sets_and_parts = staged(_sets(docs, id_col, text_col, words, percent), "jaccard-sets")
-    rows = sets_and_parts.where("bucket is null").select("_id", "n", "print")
+    rows = sets_and_parts.where("bucket is null").select("_id", "n", "need", "print")
     known = rows.where(F.col("print").isNotNull())
     same = staged(known.groupBy("print").agg(F.min("_id").alias("id"), F.count("*").alias("copies")), "jaccard-distinct")
     copied = staged(same.where("copies > 1").select("print", F.col("id").alias("first")), "jaccard-copied")
     meets = staged(_meets(sets_and_parts), "jaccard-meets")
+    # a set alike to another shares a number of digests with it: fewer in all, and it is out
+    for _ in range(NEED_ROUNDS):
+        enough = (meets.select("part", "id").distinct().groupBy("id").agg(F.count("*").alias("shared"))
+                  .join(known.groupBy(F.col("_id").alias("id")).agg(F.min("need").alias("need")), "id").where("shared >= need").select("id"))
+        left = meets.join(enough, "id", "left_semi").select("part", "id")
+        leads = left.groupBy("part").agg(F.min("id").alias("lead"), F.max("id").alias("last")).where("lead <> last").select("part", "lead")
+        fewer = staged(left.distinct().join(leads, "part"), "jaccard-meets")
+        release(meets)
+        meets = fewer
     # equal sets, and rows that share an id but not a text
     links = known.join(copied, "print").where("_id <> first").select(F.col("_id").alias("a"), F.col("first").alias("b")).distinct()
     done = [meets]
     if not meets.isEmpty():
         wanted = staged(meets.select("id").distinct(), "jaccard-wanted")
         sets = staged(_grams(docs, wanted, id_col, text_col, words), "jaccard-grams")
-        pairs = staged(meets.where("id <> lead").select("id", "lead").distinct(), "jaccard-pairs")
-        blocks = max(1, math.ceil((sets.join(pairs.select(F.col("lead").alias("id")).distinct(), "id", "left_semi").agg(F.sum("n")).first()[0] or 0) / BLOCK_GRAMS))
+        pairs = staged(meets.where("id <> lead").groupBy("id", "lead").agg(F.count("*").alias("parts")), "jaccard-pairs")
+        blocks = max(1, math.ceil((sets.agg(F.sum("n")).first()[0] or 0) / BLOCK_GRAMS))
         block = F.pmod(F.xxhash64("lead"), F.lit(blocks)).alias("block")
-        first = _search(pairs.select(block, F.col("lead").alias("id")), pairs.select(block, "id"), sets, percent)
-        so_far = connected(first)
+        best = F.max(F.struct("parts", (-F.col("lead")).alias("lead")))["lead"]
+        first, so_far, left_pairs = None, None, pairs
+        for _ in range(LEAD_ROUNDS):
+            chosen = staged(left_pairs.groupBy("id").agg((-best).alias("lead")), "jaccard-chosen")
+            done.append(chosen)
+            if chosen.isEmpty():
+                break
+            links_now = _search(chosen.select(block, F.col("lead").alias("id")), chosen.select(block, "id"), sets, percent)
+            first = links_now if first is None else first.union(links_now)
+            so_far = connected(first)
+            of_lead = so_far.select(F.col("id").alias("lead"), F.col("component").alias("of_lead"))
+            left_pairs = (left_pairs.join(chosen, ["id", "lead"], "left_anti").join(so_far, "id", "left").join(of_lead, "lead", "left")
+                          .where(F.coalesce("component", "id") != F.coalesce("of_lead", "lead")).select("id", "lead", "parts"))
         labelled = meets.join(so_far, "id", "left").withColumn("component", F.coalesce("component", "id"))
         mixed = (labelled.groupBy("part").agg(F.min("component").alias("low"), F.max("component").alias("high"), F.min(F.struct("id", "component"))["component"].alias("main"))
                  .where("low <> high").select("part", "main"))
