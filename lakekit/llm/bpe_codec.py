@@ -15,7 +15,6 @@ Pieces are memoised per Python worker (bounded), so Zipf-distributed words are e
 
 from __future__ import annotations
 
-import functools
 import hashlib
 import json
 import re
@@ -26,9 +25,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from lakekit.llm.common import WordCache, chunks
+from lakekit.llm.common import WordCache, chunks, focus, held
 
-PIECE_CACHE = 300_000    # memoised pieces per generation and worker
+PIECE_CACHE = 200_000    # memoised pieces per generation and worker
 CHUNK_CACHE = 50_000     # the same for chunks in rare scripts
 PAIR_CACHE = 1_000_000
 WORD_END = "</w>"
@@ -189,13 +188,13 @@ class PrefixEncoder:
         return " ".join(self.names[i] for i in ids if i in self.names)
 
 
-@functools.lru_cache(maxsize=2)
+@held
 def encoder(path: str) -> PrefixEncoder:
     """One encoder per Python worker and vocabulary file."""
     return PrefixEncoder(path)
 
 
-@functools.lru_cache(maxsize=2)
+@held
 def _rendered(path: str) -> WordCache:
     enc = encoder(path)
 
@@ -213,6 +212,7 @@ def bpe_digests(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: st
     tokens; other columns are left out, whatever their names.  Nothing is shuffled.
     """
     def digest(batches):
+        focus(encoder, _rendered)
         pieces, rendered = encoder(path).pieces, _rendered(path).__getitem__
         for batch in batches:
             n, ids_sha, text_sha = [], [], []
@@ -233,6 +233,7 @@ def bpe_digests(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: st
 def bpe_ids(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The ids themselves and the decoded text, one row per input row."""
     def run(batches):
+        focus(encoder)
         enc = encoder(path)
         for batch in batches:
             ids = [enc.encode(t or "") for t in batch.column(1).to_pylist()]

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import functools
+import gc
 import re
 from collections.abc import Callable
 
@@ -49,6 +51,24 @@ def fold(doc_id: Column, modulus: int) -> Column:
     return F.crc32(doc_id.cast("string").cast("binary")) % modulus
 
 
+_HELD: list[Callable] = []
+
+
+def held(fn: Callable) -> Callable:
+    """Keep what ``fn`` builds (tokenizers, memos) in the Python worker, for one argument."""
+    kept = functools.lru_cache(maxsize=1)(fn)
+    _HELD.append(kept)
+    return kept
+
+
+def focus(*keep: Callable) -> None:
+    """Drop what other operators hold in this worker: Spark uses a worker for stage after
+    stage, and an executor's memory would fill with what earlier ones built."""
+    dropped = [fn.cache_clear() for fn in _HELD if fn not in keep and fn.cache_info().currsize]
+    if dropped:
+        gc.collect()    # a memo and the tokenizer whose method it calls refer to each other
+
+
 class WordCache(dict):
     """Bounded memo of ``fn(word)``: two generations, so frequent words stay.
 

@@ -23,7 +23,6 @@ split by their number of n-grams, so a group of any size is many bounded tasks.
 
 from __future__ import annotations
 
-import functools
 import hashlib
 import heapq
 import math
@@ -34,17 +33,17 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lakekit.llm.common import WordCache, release, staged
+from lakekit.llm.common import WordCache, focus, held, release, staged
 from lakekit.llm.components import connected
 
 PERCENT, WORDS = 90, 3
-WORD_CACHE = 300_000
+WORD_CACHE = 200_000
 CLASS_RATIO = 1.5           # largest to smallest size in a class
 DEALS = 4                   # times a set with too many empty parts is dealt out
 BUCKET_SETS = 2000          # sets whose digests fill one bucket, on average
 NEED_ROUNDS = 2             # times sets that share too few digests are left out
 LEAD_ROUNDS = 2             # leads that each set is sent to before whole groups are searched
-BLOCK_GRAMS = 400_000       # n-grams in an index, or in the queries sent to it, on average
+BLOCK_GRAMS = 200_000       # n-grams in an index, or in the queries sent to it, on average
 PROBE_COST = 0.5            # cost of a probe's step against a merged posting
 HEAP_POSTINGS = 200         # up to here lists are merged by a heap, beyond by counting
 
@@ -58,7 +57,7 @@ def _mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
-@functools.lru_cache(maxsize=1)
+@held
 def _word_hashes() -> WordCache:
     return WordCache(xxhash.xxh3_64_intdigest, WORD_CACHE)
 
@@ -220,6 +219,7 @@ def _sets(docs: DataFrame, id_col: str, text_col: str, words: int, percent: int)
     buckets = max(1, docs.count() // BUCKET_SETS)
 
     def run(batches):
+        focus(_word_hashes)
         for batch in batches:
             if not batch.num_rows:
                 continue
@@ -268,6 +268,7 @@ def _grams(docs: DataFrame, ids: DataFrame, id_col: str, text_col: str, words: i
     """id, n, grams of the documents wanted: texts are joined before they are cut up, and the
     ids lie written, so Spark broadcasts them if they are small."""
     def run(batches):
+        focus(_word_hashes)
         for batch in batches:
             sets = [gram_set(t, words) for t in batch.column(1).to_pylist()]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([len(s) for s in sets], pa.int64()), pa.array(sets, pa.list_(pa.int64()))], names=["id", "n", "grams"])

@@ -15,7 +15,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from lakekit.llm.common import fold
+from lakekit.llm.common import focus, fold
 
 UNKNOWN = "und"
 BITS = 17               # hashed n-gram space
@@ -98,6 +98,7 @@ def language_sample(docs: DataFrame, learn: Column, id_col: str = "doc_id", text
              .join(F.broadcast(chosen), "_id"))  # at most per_language ids for each language
 
     def grams(batches):
+        focus()
         flags = np.zeros(1 << BITS, bool)
         for batch in batches:
             found = [presence(t, flags) for t in batch.column(2).to_pylist()]
@@ -128,6 +129,7 @@ def predict_language(docs: DataFrame, model: LanguageModel, text_col: str = "tex
     at = docs.columns.index(text_col)
 
     def run(batches):
+        focus()
         flags = np.zeros(1 << BITS, bool)
         for batch in batches:
             langs, scores = [UNKNOWN] * batch.num_rows, [0.0] * batch.num_rows

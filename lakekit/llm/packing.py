@@ -14,7 +14,6 @@ length that very many pieces share is numbered by many tasks.
 
 from __future__ import annotations
 
-import functools
 import math
 import zlib
 
@@ -24,11 +23,11 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from lakekit.llm.bpe_codec import encoder
-from lakekit.llm.common import WordCache, staged
+from lakekit.llm.common import WordCache, focus, held, staged
 
 CAPACITY = 2048
 END_ID = 0
-PIECE_CACHE = 300_000       # memoised word pieces per generation and worker
+PIECE_CACHE = 200_000       # memoised word pieces per generation and worker
 SALT_ROWS = 4096            # pieces of one length that a rank window holds at most, on average
 SEARCH_NODES = 3000         # fillings looked at for one step; the best so far is then used
 
@@ -149,7 +148,7 @@ def _segments(plan) -> dict[int, tuple[np.ndarray, ...]]:
 
 # ---------------------------------------------------------------- Spark
 
-@functools.lru_cache(maxsize=2)
+@held
 def _id_bytes(path: str):
     enc = encoder(path)
     tokenize = enc.library.model.tokenize
@@ -171,6 +170,7 @@ def token_pieces(docs: DataFrame, path: str, capacity: int = CAPACITY, end_id: i
     end = end_id.to_bytes(4, "little")
 
     def cut(batches):
+        focus(encoder, _id_bytes)
         encode = _id_bytes(path)
         for batch in batches:
             rows, piece, start, length, crc = [], [], [], [], []

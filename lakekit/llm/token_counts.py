@@ -14,7 +14,6 @@ memoised per Python worker, bounded.
 
 from __future__ import annotations
 
-import functools
 import math
 
 import ahocorasick
@@ -23,7 +22,7 @@ import sentencepiece
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lakekit.llm.common import WordCache
+from lakekit.llm.common import WordCache, focus, held
 
 WORD_CACHE = 400_000    # memoised words per generation and worker
 MARK = "▁"
@@ -95,7 +94,7 @@ class UnigramCounter:
         return sum([p[0] for p in parts]), math.fsum([p[1] for p in parts])
 
 
-@functools.lru_cache(maxsize=2)
+@held
 def counter(path: str) -> UnigramCounter:
     """One counter per Python worker and vocabulary file."""
     return UnigramCounter(unigram_pieces(path))
@@ -108,6 +107,7 @@ def unigram_token_counts(docs: DataFrame, path: str, id_col: str = "doc_id", tex
     left out, whatever their names.  Nothing is shuffled.
     """
     def run(batches):
+        focus(counter)
         count = counter(path).text
         for batch in batches:
             found = [count(t or "") for t in batch.column(1).to_pylist()]

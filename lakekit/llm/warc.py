@@ -28,7 +28,7 @@ from pyarrow import fs as pafs
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lakekit.llm.common import staged
+from lakekit.llm.common import focus, staged
 from lakekit.session import work_dir
 
 DATA, INDEX, PACKAGE = "archive/data.warc.gz", "indexes/index.cdxj", "datapackage.json"
@@ -208,6 +208,8 @@ def write_archives(pages: DataFrame, folder: str | None = None, limit: int = ARC
     store.create_dir(path, recursive=True)
 
     def write(batches):
+        focus()
+
         def rows():
             for batch in batches:
                 for row in zip(*(batch.column(i).to_pylist() for i in range(5))):
