@@ -2,18 +2,20 @@
 
 from __future__ import annotations
 
+import ctypes
 import functools
 import gc
 import re
 from collections.abc import Callable
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lakekit.session import prepare, work_dir
 
 # Rows per Arrow batch handed to a Python worker: long texts make large batches.
-ARROW_ROWS = 1000
+ARROW_ROWS = 500
 
 
 def ready(spark: SparkSession) -> SparkSession:
@@ -64,9 +66,17 @@ def held(fn: Callable) -> Callable:
 def focus(*keep: Callable) -> None:
     """Drop what other operators hold in this worker: Spark uses a worker for stage after
     stage, and an executor's memory would fill with what earlier ones built."""
-    dropped = [fn.cache_clear() for fn in _HELD if fn not in keep and fn.cache_info().currsize]
-    if dropped:
-        gc.collect()    # a memo and the tokenizer whose method it calls refer to each other
+    if [fn.cache_clear() for fn in _HELD if fn not in keep and fn.cache_info().currsize]:
+        trim()
+
+
+def trim() -> None:
+    """Give freed memory back to the system: an idle worker keeps it otherwise."""
+    gc.collect()        # a memo and the tokenizer whose method it calls refer to each other
+    pa.default_memory_pool().release_unused()
+    libc = ctypes.CDLL(None)
+    if hasattr(libc, "malloc_trim"):
+        libc.malloc_trim(0)
 
 
 class WordCache(dict):

@@ -239,6 +239,7 @@ def _sets(docs: DataFrame, id_col: str, text_col: str, words: int, percent: int)
             if len(here[0]):
                 rows.append((None, None, None, None, HERE, *here))
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), SET_TYPES)], names=[f.split()[0] for f in SETS.split(", ")])
+        focus()
 
     return docs.select(F.col(id_col).cast("long"), F.col(text_col)).mapInArrow(run, SETS)
 
@@ -272,6 +273,7 @@ def _grams(docs: DataFrame, ids: DataFrame, id_col: str, text_col: str, words: i
         for batch in batches:
             sets = [gram_set(t, words) for t in batch.column(1).to_pylist()]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([len(s) for s in sets], pa.int64()), pa.array(sets, pa.list_(pa.int64()))], names=["id", "n", "grams"])
+        focus()
 
     texts = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("_text")).join(ids, "id", "left_semi")
     return texts.mapInArrow(run, "id long, n long, grams array<long>")
@@ -328,18 +330,20 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     Repeated rows stay; an empty table gives no rows; other columns are left out.
     """
     sets_and_parts = staged(_sets(docs, id_col, text_col, words, percent), "jaccard-sets")
-    rows = sets_and_parts.where("bucket is null").select("_id", "n", "need", "print")
+    rows = staged(sets_and_parts.where("bucket is null").select("_id", "n", "need", "print"), "jaccard-rows")
     known = rows.where(F.col("print").isNotNull())
     same = staged(known.groupBy("print").agg(F.min("_id").alias("id"), F.count("*").alias("copies")), "jaccard-distinct")
     copied = staged(same.where("copies > 1").select("print", F.col("id").alias("first")), "jaccard-copied")
     meets = staged(_meets(sets_and_parts), "jaccard-meets")
+    release(sets_and_parts)
     # a set alike to another shares a number of digests with it: fewer in all, and it is out
     for _ in range(NEED_ROUNDS):
-        enough = (meets.select("part", "id").distinct().groupBy("id").agg(F.count("*").alias("shared"))
+        # (a lead's rows count more than once, so this keeps too many rather than too few)
+        enough = (meets.groupBy("id").agg(F.count("*").alias("shared"))
                   .join(known.groupBy(F.col("_id").alias("id")).agg(F.min("need").alias("need")), "id").where("shared >= need").select("id"))
         left = meets.join(enough, "id", "left_semi").select("part", "id")
         leads = left.groupBy("part").agg(F.min("id").alias("lead"), F.max("id").alias("last")).where("lead <> last").select("part", "lead")
-        fewer = staged(left.distinct().join(leads, "part"), "jaccard-meets")
+        fewer = staged(left.join(leads, "part"), "jaccard-meets")
         release(meets)
         meets = fewer
     # equal sets, and rows that share an id but not a text

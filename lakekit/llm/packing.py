@@ -27,7 +27,7 @@ from lakekit.llm.common import WordCache, focus, held, staged
 
 CAPACITY = 2048
 END_ID = 0
-PIECE_CACHE = 200_000       # memoised word pieces per generation and worker
+PIECE_CACHE = 120_000       # memoised word pieces per generation and worker
 SALT_ROWS = 4096            # pieces of one length that a rank window holds at most, on average
 SEARCH_NODES = 3000         # fillings looked at for one step; the best so far is then used
 
