@@ -1,16 +1,19 @@
 """Personal data by candidate generation and gradient boosting, in SQL functions only.
 
-High-recall generators propose spans: the base patterns, valid or not, and looser forms
-(spelt-out e-mail addresses, national phone numbers, IPv6 addresses).  Base matches are
-labelled by their checks (Luhn, part and digit ranges).  Format and context of each
+High-recall generators propose overlapping spans: the base patterns, valid or not, looser
+forms (spelt-out e-mail addresses, national phone numbers, IPv6 addresses, cards with other
+separators), and the parts of failing base runs that pass the check themselves (13 to 19
+digits of a card run and four parts of a dotted one, from border to border of its groups of
+digits, and 9 to 15 leading digits of a phone number).  Base matches are labelled by their checks (Luhn, part and digit ranges).  Format and context of each
 candidate are small whole numbers, so the whole corpus's training set is one table of
 counts, bounded by the feature grid; boosted trees are fitted on it, and each kind's
 threshold is the least score from which on the labelled candidates are precise enough.
-Trees are compiled into Spark columns.  Valid base spans always stay; loose candidates that
-reach their threshold and overlap none of them are added.
+Trees are compiled into Spark columns.  Valid base spans always stay; other candidates that
+reach their threshold and overlap none of them are added, also where these overlap each other.
 
 Positions: a pattern's matches are fenced with a private-use character, the text is split at
 it, and lengths are summed up (in blocks, so that many matches don't cost their square).
+Spans that may overlap are fenced copies in front of the place where they start.
 """
 
 from __future__ import annotations
@@ -36,14 +39,33 @@ BASE = {
     "card": r"[0-9](?:[\x20-]?[0-9]){12,}+",     # shorter runs fail the check anyway
     "phone": r"\+[0-9][\x20().0-9-]+[0-9]",
 }
+_HEX = "[0-9A-Fa-f]"
+_NAME, _HOST = rf"(?<![{_LOCAL}])[{_LOCAL}]{{1,64}}+", "[A-Za-z0-9-]{1,63}+"
+_AT, _DOT = r"[(\[{<] ?at ?[)\]}>]", r"[(\[{<] ?dot ?[)\]}>]"
 LOOSE = {
-    "email": r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]{1,64}+ ?(?:\(at\)|\[at\]) ?[A-Za-z0-9-]{1,63}+(?: ?(?:\.|\(dot\)|\[dot\]) ?[A-Za-z0-9-]{1,63}+)++",
-    "ip": r"(?<![0-9A-Fa-f:])(?:[0-9A-Fa-f]{1,4}+:){7}[0-9A-Fa-f]{1,4}+(?![0-9A-Fa-f:])",
+    "email": (rf"(?i:{_NAME}(?: ?{_AT} ?{_HOST}(?: ?(?:\.|{_DOT}) ?{_HOST}| dot {_HOST})++"
+              rf"| at {_HOST}(?:\.{_HOST})*+(?:(?: dot | ?{_DOT} ?){_HOST})++"
+              rf"|(?!@{_HOST}\.[A-Za-z0-9-]) ?@ ?{_HOST}(?:(?:\.| dot | ?{_DOT} ?){_HOST})++))"),
+    "ip": (rf"(?<![0-9A-Za-z:.])(?:(?:{_HEX}{{1,4}}+:){{7}}{_HEX}{{1,4}}+|(?!:*+(?:{_HEX}++:++){{7}}{_HEX})"
+           rf"(?:{_HEX}{{1,4}}+(?::{_HEX}{{1,4}}+)*+::(?:{_HEX}{{1,4}}+(?::{_HEX}{{1,4}}+)*+)?+|::{_HEX}{{1,4}}+(?::{_HEX}{{1,4}}+)*+))(?![0-9A-Za-z]|:[0-9A-Fa-f:])"),
     "phone": r"(?<![0-9+().-])(?<![0-9+)] )\(?[0-9]{3}\)?[ .-][0-9]{3}[ .-][0-9]{4}(?![0-9-])(?!\.[0-9])",
 }
 # A text without this has no match (cheap to look for).
-_NEEDS = {("base", "email"): "@", ("base", "phone"): "+", ("loose", "email"): "at", ("loose", "ip"): ":"}
+_NEEDS = {("base", "email"): "@", ("base", "phone"): "+", ("loose", "ip"): ":"}
 _BYTE = r"0*(?:25[0-5]|2[0-4][0-9]|[01]?[0-9]?[0-9])"
+_GAP = r"[\x20\x09\x0A.,:_/\u00a0\u2010-\u2015-]{1,3}+"
+_SEP = r"[\x20().-]*+"
+_LEAD = rf"\+(?:[0-9]{_SEP}){{%d}}[0-9]"
+_RUN = r"[0-9](?:[\x20-]?+[0-9]){%d}(?![0-9])"
+# Where spans may start, and those that start there: they may overlap.  True: only in texts
+# with a base match of the kind that fails its check.
+PARTS = (
+    ("ip", True, "(?<![0-9])", (rf"(?:{_BYTE}\.){{3}}{_BYTE}(?![0-9])",)),
+    ("card", True, r"(?<![0-9])(?=[0-9](?:[\x20-]?+[0-9]){12})", tuple(_RUN % (n - 1) for n in range(13, 20))),
+    ("card", False, "(?<![0-9])", (rf"[0-9]{{4}}{_GAP}(?:[0-9]{{4}}{_GAP}(?:[0-9]{{4}}{_GAP}){{1,2}}[0-9]{{1,4}}|[0-9]{{6}}{_GAP}[0-9]{{4,5}}|[0-9]{{4}}{_GAP}[0-9]{{5}})(?![0-9])",)),
+    # a prefix ends with a group of digits; if none ends after 9 to 15 digits, after any of these
+    ("phone", True, r"(?=\+[0-9])", tuple(rf"(?=\+(?:[0-9]{_SEP}){{8}}[0-9]{{8}}|{_LEAD % n}(?![0-9])){_LEAD % n}" for n in range(8, 15))),
+)
 _WORDS = {"email": "mail|contact", "ip": "ip|host|server|addr", "card": "card|visa|pay|credit", "phone": "phone|tel|call|fax|mobile"}
 _SECRETS = "token|key|secret|hash|id"
 FEATURES = ("kind", "digits", "parts", "letters", "before", "hint")
@@ -60,6 +82,11 @@ def _luhn(digits: Column) -> Column:
     return F.aggregate(F.transform(F.sequence(F.lit(1), size), value), F.lit(0), lambda a, b: a + b) % 10 == 0
 
 
+def _valid_part(kind: str, part: Column) -> Column:
+    """The card check on a part (the patterns of the other kinds' parts are their checks)."""
+    return F.call_function("luhn_check", F.regexp_replace(part, "[^0-9]", "")) if kind == "card" else F.lit(True)
+
+
 def _valid(kind: str, match: Column) -> Column:
     if kind == "email":
         return F.lit(True)
@@ -90,28 +117,37 @@ def _span(kind: str, strict: bool, start: Column, match: Column, before: Column)
     return F.struct(*(c.alias(n) for n, c in fields.items()))
 
 
-def _placed(kind: str, strict: bool, parts: Column) -> Column:
-    """Spans of the fenced matches: ``parts`` are the texts between and in the fences, in turn."""
+def _placed(kind: str, strict: bool, parts: Column, copies: int = 0) -> Column:
+    """Spans of the fenced matches: ``parts`` are the texts between and in the fences, in turn.
+    With ``copies``, each text is followed by so many copies of spans that start after it (a
+    copy that is empty is none)."""
     nothing = F.array().cast(SPAN)
+    turn = max(copies, 1) + 1       # divides BLOCK
     state = lambda at, seen, out: F.struct(at.alias("at"), seen.alias("seen"), out.alias("out"))
 
     def step(acc: Column, part: Column) -> Column:
-        span = _span(kind, strict, acc["at"], part["text"], acc["seen"])
+        span = F.array(_span(kind, strict, acc["at"], part["text"], acc["seen"])).cast(SPAN)
+        if copies:
+            wanted = part["in"] & (part["text"] != "") & _valid_part(kind, part["text"])
+            return state(F.when(part["in"], acc["at"]).otherwise(acc["at"] + F.char_length(part["text"])),
+                         F.when(part["in"], acc["seen"]).otherwise(F.right(F.concat(acc["seen"], F.right(part["text"], F.lit(CONTEXT))), F.lit(CONTEXT))),
+                         F.when(wanted, F.concat(acc["out"], span)).otherwise(acc["out"]))
         return state(acc["at"] + F.char_length(part["text"]), F.right(part["text"], F.lit(CONTEXT)),
-                     F.when(part["in"], F.concat(acc["out"], F.array(span).cast(SPAN))).otherwise(acc["out"]))
+                     F.when(part["in"], F.concat(acc["out"], span)).otherwise(acc["out"]))
 
     def block(acc: Column, some: Column) -> Column:
         before = F.element_at(acc, -1)
         return F.concat(acc, F.array(F.aggregate(some, state(before["at"], before["seen"], nothing), step)))
 
     marked = F.transform(F.sequence(F.lit(0), F.floor((F.size(parts) - 1) / BLOCK).cast("int")), lambda b: F.transform(
-        F.slice(parts, b * BLOCK + 1, F.lit(BLOCK)), lambda p, i: F.struct(p.alias("text"), (i % 2 == 1).alias("in"))))
+        F.slice(parts, b * BLOCK + 1, F.lit(BLOCK)), lambda p, i: F.struct(p.alias("text"), (i % turn != 0).alias("in"))))
     blocks = F.aggregate(marked, F.array(state(F.lit(0), F.lit(""), nothing)), block)
     return F.when(F.size(parts) > 1, F.flatten(F.transform(blocks, lambda x: x["out"]))).otherwise(nothing)
 
 
 def with_candidates(docs: DataFrame, text_col: str = "text") -> DataFrame:
-    """``docs`` with ``_base`` (per kind in order, then by start; valid or not) and ``_loose``."""
+    """``docs`` with ``_base`` (per kind in order, then by start; valid or not) and ``_loose``
+    (loose matches and parts of failing runs: these may overlap and repeat)."""
     keep = docs.columns
     text = F.coalesce(F.col(text_col), F.lit(""))
     df = docs.withColumn("_clean", F.when(F.contains(text, F.lit(FENCE)), F.translate(text, FENCE, STAND_IN)).otherwise(text))
@@ -123,12 +159,25 @@ def with_candidates(docs: DataFrame, text_col: str = "text") -> DataFrame:
         wanted = F.contains("_clean", F.lit(need)) if need else F.col("_digit")
         if (group, kind) == ("base", "phone"):
             wanted = wanted & F.col("_digit")
+        if (group, kind) == ("loose", "email"):
+            wanted = F.col("_clean").rlike("(?i)@| at |[(\\[{<] ?at ?[)\\]}>]")
         fenced = F.regexp_replace("_clean", f"({pattern})", f"{FENCE}$1{FENCE}")
         return F.when(wanted, F.split(fenced, FENCE)).otherwise(F.array().cast("array<string>")).alias(f"_{group}_{kind}")
 
-    df = df.select(*keep, *(parts(*s) for s in sets))
+    df = df.select(*keep, "_clean", "_digit", *(parts(*s) for s in sets))
     merged = {g: F.concat(*(_placed(k, g == "base", F.col(f"_{g}_{k}")) for group, k, _ in sets if group == g)) for g in ("base", "loose")}
-    return df.select(*keep, *(c.alias(f"_{g}") for g, c in merged.items()))
+    df = df.select(*keep, "_clean", "_digit", *(c.alias(f"_{g}") for g, c in merged.items()))
+
+    def copied(kind: str, failing: bool, start: str, spans: tuple[str, ...]) -> Column:
+        """The text with copies, cut at the fences."""
+        wanted = F.exists("_base", lambda s: (s["kind"] == KINDS.index(kind)) & ~s["ok"]) if failing else F.col("_digit")
+        some = "|".join(f"(?:{s})" for s in spans)
+        fenced = F.regexp_replace("_clean", f"{start}(?={some})" + "".join(f"(?:(?=({s}))|)" for s in spans),
+                                  FENCE + FENCE.join(f"${i + 1}" for i in range(len(spans))) + FENCE)
+        return F.when(wanted, F.split(fenced, FENCE)).otherwise(F.array().cast("array<string>"))
+
+    df = df.select(*keep, "_base", "_loose", *(copied(*p).alias(f"_part_{i}") for i, p in enumerate(PARTS)))
+    return df.select(*keep, "_base", F.concat("_loose", *(_placed(p[0], False, F.col(f"_part_{i}"), len(p[3])) for i, p in enumerate(PARTS))).alias("_loose"))
 
 
 # ---------------------------------------------------------------- boosting
@@ -235,8 +284,8 @@ def select_spans(candidates: DataFrame, model: SpanModel) -> DataFrame:
     """Candidates' columns with ``_found`` (valid base spans) and ``_spans`` (with those added)."""
     keep = [c for c in candidates.columns if c not in ("_base", "_loose")]
     df = candidates.select(*keep, F.filter("_base", lambda s: s["ok"]).alias("_valid"), "_loose")
-    df = df.select(*keep, _ordered(F.col("_valid")).alias("_found"), F.when(F.size("_loose") > 0, _ordered(F.filter("_loose", lambda s: model.chosen(s) & ~F.exists(
-        "_valid", lambda b: (b["start"] < s["stop"]) & (s["start"] < b["stop"]))))).alias("_added"))
+    df = df.select(*keep, _ordered(F.col("_valid")).alias("_found"), F.when(F.size("_loose") > 0, F.array_distinct(_ordered(F.filter("_loose", lambda s: model.chosen(s) & ~F.exists(
+        "_valid", lambda b: (b["start"] < s["stop"]) & (s["start"] < b["stop"])))))).alias("_added"))
     return df.select(*keep, "_found", F.when(F.col("_added").isNull(), F.col("_found")).otherwise(F.sort_array(F.concat("_found", "_added"))).alias("_spans"))
 
 

@@ -70,3 +70,44 @@ def test_redact(llm):
 def test_overlapping_spans_are_redacted_once(llm, text):
     out = pii.redact(table(llm, [text])).collect()[0].text
     assert "@" not in out and "4111" not in out and "10.0" not in out
+
+
+PARTS = {
+    "order 12 4111111111111111 ok": "4111111111111111", "pay 4111.1111.1111.1111 ok": "4111.1111.1111.1111", "card 3782_822463_10005": "3782_822463_10005",
+    "host 999.10.0.0.1 up": "10.0.0.1", "call +1 499 555 6503 22 33 44 55 now": "+1 499 555 6503", "call +123456789012345678901": "+123456789012345",
+    "host fe80::1ff:2 up": "fe80::1ff:2", "host ::1 up": "::1", "host 2001:db8:0:0:0:0:2:1 up": "2001:db8:0:0:0:0:2:1",
+    "mail JOE (AT) Host (DOT) ORG": "JOE (AT) Host (DOT) ORG", "mail joe at host dot org": "joe at host dot org", "mail joe @ host.org": "joe @ host.org",
+}
+
+
+def test_parts_of_failing_runs_and_loose_forms_can_be_chosen(llm):
+    """Learnt from a corpus of valid base matches; none of ``PARTS`` is one."""
+    words = ["order", "card", "host", "call", "mail", "pay", "see 12.", ""]
+    known = [f"{w} {x}" for w in words for x in ("4111111111111111", "4111 1111 1111 1111", "378282246310005", "3782 822463 10005", "10.0.0.1", "a@b.org",
+                                                 "+1 499 555 6503", "+123456789012345")]
+    texts = [*known, *PARTS]
+    rows = {r.doc_id: r for r in pii.find_pii(table(llm, texts)).collect()}
+    clean = {r.doc_id: r.text for r in pii.redact(table(llm, texts)).collect()}
+    loose = {r.doc_id: r._loose for r in pii.with_candidates(table(llm, texts)).collect()}
+    for i, (text, want) in enumerate(PARTS.items(), len(known)):
+        assert want in {text[s.start:s.stop] for s in loose[i]}, text
+        assert tuple(rows[i])[:6] == pii_row(i, text)[0]
+    for i, want in enumerate([*PARTS.values()][:2], len(known)):
+        assert "card:" in rows[i].spans and want not in clean[i] and "[CARD]" in clean[i]
+
+
+def test_parts_with_many_groups_keep_their_places(llm):
+    """Parts of a long run are where the text has them, and only those that pass the check."""
+    text = "é 🙂 " + "12 4111111111111111 " * 40 + "x " + "999.10.0.0.1 " * 40
+    loose = pii.with_candidates(table(llm, [text])).collect()[0]._loose
+    cards, hosts = ([(s.start, s.stop) for s in loose if s.kind == k] for k in (2, 1))
+    assert {text[a:b] for a, b in hosts} == {"10.0.0.1"} and len({*hosts}) == 40
+    assert len([1 for a, b in {*cards} if text[a:b] == "4111111111111111"]) == 40
+    for a, b in cards:
+        digits = [int(c) for c in text[a:b] if c.isdigit()][::-1]
+        assert 13 <= len(digits) <= 19 and sum(d if i % 2 == 0 else sum(divmod(2 * d, 10)) for i, d in enumerate(digits)) % 10 == 0
+
+
+def test_words_and_code_are_no_addresses(llm):
+    texts = ["std::vector a::b::c", "look at example.com now", "1::2::3", ":: x", "12:30:45", "a::b:c:d:e:f:1:2:3"]
+    assert [[s for s in r._loose if s.kind in (0, 1)] for r in pii.with_candidates(table(llm, texts)).collect()] == [[]] * len(texts)
