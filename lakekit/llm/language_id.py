@@ -88,14 +88,17 @@ class LanguageModel:
 def language_sample(docs: DataFrame, learn: Column, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang",
                     per_language: int = PER_LANGUAGE) -> list[tuple[str, np.ndarray]]:
     """Hashed n-grams of up to ``per_language`` labelled texts of each language, chosen by a
-    hash of the id, and fewer of each when languages are so many that ``SAMPLE`` is reached."""
+    hash of the id, and fewer of each when languages are so many that ``SAMPLE`` is reached.
+    Of rows that share id and language one is learnt from: of those with a letter, the one
+    whose text has the least hash."""
     languages = docs.where(learn & F.col(lang_col).isNotNull()).select(lang_col).distinct().count()
     per_language = max(1, min(per_language, SAMPLE // max(1, languages)))
-    ids = docs.where(learn & F.col(lang_col).isNotNull() & F.col(text_col).rlike(r"\p{L}")).select(F.col(id_col).alias("_id"), F.col(lang_col).alias("_lang"))
+    rows = (docs.where(learn & F.col(lang_col).isNotNull() & F.col(text_col).rlike(r"\p{L}"))
+            .select(F.col(id_col).alias("_id"), F.col(lang_col).alias("_lang"), F.col(text_col).alias("_text")).withColumn("_print", F.xxhash64("_text")))
     first = Window.partitionBy("_lang").orderBy(F.xxhash64("_id"), "_id")
-    chosen = ids.withColumn("_n", F.row_number().over(first)).where(F.col("_n") <= per_language).select("_id").distinct()
-    texts = (docs.where(learn & F.col(lang_col).isNotNull()).select(F.col(id_col).alias("_id"), F.col(lang_col).alias("_lang"), F.col(text_col).alias("_text"))
-             .join(F.broadcast(chosen), "_id"))  # at most per_language ids for each language
+    chosen = (rows.groupBy("_id", "_lang").agg(F.min("_print").alias("_print")).withColumn("_n", F.row_number().over(first))
+              .where(F.col("_n") <= per_language).drop("_n"))  # at most per_language keys for each language
+    texts = rows.join(F.broadcast(chosen), ["_id", "_lang", "_print"]).groupBy("_id", "_lang").agg(F.min("_text").alias("_text"))
 
     def grams(batches):
         focus()
@@ -104,8 +107,8 @@ def language_sample(docs: DataFrame, learn: Column, id_col: str = "doc_id", text
             found = [presence(t, flags) for t in batch.column(2).to_pylist()]
             yield pa.RecordBatch.from_arrays([batch.column(0).cast(pa.string()), batch.column(1), pa.array(found, pa.list_(pa.int32()))], names=["_id", "_lang", "_grams"])
 
-    rows = texts.mapInArrow(grams, "_id string, _lang string, _grams array<int>").toArrow()
-    got = sorted(zip(rows["_id"].to_pylist(), rows["_lang"].to_pylist(), (np.asarray(g.values) for g in rows["_grams"])), key=lambda r: (r[0], r[1], len(r[2])))
+    learnt = texts.mapInArrow(grams, "_id string, _lang string, _grams array<int>").toArrow()
+    got = sorted(zip(learnt["_id"].to_pylist(), learnt["_lang"].to_pylist(), (np.asarray(g.values) for g in learnt["_grams"])), key=lambda r: (r[0], r[1], len(r[2])))
     return [(lang, grams) for _, lang, grams in got if len(grams)]
 
 

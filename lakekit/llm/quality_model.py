@@ -147,14 +147,16 @@ def training_rows(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, id_c
                   text_col: str = "text", label_col: str = "quality") -> tuple[np.ndarray, np.ndarray, list[str]]:
     """Statistics and labels of up to ``sample`` labelled texts outside the held-out fold.
 
-    A document labelled twice has its smallest label; NULL labels and ids are left out.
+    A document labelled twice has its smallest label; NULL labels and ids are left out.  Of
+    rows that share an id one is learnt from, the one whose text has the least hash.
     """
     chosen = (labels.where(F.col(label_col).isNotNull() & (fold(F.col(id_col), FOLDS) != HELD_OUT))
               .groupBy(F.col(id_col).alias("_id")).agg(F.min(label_col).cast("double").alias("_y"))
               .orderBy(F.xxhash64("_id"), "_id").limit(sample))   # the documented bound on what is learnt from
     texts = docs.select(F.col(id_col).alias("_id"), F.col(text_col).alias("_text")).join(F.broadcast(chosen), "_id")
     stats, names = with_statistics(texts, "_text")
-    rows = stats.select("_id", "_y", *names).toArrow()
+    one = stats.groupBy("_id").agg(F.min(F.struct(F.xxhash64("_text").alias("_print"), "_y", *names)).alias("_one"))
+    rows = one.select("_id", "_one._y", *(F.col(f"_one.{n}").alias(n) for n in names)).toArrow()
     table = np.column_stack([rows[c].to_numpy() for c in ("_id", "_y", *names)]) if rows.num_rows else np.zeros((0, 2 + len(names)))
     table = table[np.lexsort(table.T[::-1])]
     return table[:, 2:], table[:, 1], names

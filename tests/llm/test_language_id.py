@@ -1,4 +1,5 @@
 import math
+import zlib
 
 import numpy as np
 from pyspark.sql import functions as F
@@ -69,3 +70,17 @@ def test_nothing_to_learn_from(llm):
     df = llm.createDataFrame([(1, "text", None), (1, "text", None)], "doc_id long, text string, lang string")
     assert [r.lang_pred for r in li.identify_languages(df).collect()] == ["und", "und"]
     assert li.identify_languages(df.limit(0)).count() == 0
+
+
+def test_repeated_ids_give_one_text_each(llm):
+    """A hot id, and an id with a NULL and a letterless text besides a good one."""
+    good = [(i, "der die und ist nicht auch " * 3 if i % 2 else "the of and with that from " * 3, "de" if i % 2 else "en") for i in range(40)]
+    learnt = [i for i in range(40) if zlib.crc32(str(i).encode()) % li.FOLDS != li.HELD_OUT]
+    odd = [(learnt[0], None, good[learnt[0]][2]), (learnt[0], "12", good[learnt[0]][2])]
+    hot = [(learnt[1], f"{good[learnt[1]][1]} {k % 30}", good[learnt[1]][2]) for k in range(300)]
+    docs = llm.createDataFrame([*good, *odd, *hot], "doc_id long, text string, lang string")
+    learn = F.crc32(F.col("doc_id").cast("string").cast("binary")) % li.FOLDS != li.HELD_OUT
+    assert len(li.language_sample(docs, learn)) == len(learnt)
+    assert len(li.language_sample(docs, learn, per_language=5)) == 10
+    got = li.identify_languages(docs).collect()
+    assert len(got) == 342 and sum(r.lang_pred == "und" for r in got) == 2

@@ -1,4 +1,5 @@
 import math
+import zlib
 
 import numpy as np
 from pyspark.sql import functions as F
@@ -54,3 +55,14 @@ def test_odd_rows_and_empty_tables(llm):
     assert len(rows) == 6 and all(0 <= r.score <= 1 for r in rows)
     assert {r.score for r in qm.classify_quality(docs, labels.limit(0)).collect()} == {0.5}
     assert qm.classify_quality(docs.limit(0), labels).count() == 0
+
+
+def test_rows_that_share_an_id_are_learnt_from_once(llm):
+    ids = [i for i in range(60) if zlib.crc32(str(i).encode()) % qm.FOLDS != qm.HELD_OUT]
+    rows = [(i, f"text {i}") for i in ids] + [(ids[0], f"other {k}") for k in range(200)] + [(ids[1], None)]
+    labels = llm.createDataFrame([(i, i % 2) for i in ids], "doc_id long, quality int")
+    docs = llm.createDataFrame(rows, "doc_id long, text string")
+    x, y, names = qm.training_rows(docs, labels, sample=20)
+    assert len(x) == len(y) == 20
+    assert (qm.training_rows(docs.orderBy(F.desc("text")), labels, sample=20)[0] == x).all()
+    assert len(qm.training_rows(docs, labels)[0]) == len(ids)
