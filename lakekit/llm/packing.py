@@ -49,10 +49,11 @@ def best_filling(room: int, lengths: list[int], counts: dict[int, int], nodes: i
     for i in range(len(lengths) - 1, -1, -1):
         rest[i] = rest[i + 1] + lengths[i] * counts[lengths[i]]
 
-    def descend(room: int, first: int, chosen: list[int], used: dict[int, int]) -> bool:
+    def descend(room: int, first: int, chosen: list[tuple[int, int]]) -> bool:
+        """One call for each different length in the filling, so at most about sqrt(2 * room) deep."""
         nonlocal best, best_waste, left
         if room < best_waste:
-            best, best_waste = list(chosen), room
+            best, best_waste = [n for n, k in chosen for _ in range(k)], room
         if best_waste == 0 or left <= 0:
             return True
         if room < smallest:
@@ -68,19 +69,15 @@ def best_filling(room: int, lengths: list[int], counts: dict[int, int], nodes: i
             length = lengths[i]
             if room - rest[i] >= best_waste:
                 return False
-            if counts[length] <= used.get(length, 0):
-                continue
-            left -= 1
-            used[length] = used.get(length, 0) + 1
-            chosen.append(length)
-            stop = descend(room - length, i, chosen, used)
-            chosen.pop()
-            used[length] -= 1
-            if stop:
-                return True
+            for k in range(min(counts[length], room // length), 0, -1):
+                if room - k * length - rest[i + 1] >= best_waste:
+                    break       # fewer of it leave more
+                left -= 1
+                if descend(room - k * length, i + 1, [*chosen, (length, k)]):
+                    return True
         return False
 
-    descend(room, 0, [], {})
+    descend(room, 0, [])
     return best
 
 

@@ -117,3 +117,8 @@ def test_empty_table_and_refused_lengths(llm):
     assert packing.pack_documents(df, PATH).count() == 0
     with pytest.raises(ValueError):
         packing.plan_packing({0: 1})
+
+
+def test_very_many_short_pieces_beside_a_long_one():
+    assert packing.best_filling(1008, [1], {1: 3000}) == [1] * 1008
+    assert check_plan({1040: 10_000, 1: 3000}, 2048) == 10_000
