@@ -4,8 +4,9 @@ Lengths are whole numbers up to the capacity, so the packing problem of any corp
 histogram: at most ``capacity`` rows, counted by Spark.  The plan is made on that
 histogram: take the largest length left, enumerate fillings of the room beside it by
 branch and bound, keep the one with least waste, and use it as often as the counts allow.
-Each step uses up a length, so a plan has a number of steps bounded by the capacity,
-not by the corpus.
+Each step uses up a length, so this plan has a number of steps bounded by the capacity,
+not by the corpus.  If it misses the bound, the search branches over the undominated fillings
+of each bin and goes back, up to a number of nodes.
 
 The plan numbers the pieces of a length 0, 1, 2, ... and says which numbers go where.
 Spark gives out these numbers (counts per length and salt, then a rank within each), so a
@@ -30,6 +31,7 @@ END_ID = 0
 PIECE_CACHE = 120_000       # memoised word pieces per generation and worker
 SALT_ROWS = 4096            # pieces of one length that a rank window holds at most, on average
 SEARCH_NODES = 3000         # fillings looked at for one step; the best so far is then used
+BRANCH_NODES = 60_000       # fillings and choices looked at for a plan; the best plan so far is then used
 
 
 # ---------------------------------------------------------------- planning
@@ -111,20 +113,123 @@ def _plan(histogram: dict[int, int], capacity: int, filling) -> list[tuple[int,
     return steps
 
 
+def fewest_bins(histogram: dict[int, int], capacity: int) -> int:
+    """A bound: total / capacity, and for each length s up to half the capacity the bins that
+    the lengths over half need, with those of s and more that don't fit beside them."""
+    total = sum(n * c for n, c in histogram.items())
+    bound = -(-total // capacity)
+    large = sorted((n for n in histogram if 2 * n > capacity and histogram[n]), reverse=True)
+    all_large = sum(histogram[n] for n in large)
+    bound = max(bound, all_large)
+    beside = sum(histogram[n] * (capacity - n) for n in large)
+    tops = iter(large)
+    top = next(tops, None)
+    small = sorted((n for n in histogram if 2 * n <= capacity and histogram[n]))
+    middle = sum(n * histogram[n] for n in small)
+    # upwards: fewer of the short lengths count, and fewer large ones have room for the rest
+    for s in small:
+        while top is not None and top > capacity - s:
+            beside -= histogram[top] * (capacity - top)
+            top = next(tops, None)
+        bound = max(bound, all_large + max(0, -(-(middle - beside) // capacity)))
+        middle -= s * histogram[s]
+    return bound
+
+
+def fillings(room: int, lengths: list[int], counts: dict[int, int], nodes: int) -> tuple[list[dict[int, int]], int]:
+    """Undominated fillings of ``room``, least waste first, and the nodes left.  A filling is
+    dominated if a piece that is left fits in, or in the place of one or two of its pieces
+    that are not longer together (shorter, if one)."""
+    found: list[tuple[int, dict[int, int]]] = []
+    left = nodes
+
+    def dominated(waste: int, used: dict[int, int]) -> bool:
+        pieces = list(used)
+        spans = [(0, waste)] + [(n + 1, n + waste) for n in pieces]
+        spans += [(a + b, a + b + waste) for i, a in enumerate(pieces) for b in pieces[i:] if a != b or used[a] > 1]
+        return any(lo <= n <= hi and used.get(n, 0) < counts[n] for n in lengths for lo, hi in spans)
+
+    def descend(room: int, first: int, used: dict[int, int]) -> None:
+        nonlocal left
+        if not dominated(room, used):
+            found.append((room, used))
+        for i in range(first, len(lengths)):
+            for k in range(min(counts[lengths[i]], room // lengths[i]), 0, -1):
+                left -= 1
+                if left <= 0:
+                    return
+                descend(room - k * lengths[i], i + 1, {**used, lengths[i]: k})
+
+    descend(room, 0, {})
+    return [used for _, used in sorted(found, key=lambda f: f[0])], left
+
+
+def _branched(histogram: dict[int, int], capacity: int, best: int, nodes: int = BRANCH_NODES):
+    """A plan of fewer than ``best`` bins, the fewest found, or None.  Each bin of the largest
+    length left takes each undominated filling, as many times in turn as the counts allow, and
+    the search goes back where the bound shows that no fewer bins can come out."""
+    counts = {n: c for n, c in histogram.items() if c > 0}
+    least, left, plan = fewest_bins(counts, capacity), nodes, None
+
+    def choices():
+        nonlocal left
+        top = max(n for n, c in counts.items() if c)
+        counts[top] -= 1
+        rest = sorted((n for n, c in counts.items() if c and n <= capacity - top), reverse=True)
+        found, left = fillings(capacity - top, rest, counts, left)
+        counts[top] += 1
+        for used in found:
+            pattern = {**used, top: used.get(top, 0) + 1}
+            for copies in range(min(counts[n] // k for n, k in pattern.items()), 0, -1):
+                yield copies, pattern
+
+    def use(step, sign: int) -> None:
+        for n, k in step[1].items():
+            counts[n] -= sign * step[0] * k
+
+    frames, path, bins = ([choices()] if counts else []), [], 0     # a stack: plans have many steps
+    while frames and left > 0 and best > least:
+        step = next(frames[-1], None)
+        if step is None:
+            frames.pop()
+            if path:
+                use(path[-1], -1)
+                bins -= path.pop()[0]
+            continue
+        left -= 1 + len(counts) // 8      # the bound's share
+        use(step, 1)
+        rest = any(counts.values())
+        if bins + step[0] + (fewest_bins(counts, capacity) if rest else 0) >= best:
+            use(step, -1)
+        elif rest:
+            path.append(step)
+            bins += step[0]
+            frames.append(choices())
+        else:
+            best, plan = bins + step[0], [*path, step]
+            use(step, -1)
+    return plan
+
+
 def plan_packing(histogram: dict[int, int], capacity: int = CAPACITY) -> list[tuple[int, dict[int, int]]]:
     """Steps (copies, {length: pieces in each}) that use every length's count exactly.
 
-    The best-fit plan is the incumbent; bin completion replaces it if it needs fewer bins.
-    A best-fit plan that reaches the bound total / capacity is returned at once.
+    The best-fit plan is the incumbent; bins filled by least waste replace it if they are
+    fewer, then what bin completion with backtracking finds within ``BRANCH_NODES``.  A plan
+    that reaches the bound is returned at once; one that comes out of a search that ended at
+    ``BRANCH_NODES`` is valid, but may have more bins than needed.
     """
     if any(n < 1 or n > capacity for n in histogram):
         raise ValueError("a length is outside 1..capacity")
-    incumbent = _plan(histogram, capacity, _greedy)
     bins = lambda plan: sum(copies for copies, _ in plan)
-    if bins(incumbent) <= math.ceil(sum(n * c for n, c in histogram.items()) / capacity):
-        return incumbent
-    completed = _plan(histogram, capacity, best_filling)
-    return completed if bins(completed) < bins(incumbent) else incumbent
+    least, incumbent = fewest_bins(histogram, capacity), None
+    for filling in (_greedy, best_filling):
+        plan = _plan(histogram, capacity, filling)
+        if incumbent is None or bins(plan) < bins(incumbent):
+            incumbent = plan
+        if bins(incumbent) <= least:
+            return incumbent
+    return _branched(histogram, capacity, bins(incumbent)) or incumbent
 
 
 def _segments(plan) -> dict[int, tuple[np.ndarray, ...]]:

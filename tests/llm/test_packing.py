@@ -122,3 +122,29 @@ def test_empty_table_and_refused_lengths(llm):
 def test_very_many_short_pieces_beside_a_long_one():
     assert packing.best_filling(1008, [1], {1: 3000}) == [1] * 1008
     assert check_plan({1040: 10_000, 1: 3000}, 2048) == 10_000
+
+
+def test_small_cases_need_the_fewest():
+    """Cases where bins filled by least waste alone are more than needed are among these."""
+    rnd = random.Random(4)
+    filled_by_waste = 0
+    for _ in range(400):
+        lengths = sorted((rnd.randrange(8, 60) for _ in range(rnd.randrange(2, 11))), reverse=True)
+        histogram = {n: len([*g]) for n, g in itertools.groupby(lengths)}
+        least = fewest(lengths, 100)
+        assert packing.fewest_bins(histogram, 100) <= least
+        assert check_plan(histogram, 100) == least, lengths
+        filled_by_waste += min(sum(c for c, _ in packing._plan(histogram, 100, f)) for f in (packing._greedy, packing.best_filling)) > least
+    assert filled_by_waste > 0
+
+
+def test_long_plans_that_miss_the_bound_end():
+    """A hot length over half the capacity and thousands of others: many steps, no deep calls."""
+    rnd = random.Random(8)
+    histogram = {n: rnd.randrange(1, 9) for n in range(3, 2049, 3)} | {1026: 20_000, 690: 5000}
+    greedy = sum(c for c, _ in packing._plan(histogram, 2048, packing._greedy))
+    assert packing.fewest_bins(histogram, 2048) <= check_plan(histogram, 2048) <= greedy
+    hot = {n: 40 for n in range(520, 900, 7)}
+    greedy = sum(c for c, _ in packing._plan(hot, 2048, packing._greedy))
+    least = packing.fewest_bins(hot, 2048)
+    assert least < greedy and least <= check_plan(hot, 2048) <= greedy
