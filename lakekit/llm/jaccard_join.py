@@ -328,6 +328,9 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     A text without words has no set and is its own component, as is a row with a NULL id
     (component NULL).  Rows that share an id are one document: they share its component.
     Repeated rows stay; an empty table gives no rows; other columns are left out.
+
+    Components are what is returned, not the links or their number: a task keeps one spanning
+    link for each set, and sets already in one component are not compared.
     """
     sets_and_parts = staged(_sets(docs, id_col, text_col, words, percent), "jaccard-sets")
     rows = staged(sets_and_parts.where("bucket is null").select("_id", "n", "need", "print"), "jaccard-rows")
