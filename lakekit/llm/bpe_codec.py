@@ -1,8 +1,8 @@
 """BPE encoding and decoding by per-prefix dynamic programming.
 
 For every prefix of a piece there is exactly one token that can be last in the prefix's
-BPE encoding.  The suffix automaton of the vocabulary lists the tokens that end at each
-position; the one that starts where a prefix ends whose own last token it is compatible
+BPE encoding.  An Aho-Corasick automaton of the vocabulary lists the tokens that end at each
+position (those that are suffixes of the prefix, as a suffix automaton would); the one that starts where a prefix ends whose own last token it is compatible
 with is the answer.  Following the stored tokens back from the end gives the exact ids,
 in time linear in the piece, without simulating merges over it.
 
@@ -75,7 +75,7 @@ class PrefixEncoder:
             self.rank[whole], self.parts[whole], self.joined[left, right] = rank, (left, right), rank
         self.edges: dict[tuple[int, int], list[tuple[int, int]]] = {}
         self.pairs: dict[tuple[int, int], bool] = {}
-        self.automaton = self._suffix_automaton()
+        self.automaton = self._token_automaton()
         self.memo = WordCache(self.encode_piece, PIECE_CACHE)
         self.rare = WordCache(self._rare_pieces, CHUNK_CACHE)
 
@@ -113,7 +113,7 @@ class PrefixEncoder:
             known = self.pairs[key] = not self._crosses(left, right)
         return known
 
-    def _suffix_automaton(self) -> ahocorasick.Automaton:
+    def _token_automaton(self) -> ahocorasick.Automaton:
         reachable: dict[int, bool] = {}
         for token, (left, right) in self.parts.items():  # in rank order: parts come first
             reachable[token] = reachable.get(left, True) and reachable.get(right, True) and not self._crosses(left, right, self.rank[token])
