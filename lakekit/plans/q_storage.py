@@ -110,11 +110,13 @@ def q_drop_table(spark, sf_dir):
 
 @query("append_rows", "SELECT * FROM region")
 def q_append_rows(spark, sf_dir):
-    """``INSERT ... VALUES`` of the few region rows into a table created empty."""
+    """``INSERT ... VALUES`` of the region with the least key, ``INSERT ... SELECT`` of the others, into a table created empty."""
     region = tb.load(spark, sf_dir, "region")
     path = work_dir(spark, "values") + "/region"
     tb.ensure_table(spark, path, region.schema)
-    tb.append_rows(spark, path, region.collect(), region.schema)
+    least = F.col("r_regionkey").eqNullSafe(F.lit(region.agg(F.min("r_regionkey")).first()[0]))
+    tb.append_rows(spark, path, region.where(least).collect(), region.schema)
+    tb.append_query(region.where(~least), path)
     return spark.read.schema(region.schema).parquet(path)
 
 

@@ -216,3 +216,14 @@ def test_sliding_reference_bounds_fixture(spark):
            for r in out.orderBy("window_start").collect()]
     # starts stop at start < 25 - 10; the last event is in no window (the reference's rule)
     assert got == [(0, 2, Decimal("3.00")), (5, 1, Decimal("2.00")), (10, 0, Decimal("0.00"))]
+
+
+def test_append_rows_query_sends_one_row_through_the_driver(spark, tmp_dir, monkeypatch):
+    from lakekit.plans import q_storage
+
+    wide = spark.range(500).selectExpr("cast(id as int) AS r_regionkey", "concat('r', id) AS r_name", "'c' AS r_comment")
+    wide.write.parquet(f"{tmp_dir}/region.parquet")
+    sent, append = [], q_storage.tb.append_rows
+    monkeypatch.setattr(q_storage.tb, "append_rows", lambda s, path, rows, schema: (sent.append(len(rows)), append(s, path, rows, schema)))
+    got = q_storage.q_append_rows(spark, tmp_dir)
+    assert sent == [1] and sorted(got.collect()) == sorted(wide.collect())
