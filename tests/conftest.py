@@ -1,4 +1,3 @@
-import datetime as dt
 import os
 import sys
 import tempfile
@@ -22,15 +21,3 @@ def spark():
 @pytest.fixture()
 def tmp_dir():
     return tempfile.mkdtemp(prefix="lk-test-", dir="/tmp")
-
-
-def rows(df, *order):
-    """Collected rows as tuples, sorted (by ``order`` columns when given)."""
-    if order:
-        df = df.orderBy(*order)
-        return [tuple(r) for r in df.collect()]
-    return sorted((tuple(r) for r in df.collect()), key=lambda t: tuple((x is None, str(x)) for x in t))
-
-
-D = dt.date
-T = dt.datetime

@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from conftest import rows
+from lk_helpers import rows
 from lakekit.operators import keys as K
 from lakekit.operators import merge as M
 

@@ -2,7 +2,7 @@ from decimal import Decimal
 
 from pyspark.sql import functions as F
 
-from conftest import D, rows
+from lk_helpers import D, rows
 from lakekit.operators import scd
 
 OPEN = D(2999, 12, 31)

@@ -3,7 +3,7 @@ from decimal import Decimal
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import D, rows
+from lk_helpers import D, rows
 from lakekit.operators import access as ac
 from lakekit.operators import mask as mk
 

@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 from pyspark.sql.types import IntegerType, StringType, StructField, StructType
 
-from conftest import D, rows
+from lk_helpers import D, rows
 from lakekit.functions import scalar as S
 from lakekit.plans import medallion as md
 from lakekit.plans import views as vw

@@ -5,7 +5,7 @@ from decimal import Decimal
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import T, rows
+from lk_helpers import T, rows
 from lakekit.sources.snapshots import SnapshotTable, as_of
 from lakekit.streaming import mview as mv
 from lakekit.streaming import windows as wn
