@@ -159,3 +159,81 @@ FROM embeddings e LEFT JOIN n ON n.x = e.vec_id JOIN c ON c.x = e.vec_id
 def op1(spark, sf_dir):
     from lakekit.llm.embedding_dedup import near_duplicates
     return near_duplicates(table(spark, sf_dir, "embeddings"))
+
+
+@query("op11_token_files")
+def op11(spark, sf_dir):
+    from lakekit.llm.token_files import round_trip
+    return round_trip(table(spark, sf_dir, "documents"), WORD_BPE)
+
+
+# crc32 of a string's UTF-8 bytes: the table of all bytes, then one step a byte
+_SQL_CRC_TABLE = """crc_steps AS (SELECT i, 0 AS k, i::BIGINT AS c FROM range(256) r(i)
+  UNION ALL SELECT i, k + 1, CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END FROM crc_steps WHERE k < 8),
+crc_table AS (SELECT list(c ORDER BY i) AS crcs FROM crc_steps WHERE k = 8)"""
+
+
+def _sql_crc(value: str) -> str:
+    """crc32 of the string ``value``, where ``crc_table`` is joined."""
+    return (f"xor(list_reduce([('0x' || x)::BIGINT FOR x IN regexp_extract_all(hex(encode({value})), '..')], "
+            "lambda c, x: xor(c >> 8, crcs[1 + (xor(c, x) & 255)]), 4294967295::BIGINT), 4294967295)")
+
+
+# Equal three-word stretches q apart; those at neighbouring places are one run.
+_SQL_RUNS = f"""
+WITH RECURSIVE {_SQL_CRC_TABLE},
+o AS (SELECT doc_id, {_sql_crc("doc_id::VARCHAR")} AS h, {_SQL_WORDS.format("coalesce(text, '')")} AS words FROM documents, crc_table),
+c AS (SELECT *, len(words) AS n, CASE WHEN h % 10 = 0 AND len(words) > 0 THEN (h // 10) % len(words) END AS a FROM o),
+d AS (SELECT doc_id, n, CASE WHEN a IS NULL THEN words ELSE [words[1 + CASE WHEN i >= a THEN a + (i - a) % (1 + (n - a) // (3 + (h // 10) % 8)) ELSE i END]
+             FOR i IN range(0, n)] END AS words FROM c),
+p AS (SELECT doc_id, n, words, unnest(range(0, n)) AS i FROM d),
+g AS (SELECT doc_id, n, i, array_to_string(words[i + 1:i + 3], ' ') AS gram FROM p WHERE i + 3 <= n),
+e AS (SELECT x.doc_id, y.i - x.i AS q, x.i - row_number() OVER (PARTITION BY x.doc_id, y.i - x.i ORDER BY x.i) AS island, x.i
+      FROM g x JOIN g y ON x.doc_id = y.doc_id AND x.gram = y.gram AND y.i > x.i AND 4 * (y.i - x.i) <= x.n),
+r AS (SELECT doc_id, start, length, min(q) AS period FROM (SELECT doc_id, q, min(i) AS start, max(i) - min(i) + 3 + q AS length FROM e GROUP BY doc_id, q, island)
+      WHERE length >= greatest(6, 4 * q) GROUP BY doc_id, start, length),
+m AS (SELECT doc_id, count(*) AS n_runs, first(struct_pack(start, length, period) ORDER BY length / period DESC, start, period) AS top,
+             string_agg(start || ',' || length || ',' || period || chr(10), '' ORDER BY start, period) AS listed FROM r GROUP BY doc_id),
+k AS (SELECT DISTINCT doc_id, unnest(range(start + period, start + length)) AS i FROM r),
+s AS (SELECT p.doc_id, string_agg(words[p.i + 1], ' ' ORDER BY p.i) AS kept FROM p LEFT JOIN k ON k.doc_id = p.doc_id AND k.i = p.i WHERE k.i IS NULL GROUP BY p.doc_id)
+SELECT d.doc_id, coalesce(n_runs, 0)::BIGINT AS n_runs, top.start::BIGINT AS start, top.length::BIGINT AS length, top.period::BIGINT AS period,
+       (1000 * top.length // top.period)::BIGINT AS exponent_milli, sha256(coalesce(listed, '')) AS runs_sha256, sha256(coalesce(kept, '')) AS collapsed_sha256
+FROM d LEFT JOIN m USING (doc_id) LEFT JOIN s USING (doc_id)
+"""
+
+
+@query("op12_periodic_runs", _SQL_RUNS)
+def op12(spark, sf_dir):
+    from lakekit.llm.periodic_runs import run_digests
+    return run_digests(table(spark, sf_dir, "documents"))
+
+
+def _sql_features(table: str, of: str) -> str:
+    words = r"regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
+    return f"""{of}_words AS (SELECT *, {words} AS words FROM {table}),
+{of} AS (SELECT * EXCLUDE (words), len(words) AS n_words, list_concat(words, [words[i] || ' ' || words[i + 1] FOR i IN range(1, len(words))]) AS feats FROM {of}_words)"""
+
+
+_SQL_RESAMPLING = f"""
+WITH RECURSIVE {_SQL_CRC_TABLE},
+{_sql_features("documents", "d")},
+{_sql_features("benchmark", "b")},
+x AS (SELECT doc_id, unnest(feats) AS f FROM d),
+y AS (SELECT unnest(feats) AS f FROM b),
+h AS (SELECT f, {_sql_crc("f")} % 10000 AS bucket FROM (SELECT f FROM x UNION SELECT f FROM y), crc_table),
+s AS (SELECT bucket, count(*)::DOUBLE AS s FROM x JOIN h USING (f) GROUP BY bucket),
+t AS (SELECT bucket, count(*)::DOUBLE AS t FROM y JOIN h USING (f) GROUP BY bucket),
+g AS (SELECT r.bucket, floor(1000 * ln((coalesce(t, 0) + 1) * ((SELECT coalesce(sum(s), 0) FROM s) + 10000) / ((coalesce(s, 0) + 1) * ((SELECT coalesce(sum(t), 0) FROM t) + 10000))))::BIGINT AS gain
+      FROM range(10000) r(bucket) LEFT JOIN s USING (bucket) LEFT JOIN t USING (bucket)),
+w AS (SELECT doc_id, floor(sum(gain)::DOUBLE / count(*))::BIGINT AS weight FROM x JOIN h USING (f) JOIN g USING (bucket) GROUP BY doc_id),
+c AS (SELECT doc_id, n_words, len(feats)::BIGINT AS n_features, coalesce(weight, 0) AS weight,
+             coalesce(weight, 0) + floor(-1000 * ln(-ln((('0x' || substr(sha256('7:' || doc_id), 1, 8))::BIGINT + 0.5::DOUBLE) / 4294967296::DOUBLE)))::BIGINT AS score FROM d LEFT JOIN w USING (doc_id)),
+r AS (SELECT doc_id, row_number() OVER (ORDER BY score DESC, doc_id) AS place, count(*) OVER () AS n FROM c WHERE n_words >= 20)
+SELECT c.doc_id, n_features, weight, score, CASE WHEN place <= 25 * n // 100 THEN place END AS rank FROM c LEFT JOIN r USING (doc_id)
+"""
+
+
+@query("op13_importance_resampling", _SQL_RESAMPLING)
+def op13(spark, sf_dir):
+    from lakekit.llm.importance_resampling import resample
+    return resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
