@@ -6,8 +6,8 @@ else 32, little-endian), ``.off`` the documents' places as 64-bit offsets from t
 the whole corpus (one more than documents), ``.arrow`` the documents' ids and lengths.  A
 reader maps ``.bin`` and ``.off`` into memory.
 
-One range exchange puts the encoded documents into order.  Each task streams its range
-into files, under names of its own; only the listing that Spark commits counts, so a lost or
+One range exchange puts the documents into order.  Each task encodes its range and streams the
+ids into files, under names of its own; only the listing that Spark commits counts, so a lost or
 repeated task leaves nothing doubled.  Prefix sums over the listing (one row a file) give
 each file's base, with which the offsets are then written.
 """
@@ -27,14 +27,15 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from lakekit.llm.bpe_codec import encoder
-from lakekit.llm.common import focus, release, staged
+from lakekit.llm.common import focus, staged
 from lakekit.llm.packing import _id_bytes
 from lakekit.session import work_dir
 
 END_ID = 2
 FILE_TOKENS = 128 << 20     # a file is closed beyond so many ids,
 FILE_DOCS = 1 << 20         # or documents
-TASK_TOKENS = 1 << 20       # small corpora: a task for so many, as long as there are cores
+TASK_BYTES = 512 << 20      # text that a task sorts and encodes
+LEAST_BYTES = 4 << 20       # small corpora: a task for so much, up to four for each core
 READ_TOKENS = 4 << 20       # ids looked at together by a reader
 
 
@@ -86,31 +87,18 @@ class TokenFile:
                 done, at = done + n, at + n
 
 
-def _encoded(docs: DataFrame, path: str, end_id: int, dtype: np.dtype, id_col: str, text_col: str) -> DataFrame:
-    """_id, _ids (the file's bytes of a document), _n."""
+def _write_files(path: str, end_id: int, folder: str, dtype: np.dtype, file_tokens: int, file_docs: int):
+    """Encode sorted (id, text) rows and stream them into files: one row (part, file, path, docs, tokens) each."""
     end = end_id.to_bytes(4, "little")
 
-    def encode(batches):
+    def write(batches):
         focus(encoder, _id_bytes)
         ids_of = _id_bytes(path)
-        for batch in batches:
-            ids = [np.frombuffer(ids_of(t or "") + end, dtype="<u4").astype(dtype) for t in batch.column(1).to_pylist()]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([x.tobytes() for x in ids], pa.binary()), pa.array([len(x) for x in ids], pa.int64())],
-                                             names=["_id", "_ids", "_n"])
-
-    kind = docs.schema[id_col].dataType.simpleString()
-    return docs.select(F.col(id_col).alias("_id"), F.col(text_col).alias("_text")).mapInArrow(encode, f"_id {kind}, _ids binary, _n bigint")
-
-
-def _write_files(folder: str, dtype: np.dtype, file_tokens: int, file_docs: int):
-    """Stream sorted (_id, _ids, _n) rows into files: one row (part, file, path, docs, tokens) each."""
-    width = dtype.itemsize
-
-    def write(batches):
         part, number = TaskContext.get().partitionId(), 0
         out = None
         for batch in batches:
-            n = batch.column(2).to_numpy()
+            encoded = [np.frombuffer(ids_of(t or "") + end, dtype="<u4").astype(dtype) for t in batch.column(1).to_pylist()]
+            n = np.array([len(x) for x in encoded], np.int64)
             at = 0
             while at < len(n):
                 if out is None:
@@ -121,10 +109,9 @@ def _write_files(folder: str, dtype: np.dtype, file_tokens: int, file_docs: int)
                 # as many documents as the file takes: at least one
                 fits = int(np.searchsorted(np.cumsum(n[at:]), file_tokens - tokens, side="right"))
                 stop = at + max(1 if not docs else 0, min(fits, file_docs - docs))
-                for data in batch.column(1).slice(at, stop - at):
-                    out.write(data.as_buffer())
                 if stop > at:
-                    table.write_batch(pa.RecordBatch.from_arrays([batch.column(0).slice(at, stop - at), batch.column(2).slice(at, stop - at)], names=["id", "n"]))
+                    out.write(np.concatenate(encoded[at:stop]).tobytes())
+                    table.write_batch(pa.RecordBatch.from_arrays([batch.column(0).slice(at, stop - at), pa.array(n[at:stop])], names=["id", "n"]))
                 docs, tokens, full = docs + stop - at, tokens + int(n[at:stop].sum()), stop < len(n)
                 at = stop
                 if full:
@@ -138,7 +125,6 @@ def _write_files(folder: str, dtype: np.dtype, file_tokens: int, file_docs: int)
         return pa.RecordBatch.from_arrays([pa.array([part], pa.int32()), pa.array([number], pa.int32()), pa.array([f"{folder}/{place.rsplit('/', 1)[1]}"]),
                                            pa.array([docs], pa.int64()), pa.array([tokens], pa.int64())], names=["part", "file", "path", "docs", "tokens"])
 
-    assert width in (2, 4)
     return write
 
 
@@ -150,23 +136,24 @@ def write_token_files(docs: DataFrame, path: str, end_id: int = END_ID, folder:
 
     Returns the manifest, one row a file: part, file, path (without suffix), docs, tokens,
     first_doc and first_token (what lies before it), dtype.  Repeated rows stay; rows with the
-    same id lie next to each other, ordered by a hash of their tokens; a NULL id comes before
-    all others; an empty table gives no file; other columns are left out.
+    same id lie next to each other, ordered by a hash of their text; a NULL id comes before
+    all others; an empty table gives no file; other columns are left out.  ``docs`` is read
+    twice (sizes and ranges, then texts) and must give its rows in the same order, as tables do.
     """
     spark = docs.sparkSession
     dtype = id_type(max(encoder(path).library.get_vocab_size(), end_id + 1))
     folder = folder or work_dir(spark, "token-files")
     store, place = _store(folder)
     store.create_dir(place, recursive=True)
-    # the tie splits rows that are alike over ranges; it is written, so a lost executor can't change it
-    encoded = staged(_encoded(docs, path, end_id, dtype, id_col, text_col).withColumn("_hash", F.xxhash64("_ids"))
-                     .withColumn("_tie", F.monotonically_increasing_id()), "token-ids")
-    n_docs, n_tokens = encoded.agg(F.count("*"), F.coalesce(F.sum("_n"), F.lit(0))).first()
-    parts = max(1, -(-n_tokens // file_tokens), -(-n_docs // file_docs), min(spark.sparkContext.defaultParallelism, -(-n_tokens // TASK_TOKENS)))
-    order = ["_id", "_hash", "_tie"]
-    ranged = encoded.repartitionByRange(parts, *order).sortWithinPartitions(*order).select("_id", "_ids", "_n")
-    listing = staged(ranged.mapInArrow(_write_files(folder, dtype, file_tokens, file_docs), "part int, file int, path string, docs bigint, tokens bigint"), "token-listing")
-    release(encoded)
+    rows = docs.select(F.col(id_col).alias("_id"), F.col(text_col).alias("_text"))
+    n_docs, n_bytes = rows.agg(F.count("*"), F.coalesce(F.sum(F.octet_length("_text")), F.lit(0))).first()
+    least = min(4 * spark.sparkContext.defaultParallelism, -(-n_bytes // LEAST_BYTES))
+    parts = max(1, -(-n_bytes // TASK_BYTES), -(-n_docs // file_docs), least)
+    order = ["_id", "_hash", "_tie"]    # the tie splits rows that are alike over ranges
+    keyed = rows.withColumn("_hash", F.xxhash64("_text")).withColumn("_tie", F.monotonically_increasing_id())
+    ranged = keyed.repartitionByRange(parts, *order).sortWithinPartitions(*order).select("_id", "_text")
+    write = _write_files(path, end_id, folder, dtype, file_tokens, file_docs)
+    listing = staged(ranged.mapInArrow(write, "part int, file int, path string, docs bigint, tokens bigint"), "token-listing")
     before = Window.orderBy("part", "file").rowsBetween(Window.unboundedPreceding, -1)      # one small row a file
     based = listing.select("*", *(F.coalesce(F.sum(c).over(before), F.lit(0)).alias(f"first_{name}") for c, name in (("docs", "doc"), ("tokens", "token"))))
 

@@ -37,7 +37,8 @@ def test_odd_texts(llm):
     assert ordered(tf.round_trip(docs(llm, rows), WORD_BPE)) == digests(library(rows))
 
 
-def test_small_files_many_parts(llm):
+def test_small_files_many_parts(llm, monkeypatch):
+    monkeypatch.setattr(tf, "LEAST_BYTES", 500)
     rnd = random.Random(3)
     rows = [(i, " ".join(rnd.choice(["alpha", "beta", "Ünder", "42", "x,y"]) for _ in range(rnd.randint(0, 40)))) for i in rnd.sample(range(10_000), 400)]
     manifest = tf.write_token_files(docs(llm, rows).repartition(7), WORD_BPE, file_tokens=700, file_docs=19)
@@ -59,12 +60,13 @@ def test_small_files_many_parts(llm):
         at_docs, at_tokens = at_docs + f["docs"], at_tokens + f["tokens"]
 
 
-def test_one_id_of_most_rows(llm):
-    """Rows of one id are spread over files, next to each other."""
+def test_one_id_of_most_rows(llm, monkeypatch):
+    """Rows of one id are spread over tasks and files, next to each other."""
+    monkeypatch.setattr(tf, "LEAST_BYTES", 500)
     rows = [(5, f"copy {k % 3}") for k in range(300)] + [(5, "the same")] * 300 + [(1, "first"), (9, "last")]
     manifest = tf.write_token_files(docs(llm, rows).repartition(5), WORD_BPE, file_tokens=500)
     got = ordered(tf.token_file_digests(manifest))
-    assert manifest.count() > 3 and [r[0] for r in got] == [1] + [5] * 600 + [9]
+    assert manifest.select("part").distinct().count() > 3 and [r[0] for r in got] == [1] + [5] * 600 + [9]
     assert sorted(r[2:] for r in got) == sorted(r[2:] for r in digests(library(rows)))
     assert all(a[1] + a[2] == b[1] for a, b in zip(got, got[1:])) and got[0][1] == 0
 
