@@ -7,7 +7,9 @@ from pyspark.sql import functions as F
 from lakekit.plans import fixtures as fx
 from lakekit.plans import reqlog as rl
 from lakekit.plans.registry import query
+from lakekit.session import work_dir
 from lakekit.sources.tables import load
+from lakekit.streaming import stream as st
 
 ASOF = fx.SQL_EVENTS_AS_OF
 
@@ -25,8 +27,10 @@ connections AS (SELECT n.n_name || '-' || CAST(c.c_custkey AS VARCHAR) AS connec
 
 
 def requests(spark, sf_dir):
-    e = load(spark, sf_dir, "events")
-    now = fx.events_as_of(spark, sf_dir)
+    return _as_requests(load(spark, sf_dir, "events"), fx.events_as_of(spark, sf_dir))
+
+
+def _as_requests(e, now):
     return e.select(
         F.col("event_id").alias("request_id"), F.col("user_id").alias("session_id"),
         F.col("event_type").alias("command"),
@@ -61,6 +65,23 @@ def q_active_requests(spark, sf_dir):
     return rl.active_requests(connections(spark, sf_dir), sessions(spark, sf_dir), requests(spark, sf_dir))
 
 
+@query("active_requests_stream", f"""WITH {SQL_LOG}
+SELECT c.connection_id, s.session_id, s.login_name, s.login_time, r.request_id, r.command, r.start_time, r.total_elapsed_time
+FROM connections c JOIN sessions s ON c.session_id = s.session_id JOIN requests r ON r.session_id = s.session_id
+WHERE r.status = 'running' AND r.start_time >= s.login_time AND r.start_time <= s.login_time + INTERVAL 29 DAY""")
+def q_active_requests_stream(spark, sf_dir):
+    """Requests and logins as two streams, joined within 29 days of the login."""
+    logins = work_dir(spark, "logins")
+    sessions(spark, sf_dir).write.parquet(logins)
+    schema = load(spark, sf_dir, "events").schema
+    events = st.file_stream(spark, f"{sf_dir.rstrip('/')}/events.parquet", schema, event_time="ts")
+    log = _as_requests(events, fx.events_as_of(spark, sf_dir))
+    opened = st.file_stream(spark, logins, spark.read.parquet(logins).schema, event_time="login_time")
+    live = rl.active_requests_stream(connections(spark, sf_dir), opened, log, within="29d", delay="1h")
+    out = st.run_append(live, work_dir(spark, "active-sink"), work_dir(spark, "active-ckpt"))
+    return st.to_ntz(spark.read.parquet(out))
+
+
 @query("request_history", f"""WITH {SQL_LOG}
 SELECT request_id, session_id, command, query_text, start_time, total_elapsed_time, status FROM requests""")
 def q_request_history(spark, sf_dir):

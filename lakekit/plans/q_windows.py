@@ -147,3 +147,42 @@ def q_tumbling_fill_null_key(spark, sf_dir):
 def q_user_sessions(spark, sf_dir):
     """Sessions per user, gap 30 minutes."""
     return wn.sessions(load(spark, sf_dir, "events"), "ts", "30min", "value", keys=["user_id"])
+
+
+@query("sliding_hour_by_minute", f"""
+WITH e AS (SELECT time_bucket(INTERVAL 1 MINUTE, ts) AS mb, CAST(value AS DECIMAL(24,6)) AS value FROM events),
+w AS (SELECT mb - to_minutes(k) AS window_start, value FROM e, range(0, 60) t(k))
+SELECT window_start, window_start + INTERVAL 1 HOUR AS window_end, count(*) AS n_events, CAST(sum(value) AS DECIMAL(38,6)) AS total_value
+FROM w GROUP BY window_start""")
+def q_sliding_hour_by_minute(spark, sf_dir):
+    """Hour windows every minute: each event lies in sixty, and is aggregated once."""
+    return wn.sliding(load(spark, sf_dir, "events"), "ts", "1h", "1min", "value")
+
+
+@query("sliding_uneven", f"""
+WITH w AS (SELECT event_type, time_bucket(INTERVAL 60 MINUTE, ts) - to_minutes(60 * CAST(k AS INT)) AS window_start, ts, value FROM events, range(0, 2) t(k))
+SELECT event_type, window_start, window_start + INTERVAL 90 MINUTE AS window_end, count(*) AS n_events, {SQL_DEC_SUM} AS total_value
+FROM w WHERE ts < window_start + INTERVAL 90 MINUTE GROUP BY 1, 2""")
+def q_sliding_uneven(spark, sf_dir):
+    """Windows of 90 minutes every hour, by type: the step does not divide the size."""
+    return wn.sliding(load(spark, sf_dir, "events"), "ts", "90min", "60min", "value", keys=["event_type"])
+
+
+@query("tumbling_first_by_user", f"""
+WITH f AS (SELECT *, min(ts) OVER (PARTITION BY user_id) AS t0 FROM {SQL_HOLED}),
+b AS (SELECT user_id, t0 + to_microseconds(CAST(floor(epoch_us(ts - t0) / 21600000000) AS BIGINT) * 21600000000) AS window_start, value FROM f)
+SELECT user_id, window_start, window_start + INTERVAL 6 HOUR AS window_end, count(*) AS n_events, {SQL_DEC_SUM} AS total_value
+FROM b GROUP BY 1, 2""")
+def q_tumbling_first_by_user(spark, sf_dir):
+    """Six-hour totals of each user, from that user's first event on; events without a user are one series."""
+    return wn.tumbling(_holed(spark, sf_dir), "ts", "6h", "value", keys=["user_id"], origin="first")
+
+
+@query("sliding_first_by_user", f"""
+WITH f AS (SELECT *, min(ts) OVER (PARTITION BY user_id) AS t0 FROM {SQL_HOLED}),
+w AS (SELECT user_id, t0, ts, value, CAST(floor(epoch_us(ts - t0) / 3600000000) AS BIGINT) - k AS k FROM f, range(0, 3) t(k))
+SELECT user_id, t0 + to_microseconds(k * 3600000000) AS window_start, t0 + to_microseconds((k + 3) * 3600000000) AS window_end, count(*) AS n_events, {SQL_DEC_SUM} AS total_value
+FROM w WHERE k >= 0 GROUP BY user_id, t0, k""")
+def q_sliding_first_by_user(spark, sf_dir):
+    """Three-hour windows every hour, from each user's first event on."""
+    return wn.sliding(_holed(spark, sf_dir), "ts", "3h", "1h", "value", keys=["user_id"], origin="first")

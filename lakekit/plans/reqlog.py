@@ -9,6 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from lakekit.streaming.joins import join_within
 
 
 def active_requests(connections: DataFrame, sessions: DataFrame, requests: DataFrame,
@@ -27,6 +28,21 @@ def active_requests(connections: DataFrame, sessions: DataFrame, requests: DataF
             .orderBy(F.desc("total_elapsed_time"), "request_id"))
 
 
+def active_requests_stream(connections: DataFrame, sessions: DataFrame, requests: DataFrame, within: str, delay: str,
+                           status: str = "running") -> DataFrame:
+    """``active_requests`` over live logs: ``requests`` and ``sessions`` are streams, joined when
+    a request starts at most ``within`` after its session's login; ``connections`` is a table.
+
+    Inner joins emit a match as soon as both rows are there, so a drained stream has all rows
+    of the batch version whose request lies within the range (unordered: a stream has no order).
+    """
+    running = requests.filter(F.col("status") == status)
+    s = sessions.select("session_id", "login_name", "login_time")
+    j = join_within(running, s, "session_id", "start_time", "login_time", within, delay)
+    return (j.withColumnRenamed("__right_login_time", "login_time").join(connections.select("connection_id", "session_id"), "session_id")
+            .select("connection_id", "session_id", "login_name", "login_time", "request_id", "command", "start_time", "total_elapsed_time"))
+
+
 def request_history(requests: DataFrame) -> DataFrame:
     """Every request with its text, timing and outcome."""
     return requests.select("request_id", "session_id", "command", "query_text", "start_time",

@@ -85,6 +85,12 @@ def read_dated_files(spark: SparkSession, folder: str, schema: StructType, *, he
     """
     df = (spark.read.option("header", header).option("sep", sep).option("recursiveFileLookup", True)
           .schema(schema).csv(folder))
+    return with_drop_date(df, pattern=pattern, offset=offset, length=length, date_col=date_col, name_col=name_col)
+
+
+def with_drop_date(df: DataFrame, *, pattern: str = r"(\d{4}-\d{2}-\d{2})", offset: int | None = None, length: int = 10,
+                   date_col: str = "file_date", name_col: str | None = "file_name") -> DataFrame:
+    """Add the date (and name) of the drop each row came from; for a table or a stream of files."""
     name = drop_name()
     raw = F.substring(name, offset + 1, length) if offset is not None else F.regexp_extract(name, pattern, 1)
     # a drop whose name holds no valid date gets NULL (never an ANSI cast error)

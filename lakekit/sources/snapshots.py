@@ -118,6 +118,16 @@ class SnapshotTable:
             reader = reader.schema(schema)
         return reader.parquet(self._path(sid))
 
+    def read_all(self, name: str) -> DataFrame:
+        """The rows of all committed snapshots, for a table whose snapshots add up (a batch
+        each); ``name`` is the column that holds the snapshot's id."""
+        done = self.snapshots()
+        if not done:
+            raise FileNotFoundError(f"no committed snapshot in {self.root}")
+        column = PREFIX.rstrip("=")
+        found = self.spark.read.option("basePath", self.root).parquet(*map(self._path, done))
+        return found.withColumn(name, found[column].cast("bigint")).drop(column)
+
     def read(self, as_of=None) -> DataFrame:
         """The table as of a time (``FOR TIMESTAMP AS OF``), or the newest version."""
         return self.read_snapshot(self.snapshot_at(as_of))

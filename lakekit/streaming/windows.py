@@ -3,8 +3,10 @@
 The reference computes these with Python loops over a dict in one process.  Here
 they are shuffled window aggregations:
 
-* tumbling / sliding use ``F.window`` (epoch-aligned, also valid on a stream) or,
-  for ``origin="first"`` (batch only), the same grid anchored at the first event;
+* tumbling uses ``F.window`` (epoch-aligned, also valid on a stream) or, for
+  ``origin="first"`` (batch only), the same grid anchored at each key's first event;
+* sliding aggregates events once into panes of gcd(size, step) and puts windows together
+  from panes, so no event is multiplied before the shuffle;
 * sessions are built in levels so no key — not even the single series with no key at
   all — is processed whole by one task: ``session_window`` runs per (key, time bucket),
   what it finds is stitched within blocks of buckets, and only the first and last
@@ -17,6 +19,7 @@ its rule for comparison).
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
@@ -48,17 +51,34 @@ def _measures(value: str | None, with_sum: bool = True) -> list[Column]:
     return out
 
 
-def _first_us(df: DataFrame, ts: str, keys: Sequence[str]) -> Column:
-    """Start of the grid anchored at the first event (a lazy scalar subquery); batch only."""
-    if keys:
-        raise ValueError("origin='first' is defined for a single series; use epoch alignment per key")
-    return df.select(F.min(_us(F.col(ts)))).scalar()
+def _anchored(df: DataFrame, ts: str, keys: Sequence[str], origin: str) -> DataFrame:
+    """Rows that have a time, with ``__origin``: where their series' grid starts, in
+    microseconds: the epoch, or the first event of the key (NULL keys are one series); batch only."""
+    df = df.filter(F.col(ts).isNotNull())
+    if origin == "epoch":
+        return df.withColumn("__origin", F.lit(0).cast("bigint"))
+    if origin != "first":
+        raise ValueError("origin must be 'epoch' or 'first'")
+    if not keys:
+        return df.withColumn("__origin", df.select(F.min(_us(F.col(ts)))).scalar())
+    first = df.groupBy(*keys).agg(F.min(_us(F.col(ts))).alias("__origin"))
+    return _with_series(df, first, keys)
+
+
+def _with_series(df: DataFrame, series: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """``df`` with the other columns of ``series``, one row per key (NULL keys meet)."""
+    own = {k: f"__s_{k}" for k in keys}
+    cond = F.lit(True)
+    for k, mine in own.items():
+        cond = cond & F.col(k).eqNullSafe(F.col(mine))
+    return df.join(series.withColumnsRenamed(own), cond).drop(*own.values())
 
 
 def tumbling(df: DataFrame, ts: str, size: str, value: str | None = None, keys: Sequence[str] = (),
              origin: str = "epoch", fill_empty: bool = False, reference_bounds: bool = False) -> DataFrame:
     """Non-overlapping windows ``[start, start + size)``; output keys, window_start,
-    window_end, n_events (and total_value).  ``fill_empty`` emits windows without
+    window_end, n_events (and total_value).  ``origin="first"`` starts each key's grid at its
+    first event (batch only).  ``fill_empty`` emits windows without
     events (count 0, total 0) between each series' first and last window.  Rows without a
     time are in no window."""
     ntz = _is_ntz(df, ts)
@@ -67,15 +87,13 @@ def tumbling(df: DataFrame, ts: str, size: str, value: str | None = None, keys:
         grouped = df.groupBy(*keys, F.window(ts, f"{seconds_of(size)} seconds").alias("__w")).agg(*_measures(value))
         out = grouped.select(*keys, F.col("__w.start").alias("window_start"), F.col("__w.end").alias("window_end"),
                              *[c for c in grouped.columns if c in ("n_events", "total_value")])
-    elif origin == "first":
-        first = _first_us(df, ts, keys)
-        start = first + F.floor((_us(F.col(ts)) - first) / F.lit(size_us)) * F.lit(size_us)
-        grouped = df.filter(F.col(ts).isNotNull()).groupBy(start.alias("__s")).agg(*_measures(value))
-        out = grouped.select(_ts(F.col("__s"), ntz).alias("window_start"),
+    else:
+        rows = _anchored(df, ts, keys, origin)
+        start = F.col("__origin") + F.floor((_us(F.col(ts)) - F.col("__origin")) / F.lit(size_us)) * F.lit(size_us)
+        grouped = rows.groupBy(*keys, start.alias("__s")).agg(*_measures(value))
+        out = grouped.select(*keys, _ts(F.col("__s"), ntz).alias("window_start"),
                              _ts(F.col("__s") + F.lit(size_us), ntz).alias("window_end"),
                              *[c for c in grouped.columns if c in ("n_events", "total_value")])
-    else:
-        raise ValueError("origin must be 'epoch' or 'first'")
     if fill_empty:
         out = _fill(out, keys, size_us, value is not None, ntz)
     if reference_bounds:
@@ -132,7 +150,8 @@ def sliding(df: DataFrame, ts: str, size: str, step: str, value: str | None = No
             origin: str = "epoch", complete_only: bool = False, fill_empty: bool = False,
             reference_bounds: bool = False) -> DataFrame:
     """Overlapping windows of ``size`` every ``step``; each event is counted in every window
-    containing it.  ``complete_only`` keeps windows lying within [first event, last event].
+    containing it.  ``origin="first"`` starts each key's windows at its first event.  A table is
+    aggregated into panes first; a stream, which can hold one aggregate, by ``F.window``.  ``complete_only`` keeps windows lying within [first event, last event].
 
     ``fill_empty`` also emits windows without events (count 0, total 0) on the grid from
     the first to the last window.  ``reference_bounds`` keeps the reference loop's rule:
@@ -142,26 +161,15 @@ def sliding(df: DataFrame, ts: str, size: str, step: str, value: str | None = No
         return _sliding_reference(df, ts, size, step, value)
     ntz = _is_ntz(df, ts)
     size_s, step_s = seconds_of(size), seconds_of(step)
-    if origin == "epoch":
+    if df.isStreaming:
+        if origin != "epoch":
+            raise ValueError("a stream's windows are aligned to the epoch")
         w = F.window(ts, f"{size_s} seconds", f"{step_s} seconds")
         grouped = df.groupBy(*keys, w.alias("__w")).agg(*_measures(value))
         out = grouped.select(*keys, F.col("__w.start").alias("window_start"), F.col("__w.end").alias("window_end"),
                              *[c for c in grouped.columns if c in ("n_events", "total_value")])
-    elif origin == "first":
-        first = _first_us(df, ts, keys)
-        k_last = F.floor((_us(F.col(ts)) - first) / F.lit(step_s * US))
-        n_back = (size_s + step_s - 1) // step_s
-        cand = df.select(*keys, ts, *( [value] if value else []),
-                         F.explode(F.sequence(k_last - F.lit(n_back - 1), k_last)).alias("__k"))
-        cand = cand.filter(F.col("__k") >= 0)
-        start = first + F.col("__k") * F.lit(step_s * US)
-        cand = cand.withColumn("__s", start).filter(_us(F.col(ts)) < F.col("__s") + F.lit(size_s * US))
-        grouped = cand.groupBy(*keys, "__s").agg(*_measures(value))
-        out = grouped.select(*keys, _ts(F.col("__s"), ntz).alias("window_start"),
-                             _ts(F.col("__s") + F.lit(size_s * US), ntz).alias("window_end"),
-                             *[c for c in grouped.columns if c in ("n_events", "total_value")])
     else:
-        raise ValueError("origin must be 'epoch' or 'first'")
+        out = _from_panes(_anchored(df, ts, keys, origin), ts, size_s, step_s, value, keys, ntz, from_origin=origin == "first")
     if fill_empty:
         out = _fill(out, keys, step_s * US, value is not None, ntz, size_us=size_s * US)
     if complete_only:
@@ -170,6 +178,25 @@ def sliding(df: DataFrame, ts: str, size: str, step: str, value: str | None = No
     return out
 
 
+def _from_panes(rows: DataFrame, ts: str, size_s: int, step_s: int, value: str | None, keys: Sequence[str], ntz: bool, from_origin: bool) -> DataFrame:
+    """Sliding windows put together from panes as wide as size and step allow: an event is
+    counted once, in its pane; only panes are repeated for the windows they lie in."""
+    pane_s = math.gcd(size_s, step_s)
+    pane_us, in_step, in_size = pane_s * US, step_s // pane_s, size_s // pane_s
+    pane = F.floor((_us(F.col(ts)) - F.col("__origin")) / F.lit(pane_us))
+    panes = rows.groupBy(*keys, "__origin", pane.alias("__pane")).agg(*_measures(value))
+    low, high = F.ceil((F.col("__pane") - F.lit(in_size - 1)) / F.lit(in_step)), F.floor(F.col("__pane") / F.lit(in_step))
+    if from_origin:
+        low = F.greatest(low, F.lit(0).cast("bigint"))     # no window starts before the first event
+    spread = panes.withColumns({"__low": low, "__high": high}).filter("__low <= __high")     # steps wider than the size leave gaps
+    spread = spread.withColumn("__k", F.explode(F.sequence("__low", "__high")))
+    sums = [F.sum("n_events").alias("n_events")] + ([F.sum("total_value").cast(MONEY_SUM).alias("total_value")] if value else [])
+    grouped = spread.groupBy(*keys, "__origin", "__k").agg(*sums)
+    start = F.col("__origin") + F.col("__k") * F.lit(step_s * US)
+    return grouped.select(*keys, _ts(start, ntz).alias("window_start"), _ts(start + F.lit(size_s * US), ntz).alias("window_end"),
+                          "n_events", *(["total_value"] if value else []))
+
+
 def _sliding_reference(df: DataFrame, ts: str, size: str, step: str, value: str | None) -> DataFrame:
     """The reference's sliding loop, distributed: grid ``first + k*step`` while
     ``start < last - size``; every grid window is emitted, empty ones with 0."""
@@ -185,7 +212,7 @@ def _sliding_reference(df: DataFrame, ts: str, size: str, step: str, value: str
 
 def _within(out: DataFrame, bounds: DataFrame, keys: Sequence[str]) -> DataFrame:
     if keys:
-        j = out.join(bounds, list(keys), "inner")
+        j = _with_series(out, bounds, keys)
     else:
         lo = bounds.select("__lo").scalar()
         hi = bounds.select("__hi").scalar()
