@@ -27,6 +27,7 @@ CLUSTER_CONF = {
     "spark.sql.files.maxPartitionBytes": str(512 << 20),
     "spark.sql.shuffle.partitions": "20000",
     "spark.sql.autoBroadcastJoinThreshold": str(64 << 20),
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
 }
 
 
@@ -44,6 +45,7 @@ def build_session(master: str | None = None, app: str = "lakekit", shuffle_parti
         "spark.sql.adaptive.skewJoin.enabled": "true",
         "spark.sql.execution.arrow.pyspark.enabled": "true",
         "spark.ui.enabled": "false",
+        "spark.python.sql.dataFrameDebugging.enabled": "false",     # a call site for every column costs most of a large plan's making
         "spark.ui.showConsoleProgress": "false",
         "spark.driver.memory": "16g",
     }
