@@ -15,14 +15,17 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from lakekit.llm.common import focus, fold
+from lakekit.llm.common import focus, fold, staged
 
 UNKNOWN = "und"
 BITS = 17               # hashed n-gram space
 LONGEST = 3             # n-grams of 1 to 3 characters
 PER_LANGUAGE = 200      # training texts for each language at most
 SAMPLE = 6000           # training texts in all at most (the sample's bound; at least one a language)
-LANDMARKS = 60          # of them landmarks
+LANDMARKS = 60          # of them landmarks, for each language
+ALL_LANDMARKS = 1500    # landmarks in all, if languages are many (at least one a language)
+SPARE = 4               # ids looked at for each one that is learnt from
+KERNEL_BLOCK = 64       # landmarks whose columns of the kernel are made together
 RIDGE = 1e-2
 SLICE = 1 << 20         # characters hashed at a time
 HELD_OUT, FOLDS = 2, 4
@@ -57,17 +60,14 @@ class LanguageModel:
         languages = sorted({lang for lang, _ in sample})
         if not languages:
             return cls([], np.zeros((1 << BITS, 0), np.float32))
+        each = max(1, min(LANDMARKS, ALL_LANDMARKS // len(languages)))
         seen: dict[str, int] = {}
         marks = []
         for i, (lang, _) in enumerate(sample):
             seen[lang] = seen.get(lang, 0) + 1
-            if seen[lang] <= LANDMARKS:
+            if seen[lang] <= each:
                 marks.append(i)
-        z = np.zeros((1 << BITS, len(marks)), np.float32)
-        for k, i in enumerate(marks):
-            grams = sample[i][1]
-            z[grams, k] = 1 / np.sqrt(max(1, len(grams)))
-        kernel = np.array([z[grams].sum(0) / np.sqrt(max(1, len(grams))) for _, grams in sample], np.float64)
+        kernel = cls._kernel(sample, marks)
         values, vectors = np.linalg.eigh(kernel[marks])
         keep = values > 1e-8 * values.max()
         to_features = vectors[:, keep] / np.sqrt(values[keep])
@@ -76,7 +76,31 @@ class LanguageModel:
         share = np.array([seen[lang] for lang, _ in sample])[:, None]
         weighted = features / share         # each language weighs the same
         ridge = np.linalg.solve(features.T @ weighted + RIDGE * np.eye(features.shape[1]) * len(languages) / len(sample), weighted.T @ target)
-        return cls(languages, (z @ (to_features @ ridge)).astype(np.float32))
+        weights = np.zeros((1 << BITS, len(languages)), np.float32)
+        for i, row in zip(marks, to_features @ ridge):      # a landmark's n-grams are distinct
+            weights[sample[i][1]] += (row / np.sqrt(len(sample[i][1]))).astype(np.float32)
+        return cls(languages, weights)
+
+    @staticmethod
+    def _kernel(sample: list[tuple[str, np.ndarray]], marks: list[int]) -> np.ndarray:
+        """[texts, landmarks]: shared n-grams over the root of both numbers of n-grams.  Texts are
+        lists of n-grams; only the columns of some landmarks at a time are spread out."""
+        sizes = np.array([len(grams) for _, grams in sample])
+        starts, flat = np.append(0, np.cumsum(sizes)), np.concatenate([grams for _, grams in sample])
+        kernel = np.empty((len(sample), len(marks)))
+        some = 1 << 16      # n-grams looked up at a time
+        for at in range(0, len(marks), KERNEL_BLOCK):
+            block = marks[at: at + KERNEL_BLOCK]
+            columns = np.zeros((1 << BITS, len(block)), np.float32)
+            for k, i in enumerate(block):
+                columns[sample[i][1], k] = 1
+            first = 0
+            while first < len(sample):
+                stop = max(first + 1, int(np.searchsorted(starts, starts[first] + some, side="right")) - 1)
+                found = columns[flat[starts[first]: starts[stop]]]
+                kernel[first:stop, at: at + len(block)] = np.add.reduceat(found, starts[first:stop] - starts[first], axis=0)
+                first = stop
+        return kernel / np.sqrt(np.outer(sizes, sizes[marks]))
 
     def score(self, grams: list[np.ndarray]) -> np.ndarray:
         """[texts, languages]; no text of the batch is without an n-gram."""
@@ -89,14 +113,20 @@ def language_sample(docs: DataFrame, learn: Column, id_col: str = "doc_id", text
                     per_language: int = PER_LANGUAGE) -> list[tuple[str, np.ndarray]]:
     """Hashed n-grams of up to ``per_language`` labelled texts of each language, chosen by a
     hash of the id, and fewer of each when languages are so many that ``SAMPLE`` is reached.
+    Ids are counted roughly first, so that a language's window holds a few times the sample,
+    whatever the corpus.
     Of rows that share id and language one is learnt from: of those with a letter, the one
     whose text has the least hash."""
-    languages = docs.where(learn & F.col(lang_col).isNotNull()).select(lang_col).distinct().count()
-    per_language = max(1, min(per_language, SAMPLE // max(1, languages)))
     rows = (docs.where(learn & F.col(lang_col).isNotNull() & F.col(text_col).rlike(r"\p{L}"))
             .select(F.col(id_col).alias("_id"), F.col(lang_col).alias("_lang"), F.col(text_col).alias("_text")).withColumn("_print", F.xxhash64("_text")))
-    first = Window.partitionBy("_lang").orderBy(F.xxhash64("_id"), "_id")
-    chosen = (rows.groupBy("_id", "_lang").agg(F.min("_print").alias("_print")).withColumn("_n", F.row_number().over(first))
+    ids = staged(rows.groupBy("_lang").agg(F.approx_count_distinct("_id").alias("_ids")), "language-ids")
+    per_language = max(1, min(per_language, SAMPLE // max(1, ids.count())))
+    # of a language with many ids only those with a small hash go on: a few times what is learnt from
+    order = F.pmod(F.xxhash64("_id"), F.lit(1 << 31))
+    few = ids.select("_lang", (F.lit(float(SPARE * per_language * (1 << 31))) / F.col("_ids")).alias("_below"))
+    near = rows.join(few, "_lang").where(order < F.col("_below")).select("_id", "_lang", "_print")
+    first = Window.partitionBy("_lang").orderBy(order, "_id")
+    chosen = (near.groupBy("_id", "_lang").agg(F.min("_print").alias("_print")).withColumn("_n", F.row_number().over(first))
               .where(F.col("_n") <= per_language).drop("_n"))  # at most per_language keys for each language
     texts = rows.join(F.broadcast(chosen), ["_id", "_lang", "_print"]).groupBy("_id", "_lang").agg(F.min("_text").alias("_text"))
 

@@ -1,4 +1,5 @@
 import math
+import tracemalloc
 import zlib
 
 import numpy as np
@@ -84,3 +85,54 @@ def test_repeated_ids_give_one_text_each(llm):
     assert len(li.language_sample(docs, learn, per_language=5)) == 10
     got = li.identify_languages(docs).collect()
     assert len(got) == 342 and sum(r.lang_pred == "und" for r in got) == 2
+
+
+def dense_weights(sample):
+    """The fit with the landmarks as one dense matrix."""
+    languages = sorted({lang for lang, _ in sample})
+    marks, seen = [], {}
+    for i, (lang, _) in enumerate(sample):
+        seen[lang] = seen.get(lang, 0) + 1
+        if seen[lang] <= li.LANDMARKS:
+            marks.append(i)
+    z = np.zeros((1 << li.BITS, len(marks)))
+    for k, i in enumerate(marks):
+        z[sample[i][1], k] = 1 / np.sqrt(len(sample[i][1]))
+    kernel = np.array([z[g].sum(0) / np.sqrt(len(g)) for _, g in sample])
+    values, vectors = np.linalg.eigh(kernel[marks])
+    keep = values > 1e-8 * values.max()
+    to_features = vectors[:, keep] / np.sqrt(values[keep])
+    f = kernel @ to_features
+    target = np.where([[lang == l for l in languages] for lang, _ in sample], 1.0, -1.0)
+    w = f / np.array([seen[lang] for lang, _ in sample])[:, None]
+    return z @ (to_features @ np.linalg.solve(f.T @ w + li.RIDGE * np.eye(f.shape[1]) * len(languages) / len(sample), w.T @ target))
+
+
+def sample_of(rnd, languages, texts, size):
+    return [(f"l{k:03d}", np.sort(rnd.choice(4000, size, replace=False) + 1000 * (k % 100)).astype(np.int32)) for k in range(languages) for _ in range(texts)]
+
+
+def test_fit_equals_a_dense_one():
+    sample = sample_of(np.random.default_rng(1), 3, 80, 150)
+    got = li.LanguageModel.fit(sample).weights
+    assert np.abs(got - dense_weights(sample)).max() < 1e-4
+
+
+def test_a_hundred_languages_take_bounded_memory():
+    sample = sample_of(np.random.default_rng(2), 100, 60, 400)
+    tracemalloc.start()
+    model = li.LanguageModel.fit(sample)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 400 << 20 and len(model.languages) == 100
+    right = [model.languages[int(model.score([g])[0].argmax())] == lang for lang, g in sample[::37]]
+    assert np.mean(right) > 0.95
+
+
+def test_sample_is_spread_over_few_ids_a_language(llm):
+    """Many ids, one id with most rows, a language with few: up to the bound of each, chosen by hash."""
+    rows = [(i, f"text of {i}", "big") for i in range(3000)] + [(7, "hot row", "big")] * 2000 + [(i, f"kleiner Text {i}", "few") for i in range(9)]
+    df = llm.createDataFrame(rows, "doc_id long, text string, lang string")
+    got = li.language_sample(df, F.lit(True), per_language=50)
+    counts = {lang: sum(x == lang for x, _ in got) for lang in ("big", "few")}
+    assert counts == {"big": 50, "few": 9}
