@@ -23,14 +23,23 @@ COPY_WORDS, COPY_PERCENT = 5, 80    # near copies: shingles of five words, simil
 LEAST_LANGUAGE_SCORE = 0.3      # below, no language is likelier than not to be the text's
 
 
+def free_names(docs: DataFrame, *names: str) -> list[str]:
+    """``names`` with as many underscores in front as no column of ``docs`` has."""
+    taken = {c.lower() for c in docs.columns}
+    while taken & {n.lower() for n in names}:
+        names = tuple(f"_{n}" for n in names)
+    return [*names]
+
+
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose language is recognised (texts without a letter are not)."""
     ready(spark)
     model = train_language_model(docs, fold(F.col("doc_id"), FOLDS) != HELD_OUT)
     if not model.languages:     # nothing to learn from: no document is rejected
         return docs
-    scored = predict_language(docs, model, lang_out="_lang_pred", score_out="_lang_score")
-    return scored.where((F.col("_lang_pred") != UNKNOWN) & (F.col("_lang_score") >= LEAST_LANGUAGE_SCORE)).select(*docs.columns)
+    lang, score = free_names(docs, "_lang_pred", "_lang_score")
+    scored = predict_language(docs, model, lang_out=lang, score_out=score)
+    return scored.where((F.col(lang) != UNKNOWN) & (F.col(score) >= LEAST_LANGUAGE_SCORE)).select(*docs.columns)
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -38,8 +47,9 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     ready(spark)
     model = train_quality(docs, table(spark, sf_dir, "labels"))
     # the partition id keeps Spark from pushing the test below the statistics, where each rule would compute its own
-    scored = score_quality(docs, model, score_out="_quality").withColumn("_partition", F.spark_partition_id())
-    return scored.where((F.col("_quality") >= PREDICT_AT) & (F.col("_partition") >= 0)).select(*docs.columns)
+    rows = docs.select(F.struct("*").alias("_row"), F.col("text").alias("_text"))     # no name of a document can clash
+    scored = score_quality(rows, model, text_col="_text", score_out="_quality").withColumn("_partition", F.spark_partition_id())
+    return scored.where((F.col("_quality") >= PREDICT_AT) & (F.col("_partition") >= 0)).select("_row.*")
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -3,6 +3,7 @@ import random
 import pytest
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 
 from lakekit.llm import pii
 from tests.llm.brute import pii_base, pii_row
@@ -111,3 +112,39 @@ def test_parts_with_many_groups_keep_their_places(llm):
 def test_words_and_code_are_no_addresses(llm):
     texts = ["std::vector a::b::c", "look at example.com now", "1::2::3", ":: x", "12:30:45", "a::b:c:d:e:f:1:2:3"]
     assert [[s for s in r._loose if s.kind in (0, 1)] for r in pii.with_candidates(table(llm, texts)).collect()] == [[]] * len(texts)
+
+
+DECOYS = ["we met at noon dot dot yesterday", "look at home dot page now", "see me at the dot com boom", "serial 100-200-3000 part", "the order 555-867-5309 was sent",
+          "std::vector a::b::c", "chapter 1::2 of it", "stay at work dot it is late", "go to example.com at once", "tracking 12 9999999999999995 left", "rows 1.2.3 of 4",
+          "hash 1234567890123456789012345678901234567890 done", "part 212.555.0143 is out", "he is good at chess dot matrix printers too", "a=499-555-6503"]
+HIDDEN = {"mail joe (at) host (dot) org now": "joe (at) host (dot) org", "please write to ann.lee [at] firm [dot] com": "ann.lee [at] firm [dot] com", "my e-mail: bob (at) site.net": "bob (at) site.net",
+          "call (499) 555-6503 now": "(499) 555-6503", "my phone 212-555-0143": "212-555-0143", "visa 12 4111111111111111 ok": "4111111111111111",
+          "pay 4111.1111.1111.1111 ok": "4111.1111.1111.1111", "order 12 4111111111111111 ok": "4111111111111111", "host 2001:db8:0:0:0:0:2:1 up": "2001:db8:0:0:0:0:2:1",
+          "contact eve at shop dot com": "eve at shop dot com", "server 999.10.0.0.1 up": "10.0.0.1"}
+
+
+@pytest.mark.parametrize("corpus", ["none", "base only", "prose and numbers"])
+def test_prose_is_left_alone_and_hidden_data_found(llm, corpus):
+    """Whatever the corpus shows: plain base matches alone must not make the model accept prose."""
+    base = [f"{w} {x} end {k}" for k in range(8) for w in ("see", "mail", "host", "call", "pay") for x in ("a@b.org", "10.0.0.1", "4111111111111111", "+1 499 555 6503", "999.1.1.1.1", "+12")]
+    prose = [f"{k} met at noon dot dot and serial {100 + k}-200-3000 at number {k}" for k in range(40)]
+    known = {"none": [], "base only": base, "prose and numbers": base + prose}[corpus]
+    texts = [*known, *DECOYS, *HIDDEN]
+    spans = {r.doc_id: r.spans for r in pii.find_pii(table(llm, texts)).collect()}
+    wrong = {t: spans[i] for i, t in enumerate(DECOYS, len(known)) if spans[i]}
+    assert not wrong
+    missed = [t for i, (t, want) in enumerate(HIDDEN.items(), len(known) + len(DECOYS))
+              if not any(t[int(a):int(b)] == want for _, a, b in (s.split(":") for s in spans[i].split(",") if s))]
+    assert not missed
+
+
+def test_no_column_is_overwritten_or_clashes(llm):
+    """Columns with any of the names that are used inside come through as they are."""
+    names = ["_clean", "_digit", "_base", "_loose", "_valid", "_found", "_added", "_spans", "_row", "_text", "_fold", "_id", "_base_email", "_part_0", "spans", "kind"]
+    df = llm.createDataFrame([("mail a@b.cd now", *(f"keep {n} a@b.cd" for n in names), {"k": 1})], ", ".join(f"`{c}` string" for c in ["text", *names]) + ", m map<string,int>")
+    out = pii.redact(df)
+    assert out.columns == df.columns and out.collect()[0].asDict() == {"text": "mail [EMAIL] now", **{n: f"keep {n} a@b.cd" for n in names}, "m": {"k": 1}}
+    found = pii.find_pii(df.withColumn("doc_id", F.lit(1))).collect()[0]
+    assert found.n_email == 1 and found.spans == "email:5:11"
+    with pytest.raises(ValueError, match="used here"):
+        pii.with_candidates(df)
