@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lakekit.functions.scalar import any_changed
-from lakekit.operators.keys import assign_surrogate_keys, latest_per_key, max_key
+from lakekit.operators.keys import assign_surrogate_keys, dedup_by_key, latest_per_key, max_key
 from lakekit.operators.merge import merge_insert_only
 from lakekit.session import reliable_checkpoint
 
@@ -33,9 +33,14 @@ def _join(dim: DataFrame, latest: DataFrame, key: Sequence[str], how: str) -> Da
     return d.join(s, cond, how)
 
 
-def scd0_insert_new(dim: DataFrame, incoming: DataFrame, key: Sequence[str]) -> DataFrame:
-    """Type 0: rows never change; only unseen keys are added (e.g. the date dimension)."""
-    return merge_insert_only(dim, incoming.dropDuplicates(list(key)).select(*dim.columns), key)
+def scd0_insert_new(dim: DataFrame, incoming: DataFrame, key: Sequence[str], order: Sequence[str] | None = None) -> DataFrame:
+    """Type 0: rows never change; only unseen keys are added (e.g. the date dimension).
+
+    Of several incoming rows of a new key the last by ``order`` is taken (by default by all
+    other columns), so the result can be repeated.
+    """
+    one = dedup_by_key(incoming.select(*dim.columns, *(c for c in order or () if c not in dim.columns)), key, order)
+    return merge_insert_only(dim, one.select(*dim.columns), key)
 
 
 def changed_members(dim: DataFrame, latest: DataFrame, key: Sequence[str], attrs: Sequence[str],

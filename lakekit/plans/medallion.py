@@ -21,7 +21,7 @@ from lakekit.functions.scalar import MONEY_SCALE, before_date, null_or_empty_def
 from lakekit.operators.keys import assign_surrogate_keys, max_key
 from lakekit.operators.merge import assert_unique_keys, merge_insert_only, merge_upsert
 from lakekit.session import reliable_checkpoint
-from lakekit.sources.files import read_csv_typed, with_lineage
+from lakekit.sources.files import CORRUPT, read_csv_typed
 from lakekit.sources.snapshots import SnapshotTable
 
 # Unit prices and taxes keep six places (the files hold up to four).
@@ -82,16 +82,21 @@ def silver_enrich(df: DataFrame, *, flag_before, as_of=None, name_default: str =
 
 
 def bronze_to_silver(spark: SparkSession, bronze_glob: str, silver: SnapshotTable, *, flag_before,
-                     keys: Sequence[str] = LINE_KEY, as_of=None, bad_rows: str = "null") -> int:
+                     keys: Sequence[str] = LINE_KEY, as_of=None, bad_rows: str = "null", quarantine: SnapshotTable | None = None) -> int:
     """The whole silver job (M17): typed CSV -> lineage + enrichment -> upsert -> new snapshot.
 
     ``CreatedTS`` keeps its first value on re-runs; duplicate keys in the drop raise
-    before anything is written.  Returns the id of the snapshot written.
+    before anything is written.  With ``bad_rows="quarantine"`` the lines that don't parse are
+    kept, with their file, as a snapshot of ``quarantine`` (one a run, an empty one too), written
+    after the key check.  Returns the id of the snapshot written.
     """
-    bronze = read_csv_typed(spark, bronze_glob, BRONZE_SCHEMA, bad_rows=bad_rows)
-    if bad_rows == "quarantine":
-        bronze = bronze[0]
-    updates = silver_enrich(with_lineage(bronze), flag_before=flag_before, as_of=as_of)
+    if (bad_rows == "quarantine") != (quarantine is not None):
+        raise ValueError("bad_rows='quarantine' and a quarantine table belong together")
+    bronze = read_csv_typed(spark, bronze_glob, BRONZE_SCHEMA, bad_rows=bad_rows, lineage="FileName")
+    bad = None
+    if quarantine is not None:
+        bronze, bad = bronze
+    updates = silver_enrich(bronze, flag_before=flag_before, as_of=as_of)
     # parsed once: the key check and the merge read the written rows
     updates = reliable_checkpoint(updates.select(*SILVER_SCHEMA.fieldNames()))
     if silver.snapshots():
@@ -99,6 +104,8 @@ def bronze_to_silver(spark: SparkSession, bronze_glob: str, silver: SnapshotTabl
     else:
         assert_unique_keys(updates, keys)
         merged = updates
+    if bad is not None:
+        quarantine.write(bad.select("FileName", F.col(CORRUPT).alias("line")))
     return silver.write(merged)
 
 

@@ -10,7 +10,9 @@ from lakekit.operators import keys as K
 from lakekit.operators import merge as M
 from lakekit.operators import scd
 from lakekit.plans import fixtures as fx
-from lakekit.plans.registry import query
+from lakekit.plans.registry import ORACLES, query
+from lakekit.session import work_dir
+from lakekit.sources.buckets import BucketTable
 from lakekit.sources.tables import load
 
 # Fixed values of the merge demo: target = orders before 1999, updates = orders from 1998.
@@ -330,6 +332,27 @@ def q_scd1_replay(spark, sf_dir):
                            dim_date="last_updated_date", staged_date="file_date", tiebreak=["seq"])
 
 
+@query("scd0_insert_new", "WITH " + SQL_SCD_INPUTS + """
+SELECT customer_id, name, address, last_updated FROM pre
+UNION ALL
+SELECT customer_id, name, address, last_updated FROM lat WHERE customer_id NOT IN (SELECT customer_id FROM pre)""")
+def q_scd0_insert_new(spark, sf_dir):
+    """Type 0: known customers keep their first state, of a new one the latest staged row is added."""
+    pre, staged = _scd_inputs(spark, sf_dir)
+    dim = pre.select("customer_id", "name", "address", "last_updated")
+    return scd.scd0_insert_new(dim, staged, ["customer_id"], ["last_updated", "seq"])
+
+
+@query("merge_bucketed", ORACLES["merge_upsert"])
+def q_merge_bucketed(spark, sf_dir):
+    """The upsert into a table of 64 key buckets: only those that the updates fall into are rewritten."""
+    target, updates = _merge_inputs(spark, sf_dir)
+    table = BucketTable(spark, work_dir(spark, "bucketed"), ["o_orderkey"], 64)
+    table.create(target)
+    table.upsert(updates)
+    return table.read()
+
+
 @query("scd3_apply_insert", "WITH " + SQL_SCD_INPUTS + """,
 dim AS (SELECT customer_id, name, address AS current_address, CAST(NULL AS VARCHAR) AS previous_address,
                last_updated AS current_valid_from FROM pre)

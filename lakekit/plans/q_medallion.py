@@ -66,6 +66,25 @@ def q_bronze_to_silver(spark, sf_dir):
     return silver.read().drop("FileName")
 
 
+@query("bronze_quarantine", f"""WITH {fx.SQL_SALES}
+SELECT 'silver' AS side, SalesOrderNumber || '-' || SalesOrderLineNumber AS row_key FROM sales WHERE SalesOrderLineNumber <> 3
+UNION ALL
+SELECT 'quarantine', SalesOrderNumber || '-' || SalesOrderLineNumber FROM sales WHERE SalesOrderLineNumber = 3""")
+def q_bronze_quarantine(spark, sf_dir):
+    """Every third line of an order has a quantity that is no number: it is kept apart, the rest is loaded."""
+    def drops(path):
+        sales = fx.sales(spark, sf_dir)
+        quantity = F.when(F.col("SalesOrderLineNumber") == 3, F.lit("many")).otherwise(F.col("Quantity").cast("string"))
+        sales.withColumn("Quantity", quantity).write.option("header", True).csv(path)
+
+    silver, quarantine = (SnapshotTable(spark, work_dir(spark, n)) for n in ("silver", "quarantine"))
+    md.bronze_to_silver(spark, _input(spark, sf_dir, "bronze-bad", drops), silver, flag_before=FLAG_BEFORE, as_of=AUDIT_TS1,
+                        bad_rows="quarantine", quarantine=quarantine)
+    key = F.concat_ws("-", F.split("line", ",")[0], F.split("line", ",")[1])
+    good = silver.read().select(F.lit("silver").alias("side"), F.concat_ws("-", "SalesOrderNumber", F.col("SalesOrderLineNumber").cast("string")).alias("row_key"))
+    return good.unionByName(quarantine.read().select(F.lit("quarantine").alias("side"), key.alias("row_key")))
+
+
 @query("flag_legacy_orders", """
 SELECT o_orderkey, CAST(o_orderdate AS DATE) AS OrderDate,
        COALESCE(CAST(o_orderdate AS DATE) < DATE '1998-08-01', FALSE) AS IsFlagged FROM orders""")

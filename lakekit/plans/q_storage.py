@@ -14,6 +14,7 @@ from pyspark.sql.types import DateType, LongType, StructField, StructType
 from lakekit.plans.registry import query
 from lakekit.session import work_dir
 from lakekit.sources import files as fs
+from lakekit.sources import layout
 from lakekit.sources import tables as tb
 from lakekit.sources.snapshots import SnapshotTable, as_of
 
@@ -213,3 +214,17 @@ def q_append_query(spark, sf_dir):
     tb.append_query(o.filter(F.col("o_orderdate") < cut), path)
     tb.append_query(o.filter(F.col("o_orderdate") >= cut), path)
     return spark.read.schema(o.schema).parquet(path)
+
+
+@query("clustered_filter", """
+SELECT 'user' AS by, event_id, user_id, ts FROM events WHERE user_id BETWEEN 10 AND 14
+UNION ALL
+SELECT 'ts', event_id, user_id, ts FROM events WHERE ts >= TIMESTAMP '2024-01-10' AND ts < TIMESTAMP '2024-01-11'""")
+def q_clustered_filter(spark, sf_dir):
+    """Events laid out in Morton order of user and time, then filtered by either."""
+    path = work_dir(spark, "clustered")
+    layout.write_clustered(tb.load(spark, sf_dir, "events"), path, ["user_id", "ts"], files=16)
+    laid = spark.read.parquet(path)
+    by = lambda name, cond: laid.filter(cond).select(F.lit(name).alias("by"), "event_id", "user_id", "ts")
+    day = [F.lit(dt.datetime(2024, 1, d)).cast("timestamp_ntz") for d in (10, 11)]
+    return by("user", F.col("user_id").between(10, 14)).unionByName(by("ts", (F.col("ts") >= day[0]) & (F.col("ts") < day[1])))

@@ -82,6 +82,20 @@ def q_mv_daily_metrics(spark, sf_dir):
     return mv.daily_metrics_view(view.read_partials())
 
 
+@query("mv_daily_metrics_changes", f"""WITH {fx.SQL_TRIPS.replace("FROM events", "FROM (SELECT * REPLACE (CASE WHEN event_id % 4 = 1 THEN value + 1 ELSE value END AS value) FROM events WHERE event_id % 5 <> 0)")} {SQL_DAILY}""")
+def q_mv_daily_metrics_changes(spark, sf_dir):
+    """The view kept current while every fifth trip is deleted and every fourth fare updated; it
+    must equal the view recomputed from what is left."""
+    trips = _with_day(fx.taxi_trips(spark, sf_dir))
+    view = mv.MaterializedAggregate(spark, work_dir(spark, "mv-changes"), ["vendor_id", "pickup_date"], ["fare_amount"])
+    view.refresh(trips, 0)
+    gone = trips.filter(F.col("trip_id") % 5 == 0)
+    view.refresh(None, 1, removed=gone)
+    old = trips.filter((F.col("trip_id") % 5 != 0) & (F.col("trip_id") % 4 == 1))
+    view.refresh(old.withColumn("fare_amount", F.col("fare_amount") + 1), 2, removed=old)
+    return mv.daily_metrics_view(view.read_partials())
+
+
 @query("mv_daily_metrics_stream", f"WITH {fx.SQL_TRIPS} {SQL_DAILY}")
 def q_mv_daily_metrics_stream(spark, sf_dir):
     """The same view kept current by a stream through ``foreachBatch``."""

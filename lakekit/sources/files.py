@@ -14,13 +14,14 @@ BAD_ROW_MODES = ("null", "drop", "fail", "quarantine")
 
 
 def read_csv_typed(spark: SparkSession, path: str, schema: StructType, *, header: bool = True, sep: str = ",",
-                   bad_rows: str = "null", date_format: str | None = None, multi_line: bool = False):
+                   bad_rows: str = "null", date_format: str | None = None, multi_line: bool = False, lineage: str | None = None):
     """CSV with an explicit schema (no inference).
 
     ``bad_rows``: ``"null"`` keeps the row and NULLs cells that do not parse (Spark's
     default), ``"drop"`` skips malformed rows, ``"fail"`` raises on the first one,
     ``"quarantine"`` returns ``(good, bad)`` where ``bad`` carries the raw line.
     ``multi_line`` reads quoted line breaks as part of a cell; a file is then one task.
+    ``lineage`` names a column for each row's source file.
     """
     if bad_rows not in BAD_ROW_MODES:
         raise ValueError(f"bad_rows must be one of {BAD_ROW_MODES}")
@@ -30,14 +31,16 @@ def read_csv_typed(spark: SparkSession, path: str, schema: StructType, *, header
     if bad_rows == "quarantine":
         full = StructType(list(schema.fields) + [StructField(CORRUPT, StringType(), True)])
         df = reader.schema(full).option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", CORRUPT).csv(path)
+        df = with_lineage(df, lineage) if lineage else df       # the checkpoint has no file metadata
         # parse once into the shared checkpoint folder: both sides then read parsed rows
         # (Spark refuses queries over raw CSV that need only the corrupt-record column)
         df = reliable_checkpoint(df)
-        good = df.filter(F.col(CORRUPT).isNull()).select(*schema.fieldNames())
+        good = df.filter(F.col(CORRUPT).isNull()).drop(CORRUPT)
         bad = df.filter(F.col(CORRUPT).isNotNull())
         return good, bad
     mode = {"null": "PERMISSIVE", "drop": "DROPMALFORMED", "fail": "FAILFAST"}[bad_rows]
-    return reader.schema(schema).option("mode", mode).csv(path)
+    df = reader.schema(schema).option("mode", mode).csv(path)
+    return with_lineage(df, lineage) if lineage else df
 
 
 def copy_into(spark: SparkSession, target_path: str, source: str, schema: StructType, *,

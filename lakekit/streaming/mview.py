@@ -46,14 +46,30 @@ class MaterializedAggregate:
         row = self.table.read().select(APPLIED).first() if self.table.snapshots() else None
         return {k: (v["batch"], v["digest"]) for k, v in (row[0] if row else {}).items()}
 
-    def refresh(self, rows: DataFrame, batch_id: int, source: str = "default") -> bool:
+    def signed(self, rows: DataFrame | None, removed: DataFrame) -> DataFrame:
+        """Partials of ``rows`` less those of ``removed``: one row per key, counts may be negative."""
+        less = self.partials(removed)
+        parts = [c for c in less.columns if c not in self.keys]
+        less = less.select(*self.keys, *((-F.col(c)).alias(c) for c in parts))
+        return self._summed(less if rows is None else self.partials(rows).unionByName(less))
+
+    def _summed(self, partials: DataFrame) -> DataFrame:
+        parts = [c for c in partials.columns if c not in self.keys]
+        return partials.groupBy(*self.keys).agg(*[F.sum(c).cast(MONEY_SUM if c.startswith("__sum_") else "bigint").alias(c) for c in parts])
+
+    def refresh(self, rows: DataFrame | None, batch_id: int, source: str = "default", removed: DataFrame | None = None) -> bool:
         """Fold ``rows`` into the view as batch ``batch_id`` of ``source``; False for a replay.
 
+        ``removed`` are rows that the view counted and that are gone: those a DELETE took, or the
+        old versions of those an UPDATE changed (their new versions are in ``rows``).  Sums
+        and counts are kept with signs, and a group whose count comes to 0 goes; one that comes
+        below 0 was never counted, and raises.
+
         An id not above the source's last one is a replay only if it is that last batch with
         the same data; anything else raises, since it would be lost or counted twice.
         """
         done = self.applied()
-        new = reliable_checkpoint(self.partials(rows))
+        new = reliable_checkpoint(self.partials(rows) if removed is None else self.signed(rows, removed))
         digest = new.select(F.coalesce(F.bit_xor(F.xxhash64(*new.columns)), F.lit(0)).alias("d")).first()["d"]
         if source in done and batch_id <= done[source][0]:
             if (batch_id, digest) == done[source]:
@@ -61,10 +77,10 @@ class MaterializedAggregate:
             raise ValueError(f"batch {batch_id} of {source!r} is not a replay of the last applied, {done[source][0]}")
         merged = new
         if self.table.snapshots():
-            parts = [c for c in new.columns if c not in self.keys]
-            both = self.table.read().drop(APPLIED).unionByName(new)
-            merged = both.groupBy(*self.keys).agg(
-                *[F.sum(c).cast(MONEY_SUM if c.startswith("__sum_") else "bigint").alias(c) for c in parts])
+            merged = self._summed(self.table.read().drop(APPLIED).unionByName(new))
+        if removed is not None:
+            below = F.raise_error(F.lit("rows were removed that the view doesn't hold")).cast("boolean")
+            merged = merged.filter(F.when(F.col(N) < 0, below).otherwise(F.col(N) > 0))
         state = {**done, source: (batch_id, digest)}
         entries = [x for k, (b, d) in sorted(state.items())
                    for x in (F.lit(k), F.struct(F.lit(b).cast("bigint").alias("batch"), F.lit(d).cast("bigint").alias("digest")))]
