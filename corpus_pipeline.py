@@ -3,7 +3,8 @@
 Five stages, each on all that the one before kept, written as Parquet and read again:
 documents in no known language go, then those of low quality; of near copies one stays;
 personal data is replaced by its kind; what is left is packed.  Rows that share a doc_id are
-one document.  A document without an id can't be a copy and stays.
+one document, of which each different text stays once.  A document without an id can't be a
+copy and stays.
 """
 
 from __future__ import annotations
@@ -53,14 +54,15 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near copies: the one with the smallest id."""
+    """One document of each group of near copies: the one with the smallest id.  Of rows that
+    share it, one stays for each different text (the one whose columns come first as JSON)."""
     ready(spark)
     copies = jaccard_components(docs, words=COPY_WORDS, percent=COPY_PERCENT).where(F.col("component_id") != F.col("doc_id")).select("doc_id").distinct()
     repeated = docs.where(F.col("doc_id").isNotNull()).groupBy("doc_id").agg(F.count("*").alias("n")).where("n > 1").select("doc_id")
     copies, repeated = staged(copies, "pipeline-copies"), staged(repeated, "pipeline-repeated")
     left = docs.join(copies, "doc_id", "left_anti")
-    others = [c for c in docs.columns if c != "doc_id"]
-    once = left.join(repeated, "doc_id", "left_semi").groupBy("doc_id").agg(F.min(F.struct(*others)).alias("_row")).select("doc_id", "_row.*")
+    again = left.join(repeated, "doc_id", "left_semi").select("doc_id", "text", F.struct(*docs.columns).alias("_row"))
+    once = again.groupBy("doc_id", "text").agg(F.min_by("_row", F.to_json("_row")).alias("_row")).select("_row.*")
     return left.join(repeated, "doc_id", "left_anti").select(*docs.columns).union(once.select(*docs.columns))
 
 

@@ -279,15 +279,16 @@ def _grams(docs: DataFrame, ids: DataFrame, id_col: str, text_col: str, words: i
     return texts.mapInArrow(run, "id long, n long, grams array<long>")
 
 
-def _search(index: DataFrame, queries: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+def _search(index: DataFrame, queries: DataFrame, sets: DataFrame, sizes: DataFrame, percent: int) -> DataFrame:
     """Links a, b that join the queries and indexed sets of each block (columns block, id) as
     all their alike pairs do: each set of a task is linked with the smallest it can reach there.
 
     A block's index and its queries are each split by their n-grams; every part of one meets
-    every part of the other, in a task that holds one part of each.
+    every part of the other, in a task that holds one part of each.  ``sizes``: id, n of the
+    ``sets``, one row an id (rows that share an id are sets of their own).
     """
     def split(side: DataFrame, name: str) -> DataFrame:
-        side = side.distinct().join(sets.select("id", "n"), "id")
+        side = side.distinct().join(sizes, "id")
         share = side.groupBy("block").agg(F.ceil(F.sum("n") / BLOCK_GRAMS).cast("int").alias(f"{name}_parts"))
         return staged(side.select("block", "id").join(share, "block").withColumn(name, F.pmod(F.xxhash64("id"), F.col(f"{name}_parts")).cast("int")), f"search-{name}")
 
@@ -340,10 +341,10 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     meets = staged(_meets(sets_and_parts), "jaccard-meets")
     release(sets_and_parts)
     # a set alike to another shares a number of digests with it: fewer in all, and it is out
+    needs = staged(known.groupBy(F.col("_id").alias("id")).agg(F.min("need").alias("need")).where("need is not null"), "jaccard-needs")
     for _ in range(NEED_ROUNDS):
         # (a lead's rows count more than once, so this keeps too many rather than too few)
-        enough = (meets.groupBy("id").agg(F.count("*").alias("shared"))
-                  .join(known.groupBy(F.col("_id").alias("id")).agg(F.min("need").alias("need")), "id").where("shared >= need").select("id"))
+        enough = meets.groupBy("id").agg(F.count("*").alias("shared")).join(needs, "id").where("shared >= need").select("id")
         left = meets.join(enough, "id", "left_semi").select("part", "id")
         leads = left.groupBy("part").agg(F.min("id").alias("lead"), F.max("id").alias("last")).where("lead <> last").select("part", "lead")
         fewer = staged(left.join(leads, "part"), "jaccard-meets")
@@ -351,12 +352,13 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
         meets = fewer
     # equal sets, and rows that share an id but not a text
     links = known.join(copied, "print").where("_id <> first").select(F.col("_id").alias("a"), F.col("first").alias("b")).distinct()
-    done = [meets]
+    done = [meets, needs]
     if not meets.isEmpty():
         wanted = staged(meets.select("id").distinct(), "jaccard-wanted")
         sets = staged(_grams(docs, wanted, id_col, text_col, words), "jaccard-grams")
         pairs = staged(meets.where("id <> lead").groupBy("id", "lead").agg(F.count("*").alias("parts")), "jaccard-pairs")
-        blocks = max(1, math.ceil((sets.agg(F.sum("n")).first()[0] or 0) / BLOCK_GRAMS))
+        sizes = staged(sets.groupBy("id").agg(F.sum("n").alias("n")), "jaccard-sizes")
+        blocks = max(1, math.ceil((sizes.agg(F.sum("n")).first()[0] or 0) / BLOCK_GRAMS))
         block = F.pmod(F.xxhash64("lead"), F.lit(blocks)).alias("block")
         best = F.max(F.struct("parts", (-F.col("lead")).alias("lead")))["lead"]
         first, so_far, left_pairs = None, None, pairs
@@ -365,7 +367,7 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
             done.append(chosen)
             if chosen.isEmpty():
                 break
-            links_now = _search(chosen.select(block, F.col("lead").alias("id")), chosen.select(block, "id"), sets, percent)
+            links_now = _search(chosen.select(block, F.col("lead").alias("id")), chosen.select(block, "id"), sets, sizes, percent)
             first = links_now if first is None else first.union(links_now)
             so_far = connected(first)
             of_lead = so_far.select(F.col("id").alias("lead"), F.col("component").alias("of_lead"))
@@ -379,11 +381,15 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
             # those outside are indexed with others of their smallest group leader
             home = staged(left.where("outside").groupBy("id").agg(F.min("lead").alias("block")), "jaccard-home")
             goes = left.where("outside").join(home, "id").select("part", "block").distinct()
-            asked = left.select("part", "id").join(goes, "part").select("block", "id").distinct()
-            first = first.union(_search(home, asked, sets, percent))
+            # alike sets share at least `need` parts here, and one of the two is outside in half of them:
+            # it is found by the other in its home, so fewer parts in a block than that say nothing
+            # (parts that count twice keep too many rather than too few)
+            asked = (left.select("part", "id").join(goes, "part").groupBy("block", "id").agg(F.count("*").alias("shared"))
+                     .join(needs, "id").where("2 * shared >= need").select("block", "id"))
+            first = first.union(_search(home, asked, sets, sizes, percent))
             done += [home]
         links = links.union(first)
-        done += [wanted, sets, pairs, left]
+        done += [wanted, sets, sizes, pairs, left]
     found = connected(links)
     release(*done)
     final = same.select("print", "id").join(found, "id", "left").select("print", F.coalesce("component", "id").alias("_component"))

@@ -78,3 +78,21 @@ def test_odd_rows(llm):
 def test_empty_table(llm):
     docs = llm.read.parquet(f"{SF}/documents.parquet").limit(0)
     assert [d.count() for d in stages(llm, docs, SF)] == [0] * 5
+
+
+def test_different_texts_of_one_id_stay_and_names_do_not_clash(llm):
+    """Each stage hands on columns of any name and type as they are."""
+    names = ["_row", "_text", "_partition", "_quality", "_lang_pred", "_lang_score", "_clean", "_base", "_loose", "_q_words", "component_id", "score"]
+    a = "these are the words of a first text that goes on for a while and then comes to its end"
+    b = "another story is told here about people in towns who walk to the river and see the boats"
+    base = [(1, a), (1, a), (1, b), (2, a), (3, b + " mail a@b.cd")]
+    rows = [(i, t, "en", "s", 5, {"k": 1}, *(f"keep {n}" for n in names)) for i, t in base]
+    schema = "doc_id long, text string, lang string, source string, n_chars long, m map<string,int>, " + ", ".join(f"`{n}` string" for n in names)
+    docs = llm.createDataFrame(rows, schema)
+    for name, stage in cp.STAGES[:-1]:
+        out = stage(llm, docs, SF)
+        assert out.columns == docs.columns
+        got = out.collect()
+        assert got and all(r[n] == f"keep {n}" for r in got for n in names) and all(r.m == {"k": 1} for r in got), name
+        if name == "near_duplicates":
+            assert sorted((r.doc_id, r.text) for r in got) == sorted({(1, a), (1, b)})
