@@ -18,6 +18,7 @@ import math
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -28,22 +29,37 @@ COSINE = 0.93
 CELL_ROWS = 2048        # vectors in a cell, on average
 MOST_CELLS = 512        # cells of one label
 SAMPLE = 8192           # vectors of one label that its cells are trained on
+SPARE = 4               # ids looked at for each one in a sample
 ROUNDS = 8
 BLOCK = 1024            # vectors in a block, on average
 ASSIGN_ROWS = 20_000    # vectors assigned to cells in one task, on average
 SLACK = 1e-9            # rounding in the bounds
 
 
+def directions(vectors: pa.ListArray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(values, starts, sizes, whether it has one) of the vectors' directions in double precision:
+    vectors of one dimension are normalised together.  One that is NULL, empty or zero, or holds
+    NULL or a component that isn't finite, has none."""
+    sizes = pc.fill_null(pc.list_value_length(vectors), 0).to_numpy().astype(np.int64)
+    starts = np.cumsum(sizes) - sizes
+    values = np.array(vectors.flatten().to_numpy(zero_copy_only=False), dtype=np.float64)      # NULL becomes NaN
+    able = np.zeros(len(sizes), bool)
+    for width in np.unique(sizes[sizes > 0]):
+        rows = np.flatnonzero(sizes == width)
+        at = starts[rows][:, None] + np.arange(width)
+        x = values[at]
+        largest = np.abs(x).max(1)
+        good = np.isfinite(largest) & (largest > 0)
+        x = x[good] / largest[good, None]
+        values[at[good]] = x / np.sqrt((x * x).sum(1))[:, None] + 0.0       # no negative zeros
+        able[rows[good]] = True
+    return values, starts, sizes, able
+
+
 def unit(vector) -> np.ndarray | None:
-    """The vector's direction in double precision; None if it has none."""
-    if vector is None or not len(vector):
-        return None
-    v = np.array(vector, dtype=np.float64)      # None becomes NaN
-    largest = np.abs(v).max()
-    if not np.isfinite(largest) or largest == 0:
-        return None
-    v = v / largest
-    return v / math.sqrt(v @ v) + 0.0           # no negative zeros
+    """The direction of one vector; None if it has none."""
+    values, _, _, able = directions(pa.array([vector], pa.list_(pa.float64())))
+    return values if able[0] else None
 
 
 def spherical_kmeans(x: np.ndarray, k: int, rounds: int = ROUNDS) -> np.ndarray:
@@ -75,9 +91,13 @@ def _distinct(vectors: DataFrame, id_col: str, vector_col: str, label_col: str)
     """id, label (with the dimension: vectors of other lengths have no cosine), print, unit."""
     def run(batches):
         for batch in batches:
-            units = [unit(v) for v in batch.column(2).to_pylist()]
-            prints = [None if v is None else hashlib.blake2b(v.tobytes(), digest_size=16).digest() for v in units]
-            yield pa.RecordBatch.from_arrays([*batch.columns[:2], pa.array(prints, pa.binary()), pa.array(units, pa.list_(pa.float64()))], names=["id", "label", "print", "unit"])
+            values, starts, sizes, able = directions(batch.column(2))
+            data = memoryview(values.tobytes())
+            prints = [hashlib.blake2b(data[8 * a: 8 * (a + n)], digest_size=16).digest() if ok else None for a, n, ok in zip(starts.tolist(), sizes.tolist(), able.tolist())]
+            kept = np.where(able, sizes, 0)
+            offsets = np.append(0, np.cumsum(kept)).astype(np.int32)
+            units = pa.ListArray.from_arrays(pa.array(offsets, mask=np.append(~able, False)), pa.array(values[np.repeat(able, sizes)]))
+            yield pa.RecordBatch.from_arrays([*batch.columns[:2], pa.array(prints, pa.binary()), units], names=["id", "label", "print", "unit"])
 
     able = F.when(F.col(id_col).isNotNull() & F.col(label_col).isNotNull(), F.col(vector_col).cast("array<double>"))
     rows = vectors.select(F.col(id_col).cast("long").alias("id"), F.concat_ws("/", F.size(vector_col).cast("string"), F.col(label_col).cast("string")).alias("label"), able)
@@ -87,8 +107,11 @@ def _distinct(vectors: DataFrame, id_col: str, vector_col: str, label_col: str)
 def _centres(units: DataFrame, sizes: DataFrame) -> DataFrame:
     """label, cell, centre of the labels that need more than one cell."""
     large = sizes.where(F.col("n") > CELL_ROWS)
-    first = Window.partitionBy("label").orderBy(F.xxhash64("id"), "id")
-    ids = units.join(large, "label").select("label", "id", "n").withColumn("_k", F.row_number().over(first)).where(F.col("_k") <= SAMPLE).select("label", "id", "n")
+    # only ids with a small hash go on: a few times the sample, however large the label
+    order = F.pmod(F.xxhash64("id"), F.lit(1 << 31))
+    near = units.join(large, "label").where(order < F.lit(float(SPARE * SAMPLE * (1 << 31))) / F.col("n"))
+    first = Window.partitionBy("label").orderBy(order, "id")
+    ids = near.select("label", "id", "n").withColumn("_k", F.row_number().over(first)).where(F.col("_k") <= SAMPLE).select("label", "id", "n")
 
     def train(sample: pa.Table) -> pa.Table:
         sample = sample.sort_by("id")
