@@ -31,6 +31,7 @@ END_ID = 0
 PIECE_CACHE = 120_000       # memoised word pieces per generation and worker
 SALT_ROWS = 4096            # pieces of one length that a rank window holds at most, on average
 SEARCH_NODES = 3000         # fillings looked at for one step; the best so far is then used
+MOST_SHARES = 64            # dual feasible functions tried for the bound
 BRANCH_NODES = 60_000       # fillings and choices looked at for a plan; the best plan so far is then used
 
 
@@ -113,6 +114,18 @@ def _plan(histogram: dict[int, int], capacity: int, filling) -> list[tuple[int,
     return steps
 
 
+def least_bins(histogram: dict[int, int], capacity: int) -> int:
+    """The better of ``fewest_bins`` and the bounds by dual feasible functions: the k-th rounds
+    a share x of the capacity down to floor((k + 1) x) / k (or keeps it where (k + 1) x is whole),
+    which no filling's sum gets above 1 by, so the rounded sum is a bound too.  It counts
+    lengths over a third, a quarter... of the capacity as the halves, thirds... that they take up."""
+    best = fewest_bins(histogram, capacity)
+    for k in range(1, min(MOST_SHARES, capacity) + 1):
+        total = sum(c * (k * n if (k + 1) * n % capacity == 0 else (k + 1) * n // capacity * capacity) for n, c in histogram.items())
+        best = max(best, -(-total // (k * capacity)))
+    return best
+
+
 def fewest_bins(histogram: dict[int, int], capacity: int) -> int:
     """A bound: total / capacity, and for each length s up to half the capacity the bins that
     the lengths over half need, with those of s and more that don't fit beside them."""
@@ -169,7 +182,7 @@ def _branched(histogram: dict[int, int], capacity: int, best: int, nodes: int =
     length left takes each undominated filling, as many times in turn as the counts allow, and
     the search goes back where the bound shows that no fewer bins can come out."""
     counts = {n: c for n, c in histogram.items() if c > 0}
-    least, left, plan = fewest_bins(counts, capacity), nodes, None
+    least, left, plan = least_bins(counts, capacity), nodes, None
 
     def choices():
         nonlocal left
@@ -222,7 +235,7 @@ def plan_packing(histogram: dict[int, int], capacity: int = CAPACITY) -> list[tu
     if any(n < 1 or n > capacity for n in histogram):
         raise ValueError("a length is outside 1..capacity")
     bins = lambda plan: sum(copies for copies, _ in plan)
-    least, incumbent = fewest_bins(histogram, capacity), None
+    least, incumbent = least_bins(histogram, capacity), None
     for filling in (_greedy, best_filling):
         plan = _plan(histogram, capacity, filling)
         if incumbent is None or bins(plan) < bins(incumbent):

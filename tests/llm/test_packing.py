@@ -2,6 +2,7 @@ import itertools
 import math
 import random
 import struct
+import time
 import zlib
 
 import public_tokenizers
@@ -132,7 +133,7 @@ def test_small_cases_need_the_fewest():
         lengths = sorted((rnd.randrange(8, 60) for _ in range(rnd.randrange(2, 11))), reverse=True)
         histogram = {n: len([*g]) for n, g in itertools.groupby(lengths)}
         least = fewest(lengths, 100)
-        assert packing.fewest_bins(histogram, 100) <= least
+        assert packing.fewest_bins(histogram, 100) <= packing.least_bins(histogram, 100) <= least
         assert check_plan(histogram, 100) == least, lengths
         filled_by_waste += min(sum(c for c, _ in packing._plan(histogram, 100, f)) for f in (packing._greedy, packing.best_filling)) > least
     assert filled_by_waste > 0
@@ -148,3 +149,14 @@ def test_long_plans_that_miss_the_bound_end():
     greedy = sum(c for c, _ in packing._plan(hot, 2048, packing._greedy))
     least = packing.fewest_bins(hot, 2048)
     assert least < greedy and least <= check_plan(hot, 2048) <= greedy
+
+
+@pytest.mark.parametrize("ranges", [[(700, 1000, 500, 500)], [(1, 59, 1000, 1000), (700, 999, 2000, 9000)], [(410, 512, 300, 300)], [(1025, 1100, 50, 50), (1, 1, 3, 3)]])
+def test_bound_proves_plans_of_two_three_and_four_a_bin(ranges):
+    """Histograms whose best-fit plan is the fewest: the bound says so, and nothing is searched."""
+    rnd = random.Random(1)
+    histogram = {n: rnd.randint(lo, hi) for a, b, lo, hi in ranges for n in range(a, b + 1)}
+    start = time.perf_counter()
+    bins = check_plan(histogram, 2048)
+    assert time.perf_counter() - start < 5
+    assert bins <= 1.001 * packing.least_bins(histogram, 2048) + 1
