@@ -9,12 +9,15 @@ piece of its own costs the lowest score less 10 and counts its UTF-8 bytes when
 vocabulary holds all byte pieces, else one for each run of such characters.
 
 Words (cut before each space, a space stands for the word mark) are scored apart and
-memoised per Python worker, bounded.
+memoised per Python worker, bounded.  For a tokenizer that doesn't split at spaces the cuts come
+from the vocabulary: where no piece holds a mark after another character, text is cut before
+each run of marks, and pieces of several marks can match; else it isn't cut.
 """
 
 from __future__ import annotations
 
 import math
+import re
 
 import ahocorasick
 import pyarrow as pa
@@ -27,6 +30,7 @@ from lakekit.llm.common import WordCache, focus, held
 WORD_CACHE = 400_000    # memoised words per generation and worker
 MARK = "▁"
 UNKNOWN_PENALTY = 10.0
+_RUNS = re.compile(f"{MARK}+[^{MARK}]*")
 
 
 def unigram_pieces(path: str) -> list[tuple[str, float]]:
@@ -36,8 +40,13 @@ def unigram_pieces(path: str) -> list[tuple[str, float]]:
 
 
 class UnigramCounter:
-    def __init__(self, pieces: list[tuple[str, float]]):
+    """``splits``: whether the tokenizer cuts text before each space, whatever the pieces are."""
+
+    def __init__(self, pieces: list[tuple[str, float]], splits: bool = True):
         scores = dict(pieces)
+        self.splits = splits
+        # an unknown character's run could go on over a mark that is no piece
+        self.cuts = MARK in scores and not any(re.search(f"[^{MARK}]{MARK}", p) for p in scores)
         self.unknown = min(scores.values()) - UNKNOWN_PENALTY
         self.bytes = all(f"<0x{b:02X}>" in scores for b in range(256))
         self.single = {p for p in scores if len(p) == 1}
@@ -89,6 +98,11 @@ class UnigramCounter:
     def text(self, text: str) -> tuple[int, float]:
         if not text:
             return 0, 0.0
+        if not self.splits:
+            marked = text.replace(" ", MARK)
+            marked = marked if marked.startswith(MARK) else MARK + marked
+            parts = [self.words[p[1:]] for p in (_RUNS.findall(marked) if self.cuts else [marked])]
+            return sum([p[0] for p in parts]), math.fsum([p[1] for p in parts])
         text = text.replace(MARK, " ")
         parts = [*map(self.words.__getitem__, (text[1:] if text[0] == " " else text).split(" "))]
         return sum([p[0] for p in parts]), math.fsum([p[1] for p in parts])
