@@ -1,9 +1,9 @@
 """BPE encoding and decoding by per-prefix dynamic programming.
 
 For every prefix of a piece there is exactly one token that can be last in the prefix's
-BPE encoding.  An Aho-Corasick automaton of the vocabulary lists the tokens that end at each
-position (those that are suffixes of the prefix, as a suffix automaton would); the one that starts where a prefix ends whose own last token it is compatible
-with is the answer.  Following the stored tokens back from the end gives the exact ids,
+BPE encoding.  The suffix automaton of the vocabulary follows the longest suffix of the prefix that
+lies in some token; the tokens among its suffixes are those that end there, and the one that
+starts where a prefix ends whose own last token it is compatible with is the answer.  Following the stored tokens back from the end gives the exact ids,
 in time linear in the piece, without simulating merges over it.
 
 Two tokens are compatible when merging their joined symbols never merges across their
@@ -15,11 +15,11 @@ Pieces are memoised per Python worker (bounded), so Zipf-distributed words are e
 
 from __future__ import annotations
 
+import functools
 import hashlib
 import json
 import re
 
-import ahocorasick
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -46,6 +46,78 @@ def byte_alphabet() -> list[str]:
     return [chr(b) if b in printable else chr(next(extra)) for b in range(256)]
 
 
+class SuffixAutomaton:
+    """All stretches of the given words, as states with transitions and suffix links.
+
+    A state stands for stretches with the same ends, the longest of ``length`` characters; its
+    link leads to the longest suffix that has more ends.  ``word[s]`` is the word that a state's
+    longest stretch is, ``ends[s]`` the nearest state on the way up the links that has one.
+    """
+
+    def __init__(self, words: dict[str, int]):
+        self.next: list[dict[str, int]] = [{}]
+        self.link, self.length = [-1], [0]
+        at: list[tuple[int, int]] = []
+        for text, word in words.items():
+            state = 0
+            for c in text:
+                state = self._extended(state, c)
+            at.append((state, word))
+        self.word = [-1] * len(self.link)
+        for state, word in at:      # the state that a whole word leads to has its length
+            self.word[state] = word
+        self.ends = [-1] * len(self.link)
+        for state in sorted(range(1, len(self.link)), key=self.length.__getitem__):
+            self.ends[state] = state if self.word[state] >= 0 else self.ends[self.link[state]]
+
+    def _new(self, length: int, link: int, follow: dict[str, int]) -> int:
+        self.next.append(follow)
+        self.link.append(link)
+        self.length.append(length)
+        return len(self.link) - 1
+
+    def _split(self, state: int, c: str, of: int) -> int:
+        """A state of its own for the stretches of ``of`` that are one longer than ``state``'s."""
+        clone = self._new(self.length[state] + 1, self.link[of], dict(self.next[of]))
+        self.link[of] = clone
+        while state >= 0 and self.next[state].get(c) == of:
+            self.next[state][c] = clone
+            state = self.link[state]
+        return clone
+
+    def _extended(self, state: int, c: str) -> int:
+        """The state of the stretch that ``state``'s longest and ``c`` make."""
+        known = self.next[state].get(c)
+        if known is not None:
+            return known if self.length[known] == self.length[state] + 1 else self._split(state, c, known)
+        made = self._new(self.length[state] + 1, 0, {})
+        while state >= 0 and c not in self.next[state]:
+            self.next[state][c] = made
+            state = self.link[state]
+        if state >= 0:
+            below = self.next[state][c]
+            self.link[made] = below if self.length[below] == self.length[state] + 1 else self._split(state, c, below)
+        return made
+
+    def matches(self, text: str):
+        """(end, length, word) of all words in ``text``, by end, longest first."""
+        follow, link, length, word, ends = self.next, self.link, self.length, self.word, self.ends
+        state = matched = 0
+        for end, c in enumerate(text, 1):
+            while state and c not in follow[state]:
+                state = link[state]
+                matched = length[state]
+            state = follow[state].get(c, 0)
+            matched = matched + 1 if state else 0
+            # only the state's own word can be longer than what is matched
+            found = ends[state]
+            if found == state and length[state] > matched:
+                found = ends[link[state]]
+            while found > 0:
+                yield end, length[found], word[found]
+                found = ends[link[found]]
+
+
 class PrefixEncoder:
     """Exact encoder of a word-end BPE vocabulary (``merges`` in training order)."""
 
@@ -75,7 +147,6 @@ class PrefixEncoder:
             self.rank[whole], self.parts[whole], self.joined[left, right] = rank, (left, right), rank
         self.edges: dict[tuple[int, int], list[tuple[int, int]]] = {}
         self.pairs: dict[tuple[int, int], bool] = {}
-        self.automaton = self._token_automaton()
         self.memo = WordCache(self.encode_piece, PIECE_CACHE)
         self.rare = WordCache(self._rare_pieces, CHUNK_CACHE)
 
@@ -113,20 +184,21 @@ class PrefixEncoder:
             known = self.pairs[key] = not self._crosses(left, right)
         return known
 
-    def _token_automaton(self) -> ahocorasick.Automaton:
+    @functools.cached_property
+    def automaton(self) -> SuffixAutomaton:
+        """Of the tokens that an encoding can hold; made when the first piece is encoded."""
         reachable: dict[int, bool] = {}
         for token, (left, right) in self.parts.items():  # in rank order: parts come first
             reachable[token] = reachable.get(left, True) and reachable.get(right, True) and not self._crosses(left, right, self.rank[token])
-        automaton = ahocorasick.Automaton()
+        words = {}
         for text, token in self.vocab.items():
             if token in self.special.values() or not reachable.get(token, True):
                 continue
             if text.endswith(WORD_END) and text != WORD_END:
                 bare = text[: -len(WORD_END)]
                 text = bare[:-1] + self.end[bare[-1]]
-            automaton.add_word(text, (len(text), token))
-        automaton.make_automaton()
-        return automaton
+            words[text] = token
+        return SuffixAutomaton(words)
 
     def encode_piece(self, piece: str) -> list[int]:
         """Ids of one piece (a special token's string is its own)."""
@@ -142,8 +214,7 @@ class PrefixEncoder:
         last = [-1] * (whole + 1)       # unique last token of each prefix
         size = [0] * (whole + 1)
         pairs, compatible = self.pairs, self.compatible
-        for at, (length, token) in self.automaton.iter(symbols):
-            end = at + 1
+        for end, length, token in self.automaton.matches(symbols):
             if last[end] >= 0:
                 continue
             start = end - length

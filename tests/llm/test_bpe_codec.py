@@ -74,3 +74,15 @@ def test_memo_is_bounded():
         assert len(cache) + len(cache.old) <= 20
     cache["x" * 500]
     assert "x" * 500 not in cache
+
+
+def test_suffix_automaton_finds_all_words():
+    rnd = random.Random(6)
+    for _ in range(150):
+        words = {"".join(rnd.choice("abc") for _ in range(rnd.randint(1, 6))): 0 for _ in range(rnd.randint(1, 25))}
+        words = {w: i for i, w in enumerate(words)}
+        automaton = bc.SuffixAutomaton(words)
+        assert len(automaton.link) <= 2 * sum(map(len, words)) + 1
+        text = "".join(rnd.choice("abcd") for _ in range(rnd.randint(0, 40)))
+        want = [(end, n, words[text[end - n:end]]) for end in range(1, len(text) + 1) for n in range(end, 0, -1) if text[end - n:end] in words]
+        assert [*automaton.matches(text)] == want
