@@ -10,11 +10,12 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 T_FLAG = "__in_target"
 U_FLAG = "__in_updates"
+ONE = "__one"
 
 
 def _u(c: str) -> str:
@@ -41,6 +42,24 @@ def assert_unique_keys(df: DataFrame, keys: Sequence[str]) -> None:
         raise ValueError(f"duplicate source keys on {list(keys)}")
 
 
+def unique_or_fail(df: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """``df``, failing when it runs if a key repeats.  The count is a window over the keys, so a
+    join on them uses its partitioning and order, and ``df`` is computed once."""
+    n = F.count(F.lit(1)).over(Window.partitionBy(*keys))
+    fail = F.raise_error(F.lit(f"duplicate source keys on {list(keys)}")).cast("boolean")
+    return df.withColumn(ONE, F.when(n > 1, fail).otherwise(True)).filter(F.col(ONE)).drop(ONE)
+
+
+def _checked(updates: DataFrame, keys: Sequence[str], check: bool | str) -> DataFrame:
+    if check not in (True, False, "inline"):
+        raise ValueError("check_unique must be True, False or 'inline'")
+    if check == "inline":
+        return unique_or_fail(updates, keys)
+    if check:
+        assert_unique_keys(updates, keys)
+    return updates
+
+
 def _joined(target: DataFrame, updates: DataFrame, keys: Sequence[str], null_safe: bool,
             how: str) -> tuple[DataFrame, DataFrame, DataFrame]:
     t = target.withColumn(T_FLAG, F.lit(True))
@@ -49,14 +68,14 @@ def _joined(target: DataFrame, updates: DataFrame, keys: Sequence[str], null_saf
 
 
 def merge_upsert(target: DataFrame, updates: DataFrame, keys: Sequence[str], *, null_safe: bool = False,
-                 preserve: Sequence[str] = (), check_unique: bool = True) -> DataFrame:
+                 preserve: Sequence[str] = (), check_unique: bool | str = True) -> DataFrame:
     """MERGE: matched -> update all columns, not matched -> insert all (M1).
 
     ``preserve`` columns keep the target's value on update (e.g. ``CreatedTS``).
-    Duplicate source keys would update one target row twice, so they raise.
+    Duplicate source keys would update one target row twice, so they raise: at once, which
+    runs the updates' plan once more, or with ``check_unique="inline"`` when the result is computed.
     """
-    if check_unique:
-        assert_unique_keys(updates, keys)
+    updates = _checked(updates, keys, check_unique)
     j = _joined(target, updates, keys, null_safe, "full_outer")[0]
     in_u = F.col(U_FLAG).isNotNull()
     in_t = F.col(T_FLAG).isNotNull()
@@ -88,14 +107,13 @@ def merge_insert_only(target: DataFrame, updates: DataFrame, keys: Sequence[str]
 
 def merge_columns(target: DataFrame, updates: DataFrame, keys: Sequence[str], *,
                   update_set: Mapping[str, str] | Sequence[str] = (), insert_cols: Sequence[str] = (),
-                  null_safe: bool = False, check_unique: bool = True) -> DataFrame:
+                  null_safe: bool = False, check_unique: bool | str = True) -> DataFrame:
     """MERGE with explicit column lists (M3).
 
     Matched rows take ``update_set`` columns from the updates (others kept); new keys
-    insert ``insert_cols`` (plus the keys) and NULL elsewhere.
+    insert ``insert_cols`` (plus the keys) and NULL elsewhere.  ``check_unique`` as in ``merge_upsert``.
     """
-    if check_unique and update_set:
-        assert_unique_keys(updates, keys)
+    updates = _checked(updates, keys, check_unique if update_set else False)
     if not isinstance(update_set, Mapping):
         update_set = {c: c for c in update_set}
     insert = set(insert_cols) | set(keys)

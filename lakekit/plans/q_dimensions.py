@@ -51,6 +51,13 @@ def q_merge_upsert(spark, sf_dir):
     return M.merge_upsert(target, updates, ["o_orderkey"])
 
 
+@query("merge_upsert_inline", ORACLES["merge_upsert"])
+def q_merge_upsert_inline(spark, sf_dir):
+    """The same upsert with its key check inside the join: the updates are computed once."""
+    target, updates = _merge_inputs(spark, sf_dir)
+    return M.merge_upsert(target, updates, ["o_orderkey"], check_unique="inline")
+
+
 @query("merge_insert_only", "WITH " + SQL_MERGE_INPUTS + """
 SELECT * FROM t UNION ALL
 SELECT * FROM u WHERE NOT EXISTS (SELECT 1 FROM t WHERE t.o_orderkey = u.o_orderkey)""")

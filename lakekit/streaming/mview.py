@@ -14,7 +14,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from lakekit.functions.scalar import MONEY, MONEY_SUM
@@ -69,8 +69,10 @@ class MaterializedAggregate:
         the same data; anything else raises, since it would be lost or counted twice.
         """
         done = self.applied()
-        new = reliable_checkpoint(self.partials(rows) if removed is None else self.signed(rows, removed))
-        digest = new.select(F.coalesce(F.bit_xor(F.xxhash64(*new.columns)), F.lit(0)).alias("d")).first()["d"]
+        new, seen = self.partials(rows) if removed is None else self.signed(rows, removed), Observation()
+        # the digest comes out of the same job that writes the partials
+        new = reliable_checkpoint(new.observe(seen, F.coalesce(F.bit_xor(F.xxhash64(*new.columns)), F.lit(0)).alias("d")))
+        digest = seen.get["d"]
         if source in done and batch_id <= done[source][0]:
             if (batch_id, digest) == done[source]:
                 return False

@@ -76,6 +76,23 @@ def test_the_tables_own_column_is_refused(spark, tmp_dir):
         BucketTable(spark, f"{tmp_dir}/t", ["id"], 4).create(spark.createDataFrame([(1, 2)], "id long, bucket int"))
 
 
+def test_inline_key_check_fails_when_run_and_shares_the_joins_exchange(spark):
+    t = spark.createDataFrame([(1, "a", 1.0), (2, "b", 2.0)], SCHEMA)
+    u = spark.createDataFrame([(2, "x", 3.0), (5, "y", 4.0)], SCHEMA)
+    out = M.merge_upsert(t, u, ["id"], check_unique="inline")
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert rows(out) == rows(M.merge_upsert(t, u, ["id"]))
+    assert plan.count("Exchange hashpartitioning") == 2 and "Window" in plan      # one a side
+    twice = u.unionByName(u.limit(1))
+    bad = M.merge_upsert(t, twice, ["id"], check_unique="inline")
+    with pytest.raises(Exception, match="duplicate source keys"):
+        bad.collect()
+    with pytest.raises(Exception, match="duplicate source keys"):
+        M.merge_columns(t, twice, ["id"], update_set=["v"], check_unique="inline").collect()
+    with pytest.raises(ValueError, match="inline"):
+        M.merge_upsert(t, u, ["id"], check_unique="later")
+
+
 # ---------------------------------------------------------------- views under updates and deletes
 
 def view_rows(view):
