@@ -423,11 +423,13 @@ def redact(docs: DataFrame, text_col: str = "text") -> DataFrame:
 
     Of overlapping spans the first is replaced, and the rest of a longer one goes with it.
     A NULL text stays NULL.  All other columns come through as they are, whatever their
-    names and types.  The texts are read twice: to train and to redact.
+    names and types (those that Parquet holds).  Rows are written once with their candidates,
+    from which the model learns and the texts are cleaned.
     """
-    model = train_spans(with_candidates(_with_fold(docs.select(F.col(text_col).alias("_text"))), "_text").drop("_text"))
-    rows = docs.select(F.col(text_col).alias("_text"), F.struct("*").alias("_row"))
-    found = select_spans(with_candidates(rows, "_text"), model)
+    at, kept = docs.columns.index(text_col), [f"_kept_{i}" for i in range(len(docs.columns))]
+    rows = _with_fold(docs.toDF(*kept).withColumnRenamed(kept[at], "_text"))      # no name of a document can clash
+    candidates = staged(with_candidates(rows, "_text"), "pii-candidates")
+    found = select_spans(candidates, train_spans(candidates))
     by_place = F.sort_array(F.transform("_spans", lambda s: F.struct(s["start"].alias("start"), s["stop"].alias("stop"), s["kind"].alias("kind"))))
     text = F.col("_text")
 
@@ -440,4 +442,4 @@ def redact(docs: DataFrame, text_col: str = "text") -> DataFrame:
     done = F.aggregate(by_place, F.struct(F.lit(0).alias("at"), F.lit("").alias("out")), step,
                        lambda acc: F.concat(acc["out"], F.substring(text, acc["at"] + 1, F.char_length(text))))
     clean = F.when(F.size("_spans") > 0, done).otherwise(text)
-    return found.select(*(clean.alias(c) if c == text_col else F.col("_row").getField(c).alias(c) for c in docs.columns))
+    return found.select(*(clean.alias(c) if i == at else c for i, c in enumerate(kept))).toDF(*docs.columns)
