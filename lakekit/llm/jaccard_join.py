@@ -30,6 +30,7 @@ import math
 import numpy as np
 import pyarrow as pa
 import xxhash
+import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -62,10 +63,10 @@ def _word_hashes() -> WordCache:
     return WordCache(xxhash.xxh3_64_intdigest, WORD_CACHE)
 
 
-def gram_set(text: str | None, words: int = WORDS) -> np.ndarray:
-    """Sorted distinct 64-bit hashes of the n-grams of a whole text, A-Z lower-cased; a text of
-    fewer words is one n-gram, one without words has none."""
-    found = (text or "").encode().lower().split()       # bytes: ASCII white space and case only
+def gram_set(text: str | bytes | None, words: int = WORDS) -> np.ndarray:
+    """Sorted distinct 64-bit hashes of the n-grams of a whole text (or its UTF-8), A-Z
+    lower-cased; a text of fewer words is one n-gram, one without words has none."""
+    found = (text.encode() if isinstance(text, str) else text or b"").lower().split()       # bytes: ASCII white space and case only
     if not found:
         return np.zeros(0, np.int64)
     cache = _word_hashes()
@@ -265,27 +266,27 @@ def _meets(sets: DataFrame) -> DataFrame:
             .union(here.select("m.parts", "m.ids", "m.leads")))
 
 
-def _grams(docs: DataFrame, ids: DataFrame, id_col: str, text_col: str, words: int) -> DataFrame:
-    """id, n, grams of the documents wanted: texts are joined before they are cut up, and the
-    ids lie written, so Spark broadcasts them if they are small."""
+def _texts(docs: DataFrame, ids: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """id, text (compressed) of the documents wanted that have words: a text takes a third of
+    the room of its n-grams, so texts travel and are cut up where they are compared.  The ids
+    lie written, so Spark broadcasts them if they are small."""
     def run(batches):
-        focus(_word_hashes)
+        pack = zstandard.ZstdCompressor().compress
         for batch in batches:
-            sets = [gram_set(t, words) for t in batch.column(1).to_pylist()]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([len(s) for s in sets], pa.int64()), pa.array(sets, pa.list_(pa.int64()))], names=["id", "n", "grams"])
-        focus()
+            rows = [(i, pack(t.encode().lower())) for i, t in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()) if t and t.encode().strip()]
+            yield pa.RecordBatch.from_arrays([pa.array([i for i, _ in rows], pa.int64()), pa.array([t for _, t in rows], pa.binary())], names=["id", "text"])
 
     texts = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("_text")).join(ids, "id", "left_semi")
-    return texts.mapInArrow(run, "id long, n long, grams array<long>")
+    return texts.mapInArrow(run, "id long, text binary")
 
 
-def _search(index: DataFrame, queries: DataFrame, sets: DataFrame, sizes: DataFrame, percent: int) -> DataFrame:
+def _search(index: DataFrame, queries: DataFrame, texts: DataFrame, sizes: DataFrame, words: int, percent: int) -> DataFrame:
     """Links a, b that join the queries and indexed sets of each block (columns block, id) as
     all their alike pairs do: each set of a task is linked with the smallest it can reach there.
 
     A block's index and its queries are each split by their n-grams; every part of one meets
-    every part of the other, in a task that holds one part of each.  ``sizes``: id, n of the
-    ``sets``, one row an id (rows that share an id are sets of their own).
+    every part of the other, in a task that holds one part of each.  ``sizes``: id, n-grams of the
+    ``texts``, one row an id (rows that share an id are sets of their own).
     """
     def split(side: DataFrame, name: str) -> DataFrame:
         side = side.distinct().join(sizes, "id")
@@ -294,11 +295,13 @@ def _search(index: DataFrame, queries: DataFrame, sets: DataFrame, sizes: DataFr
 
     sides = i, q = split(index, "i"), split(queries, "q")
     i_parts, q_parts = (d.select("block", c).distinct() for d, c in ((i, "i_parts"), (q, "q_parts")))
-    i = i.join(q_parts, "block").select("block", "i", F.explode(F.sequence(F.lit(0), F.col("q_parts") - 1)).alias("q"), "id").join(sets.select("id", "grams"), "id")
-    q = q.join(i_parts, "block").select("block", F.explode(F.sequence(F.lit(0), F.col("i_parts") - 1)).alias("i"), "q", "id").join(sets.select("id", "grams"), "id")
+    i = i.join(q_parts, "block").select("block", "i", F.explode(F.sequence(F.lit(0), F.col("q_parts") - 1)).alias("q"), "id").join(texts, "id")
+    q = q.join(i_parts, "block").select("block", F.explode(F.sequence(F.lit(0), F.col("i_parts") - 1)).alias("i"), "q", "id").join(texts, "id")
 
     def find(indexed: pa.Table, asked: pa.Table) -> pa.Table:
+        focus(_word_hashes)
         low: dict[int, int] = {}
+        unpack = zstandard.ZstdDecompressor().decompress
 
         def lowest(x: int) -> int:
             while low.setdefault(x, x) != x:
@@ -307,9 +310,9 @@ def _search(index: DataFrame, queries: DataFrame, sets: DataFrame, sizes: DataFr
             return x
 
         if indexed.num_rows and asked.num_rows:
-            arrays = lambda t: [np.asarray(x.values) for x in t["grams"]]
-            index = InvertedIndex(indexed["id"].to_numpy(), arrays(indexed))
-            for key, grams in zip(asked["id"].to_pylist(), arrays(asked)):
+            sets = lambda t: (gram_set(unpack(x.as_py()), words) for x in t["text"])
+            index = InvertedIndex(indexed["id"].to_numpy(), [*sets(indexed)])
+            for key, grams in zip(asked["id"].to_pylist(), sets(asked)):
                 for other in index.ids[index.search(grams, percent)].tolist():
                     x, y = lowest(key), lowest(other)
                     low[max(x, y)] = min(x, y)
@@ -317,7 +320,7 @@ def _search(index: DataFrame, queries: DataFrame, sets: DataFrame, sizes: DataFr
         return pa.table({"a": pa.array([x for x, _ in links], pa.int64()), "b": pa.array([y for _, y in links], pa.int64())})
 
     keys = ["block", "i", "q"]
-    i, q = (d.select(*(F.col(c).alias(c) for c in (*keys, "id", "grams"))) for d in (i, q))     # a column of its own on each side
+    i, q = (d.select(*(F.col(c).alias(c) for c in (*keys, "id", "text"))) for d in (i, q))     # a column of its own on each side
     links = staged(i.groupBy(*keys).cogroup(q.groupBy(*keys)).applyInArrow(find, "a long, b long"), "jaccard-links")
     release(*sides)
     return links
@@ -355,9 +358,9 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     done = [meets, needs]
     if not meets.isEmpty():
         wanted = staged(meets.select("id").distinct(), "jaccard-wanted")
-        sets = staged(_grams(docs, wanted, id_col, text_col, words), "jaccard-grams")
+        texts = staged(_texts(docs, wanted, id_col, text_col), "jaccard-texts")
         pairs = staged(meets.where("id <> lead").groupBy("id", "lead").agg(F.count("*").alias("parts")), "jaccard-pairs")
-        sizes = staged(sets.groupBy("id").agg(F.sum("n").alias("n")), "jaccard-sizes")
+        sizes = staged(rows.select(F.col("_id").alias("id"), "n").join(wanted, "id", "left_semi").groupBy("id").agg(F.sum("n").alias("n")), "jaccard-sizes")
         blocks = max(1, math.ceil((sizes.agg(F.sum("n")).first()[0] or 0) / BLOCK_GRAMS))
         block = F.pmod(F.xxhash64("lead"), F.lit(blocks)).alias("block")
         best = F.max(F.struct("parts", (-F.col("lead")).alias("lead")))["lead"]
@@ -367,7 +370,7 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
             done.append(chosen)
             if chosen.isEmpty():
                 break
-            links_now = _search(chosen.select(block, F.col("lead").alias("id")), chosen.select(block, "id"), sets, sizes, percent)
+            links_now = _search(chosen.select(block, F.col("lead").alias("id")), chosen.select(block, "id"), texts, sizes, words, percent)
             first = links_now if first is None else first.union(links_now)
             so_far = connected(first)
             of_lead = so_far.select(F.col("id").alias("lead"), F.col("component").alias("of_lead"))
@@ -386,10 +389,10 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
             # (parts that count twice keep too many rather than too few)
             asked = (left.select("part", "id").join(goes, "part").groupBy("block", "id").agg(F.count("*").alias("shared"))
                      .join(needs, "id").where("2 * shared >= need").select("block", "id"))
-            first = first.union(_search(home, asked, sets, sizes, percent))
+            first = first.union(_search(home, asked, texts, sizes, words, percent))
             done += [home]
         links = links.union(first)
-        done += [wanted, sets, sizes, pairs, left]
+        done += [wanted, texts, sizes, pairs, left]
     found = connected(links)
     release(*done)
     final = same.select("print", "id").join(found, "id", "left").select("print", F.coalesce("component", "id").alias("_component"))
