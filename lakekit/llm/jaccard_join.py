@@ -266,13 +266,14 @@ def _meets(sets: DataFrame) -> DataFrame:
 
 
 def _grams(docs: DataFrame, ids: DataFrame, id_col: str, text_col: str, words: int) -> DataFrame:
-    """id, n, grams of the documents wanted: texts are joined before they are cut up, and the
+    """id, n, grams of the documents wanted that have words: texts are joined before they are cut up, and the
     ids lie written, so Spark broadcasts them if they are small."""
     def run(batches):
         focus(_word_hashes)
         for batch in batches:
-            sets = [gram_set(t, words) for t in batch.column(1).to_pylist()]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([len(s) for s in sets], pa.int64()), pa.array(sets, pa.list_(pa.int64()))], names=["id", "n", "grams"])
+            rows = [(i, s) for i, s in zip(batch.column(0).to_pylist(), (gram_set(t, words) for t in batch.column(1).to_pylist())) if len(s)]
+            yield pa.RecordBatch.from_arrays([pa.array([i for i, _ in rows], pa.int64()), pa.array([len(s) for _, s in rows], pa.int64()),
+                                              pa.array([s for _, s in rows], pa.list_(pa.int64()))], names=["id", "n", "grams"])
         focus()
 
     texts = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("_text")).join(ids, "id", "left_semi")
@@ -326,7 +327,7 @@ def _search(index: DataFrame, queries: DataFrame, sets: DataFrame, sizes: DataFr
 def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = WORDS, percent: int = PERCENT) -> DataFrame:
     """id, n_shingles, component_id of every row.
 
-    A text without words has no set and is its own component, as is a row with a NULL id
+    A text without words has no set and is its own component (also where its id has another text), as is a row with a NULL id
     (component NULL).  Rows that share an id are one document: they share its component.
     Repeated rows stay; an empty table gives no rows; other columns are left out.
 

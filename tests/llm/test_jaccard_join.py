@@ -68,6 +68,15 @@ def test_null_ids_repeated_rows_and_empty_table(llm):
     assert jj.jaccard_components(df.limit(0)).count() == 0
 
 
+def test_an_id_with_and_without_words(llm):
+    """A row without words is its own component, also where its id has another text that links."""
+    words = [f"v{i}" for i in range(120)]
+    rows = [(1, " ".join(words)), (1, None), (1, " \n"), (4, " ".join(words[:-1])), (4, ""), (7, " ".join(words[60:]))]
+    df = llm.createDataFrame(rows, "doc_id long, text string")
+    got = sorted((r.doc_id, r.n_shingles, r.component_id) for r in jj.jaccard_components(df).collect())
+    assert got == [(1, 0, 1), (1, 0, 1), (1, 118, 1), (4, 0, 4), (4, 117, 1), (7, 58, 7)]
+
+
 @pytest.mark.parametrize("percent", [90, 80, 50])
 def test_alike_sets_share_a_digest(percent):
     rnd = np.random.default_rng(1)
