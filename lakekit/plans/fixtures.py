@@ -12,12 +12,14 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from lakekit.functions.scalar import MONEY
+from lakekit.session import sort_tasks
 from lakekit.sources.tables import load
 
 # Fixed values of the stand-in data (see FIXTURES.md §3).
 SCD_CUT = dt.date(1998, 1, 1)          # dimension state "as of" this date, staging after it
 FIRST_LOAD_CUT = dt.date(1998, 1, 1)   # first gold load takes orders before this date
 PRIORITY_DIM = "o_orderpriority"
+DIMENSION_ROWS = 2_000_000             # members from which a join deals out both sides (fewer are mostly broadcast)
 
 
 def sales(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -25,19 +27,28 @@ def sales(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     The line number is renumbered per order (ordered by line number, part, supplier)
     because ``(l_orderkey, l_linenumber)`` repeats in the driver data; the window runs
-    right after the order-key join so it reuses that join's partitioning.
+    right after the order-key join so it reuses that join's partitioning.  Many lines are dealt
+    out by their number, so that a task's sorts stay the same size however large the tables are.
     """
     li = load(spark, sf_dir, "lineitem").select("l_orderkey", "l_partkey", "l_suppkey", "l_linenumber",
                                                 "l_quantity", "l_tax")
     o = load(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderdate")
     c = load(spark, sf_dir, "customer").select("c_custkey", "c_name")
     p = load(spark, sf_dir, "part").select("p_partkey", "p_name", "p_retailprice")
+    tasks = sort_tasks(li)
+    if tasks:
+        li, o = li.repartition(tasks, "l_orderkey"), o.repartition(tasks, "o_orderkey")
     lines = li.join(o, li.l_orderkey == o.o_orderkey)
     # o_orderdate is constant within an order: adding it to the partition keeps the numbering
     # but lets date filters on the result be pushed below the window to the orders scan
     w = Window.partitionBy("l_orderkey", "o_orderdate").orderBy("l_linenumber", "l_partkey", "l_suppkey")
     lines = lines.withColumn("line_no", F.row_number().over(w).cast("int"))
-    j = lines.join(c, lines.o_custkey == c.c_custkey).join(p, lines.l_partkey == p.p_partkey)
+    if tasks and c.count() > DIMENSION_ROWS:
+        lines, c = lines.repartition(tasks, "o_custkey"), c.repartition(tasks, "c_custkey")
+    j = lines.join(c, lines.o_custkey == c.c_custkey)
+    if tasks and p.count() > DIMENSION_ROWS:
+        j, p = j.repartition(tasks, "l_partkey"), p.repartition(tasks, "p_partkey")
+    j = j.join(p, j.l_partkey == p.p_partkey)
     return j.select(
         F.concat(F.lit("SO"), F.col("o_orderkey").cast("string")).alias("SalesOrderNumber"),
         F.col("line_no").alias("SalesOrderLineNumber"),

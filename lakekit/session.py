@@ -7,6 +7,7 @@ session runs in local mode (tests, the bench) do we create our own folder.
 
 from __future__ import annotations
 
+import math
 import tempfile
 import uuid
 
@@ -30,6 +31,8 @@ CLUSTER_CONF = {
     "spark.python.sql.dataFrameDebugging.enabled": "false",
 }
 
+SORT_ROWS = 500_000     # rows of a large table that one task of a join or window sorts
+
 
 def build_session(master: str | None = None, app: str = "lakekit", shuffle_partitions: int = 8,
                   extra: dict | None = None) -> SparkSession:
@@ -108,3 +111,12 @@ def reliable_checkpoint(df: DataFrame) -> DataFrame:
     """
     ensure_checkpoint_dir(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+def sort_tasks(df: DataFrame) -> int:
+    """Tasks to deal ``df`` out to by key, ``SORT_ROWS`` each on average, or 0 where the cores are as
+    many (Spark then deals at least one partition to each).  The number of shuffle partitions is the
+    session's and merging them goes by compressed bytes, so either lets a task's sorts grow with a
+    table.  Counting Parquet reads footers only."""
+    tasks = math.ceil(df.count() / SORT_ROWS)
+    return tasks if tasks > df.sparkSession.sparkContext.defaultParallelism else 0
