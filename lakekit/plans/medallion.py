@@ -20,7 +20,7 @@ from pyspark.sql.types import (DateType, DecimalType, IntegerType, LongType, Str
 from lakekit.functions.scalar import MONEY_SCALE, before_date, null_or_empty_default, split_word, word_or_empty, year_range
 from lakekit.operators.keys import assign_surrogate_keys, max_key
 from lakekit.operators.merge import assert_unique_keys, merge_insert_only, merge_upsert
-from lakekit.session import reliable_checkpoint
+from lakekit.session import reliable_checkpoint, sort_tasks
 from lakekit.sources.files import CORRUPT, read_csv_typed
 from lakekit.sources.snapshots import SnapshotTable
 
@@ -99,10 +99,14 @@ def bronze_to_silver(spark: SparkSession, bronze_glob: str, silver: SnapshotTabl
     updates = silver_enrich(bronze, flag_before=flag_before, as_of=as_of)
     # parsed once: the key check and the merge read the written rows
     updates = reliable_checkpoint(updates.select(*SILVER_SCHEMA.fieldNames()))
+    assert_unique_keys(updates, keys)
     if silver.snapshots():
-        merged = merge_upsert(silver.read(), updates, keys, preserve=("CreatedTS",))
+        old, new = silver.read(), updates
+        tasks = max(sort_tasks(old), sort_tasks(new))
+        if tasks:       # both sides are sorted whole
+            old, new = old.repartition(tasks, *keys), new.repartition(tasks, *keys)
+        merged = merge_upsert(old, new, keys, preserve=("CreatedTS",), check_unique=False)
     else:
-        assert_unique_keys(updates, keys)
         merged = updates
     if bad is not None:
         quarantine.write(bad.select("FileName", F.col(CORRUPT).alias("line")))
