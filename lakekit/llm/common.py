@@ -16,6 +16,8 @@ from lakekit.session import prepare, work_dir
 
 # Rows per Arrow batch handed to a Python worker: long texts make large batches.
 ARROW_ROWS = 500
+# Delete a query's shuffle files when it ends (left alone they stay until the driver collects garbage).
+SHUFFLE_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
 def ready(spark: SparkSession) -> SparkSession:
@@ -31,10 +33,16 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def staged(df: DataFrame, name: str, partition_by: tuple[str, ...] = ()) -> DataFrame:
     """Write ``df`` as Parquet into the shared folder and read it back: lineage is cut and
-    the rows are computed once, so a lost executor cannot change them."""
+    the rows are computed once, so a lost executor cannot change them.  Nothing reads the
+    shuffles of the write again, so their files go with it."""
     spark = df.sparkSession
     path = work_dir(spark, name)
-    df.write.partitionBy(*partition_by).parquet(path)
+    before = spark.conf.get(SHUFFLE_CLEANUP, None)
+    spark.conf.set(SHUFFLE_CLEANUP, "true")
+    try:
+        df.write.partitionBy(*partition_by).parquet(path)
+    finally:
+        spark.conf.unset(SHUFFLE_CLEANUP) if before is None else spark.conf.set(SHUFFLE_CLEANUP, before)
     table = spark.read.schema(df.schema).parquet(path)
     table._staged_path = path
     return table

@@ -13,7 +13,8 @@ most: sets meet under the digests of their full parts.  Sizes fall into classes
 E; a set also takes part in the class above when a partner may be in it.  A set with more than
 E empty parts is dealt out anew under another hash (the last time empty parts count, too).
 
-Digests travel in buckets, and those that many sets share once for each batch of texts.
+Digests travel in buckets, as 32 bits each besides the bucket's number, and those that many sets
+share once for each batch of texts.  Different digests that fall together only make sets meet that need not.
 
 Where sets meet, each is first searched for among its groups' smallest ids: in the first
 round in the block of the one it shares most parts with, then of the next.  What is linked then needs no more comparing among itself: only members outside their group's first
@@ -185,13 +186,14 @@ class InvertedIndex:
 # ---------------------------------------------------------------- Spark
 
 def _bucketed(digests: list[np.ndarray], owners: list[int], buckets: int) -> tuple[list[tuple], tuple]:
-    """([(bucket, digests, ids)], (digests, ids, leads)) of a batch.
+    """([(bucket, tags, ids)], (parts, ids, leads)) of a batch.
 
-    A digest that several sets of the batch share goes on under the smallest id only, its lead;
-    the members are in the second part.  So a digest that very many sets share goes on once
-    for each batch.
+    A digest goes on as a part: its bucket and 32 more bits, its tag.  A part that several sets of
+    the batch share goes on under the smallest id only, its lead; the members are in the second
+    tuple.  So a digest that very many sets share goes on once for each batch.
     """
-    part = np.concatenate([*digests, np.zeros(0, np.int64)])
+    digest = np.concatenate([*digests, np.zeros(0, np.int64)]).view(np.uint64)
+    part = ((digest % np.uint64(buckets) << np.uint64(32)) | (_mix(digest) >> np.uint64(32))).view(np.int64)
     owner = np.repeat(np.array(owners, np.int64), [len(d) for d in digests])
     order = np.lexsort((owner, part))
     part, owner = part[order], owner[order]
@@ -200,22 +202,20 @@ def _bucketed(digests: list[np.ndarray], owners: list[int], buckets: int) -> tup
     lead, many = owner[first][run], (np.bincount(run, minlength=1) > 1)[run]
     here = part[many], owner[many], lead[many]
     part, owner = part[first], owner[first]
-    bucket = (part.view(np.uint64) % np.uint64(buckets)).astype(np.int64)
-    order = np.argsort(bucket, kind="stable")
-    bucket, part, owner = bucket[order], part[order], owner[order]
+    bucket, tag = part >> 32, part.astype(np.uint32).view(np.int32)
     starts = np.flatnonzero(np.append(True, bucket[1:] != bucket[:-1])[: len(bucket)])
     stops = np.append(starts[1:], len(bucket))
-    return [(int(bucket[i]), part[i:j], owner[i:j]) for i, j in zip(starts, stops)], here
+    return [(int(bucket[i]), tag[i:j], owner[i:j]) for i, j in zip(starts, stops)], here
 
 
-SETS = "_id long, n long, need long, print binary, bucket long, parts array<long>, ids array<long>, leads array<long>"
-SET_TYPES = [pa.int64(), pa.int64(), pa.int64(), pa.binary(), pa.int64(), *[pa.list_(pa.int64())] * 3]
+SETS = "_id long, n long, need long, print binary, bucket long, tags array<int>, parts array<long>, ids array<long>, leads array<long>"
+SET_TYPES = [pa.int64(), pa.int64(), pa.int64(), pa.binary(), pa.int64(), pa.list_(pa.int32()), *[pa.list_(pa.int64())] * 3]
 HERE = -1       # bucket of what sets of one batch share
 
 
 def _sets(docs: DataFrame, id_col: str, text_col: str, words: int, percent: int) -> DataFrame:
     """A row for each document (_id, n, need: digests it shares with sets alike, print: digest of its set, NULL without one or without
-    an id; bucket is NULL) and rows that hold many digests each (bucket, parts, ids; leads)."""
+    an id; bucket is NULL) and rows that hold many digests each (bucket, tags or parts, ids; leads)."""
     buckets = max(1, docs.count() // BUCKET_SETS)
 
     def run(batches):
@@ -233,11 +233,11 @@ def _sets(docs: DataFrame, id_col: str, text_col: str, words: int, percent: int)
                     parts, need = part_digests(grams, percent)
                     digests.append(parts)
                     owners.append(key)
-                rows.append((key, len(grams), need, mark, None, None, None, None))
+                rows.append((key, len(grams), need, mark, None, None, None, None, None))
             dealt, here = _bucketed(digests, owners, buckets)
-            rows += [(None, None, None, None, bucket, part, owner, None) for bucket, part, owner in dealt]
+            rows += [(None, None, None, None, bucket, tag, None, owner, None) for bucket, tag, owner in dealt]
             if len(here[0]):
-                rows.append((None, None, None, None, HERE, *here))
+                rows.append((None, None, None, None, HERE, None, *here))
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), SET_TYPES)], names=[f.split()[0] for f in SETS.split(", ")])
         focus()
 
@@ -245,10 +245,10 @@ def _sets(docs: DataFrame, id_col: str, text_col: str, words: int, percent: int)
 
 
 def _meets(sets: DataFrame) -> DataFrame:
-    """part, id, lead of all sets that share a part's digest with another one."""
+    """part, id, lead of all sets that share a part with another one."""
     def shared(group: pa.Table) -> pa.Table:
         flat = lambda c: np.concatenate([np.asarray(x.values) for x in group[c]])
-        part, owner = flat("parts"), flat("ids")
+        part, owner = (group["bucket"][0].as_py() << 32) + flat("tags").view(np.uint32).astype(np.int64), flat("ids")
         order = np.lexsort((owner, part))
         part, owner = part[order], owner[order]
         first = np.append(True, part[1:] != part[:-1])
@@ -259,7 +259,7 @@ def _meets(sets: DataFrame) -> DataFrame:
         keep = apart[run]
         return pa.table({"part": pa.array(part[keep]), "id": pa.array(owner[keep]), "lead": pa.array(lead[keep])})
 
-    dealt = sets.where(F.col("bucket") != HERE).select("bucket", "parts", "ids")
+    dealt = sets.where(F.col("bucket") != HERE).select("bucket", "tags", "ids")
     here = sets.where(F.col("bucket") == HERE).select(F.explode(F.arrays_zip("parts", "ids", "leads")).alias("m"))
     return (dealt.groupBy("bucket").applyInArrow(shared, "part long, id long, lead long")
             .union(here.select("m.parts", "m.ids", "m.leads")))

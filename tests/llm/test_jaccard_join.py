@@ -118,3 +118,17 @@ def test_components(llm):
     want = components(ids, [l for l in links if l[0] != l[1]])
     assert got == want
     assert connected(llm.createDataFrame([], "a long, b long")).count() == 0
+
+
+def test_digests_travel_as_a_bucket_and_32_bits():
+    """Equal digests of two batches meet under one part, whether a batch holds them once or often."""
+    rnd = np.random.default_rng(6)
+    shared, alone = rnd.integers(-2**63, 2**63 - 1, 40), rnd.integers(-2**63, 2**63 - 1, 40)
+    one, here = jj._bucketed([shared, alone, shared], [7, 8, 5], 9)
+    two, _ = jj._bucketed([shared], [3], 9)
+    parts = [{(bucket, int(t)) for bucket, tags, _ in dealt for t in tags} for dealt in (one, two)]
+    assert all(tags.dtype == np.int32 for _, tags, _ in one) and len(parts[0]) == 80
+    assert parts[1] < parts[0] and len(parts[1]) == 40
+    assert {(int(p) >> 32, int(np.uint32(int(p) & 0xFFFFFFFF).view(np.int32))) for p in here[0]} == parts[1]
+    assert len(here[0]) == 80 and set(here[1]) == {5, 7} and set(here[2]) == {5}
+    assert jj._bucketed([], [], 9)[0] == []
