@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import contextlib
 import ctypes
 import functools
 import gc
@@ -31,26 +32,49 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+@contextlib.contextmanager
+def _shuffles_deleted(spark: SparkSession):
+    before = spark.conf.get(SHUFFLE_CLEANUP, None)
+    spark.conf.set(SHUFFLE_CLEANUP, "true")
+    try:
+        yield
+    finally:
+        spark.conf.unset(SHUFFLE_CLEANUP) if before is None else spark.conf.set(SHUFFLE_CLEANUP, before)
+
+
 def staged(df: DataFrame, name: str, partition_by: tuple[str, ...] = ()) -> DataFrame:
     """Write ``df`` as Parquet into the shared folder and read it back: lineage is cut and
     the rows are computed once, so a lost executor cannot change them.  Nothing reads the
     shuffles of the write again, so their files go with it."""
     spark = df.sparkSession
     path = work_dir(spark, name)
-    before = spark.conf.get(SHUFFLE_CLEANUP, None)
-    spark.conf.set(SHUFFLE_CLEANUP, "true")
-    try:
+    with _shuffles_deleted(spark):
         df.write.partitionBy(*partition_by).parquet(path)
-    finally:
-        spark.conf.unset(SHUFFLE_CLEANUP) if before is None else spark.conf.set(SHUFFLE_CLEANUP, before)
     table = spark.read.schema(df.schema).parquet(path)
     table._staged_path = path
     return table
 
 
+def staged_by(df: DataFrame, name: str, key: str, buckets: int) -> DataFrame:
+    """``staged``, in buckets of ``key``: a join on it moves the other side only.  Spark knows buckets
+    from its catalog, so the table has an entry there until it is released.  ``df`` should come dealt
+    out by ``repartition(buckets, key)``, or each task writes a file for each bucket."""
+    spark = df.sparkSession
+    path = work_dir(spark, name)
+    entry = path.rsplit("/", 1)[1].replace("-", "_")
+    spark.createDataFrame([], df.schema).write.format("parquet").bucketBy(buckets, key).option("path", path).saveAsTable(entry)
+    with _shuffles_deleted(spark):
+        df.write.insertInto(entry)
+    table = spark.table(entry)
+    table._staged_path, table._staged_entry = path, entry
+    return table
+
+
 def release(*tables: DataFrame) -> None:
     """Delete staged tables that nothing will read again (what was made from them is written)."""
     for t in tables:
+        if hasattr(t, "_staged_entry"):
+            t.sparkSession.sql(f"DROP TABLE IF EXISTS {t._staged_entry}")
         jvm = t.sparkSession.sparkContext._jvm
         path = jvm.org.apache.hadoop.fs.Path(t._staged_path)
         path.getFileSystem(t.sparkSession.sparkContext._jsc.hadoopConfiguration()).delete(path, True)

@@ -34,7 +34,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lakekit.llm.common import WordCache, focus, held, release, staged
+from lakekit.llm.common import WordCache, focus, held, release, staged, staged_by
 from lakekit.llm.components import connected
 
 PERCENT, WORDS = 90, 3
@@ -43,8 +43,12 @@ CLASS_RATIO = 1.5           # largest to smallest size in a class
 DEALS = 4                   # times a set with too many empty parts is dealt out
 BUCKET_SETS = 2000          # sets whose digests fill one bucket, on average
 NEED_ROUNDS = 2             # times sets that share too few digests are left out
+NEED_WORTH = 0.9            # share of the meets that is left when another such round isn't worth its shuffles
 LEAD_ROUNDS = 2             # leads that each set is sent to before whole groups are searched
 BLOCK_GRAMS = 200_000       # n-grams in an index, or in the queries sent to it, on average
+TABLE_GRAMS = 1_000_000     # n-grams in a bucket of the table of sets, on average
+TABLE_MEETS = 500_000       # rows in a bucket of the table of meets, on average
+TABLE_BUCKETS = 100_000     # buckets that Spark allows a table unless told otherwise
 PROBE_COST = 0.5            # cost of a probe's step against a merged posting
 HEAP_POSTINGS = 200         # up to here lists are merged by a heap, beyond by counting
 
@@ -265,9 +269,13 @@ def _meets(sets: DataFrame) -> DataFrame:
             .union(here.select("m.parts", "m.ids", "m.leads")))
 
 
-def _grams(docs: DataFrame, ids: DataFrame, id_col: str, text_col: str, words: int) -> DataFrame:
-    """id, n, grams of the documents wanted that have words: texts are joined before they are cut up, and the
-    ids lie written, so Spark broadcasts them if they are small."""
+def _buckets(total: int, each: int) -> int:
+    return min(max(1, math.ceil(total / each)), TABLE_BUCKETS)
+
+
+def _grams(docs: DataFrame, ids: DataFrame, id_col: str, text_col: str, words: int, total: int) -> DataFrame:
+    """id, n, grams of the documents wanted that have words, written in buckets of their ids (``total``: their
+    n-grams): texts, which are joined before they are cut up, move once, and the n-grams not at all until a search."""
     def run(batches):
         focus(_word_hashes)
         for batch in batches:
@@ -276,8 +284,10 @@ def _grams(docs: DataFrame, ids: DataFrame, id_col: str, text_col: str, words: i
                                               pa.array([s for _, s in rows], pa.list_(pa.int64()))], names=["id", "n", "grams"])
         focus()
 
-    texts = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("_text")).join(ids, "id", "left_semi")
-    return texts.mapInArrow(run, "id long, n long, grams array<long>")
+    buckets = _buckets(total, TABLE_GRAMS)
+    texts = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("_text")).where("id is not null")
+    texts = texts.repartition(buckets, "id").join(ids, "id")      # (Spark would move a semi join below, and all texts twice)
+    return staged_by(texts.mapInArrow(run, "id long, n long, grams array<long>"), "jaccard-grams", "id", buckets)
 
 
 def _search(index: DataFrame, queries: DataFrame, sets: DataFrame, sizes: DataFrame, percent: int) -> DataFrame:
@@ -343,23 +353,28 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     release(sets_and_parts)
     # a set alike to another shares a number of digests with it: fewer in all, and it is out
     needs = staged(known.groupBy(F.col("_id").alias("id")).agg(F.min("need").alias("need")).where("need is not null"), "jaccard-needs")
+    met = meets.count()
     for _ in range(NEED_ROUNDS):
+        buckets = _buckets(met, TABLE_MEETS)
         # (a lead's rows count more than once, so this keeps too many rather than too few)
         enough = meets.groupBy("id").agg(F.count("*").alias("shared")).join(needs, "id").where("shared >= need").select("id")
-        left = meets.join(enough, "id", "left_semi").select("part", "id")
+        left = meets.join(enough, "id", "left_semi").select("part", "id").repartition(buckets, "part")
         leads = left.groupBy("part").agg(F.min("id").alias("lead"), F.max("id").alias("last")).where("lead <> last").select("part", "lead")
-        fewer = staged(left.join(leads, "part"), "jaccard-meets")
+        fewer = staged_by(left.join(leads, "part"), "jaccard-meets", "part", buckets)
         release(meets)
-        meets = fewer
+        before, meets, met = met, fewer, fewer.count()
+        if met > NEED_WORTH * before:
+            break
     # equal sets, and rows that share an id but not a text
     links = known.join(copied, "print").where("_id <> first").select(F.col("_id").alias("a"), F.col("first").alias("b")).distinct()
     done = [meets, needs]
     if not meets.isEmpty():
         wanted = staged(meets.select("id").distinct(), "jaccard-wanted")
-        sets = staged(_grams(docs, wanted, id_col, text_col, words), "jaccard-grams")
+        total = rows.withColumnRenamed("_id", "id").join(wanted, "id", "left_semi").agg(F.sum("n")).first()[0]
+        sets = _grams(docs, wanted, id_col, text_col, words, total)
         pairs = staged(meets.where("id <> lead").groupBy("id", "lead").agg(F.count("*").alias("parts")), "jaccard-pairs")
         sizes = staged(sets.groupBy("id").agg(F.sum("n").alias("n")), "jaccard-sizes")
-        blocks = max(1, math.ceil((sizes.agg(F.sum("n")).first()[0] or 0) / BLOCK_GRAMS))
+        blocks = max(1, math.ceil(total / BLOCK_GRAMS))
         block = F.pmod(F.xxhash64("lead"), F.lit(blocks)).alias("block")
         best = F.max(F.struct("parts", (-F.col("lead")).alias("lead")))["lead"]
         first, so_far, left_pairs = None, None, pairs
@@ -374,10 +389,12 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
             of_lead = so_far.select(F.col("id").alias("lead"), F.col("component").alias("of_lead"))
             left_pairs = (left_pairs.join(chosen, ["id", "lead"], "left_anti").join(so_far, "id", "left").join(of_lead, "lead", "left")
                           .where(F.coalesce("component", "id") != F.coalesce("of_lead", "lead")).select("id", "lead", "parts"))
-        labelled = meets.join(so_far, "id", "left").withColumn("component", F.coalesce("component", "id"))
-        mixed = (labelled.groupBy("part").agg(F.min("component").alias("low"), F.max("component").alias("high"), F.min(F.struct("id", "component"))["component"].alias("main"))
-                 .where("low <> high").select("part", "main"))
-        left = staged(labelled.join(mixed, "part").select("part", "id", "lead", (F.col("component") != F.col("main")).alias("outside")), "jaccard-left")
+        # a part's smallest id is its lead: whoever is outside its component is so in the pairs, of which there are few
+        apart = staged(pairs.join(so_far, "id", "left").join(of_lead, "lead", "left")
+                       .where(F.coalesce("component", "id") != F.coalesce("of_lead", "lead")).select("id", "lead"), "jaccard-apart")
+        mixed = meets.join(apart, ["id", "lead"], "left_semi").select("part").distinct()
+        left = staged(meets.join(mixed, "part").join(apart.withColumn("outside", F.lit(True)), ["id", "lead"], "left")
+                      .select("part", "id", "lead", F.coalesce("outside", F.lit(False)).alias("outside")), "jaccard-left")
         if not left.isEmpty():
             # those outside are indexed with others of their smallest group leader
             home = staged(left.where("outside").groupBy("id").agg(F.min("lead").alias("block")), "jaccard-home")
@@ -390,7 +407,7 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
             first = first.union(_search(home, asked, sets, sizes, percent))
             done += [home]
         links = links.union(first)
-        done += [wanted, sets, sizes, pairs, left]
+        done += [wanted, sets, sizes, pairs, apart, left]
     found = connected(links)
     release(*done)
     final = same.select("print", "id").join(found, "id", "left").select("print", F.coalesce("component", "id").alias("_component"))

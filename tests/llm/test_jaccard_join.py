@@ -1,4 +1,5 @@
 import random
+import re
 
 import numpy as np
 import pytest
@@ -132,3 +133,42 @@ def test_digests_travel_as_a_bucket_and_32_bits():
     assert {(int(p) >> 32, int(np.uint32(int(p) & 0xFFFFFFFF).view(np.int32))) for p in here[0]} == parts[1]
     assert len(here[0]) == 80 and set(here[1]) == {5, 7} and set(here[2]) == {5}
     assert jj._bucketed([], [], 9)[0] == []
+
+
+def _above(lines, i, *names):
+    """The nearest operator above line ``i`` of a plan's text that has one of the names."""
+    depth = lambda line: re.search(r"^[ :+-]*", line).end()
+    here = depth(lines[i])
+    for line in lines[i::-1]:
+        if depth(line) < here:
+            here = depth(line)
+            if any(n in line for n in names):
+                return line
+
+
+def test_sets_and_meets_move_once(llm, monkeypatch):
+    """What is small moves to the sets and the meets, however large it is for a broadcast."""
+    plans = {}
+
+    def staged(df, name, *options, write):
+        plans.setdefault(name, []).append(df._jdf.queryExecution().executedPlan().toString())
+        return write(df, name, *options)
+
+    for fn in ("staged", "staged_by"):
+        if hasattr(jj, fn):
+            monkeypatch.setattr(jj, fn, lambda *a, write=getattr(jj, fn): staged(*a, write=write))
+    monkeypatch.setattr(jj, "TABLE_GRAMS", 2000, raising=False)
+    before = llm.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    llm.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    tables = llm.catalog.listTables()
+    try:
+        rows = near_copies(random.Random(5), 40, (60, 120))
+        assert run(llm, rows, words=5, percent=80) == jaccard_components(rows, 80, 5)
+    finally:
+        llm.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    for plan in plans["jaccard-links"]:
+        lines = plan.splitlines()
+        scans = [i for i, line in enumerate(lines) if "FileScan" in line and "grams" in line]
+        assert len(scans) == 2
+        assert ["Join" in _above(lines, i, "Exchange", "Join") for i in scans] == [True, True]
+    assert llm.catalog.listTables() == tables       # nothing stays in the catalog
