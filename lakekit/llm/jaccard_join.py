@@ -284,7 +284,8 @@ def _grams(docs: DataFrame, ids: DataFrame, id_col: str, text_col: str, words: i
                                               pa.array([s for _, s in rows], pa.list_(pa.int64()))], names=["id", "n", "grams"])
         focus()
 
-    buckets = _buckets(total, TABLE_GRAMS)
+    # (with fewer, Spark may deal the join out to its shuffle partitions, each of which then writes a file for each bucket)
+    buckets = max(_buckets(total, TABLE_GRAMS), int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")))
     texts = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("_text")).where("id is not null")
     texts = texts.repartition(buckets, "id").join(ids, "id")      # (Spark would move a semi join below, and all texts twice)
     return staged_by(texts.mapInArrow(run, "id long, n long, grams array<long>"), "jaccard-grams", "id", buckets)
