@@ -6,6 +6,7 @@ import contextlib
 import ctypes
 import functools
 import gc
+import math
 import re
 from collections.abc import Callable
 
@@ -17,6 +18,8 @@ from lakekit.session import prepare, work_dir
 
 # Rows per Arrow batch handed to a Python worker: long texts make large batches.
 ARROW_ROWS = 500
+# Rows to each task that writes a table whose number of rows is known, on average.
+WRITE_ROWS = 100_000
 # Delete a query's shuffle files when it ends (left alone they stay until the driver collects garbage).
 SHUFFLE_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
@@ -42,6 +45,12 @@ def _shuffles_deleted(spark: SparkSession):
         spark.conf.unset(SHUFFLE_CLEANUP) if before is None else spark.conf.set(SHUFFLE_CLEANUP, before)
 
 
+def few(df: DataFrame, rows: int, least: int = 1) -> DataFrame:
+    """``df`` in no more tasks than its rows (so many at most, roughly) or the cores need, for a write: of a small
+    table each shuffle partition would else become a file, and on a local disk Hadoop starts processes for each."""
+    return df.coalesce(max(math.ceil(rows / WRITE_ROWS), df.sparkSession.sparkContext.defaultParallelism, least))
+
+
 def staged(df: DataFrame, name: str, partition_by: tuple[str, ...] = ()) -> DataFrame:
     """Write ``df`` as Parquet into the shared folder and read it back: lineage is cut and
     the rows are computed once, so a lost executor cannot change them.  Nothing reads the

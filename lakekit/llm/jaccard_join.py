@@ -34,7 +34,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lakekit.llm.common import WordCache, focus, held, release, staged, staged_by
+from lakekit.llm.common import WordCache, few, focus, held, release, staged, staged_by
 from lakekit.llm.components import connected
 
 PERCENT, WORDS = 90, 3
@@ -217,10 +217,10 @@ SET_TYPES = [pa.int64(), pa.int64(), pa.int64(), pa.binary(), pa.int64(), pa.lis
 HERE = -1       # bucket of what sets of one batch share
 
 
-def _sets(docs: DataFrame, id_col: str, text_col: str, words: int, percent: int) -> DataFrame:
+def _sets(docs: DataFrame, id_col: str, text_col: str, words: int, percent: int, rows: int) -> DataFrame:
     """A row for each document (_id, n, need: digests it shares with sets alike, print: digest of its set, NULL without one or without
     an id; bucket is NULL) and rows that hold many digests each (bucket, tags or parts, ids; leads)."""
-    buckets = max(1, docs.count() // BUCKET_SETS)
+    buckets = max(1, rows // BUCKET_SETS)
 
     def run(batches):
         focus(_word_hashes)
@@ -291,18 +291,19 @@ def _grams(docs: DataFrame, ids: DataFrame, id_col: str, text_col: str, words: i
     return staged_by(texts.mapInArrow(run, "id long, n long, grams array<long>"), "jaccard-grams", "id", buckets)
 
 
-def _search(index: DataFrame, queries: DataFrame, sets: DataFrame, sizes: DataFrame, percent: int) -> DataFrame:
+def _search(index: DataFrame, queries: DataFrame, sets: DataFrame, sizes: DataFrame, percent: int, rows: int) -> DataFrame:
     """Links a, b that join the queries and indexed sets of each block (columns block, id) as
     all their alike pairs do: each set of a task is linked with the smallest it can reach there.
 
     A block's index and its queries are each split by their n-grams; every part of one meets
     every part of the other, in a task that holds one part of each.  ``sizes``: id, n of the
     ``sets``, one row an id (rows that share an id are sets of their own).
+    ``rows``: how many the index or the queries have at most, roughly.
     """
     def split(side: DataFrame, name: str) -> DataFrame:
         side = side.distinct().join(sizes, "id")
         share = side.groupBy("block").agg(F.ceil(F.sum("n") / BLOCK_GRAMS).cast("int").alias(f"{name}_parts"))
-        return staged(side.select("block", "id").join(share, "block").withColumn(name, F.pmod(F.xxhash64("id"), F.col(f"{name}_parts")).cast("int")), f"search-{name}")
+        return staged(few(side.select("block", "id").join(share, "block").withColumn(name, F.pmod(F.xxhash64("id"), F.col(f"{name}_parts")).cast("int")), rows), f"search-{name}")
 
     sides = i, q = split(index, "i"), split(queries, "q")
     i_parts, q_parts = (d.select("block", c).distinct() for d, c in ((i, "i_parts"), (q, "q_parts")))
@@ -345,15 +346,16 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     Components are what is returned, not the links or their number: a task keeps one spanning
     link for each set, and sets already in one component are not compared.
     """
-    sets_and_parts = staged(_sets(docs, id_col, text_col, words, percent), "jaccard-sets")
+    count = docs.count()
+    sets_and_parts = staged(_sets(docs, id_col, text_col, words, percent, count), "jaccard-sets")
     rows = staged(sets_and_parts.where("bucket is null").select("_id", "n", "need", "print"), "jaccard-rows")
     known = rows.where(F.col("print").isNotNull())
-    same = staged(known.groupBy("print").agg(F.min("_id").alias("id"), F.count("*").alias("copies")), "jaccard-distinct")
-    copied = staged(same.where("copies > 1").select("print", F.col("id").alias("first")), "jaccard-copied")
+    same = staged(few(known.groupBy("print").agg(F.min("_id").alias("id"), F.count("*").alias("copies")), count), "jaccard-distinct")
+    copied = staged(few(same.where("copies > 1").select("print", F.col("id").alias("first")), count), "jaccard-copied")
     meets = staged(_meets(sets_and_parts), "jaccard-meets")
     release(sets_and_parts)
     # a set alike to another shares a number of digests with it: fewer in all, and it is out
-    needs = staged(known.groupBy(F.col("_id").alias("id")).agg(F.min("need").alias("need")).where("need is not null"), "jaccard-needs")
+    needs = staged(few(known.groupBy(F.col("_id").alias("id")).agg(F.min("need").alias("need")).where("need is not null"), count), "jaccard-needs")
     met = meets.count()
     for _ in range(NEED_ROUNDS):
         buckets = _buckets(met, TABLE_MEETS)
@@ -361,57 +363,57 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
         enough = meets.groupBy("id").agg(F.count("*").alias("shared")).join(needs, "id").where("shared >= need").select("id")
         left = meets.join(enough, "id", "left_semi").select("part", "id").repartition(buckets, "part")
         leads = left.groupBy("part").agg(F.min("id").alias("lead"), F.max("id").alias("last")).where("lead <> last").select("part", "lead")
-        fewer = staged_by(left.join(leads, "part"), "jaccard-meets", "part", buckets)
+        fewer = staged_by(few(left.join(leads, "part"), met, buckets), "jaccard-meets", "part", buckets)
         release(meets)
         before, meets, met = met, fewer, fewer.count()
         if met > NEED_WORTH * before:
             break
     # equal sets, and rows that share an id but not a text
     links = known.join(copied, "print").where("_id <> first").select(F.col("_id").alias("a"), F.col("first").alias("b")).distinct()
-    done = [meets, needs]
+    done, found_links = [meets, needs], 0
     if not meets.isEmpty():
-        wanted = staged(meets.select("id").distinct(), "jaccard-wanted")
+        wanted = staged(few(meets.select("id").distinct(), count), "jaccard-wanted")
         total = rows.withColumnRenamed("_id", "id").join(wanted, "id", "left_semi").agg(F.sum("n")).first()[0]
         sets = _grams(docs, wanted, id_col, text_col, words, total)
-        pairs = staged(meets.where("id <> lead").groupBy("id", "lead").agg(F.count("*").alias("parts")), "jaccard-pairs")
-        sizes = staged(sets.groupBy("id").agg(F.sum("n").alias("n")), "jaccard-sizes")
+        pairs = staged(few(meets.where("id <> lead").groupBy("id", "lead").agg(F.count("*").alias("parts")), met), "jaccard-pairs")
+        sizes = staged(few(sets.groupBy("id").agg(F.sum("n").alias("n")), count), "jaccard-sizes")
         blocks = max(1, math.ceil(total / BLOCK_GRAMS))
         block = F.pmod(F.xxhash64("lead"), F.lit(blocks)).alias("block")
         best = F.max(F.struct("parts", (-F.col("lead")).alias("lead")))["lead"]
         first, so_far, left_pairs = None, None, pairs
         for _ in range(LEAD_ROUNDS):
-            chosen = staged(left_pairs.groupBy("id").agg((-best).alias("lead")), "jaccard-chosen")
+            chosen = staged(few(left_pairs.groupBy("id").agg((-best).alias("lead")), count), "jaccard-chosen")
             done.append(chosen)
             if chosen.isEmpty():
                 break
-            links_now = _search(chosen.select(block, F.col("lead").alias("id")), chosen.select(block, "id"), sets, sizes, percent)
+            links_now = _search(chosen.select(block, F.col("lead").alias("id")), chosen.select(block, "id"), sets, sizes, percent, count)
             first = links_now if first is None else first.union(links_now)
-            so_far = connected(first)
+            so_far = connected(first, first.count())
             of_lead = so_far.select(F.col("id").alias("lead"), F.col("component").alias("of_lead"))
             left_pairs = (left_pairs.join(chosen, ["id", "lead"], "left_anti").join(so_far, "id", "left").join(of_lead, "lead", "left")
                           .where(F.coalesce("component", "id") != F.coalesce("of_lead", "lead")).select("id", "lead", "parts"))
         # a part's smallest id is its lead: whoever is outside its component is so in the pairs, of which there are few
-        apart = staged(pairs.join(so_far, "id", "left").join(of_lead, "lead", "left")
-                       .where(F.coalesce("component", "id") != F.coalesce("of_lead", "lead")).select("id", "lead"), "jaccard-apart")
+        apart = staged(few(pairs.join(so_far, "id", "left").join(of_lead, "lead", "left")
+                           .where(F.coalesce("component", "id") != F.coalesce("of_lead", "lead")).select("id", "lead"), met), "jaccard-apart")
         mixed = meets.join(apart, ["id", "lead"], "left_semi").select("part").distinct()
-        left = staged(meets.join(mixed, "part").join(apart.withColumn("outside", F.lit(True)), ["id", "lead"], "left")
-                      .select("part", "id", "lead", F.coalesce("outside", F.lit(False)).alias("outside")), "jaccard-left")
+        left = staged(few(meets.join(mixed, "part").join(apart.withColumn("outside", F.lit(True)), ["id", "lead"], "left")
+                          .select("part", "id", "lead", F.coalesce("outside", F.lit(False)).alias("outside")), met), "jaccard-left")
         if not left.isEmpty():
             # those outside are indexed with others of their smallest group leader
-            home = staged(left.where("outside").groupBy("id").agg(F.min("lead").alias("block")), "jaccard-home")
+            home = staged(few(left.where("outside").groupBy("id").agg(F.min("lead").alias("block")), count), "jaccard-home")
             goes = left.where("outside").join(home, "id").select("part", "block").distinct()
             # alike sets share at least `need` parts here, and one of the two is outside in half of them:
             # it is found by the other in its home, so fewer parts in a block than that say nothing
             # (parts that count twice keep too many rather than too few)
             asked = (left.select("part", "id").join(goes, "part").groupBy("block", "id").agg(F.count("*").alias("shared"))
                      .join(needs, "id").where("2 * shared >= need").select("block", "id"))
-            first = first.union(_search(home, asked, sets, sizes, percent))
+            first = first.union(_search(home, asked, sets, sizes, percent, left.count()))
             done += [home]
-        links = links.union(first)
+        links, found_links = links.union(first), first.count()
         done += [wanted, sets, sizes, pairs, apart, left]
-    found = connected(links)
+    found = connected(links, count + found_links)
     release(*done)
     final = same.select("print", "id").join(found, "id", "left").select("print", F.coalesce("component", "id").alias("_component"))
     changed = final.join(same.select("print", "id", "copies"), "print").where("copies > 1 or _component <> id").select("print", "_component")
-    return (rows.select("_id", "n", "print").join(staged(changed, "jaccard-changed"), "print", "left")
+    return (rows.select("_id", "n", "print").join(staged(few(changed, count), "jaccard-changed"), "print", "left")
             .select(F.col("_id").alias(id_col), F.col("n").alias("n_shingles"), F.coalesce("_component", "_id").alias("component_id")))

@@ -172,3 +172,32 @@ def test_sets_and_meets_move_once(llm, monkeypatch):
         assert len(scans) == 2
         assert ["Join" in _above(lines, i, "Exchange", "Join") for i in scans] == [True, True]
     assert llm.catalog.listTables() == tables       # nothing stays in the catalog
+
+
+def test_small_tables_are_few_files(llm, monkeypatch):
+    """However many shuffle partitions there are, as many tasks write a small table as there are cores at most."""
+    from lakekit.llm import components as cc
+
+    files, cores = {}, llm.sparkContext.defaultParallelism
+
+    def kept(df, name, *options, write):
+        table = write(df, name, *options)
+        files.setdefault(name, []).append(len(table.inputFiles()))
+        return table
+
+    monkeypatch.setattr(jj, "staged", lambda *a, write=jj.staged: kept(*a, write=write))
+    monkeypatch.setattr(jj, "staged_by", lambda *a, write=jj.staged_by: kept(*a, write=write))
+    monkeypatch.setattr(cc, "staged", lambda *a, write=cc.staged: kept(*a, write=write))
+    conf = {"spark.sql.shuffle.partitions": str(4 * cores), "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    before = {k: llm.conf.get(k) for k in conf}
+    rows = near_copies(random.Random(12), 30 * cores // 2, (20, 60))
+    try:
+        for k, v in conf.items():
+            llm.conf.set(k, v)
+        assert run(llm, rows) == jaccard_components(rows)
+    finally:
+        for k, v in before.items():
+            llm.conf.set(k, v)
+    files["jaccard-meets"].pop(0)       # (those come in buckets)
+    small = ["jaccard-distinct", "jaccard-needs", "jaccard-meets", "jaccard-wanted", "jaccard-chosen", "search-i", "search-q", "links", "labels", "jaccard-changed"]
+    assert {name: max(files[name]) for name in small if max(files[name]) > cores} == {}
