@@ -18,8 +18,10 @@ share once for each batch of texts.  Different digests that fall together only m
 
 Where sets meet, each is first searched for among its groups' smallest ids: in the first
 round in the block of the one it shares most parts with, then of the next.  What is linked then needs no more comparing among itself: only members outside their group's first
-component are indexed, and the whole group is searched in them.  Indexes and queries are
-split by their number of n-grams, so a group of any size is many bounded tasks.
+component are indexed, and the whole group is searched in them: a set is asked for only where one
+of another component is indexed, of a size it may be alike to, in enough parts.  Indexes and queries are
+split by their number of n-grams, so a group of any size is many bounded tasks, and these run in
+slices that move about as many n-grams as there are in all: shuffle files don't outgrow the table of sets.
 """
 
 from __future__ import annotations
@@ -46,6 +48,7 @@ NEED_ROUNDS = 2             # times sets that share too few digests are left out
 NEED_WORTH = 0.9            # share of the meets that is left when another such round isn't worth its shuffles
 LEAD_ROUNDS = 2             # leads that each set is sent to before whole groups are searched
 BLOCK_GRAMS = 200_000       # n-grams in an index, or in the queries sent to it, on average
+SLICE_GRAMS = 32_000_000    # n-grams that a search moves at a time at least (where all sets have more: as many)
 TABLE_GRAMS = 1_000_000     # n-grams in a bucket of the table of sets, on average
 TABLE_MEETS = 500_000       # rows in a bucket of the table of meets, on average
 TABLE_BUCKETS = 100_000     # buckets that Spark allows a table unless told otherwise
@@ -291,24 +294,28 @@ def _grams(docs: DataFrame, ids: DataFrame, id_col: str, text_col: str, words: i
     return staged_by(texts.mapInArrow(run, "id long, n long, grams array<long>"), "jaccard-grams", "id", buckets)
 
 
-def _search(index: DataFrame, queries: DataFrame, sets: DataFrame, sizes: DataFrame, percent: int, rows: int) -> DataFrame:
+def _search(index: DataFrame, queries: DataFrame, sets: DataFrame, sizes: DataFrame, percent: int, rows: int, total: int) -> DataFrame:
     """Links a, b that join the queries and indexed sets of each block (columns block, id) as
     all their alike pairs do: each set of a task is linked with the smallest it can reach there.
 
     A block's index and its queries are each split by their n-grams; every part of one meets
     every part of the other, in a task that holds one part of each.  ``sizes``: id, n of the
     ``sets``, one row an id (rows that share an id are sets of their own).
-    ``rows``: how many the index or the queries have at most, roughly.
+    ``rows``: how many the index or the queries have at most, roughly.  ``total``: n-grams of all
+    ``sets``; the tasks run in slices that move about so many at a time, however often sets are sent.
     """
     def split(side: DataFrame, name: str) -> DataFrame:
-        side = side.distinct().join(sizes, "id")
+        side = side.distinct().join(sizes.select("id", "n"), "id")
         share = side.groupBy("block").agg(F.ceil(F.sum("n") / BLOCK_GRAMS).cast("int").alias(f"{name}_parts"))
-        return staged(few(side.select("block", "id").join(share, "block").withColumn(name, F.pmod(F.xxhash64("id"), F.col(f"{name}_parts")).cast("int")), rows), f"search-{name}")
+        return staged(few(side.select("block", "id", "n").join(share, "block").withColumn(name, F.pmod(F.xxhash64("id"), F.col(f"{name}_parts")).cast("int")), rows), f"search-{name}")
 
     sides = i, q = split(index, "i"), split(queries, "q")
     i_parts, q_parts = (d.select("block", c).distinct() for d, c in ((i, "i_parts"), (q, "q_parts")))
-    i = i.join(q_parts, "block").select("block", "i", F.explode(F.sequence(F.lit(0), F.col("q_parts") - 1)).alias("q"), "id").join(sets.select("id", "grams"), "id")
-    q = q.join(i_parts, "block").select("block", F.explode(F.sequence(F.lit(0), F.col("i_parts") - 1)).alias("i"), "q", "id").join(sets.select("id", "grams"), "id")
+    i, q = i.join(q_parts, "block"), q.join(i_parts, "block")
+    sent = i.select((F.col("n") * F.col("q_parts")).alias("n")).union(q.select(F.col("n") * F.col("i_parts"))).agg(F.sum("n")).first()[0] or 0
+    slices = max(1, math.ceil(sent / max(total, SLICE_GRAMS)))
+    i = i.select("block", "i", F.explode(F.sequence(F.lit(0), F.col("q_parts") - 1)).alias("q"), "id")
+    q = q.select("block", F.explode(F.sequence(F.lit(0), F.col("i_parts") - 1)).alias("i"), "q", "id")
 
     def find(indexed: pa.Table, asked: pa.Table) -> pa.Table:
         low: dict[int, int] = {}
@@ -330,8 +337,12 @@ def _search(index: DataFrame, queries: DataFrame, sets: DataFrame, sizes: DataFr
         return pa.table({"a": pa.array([x for x, _ in links], pa.int64()), "b": pa.array([y for _, y in links], pa.int64())})
 
     keys = ["block", "i", "q"]
-    i, q = (d.select(*(F.col(c).alias(c) for c in (*keys, "id", "grams"))) for d in (i, q))     # a column of its own on each side
-    links = staged(i.groupBy(*keys).cogroup(q.groupBy(*keys)).applyInArrow(find, "a long, b long"), "jaccard-links")
+    links = None
+    for k in range(slices):
+        now = F.pmod(F.xxhash64(*keys), F.lit(slices)) == k
+        i_now, q_now = (d.where(now).join(sets.select("id", "grams"), "id").select(*(F.col(c).alias(c) for c in (*keys, "id", "grams"))) for d in (i, q))     # a column of its own on each side
+        found = staged(i_now.groupBy(*keys).cogroup(q_now.groupBy(*keys)).applyInArrow(find, "a long, b long"), "jaccard-links")
+        links = found if links is None else links.union(found)
     release(*sides)
     return links
 
@@ -376,7 +387,7 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
         total = rows.withColumnRenamed("_id", "id").join(wanted, "id", "left_semi").agg(F.sum("n")).first()[0]
         sets = _grams(docs, wanted, id_col, text_col, words, total)
         pairs = staged(few(meets.where("id <> lead").groupBy("id", "lead").agg(F.count("*").alias("parts")), met), "jaccard-pairs")
-        sizes = staged(few(sets.groupBy("id").agg(F.sum("n").alias("n")), count), "jaccard-sizes")
+        sizes = staged(few(sets.groupBy("id").agg(F.sum("n").alias("n"), F.min("n").alias("low"), F.max("n").alias("high")), count), "jaccard-sizes")
         blocks = max(1, math.ceil(total / BLOCK_GRAMS))
         block = F.pmod(F.xxhash64("lead"), F.lit(blocks)).alias("block")
         best = F.max(F.struct("parts", (-F.col("lead")).alias("lead")))["lead"]
@@ -386,7 +397,7 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
             done.append(chosen)
             if chosen.isEmpty():
                 break
-            links_now = _search(chosen.select(block, F.col("lead").alias("id")), chosen.select(block, "id"), sets, sizes, percent, count)
+            links_now = _search(chosen.select(block, F.col("lead").alias("id")), chosen.select(block, "id"), sets, sizes, percent, count, total)
             first = links_now if first is None else first.union(links_now)
             so_far = connected(first, first.count())
             of_lead = so_far.select(F.col("id").alias("lead"), F.col("component").alias("of_lead"))
@@ -395,22 +406,27 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
         # a part's smallest id is its lead: whoever is outside its component is so in the pairs, of which there are few
         apart = staged(few(pairs.join(so_far, "id", "left").join(of_lead, "lead", "left")
                            .where(F.coalesce("component", "id") != F.coalesce("of_lead", "lead")).select("id", "lead"), met), "jaccard-apart")
-        mixed = meets.join(apart, ["id", "lead"], "left_semi").select("part").distinct()
-        left = staged(few(meets.join(mixed, "part").join(apart.withColumn("outside", F.lit(True)), ["id", "lead"], "left")
-                          .select("part", "id", "lead", F.coalesce("outside", F.lit(False)).alias("outside")), met), "jaccard-left")
+        mixed = staged(few(meets.join(apart, ["id", "lead"], "left_semi").select("part").distinct(), met), "jaccard-mixed")
+        of_id = (needs.join(sizes, "id").join(so_far, "id", "left").join(apart.groupBy("id").agg(F.collect_set("lead").alias("not_of")), "id", "left")
+                 .select("id", "need", "low", "high", F.coalesce("component", "id").alias("component"), "not_of"))
+        left = staged(few(meets.join(mixed, "part").join(of_id, "id")
+                          .withColumn("outside", F.coalesce(F.array_contains("not_of", F.col("lead")), F.lit(False))).drop("not_of"), met), "jaccard-left")
         if not left.isEmpty():
             # those outside are indexed with others of their smallest group leader
             home = staged(few(left.where("outside").groupBy("id").agg(F.min("lead").alias("block")), count), "jaccard-home")
-            goes = left.where("outside").join(home, "id").select("part", "block").distinct()
-            # alike sets share at least `need` parts here, and one of the two is outside in half of them:
-            # it is found by the other in its home, so fewer parts in a block than that say nothing
+            goes = (left.where("outside").join(home, "id").groupBy("part", "block")
+                    .agg(F.min("component").alias("first"), F.max("component").alias("last"), F.min("low").alias("least"), F.max("high").alias("most"), F.min("need").alias("needs")))
+            # alike sets share at least `need` parts here (that of either), and one of the two is outside in half of
+            # them: it is found by the other in its home, so fewer parts in a block than that say nothing; nor do
+            # parts in which all that are at home there are in one component with who asks, or too large or too small
             # (parts that count twice keep too many rather than too few)
-            asked = (left.select("part", "id").join(goes, "part").groupBy("block", "id").agg(F.count("*").alias("shared"))
-                     .join(needs, "id").where("2 * shared >= need").select("block", "id"))
-            first = first.union(_search(home, asked, sets, sizes, percent, left.count()))
+            asked = (left.join(goes, "part").where("component <> first or component <> last").where(f"100 * high >= {percent} * least and {percent} * low <= 100 * most")
+                     .groupBy("block", "id").agg(F.count("*").alias("shared"), F.greatest(F.min("need"), F.min("needs")).alias("need"))
+                     .where("2 * shared >= need").select("block", "id"))
+            first = first.union(_search(home, asked, sets, sizes, percent, left.count(), total))
             done += [home]
         links, found_links = links.union(first), first.count()
-        done += [wanted, sets, sizes, pairs, apart, left]
+        done += [wanted, sets, sizes, pairs, apart, mixed, left]
     found = connected(links, count + found_links)
     release(*done)
     final = same.select("print", "id").join(found, "id", "left").select("print", F.coalesce("component", "id").alias("_component"))

@@ -201,3 +201,44 @@ def test_small_tables_are_few_files(llm, monkeypatch):
     files["jaccard-meets"].pop(0)       # (those come in buckets)
     small = ["jaccard-distinct", "jaccard-needs", "jaccard-meets", "jaccard-wanted", "jaccard-chosen", "search-i", "search-q", "links", "labels", "jaccard-changed"]
     assert {name: max(files[name]) for name in small if max(files[name]) > cores} == {}
+
+
+def test_a_search_moves_no_more_grams_at_a_time_than_there_are(llm, monkeypatch):
+    """However many blocks a set is sent to, slices of the tasks keep the shuffle files of a search bounded."""
+    rnd = np.random.default_rng(8)
+    base = [int(x) for x in rnd.integers(0, 2**62, 60)]
+    grams = {k: sorted([*base[k % 3 * 4:], *(int(x) for x in rnd.integers(0, 2**62, k % 2 * 30))]) for k in range(12)}
+    sets = llm.createDataFrame([(k, len(v), v) for k, v in grams.items()], "id long, n long, grams array<long>")
+    asked = llm.createDataFrame([(b, k) for b in range(8) for k in grams], "block long, id long")
+    total, written = sum(map(len, grams.values())), []
+
+    def staged(df, name, *options, write=jj.staged):
+        written.append(name)
+        return write(df, name, *options)
+
+    def found(least):
+        written.clear()
+        monkeypatch.setattr(jj, "SLICE_GRAMS", least, raising=False)
+        links = jj._search(asked, asked, sets, sets.select("id", "n"), 80, 96, total).distinct().collect()
+        return {(r.a, r.b) for r in links}
+
+    monkeypatch.setattr(jj, "staged", staged)
+    whole = found(10**9)
+    assert written.count("jaccard-links") == 1 and whole
+    assert found(1) == whole
+    assert written.count("jaccard-links") == 16       # each set goes to 8 blocks, as index and as query
+
+
+def test_sets_of_one_component_are_not_sent_to_each_other(llm, monkeypatch):
+    """Members of a group that are linked to each other but not to its smallest id aren't asked for where only they are indexed."""
+    common, own, other = ([f"{x}{i}" for i in range(n)] for x, n in (("c", 150), ("u", 50), ("v", 50)))
+    rows = [(1, " ".join(common + own)), (2, " ".join(common + other)), (3, " ".join([*common, *other[:-1], "x"])), (4, " ".join([*common, *other[:-2], "y", "z"]))]
+    asked = []
+
+    def search(index, queries, *options, of=jj._search):
+        asked.append({r.id for r in queries.select("id").distinct().collect()})
+        return of(index, queries, *options)
+
+    monkeypatch.setattr(jj, "_search", search)
+    assert run(llm, rows, words=5, percent=80) == jaccard_components(rows, 80, 5)
+    assert len(asked) == 3 and asked[-1] == {1}
