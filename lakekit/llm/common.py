@@ -36,7 +36,8 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 @contextlib.contextmanager
-def _shuffles_deleted(spark: SparkSession):
+def shuffles_deleted(spark: SparkSession):
+    """Queries that begin in here delete their shuffle files when they end."""
     before = spark.conf.get(SHUFFLE_CLEANUP, None)
     spark.conf.set(SHUFFLE_CLEANUP, "true")
     try:
@@ -57,7 +58,7 @@ def staged(df: DataFrame, name: str, partition_by: tuple[str, ...] = ()) -> Data
     shuffles of the write again, so their files go with it."""
     spark = df.sparkSession
     path = work_dir(spark, name)
-    with _shuffles_deleted(spark):
+    with shuffles_deleted(spark):
         df.write.partitionBy(*partition_by).parquet(path)
     table = spark.read.schema(df.schema).parquet(path)
     table._staged_path = path
@@ -72,7 +73,7 @@ def staged_by(df: DataFrame, name: str, key: str, buckets: int) -> DataFrame:
     path = work_dir(spark, name)
     entry = path.rsplit("/", 1)[1].replace("-", "_")
     spark.createDataFrame([], df.schema).write.format("parquet").bucketBy(buckets, key).option("path", path).saveAsTable(entry)
-    with _shuffles_deleted(spark):
+    with shuffles_deleted(spark):
         df.write.insertInto(entry)
     table = spark.table(entry)
     table._staged_path, table._staged_entry = path, entry

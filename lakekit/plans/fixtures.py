@@ -22,20 +22,24 @@ PRIORITY_DIM = "o_orderpriority"
 DIMENSION_ROWS = 2_000_000             # members from which a join deals out both sides (fewer are mostly broadcast)
 
 
-def sales(spark: SparkSession, sf_dir: str) -> DataFrame:
+def sales(spark: SparkSession, sf_dir: str, part: tuple[int, int] = (0, 1)) -> DataFrame:
     """Sales lines (bronze/silver/staging shape) from lineitem ⋈ orders ⋈ customer ⋈ part.
 
     The line number is renumbered per order (ordered by line number, part, supplier)
     because ``(l_orderkey, l_linenumber)`` repeats in the driver data; the window runs
     right after the order-key join so it reuses that join's partitioning.  Many lines are dealt
     out by their number, so that a task's sorts stay the same size however large the tables are.
+    ``part`` (k, n): only the lines of the k-th of n parts of the orders, dealt by their keys.
     """
     li = load(spark, sf_dir, "lineitem").select("l_orderkey", "l_partkey", "l_suppkey", "l_linenumber",
                                                 "l_quantity", "l_tax")
     o = load(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderdate")
     c = load(spark, sf_dir, "customer").select("c_custkey", "c_name")
     p = load(spark, sf_dir, "part").select("p_partkey", "p_name", "p_retailprice")
-    tasks = sort_tasks(li)
+    tasks, (k, n) = sort_tasks(li), part
+    if n > 1:
+        tasks = -(-tasks // n)
+        li, o = (d.where(F.pmod(F.xxhash64(d[key].cast("long")), F.lit(n)) == k) for d, key in ((li, "l_orderkey"), (o, "o_orderkey")))
     if tasks:
         li, o = li.repartition(tasks, "l_orderkey"), o.repartition(tasks, "o_orderkey")
     lines = li.join(o, li.l_orderkey == o.o_orderkey)

@@ -18,12 +18,15 @@ from pyspark.sql.types import (DateType, DecimalType, IntegerType, LongType, Str
                                StructType, BooleanType, TimestampNTZType)
 
 from lakekit.functions.scalar import MONEY_SCALE, before_date, null_or_empty_default, split_word, word_or_empty, year_range
+from lakekit.llm.common import release, shuffles_deleted, staged
 from lakekit.operators.keys import assign_surrogate_keys, max_key
 from lakekit.operators.merge import assert_unique_keys, merge_insert_only, merge_upsert
 from lakekit.session import reliable_checkpoint, sort_tasks
 from lakekit.sources.files import CORRUPT, read_csv_typed
 from lakekit.sources.snapshots import SnapshotTable
 
+MERGE_SLICES = 4        # parts of a large silver table's keys that are merged one after the other
+
 # Unit prices and taxes keep six places (the files hold up to four).
 MEASURE = DecimalType(24, MONEY_SCALE)
 
@@ -97,20 +100,27 @@ def bronze_to_silver(spark: SparkSession, bronze_glob: str, silver: SnapshotTabl
     if quarantine is not None:
         bronze, bad = bronze
     updates = silver_enrich(bronze, flag_before=flag_before, as_of=as_of)
-    # parsed once: the key check and the merge read the written rows
-    updates = reliable_checkpoint(updates.select(*SILVER_SCHEMA.fieldNames()))
-    assert_unique_keys(updates, keys)
-    if silver.snapshots():
-        old, new = silver.read(), updates
-        tasks = max(sort_tasks(old), sort_tasks(new))
-        if tasks:       # both sides are sorted whole
-            old, new = old.repartition(tasks, *keys), new.repartition(tasks, *keys)
-        merged = merge_upsert(old, new, keys, preserve=("CreatedTS",), check_unique=False)
-    else:
-        merged = updates
-    if bad is not None:
-        quarantine.write(bad.select("FileName", F.col(CORRUPT).alias("line")))
-    return silver.write(merged)
+    # parsed once: the key check and the merge read the written rows, which go when the snapshot is there
+    updates = staged(updates.select(*SILVER_SCHEMA.fieldNames()), "silver-updates")
+    try:
+        with shuffles_deleted(spark):
+            assert_unique_keys(updates, keys)
+            if silver.snapshots():
+                old, new = silver.read(), updates
+                tasks = max(sort_tasks(old), sort_tasks(new))
+                # both sides are moved and sorted whole: large ones by slices of their keys, each deleting its shuffle files
+                slices, tasks = (MERGE_SLICES, -(-tasks // MERGE_SLICES)) if tasks else (1, 0)
+                merged = []
+                for k in range(slices):
+                    sides = (d.where(F.pmod(F.xxhash64(*keys), F.lit(slices)) == k).repartition(tasks, *keys) if tasks else d for d in (old, new))
+                    merged.append(merge_upsert(*sides, keys, preserve=("CreatedTS",), check_unique=False))
+            else:
+                merged = updates
+            if bad is not None:
+                quarantine.write(bad.select("FileName", F.col(CORRUPT).alias("line")))
+            return silver.write(merged)
+    finally:
+        release(updates)
 
 
 # ------------------------------------------------------------------ gold

@@ -7,12 +7,13 @@ import datetime as dt
 from pyspark.sql import functions as F
 
 from lakekit.functions.scalar import null_or_empty_default, split_word, word_or_empty
+from lakekit.llm.common import shuffles_deleted
 from lakekit.operators.quality import null_violations, orphan_facts
 from lakekit.plans import fixtures as fx
 from lakekit.plans import medallion as md
 from lakekit.plans.registry import query
 from lakekit.plans.warehouse import categorize
-from lakekit.session import work_dir
+from lakekit.session import sort_tasks, work_dir
 from lakekit.sources.snapshots import SnapshotTable
 from lakekit.sources.tables import load
 
@@ -21,6 +22,8 @@ FLAG_BEFORE = dt.date(1998, 8, 1)
 AUDIT_TS1 = dt.datetime(2001, 8, 2)
 AUDIT_TS2 = dt.datetime(2001, 8, 3)
 LOAD_YEAR = 1997
+DROP_PARTS = 4              # parts of many orders whose lines are written one after the other: a part's shuffle files go with it
+DROP_LINES = 100_000        # lines in a file of a drop at most (one that is compressed is read by one task)
 
 _INPUTS: dict[tuple[str, str, str], str] = {}
 
@@ -30,7 +33,8 @@ def _input(spark, sf_dir, name, write) -> str:
     key = (spark.sparkContext.applicationId, sf_dir, name)
     if key not in _INPUTS:
         path = work_dir(spark, name)
-        write(path)
+        with shuffles_deleted(spark):
+            write(path)
         _INPUTS[key] = path
     return _INPUTS[key]
 
@@ -54,10 +58,13 @@ SELECT {SQL_SILVER_COLS},
   TIMESTAMP '2001-08-03 00:00:00' AS ModifiedTS
 FROM sales""")
 def q_bronze_to_silver(spark, sf_dir):
-    """Two drops as CSV; run 1 loads drop A, run 2 gets A again plus B (re-delivery)."""
+    """Two drops as compressed CSV; run 1 loads drop A, run 2 gets A again plus B (re-delivery)."""
     def drops(path):
         drop = F.when(F.col("OrderDate") < F.lit(dt.date(1998, 1, 1)), "sales_a.csv").otherwise("sales_b.csv")
-        fx.sales(spark, sf_dir).withColumn("drop", drop).write.partitionBy("drop").option("header", True).csv(path)
+        parts = DROP_PARTS if sort_tasks(load(spark, sf_dir, "lineitem")) else 1
+        for k in range(parts):
+            (fx.sales(spark, sf_dir, (k, parts)).withColumn("drop", drop).write.mode("append").partitionBy("drop")
+             .option("maxRecordsPerFile", DROP_LINES).option("header", True).csv(path, compression="gzip"))
 
     bronze = _input(spark, sf_dir, "bronze", drops)
     silver = SnapshotTable(spark, work_dir(spark, "silver"))

@@ -11,11 +11,13 @@ from __future__ import annotations
 
 import datetime as dt
 import time
+from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
 
 PREFIX = "snapshot_ts="
+MARK = "mapreduce.fileoutputcommitter.marksuccessfuljobs"     # whether a write ends with _SUCCESS
 
 
 def _micros(ts) -> int:
@@ -48,9 +50,12 @@ class SnapshotTable:
         return f"{self.root}/{PREFIX}{sid}"
 
     # -- writing -----------------------------------------------------------------------------
-    def write(self, df: DataFrame, at=None, partition_by: tuple[str, ...] | list[str] = ()) -> int:
+    def write(self, df: DataFrame | Sequence[DataFrame], at=None, partition_by: tuple[str, ...] | list[str] = ()) -> int:
         """Write ``df`` as a new snapshot; returns its id.  Ids only grow.
 
+        Several frames are parts of one snapshot, written one after the other; it counts when
+        the last one is there.
+
         ``partition_by`` lays the snapshot out in folders by those columns, so reads
         that filter on them prune whole folders (partition pruning).
         """
@@ -62,10 +67,12 @@ class SnapshotTable:
             sid = existing[-1] + 1
         # the id is not committed: a folder left by a writer that died midway (no
         # _SUCCESS) is replaced, so a replayed batch can always write its snapshot
-        writer = df.write.mode("overwrite")
-        if partition_by:
-            writer = writer.partitionBy(*partition_by)
-        writer.parquet(self._path(sid))
+        parts = [df] if isinstance(df, DataFrame) else [*df]
+        for n, part in enumerate(parts, 1):
+            writer = part.write.mode("overwrite" if n == 1 else "append").option(MARK, str(n == len(parts)).lower())
+            if partition_by:
+                writer = writer.partitionBy(*partition_by)
+            writer.parquet(self._path(sid))
         return sid
 
     def truncate(self, at=None) -> int:
